@@ -1,8 +1,11 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import near_dups
+from shelfwright.llm import digests, lang_id, near_dups, piece_bpe
 
 QUERIES = {
+    "op5_digests": digests.query,
     "op6_near_duplicates": near_dups.query,
+    "op8_piece_encoding": piece_bpe.query,
+    "op9_language_id": lang_id.query,
 }
 ORACLE_SQL: dict[str, str] = {}
