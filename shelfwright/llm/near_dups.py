@@ -5,7 +5,7 @@ Of each class one sketch is kept: the k least values of one hash over the set. T
 similarity share at least `shared(n)` of these values, so, with values ordered from rare to common, they share one
 among the first `size - shared + 1`: only those go to the inverted lists. Each list links its members to its least
 member first; what is not yet connected is then paired across components, so a list of thousands of copies costs its
-length and not its square. Candidates are estimated on the sketch of the union and confirmed on whole sets.
+length and not its square; a document with too few shingles that others hold is in no pair. Candidates are estimated on the sketch of the union and confirmed on whole sets.
 
 A loss is possible only where a pair at the threshold shares fewer than half of 64 values (about 1 pair in a million).
 """
@@ -24,6 +24,8 @@ from shelfwright.session import arrow_map, stored
 
 #: Values kept of each set.
 K = 64
+#: Lists up to this length are joined pair by pair; members of longer ones meet in blocks of so many rows.
+SHORT_LIST, BLOCK = 32, 512
 
 
 def _sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -109,13 +111,93 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, p
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.array_intersect("sa", "sb")
     near = pairs.join(one, "a").join(two, "b")
-    near = near.where(F.size(F.array_intersect(both, union)) * 2 * 100 >= F.size(union) * per_cent).select("a", "b")
+    # Sketches below k values are whole sets and the estimate is exact; others may err by a third.
+    share, whole = F.size(F.array_intersect(both, union)), (F.size("sa") < k) & (F.size("sb") < k)
+    exact = F.size(both) * 100 >= F.size(F.array_union("sa", "sb")) * per_cent
+    near = near.where(F.when(whole, exact).otherwise(share * 100 * 3 >= F.size(union) * per_cent * 2)).select("a", "b")
     near = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("xa")), "a")
     near = near.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("xb")), "b")
     inter = F.size(F.array_intersect("xa", "xb"))
     return near.where(100 * inter >= per_cent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (value, id, c, ..) of lists with several components, with the list's length m and its largest component."""
+    counts = rows.groupBy("value", "c").agg(F.count("*").alias("k"))
+    lists = counts.groupBy("value").agg(F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    return rows.join(lists.select("value", "m", F.col("top.c").alias("main")), "value")
+
+
+def _shareable(rows: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Rows of documents that can still be similar to another one of the lists, with their count of shareable shingles.
+
+    Only a shingle that two documents of these lists hold can be common to a pair. A copy whose edits made too many
+    shingles of its own is left out here, before any pair is made; the bound is on whole sets and loses no link.
+    """
+    ids = rows.select("id").distinct()
+    each = sets.join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("x"))
+    held = each.groupBy("x").agg(F.count("*").alias("df")).where("df > 1").select("x")
+    counts = each.join(held, "x").groupBy("id").agg(F.count("*").alias("shareable"))
+    return rows.join(counts, "id").where(100 * F.col("shareable") >= per_cent * F.col("n_shingles"))
+
+
+def _can_link(n1: str, h1: str, n2: str, h2: str, per_cent: int) -> Column:
+    """Whether sets of n1 and n2 shingles, h1 and h2 of them shareable, can be similar enough."""
+    most = F.least(h1, h2, n1, n2)
+    return 100 * most >= per_cent * (F.col(n1) + F.col(n2) - most)
+
+
+def _in_blocks(long: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Links (a, b) across components in the long lists (value, id, c, ..), found block against block.
+
+    Lists that share members are one family. Its members outside the largest component meet all members in blocks of
+    BLOCK rows; whole sets are compared as bits inside a task, and only links leave it, one for each two components.
+    """
+    ties = long.groupBy("value").agg(F.min("id").alias("a")).join(long.select("value", F.col("id").alias("b")), "value").select("a", "b")
+    families = stored(components(ties), "family").withColumnRenamed("component", "family")
+    members = long.select("id", "n_shingles", "c").distinct().join(families, "id")
+    counts = members.groupBy("family", "c").agg(F.count("*").alias("n"))
+    shape = counts.groupBy("family").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("m"))
+    shape = shape.select("family", F.col("top.c").alias("main"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"))
+    members = members.join(shape, "family").where("left_blocks > 0").join(sets, "id")
+    place = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(n)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1))
+    right = members.select("family", every.alias("x"), place(1, "blocks").alias("y"), F.lit(False).alias("query"), "id", "c", "shingles")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = members.where("c <> main").select("family", place(2, "left_blocks").alias("x"), every.alias("y"), F.lit(True).alias("query"), "id", "c", "shingles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        query = table["query"].to_numpy()
+        ids, labels = table["id"].to_numpy(), table["c"].to_numpy()
+        lists = table["shingles"].combine_chunks()
+        flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+        common = times > 1  # others cannot be shared
+        width = np.cumsum(common) - 1
+        keep = common[column]
+        bits = np.zeros((len(ids), int(common.sum()) + 1), bool)
+        bits[owner[keep], width[column[keep]]] = True
+        bits = np.packbits(bits, axis=1)
+        bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
+        asked, all_rows = np.flatnonzero(query), np.flatnonzero(~query)
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for i in asked.tolist():
+            inter = np.bitwise_count(bits[all_rows] & bits[i]).sum(axis=1, dtype=np.int64)
+            hit = all_rows[(100 * inter >= per_cent * (sizes[all_rows] + sizes[i] - inter)) & (labels[all_rows] != labels[i])]
+            for j in hit.tolist():
+                found.setdefault((int(labels[i]), int(labels[j])), (int(ids[i]), int(ids[j])))
+        pairs = list(found.values())
+        return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+    return left.unionByName(right).groupBy("family", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def _grown(components_so_far: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with further links."""
+    return stored(components(components_so_far.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)), "round")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, per_cent: int = 75, k: int = K) -> DataFrame:
     """(id, n_shingles, component_id): one row per row of docs.
 
@@ -145,21 +227,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # What the stars left apart: in each list, members outside its largest component against all of the others.
     labelled = lists.join(pivots.select("value"), "value", "left_semi").join(first.withColumnRenamed("component", "c"), "id", "left")
-    labelled = stored(labelled.withColumn("c", F.coalesce("c", "id")), "labelled")
-    counts = labelled.groupBy("value", "c").agg(F.count("*").alias("m"))
-    mixed = counts.groupBy("value").agg(F.max(F.struct("m", "c")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = mixed.select("value", F.col("top.c").alias("main"))
-    inside = labelled.join(mixed, "value")
-    fewer = inside.where("c <> main").select("value", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"))
-    others = inside.select("value", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), "main")
-    cross = fewer.join(others, "value").where("ca <> cb and (cb = main or a < b)").where(fits(F.col("na"), F.col("nb")))
-    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = stored(cross.join(star, ["a", "b"], "left_anti"), "pairs")
-    if cross.limit(1).count():
-        more = _confirmed(cross, kept, sets, k, per_cent)
-        joined = components(first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-    else:
-        joined = first
+    labelled = _mixed(labelled.withColumn("c", F.coalesce("c", "id"))).where("m > 2")  # a list of two is tried already
+    able = stored(_shareable(stored(labelled.select("value", "id", "n_shingles", "c"), "labelled"), sets, per_cent), "able")
+
+    # A second star, on the member of each list that shares most: copies of one text nearly all meet here.
+    centre = able.groupBy("value").agg(F.max_by(F.struct("id", "n_shingles", "shareable", "c"), F.struct(F.col("shareable") / F.col("n_shingles"), -F.col("id"))).alias("p"))
+    again = able.join(centre, "value").where("c <> p.c").where(_can_link("n_shingles", "shareable", "p.n_shingles", "p.shareable", per_cent))
+    again = again.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+    again = stored(again.join(star, ["a", "b"], "left_anti"), "pairs")
+    second = _grown(first, _confirmed(again, kept, sets, k, per_cent))
+
+    inside = able.drop("c").join(second.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    inside = stored(_mixed(inside), "inside")
+    short, long = inside.where(F.col("m") <= SHORT_LIST), inside.where(F.col("m") > SHORT_LIST)
+    fewer = short.where("c <> main").select("value", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("shareable").alias("ha"))
+    others = short.select("value", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("shareable").alias("hb"), "main")
+    cross = fewer.join(others, "value").where("ca <> cb and (cb = main or a < b)").where(_can_link("na", "ha", "nb", "hb", per_cent))
+    cross = stored(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    cross = cross.join(star, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
+    links = _confirmed(cross, kept, sets, k, per_cent).unionByName(_in_blocks(long, sets, per_cent))
+    joined = _grown(second, links)
     found = classes.select(*mark, "rep").join(joined.withColumnRenamed("component", "c"), F.col("rep") == F.col("id"), "left")
     found = found.select(*mark, F.coalesce("c", "rep").alias("c")).withColumnsRenamed({"n_shingles": "n_", "s1": "s1_", "s2": "s2_"})
     met = (sketches["n_shingles"] == found["n_"]) & (sketches["s1"] == found["s1_"]) & (sketches["s2"] == found["s2_"]) & sketches["id"].isNotNull()
