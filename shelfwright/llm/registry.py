@@ -1,8 +1,9 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import digests, lang_id, near_dups, piece_bpe
+from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_rules
 
 QUERIES = {
+    "op3_quality_rules": quality_rules.query,
     "op5_digests": digests.query,
     "op6_near_duplicates": near_dups.query,
     "op8_piece_encoding": piece_bpe.query,
