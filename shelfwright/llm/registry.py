@@ -1,12 +1,15 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_rules
+from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_rules, secret_scan
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.query,
     "op3_quality_rules": quality_rules.query,
     "op5_digests": digests.query,
     "op6_near_duplicates": near_dups.query,
     "op8_piece_encoding": piece_bpe.query,
     "op9_language_id": lang_id.query,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": secret_scan.ORACLE_SQL,
+}
