@@ -1,10 +1,12 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_rules, secret_scan
+from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_ranker, quality_rules, secret_scan, sharding
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
     "op3_quality_rules": quality_rules.query,
+    "op2_quality_ranker": quality_ranker.query,
+    "op10_sharding": sharding.query,
     "op5_digests": digests.query,
     "op6_near_duplicates": near_dups.query,
     "op8_piece_encoding": piece_bpe.query,
