@@ -23,7 +23,14 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(met.select(F.col("a"), F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b")
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether no node hangs on another one that hangs on a third, nor on two."""
+    twice = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+    chained = edges.select("a").join(edges.select("b").distinct(), F.col("a") == F.col("b"), "left_semi")
+    return not twice.select("a").unionByName(chained).limit(1).count()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -32,14 +39,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates steps that hang larger neighbours, then smaller ones, on the least neighbour until the edges are stars;
     a logarithmic number of rounds, each a table in the shared folder.
     """
-    edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
-    edges = stored(edges, "cc")
-    mark = None
-    while True:
-        edges = stored(_stars(_stars(edges, True), False), "cc")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark or not now[0]:
-            break
-        mark = now
+    edges = stored(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "cc")
+    while not _stars_only(edges):
+        edges = stored(_stars(_stars(edges, True), False).distinct(), "cc")
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

@@ -104,19 +104,15 @@ def _listed(sketches: DataFrame, k: int, per_cent: int) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, per_cent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, k: int, per_cent: int) -> DataFrame:
     """The pairs (a, b) whose estimate on the union's sketch, then whose whole sets, are similar enough."""
-    one = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
-    two = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    both = F.array_intersect("sa", "sb")
-    near = pairs.join(one, "a").join(two, "b")
-    # Sketches below k values are whole sets and the estimate is exact; others may err by a third.
-    share, whole = F.size(F.array_intersect(both, union)), (F.size("sa") < k) & (F.size("sb") < k)
-    exact = F.size(both) * 100 >= F.size(F.array_union("sa", "sb")) * per_cent
-    near = near.where(F.when(whole, exact).otherwise(share * 100 * 3 >= F.size(union) * per_cent * 2)).select("a", "b")
-    near = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("xa")), "a")
+    near = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("xa")), "a")
     near = near.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("xb")), "b")
+    sa, sb = F.slice("xa", 1, k), F.slice("xb", 1, k)  # sets are in order of hash
+    union = F.slice(F.array_sort(F.array_union(sa, sb)), 1, k)
+    share, whole = F.size(F.array_intersect(F.array_intersect(sa, sb), union)), (F.size("xa") < k) & (F.size("xb") < k)
+    # Sketches below k values are whole sets and the estimate is exact; others may err by a third.
+    near = near.where(whole | (share * 100 * 3 >= F.size(union) * per_cent * 2))
     inter = F.size(F.array_intersect("xa", "xb"))
     return near.where(100 * inter >= per_cent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
 
@@ -193,11 +189,6 @@ def _in_blocks(long: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     return left.unionByName(right).groupBy("family", "x", "y").applyInArrow(compare, "a long, b long")
 
 
-def _grown(components_so_far: DataFrame, links: DataFrame) -> DataFrame:
-    """Components with further links."""
-    return stored(components(components_so_far.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)), "round")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, per_cent: int = 75, k: int = K) -> DataFrame:
     """(id, n_shingles, component_id): one row per row of docs.
 
@@ -221,32 +212,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = lists.join(pivots.select("value"), "value", "left_semi").select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi"), n), "sets")
-    kept = some.select("id", "sketch").join(wanted, "id", "left_semi")
-    links = _confirmed(star, kept, sets, k, per_cent)
-    first = stored(components(links), "round")
-
-    # What the stars left apart: in each list, members outside its largest component against all of the others.
-    labelled = lists.join(pivots.select("value"), "value", "left_semi").join(first.withColumnRenamed("component", "c"), "id", "left")
-    labelled = _mixed(labelled.withColumn("c", F.coalesce("c", "id"))).where("m > 2")  # a list of two is tried already
-    able = stored(_shareable(stored(labelled.select("value", "id", "n_shingles", "c"), "labelled"), sets, per_cent), "able")
-
-    # A second star, on the member of each list that shares most: copies of one text nearly all meet here.
-    centre = able.groupBy("value").agg(F.max_by(F.struct("id", "n_shingles", "shareable", "c"), F.struct(F.col("shareable") / F.col("n_shingles"), -F.col("id"))).alias("p"))
-    again = able.join(centre, "value").where("c <> p.c").where(_can_link("n_shingles", "shareable", "p.n_shingles", "p.shareable", per_cent))
-    again = again.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
-    again = stored(again.join(star, ["a", "b"], "left_anti"), "pairs")
-    second = _grown(first, _confirmed(again, kept, sets, k, per_cent))
-
-    inside = able.drop("c").join(second.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    inside = stored(_mixed(inside), "inside")
+    links = stored(_confirmed(star, sets, k, per_cent), "links")
+
+    # What the stars left apart: in each list, members outside its largest component against all of the others. Here a
+    # component is only what hangs on one pivot; that is enough to leave out most pairs.
+    first = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("c"))
+    labelled = lists.join(pivots.select("value"), "value", "left_semi").join(first, "id", "left")
+    labelled = _mixed(labelled.withColumn("c", F.least("c", "id"))).where("m > 2")  # a list of two is tried already
+    able = _shareable(stored(labelled.select("value", "id", "n_shingles", "c"), "labelled"), sets, per_cent)
+    inside = stored(_mixed(stored(able, "able")), "inside")
     short, long = inside.where(F.col("m") <= SHORT_LIST), inside.where(F.col("m") > SHORT_LIST)
     fewer = short.where("c <> main").select("value", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("shareable").alias("ha"))
     others = short.select("value", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("shareable").alias("hb"), "main")
     cross = fewer.join(others, "value").where("ca <> cb and (cb = main or a < b)").where(_can_link("na", "ha", "nb", "hb", per_cent))
     cross = stored(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    cross = cross.join(star, ["a", "b"], "left_anti").join(again, ["a", "b"], "left_anti")
-    links = _confirmed(cross, kept, sets, k, per_cent).unionByName(_in_blocks(long, sets, per_cent))
-    joined = _grown(second, links)
+    links = links.unionByName(_confirmed(cross.join(star, ["a", "b"], "left_anti"), sets, k, per_cent))
+    if long.limit(1).count():
+        links = links.unionByName(_in_blocks(long, sets, per_cent))
+    joined = components(links)
     found = classes.select(*mark, "rep").join(joined.withColumnRenamed("component", "c"), F.col("rep") == F.col("id"), "left")
     found = found.select(*mark, F.coalesce("c", "rep").alias("c")).withColumnsRenamed({"n_shingles": "n_", "s1": "s1_", "s2": "s2_"})
     met = (sketches["n_shingles"] == found["n_"]) & (sketches["s1"] == found["s1_"]) & (sketches["s2"] == found["s2_"]) & sketches["id"].isNotNull()
