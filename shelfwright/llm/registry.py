@@ -1,12 +1,14 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import digests, lang_id, near_dups, piece_bpe, quality_ranker, quality_rules, secret_scan, sharding
+from shelfwright.llm import digests, lang_id, mixing, near_dups, piece_bpe, quality_ranker, quality_rules, revisits, secret_scan, sharding
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
     "op3_quality_rules": quality_rules.query,
     "op2_quality_ranker": quality_ranker.query,
     "op10_sharding": sharding.query,
+    "op4_mixing": mixing.query,
+    "op7_revisits": revisits.query,
     "op5_digests": digests.query,
     "op6_near_duplicates": near_dups.query,
     "op8_piece_encoding": piece_bpe.query,
@@ -14,4 +16,5 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
+    "op7_revisits": revisits.ORACLE_SQL,
 }
