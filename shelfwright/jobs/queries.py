@@ -381,7 +381,7 @@ def _(px):
     """, f AS (SELECT ok AS file_id, show_name, CASE WHEN ok % 9 <> 0 THEN mins + ok % 5 * 1.3 END AS file_mins FROM px_canon WHERE ok % 3 = 0),
 d AS (SELECT file_id, c.idx, abs(file_mins - mins) AS d, row_number() OVER (PARTITION BY file_id ORDER BY abs(file_mins - mins) NULLS FIRST, c.idx) AS p FROM f JOIN px_canon c USING (show_name)),
 t AS (SELECT file_id, min(idx) FILTER (p = 1) AS idx, round_even(min(d), 1) AS delta, max(d) FILTER (p = 2) AS d2 FROM d WHERE p <= 2 GROUP BY 1)
-SELECT file_id, idx, delta, CASE WHEN idx IS NULL THEN NULL WHEN d2 IS NULL THEN 99.0 ELSE round_even(d2 - delta, 1) END AS gap,
+SELECT file_id, idx, delta, CASE WHEN idx IS NULL THEN NULL WHEN d2 IS NULL THEN 99.0 ELSE round_even(d2 - delta, 1) + 0.0 END AS gap,
   CASE WHEN file_mins IS NULL THEN 'NO DURATION' WHEN idx IS NULL OR delta > 3 THEN 'NO CLOSE MATCH' WHEN (CASE WHEN d2 IS NULL THEN 99.0 ELSE round_even(d2 - delta, 1) END) < 1 THEN 'AMBIGUOUS' ELSE 'ok' END AS verdict FROM f LEFT JOIN t USING (file_id)""",
 )
 def _(px):
