@@ -46,7 +46,7 @@ def ocr_gates(texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None,
     rows = by_line.withColumns({"junk_pct": F.coalesce(share("junk", "lines"), F.lit(100.0)), "english_pct": F.coalesce(share("english", "judgeable"), F.lit(0.0)), "foreign_pct": F.coalesce(share("foreign", "lines"), F.lit(0.0))})
     if dictionary is not None:
         token = F.explode(F.regexp_extract_all("line", F.lit(r"([A-Za-z][A-Za-z']{2,})"), F.lit(1)))
-        words = lines.where(said & ~sound).select("file_id", token.alias("w")).select("file_id", F.trim(F.lit("'"), F.col("w")).alias("w"))
+        words = lines.where(said & ~sound).select("file_id", token.alias("w")).select("file_id", F.trim(F.col("w"), F.lit("'")).alias("w"))
         words = words.where((F.length("w") >= 3) & F.col("w").rlike("^[a-z]")).select("file_id", F.lower("w").alias("w")).groupBy("file_id", "w").agg(F.count("*").alias("n"))
         known = dictionary.select(F.lower("word").alias("word")).distinct()
         stem = F.substring_index("w", "'", 1)

@@ -32,13 +32,13 @@ def read_robot_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 def read_playlists(spark: SparkSession, glob: str) -> DataFrame:
     """(playlist, clips): the clip numbers of binary playlists, in order."""
-    said = F.decode("content", F.lit("ISO-8859-1"))
+    said = F.decode("content", "ISO-8859-1")
     return spark.read.format("binaryFile").load(glob).select(_name().alias("playlist"), F.regexp_extract_all(said, F.lit(r"(\d{5})(?=M2TS)"), F.lit(1)).alias("clips"))
 
 
 def read_clip_languages(spark: SparkSession, glob: str, codes: list[str]) -> DataFrame:
     """S3: (clip, pos, lang): language codes embedded in binary clip files, in order."""
-    said = F.decode("content", F.lit("ISO-8859-1"))
+    said = F.decode("content", "ISO-8859-1")
     found = F.regexp_extract_all(said, F.lit("(" + "|".join(codes) + ")"), F.lit(1))
     return spark.read.format("binaryFile").load(glob).select(_name().alias("clip"), F.posexplode(found).alias("pos", "lang"))
 
@@ -70,7 +70,7 @@ def read_srt(spark: SparkSession, glob: str, dialect: str = "lenient") -> DataFr
     body = F.col("x.bodies")
     body = F.when(F.col("cue") < F.col("n") - 1, F.regexp_replace(body, r"\n[^\n]*\n?$", "")).otherwise(body)
     span = lambda k: T.srt_to_sec(F.regexp_extract("x.times", p, k))
-    return rows.select("file_id", "cue", span(1).alias("start_s"), span(2).alias("end_s"), F.trim(F.lit("\n"), F.trim(body)).alias("text"))
+    return rows.select("file_id", "cue", span(1).alias("start_s"), span(2).alias("end_s"), F.trim(F.trim(body), F.lit("\n")).alias("text"))
 
 
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
