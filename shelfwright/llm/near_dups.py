@@ -242,3 +242,17 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(docs)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+#: The same over whole sets, every pair that shares a shingle counted.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+each AS (SELECT doc_id, len(s) AS n, md5(unnest(s)) AS x FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM each a JOIN each b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2, 3, 4),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT ways.b, reach.c FROM reach JOIN ways ON ways.a = reach.id),
+least AS (SELECT id, min(c) AS c FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept FROM sets JOIN least ON id = doc_id
+"""

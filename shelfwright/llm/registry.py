@@ -16,5 +16,6 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
+    "op6_near_duplicates": near_dups.ORACLE_SQL,
     "op7_revisits": revisits.ORACLE_SQL,
 }
