@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shelfwright.operators import aggregates as A, predicates as P, ranking as W, reconcile as J
+from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
 from shelfwright.sources import readers as S, writers as K
 from shelfwright.streaming import streams as R
 
@@ -131,3 +131,19 @@ def test_streams_match_batch(spark, tmp_path):
     assert R.drained(R.quiet_folders(stream.withColumnRenamed("rk", "folder"), "5 minutes")).count() == 3
     assert R.drained(R.new_work(stream, log.where("rk = 1"))).select("rk").distinct().count() == 3
     assert R.drained(R.event_counts(stream, "1 hour"), "complete").agg(F.sum("n")).first()[0] == 121
+
+
+def test_audits(spark):
+    claimed = spark.createDataFrame([("d", 100.0), ("d", 110.0), ("d", 500.0), ("d", 20.0)], "disc string, sec double")
+    measured = spark.createDataFrame([("d", 105.0), ("d", 130.0), ("e", 90.0)], "disc string, sec double")
+    assert sorted(tuple(r) for r in U.reconcile_durations(claimed, measured).where("measured is not null").collect()) == [("d", 100.0, 105.0), ("d", 110.0, 130.0)]
+    assert [r.claimed for r in U.reconcile_durations(claimed, measured).where("measured is null").collect()] == [500.0]
+    tracks = spark.createDataFrame([("f", 0, "a", -20.0, -1.0), ("f", 1, None, -20.0, -1.0), ("g", 0, "", None, None), ("g", 1, "x", None, None)], "file_id string, track int, title string, mean_db double, max_db double")
+    assert {r.file_id: r.verdict for r in U.audio_review(tracks).collect()} == {"f": "DUPLICATE?", "g": "UNTITLED"}
+    agent = spark.createDataFrame([(1, "Episode 4", "S S00E04.mkv", 60000, True), (2, "Other", "S S00E01 - Title.mkv", 1, True), (3, "Title!", "S S00E01 - title.mkv", 1, False), (4, "A", "S S00E02.mkv", 90000, True)], "rk int, title string, file string, duration_ms long, locked boolean")
+    assert {r.rk: r.verdict for r in U.audit_specials(agent).collect()} == {1: "placeholder", 2: "contradicts", 3: "NOTE", 4: "UNVERIFIED"}
+    files = spark.createDataFrame([("s", 1, 1, 3000.0), ("s", 1, 2, 1500.0)], "show string, season int, idx int, sec double")
+    slots = spark.createDataFrame([("s", 1, k, 1500.0) for k in (1, 2, 3)], "show string, season int, idx int, sec double")
+    assert [r.form for r in U.double_slot_files(files, slots).collect()] == ["E01-E02"]
+    listing = spark.createDataFrame([("a", "m2ts", 5), ("b", "iso", 1), ("b", "iso", 1), ("c", "txt", 1)], "disc string, ext string, bytes long")
+    assert {r.disc: r.kind for r in U.disc_kind(listing).collect()} == {"a": "Blu-ray", "b": "several ISOs", "c": "unusable"}
