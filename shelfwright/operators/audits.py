@@ -135,7 +135,7 @@ def staged_without_manifest(staged: DataFrame, manifests: DataFrame) -> DataFram
 
 def track_identity(tracks: DataFrame, transcripts: DataFrame) -> DataFrame:
     """What each audio track is by what is said on it, and whether another track of the file says the same."""
-    met = tracks.join(transcripts, ["file_id", "track"], "left").withColumn("said", T.norm_ascii(F.col("text")))
+    met = tracks.join(transcripts, ["file_id", "track"], "left").withColumn("said", F.trim(T.norm_ascii(F.col("text"))))
     same = F.count(F.when(F.col("text").isNotNull(), 1)).over(Window.partitionBy("file_id", "said"))
     hint = T.commentary_hints(F.col("text"), F.col("heard"))["verdict"]
     return met.withColumn("same", same).select("file_id", "track", F.when(F.col("text").isNull(), "UNHEARD").when(F.col("same") > 1, "SAME LINES").otherwise(hint).alias("verdict"))
