@@ -32,8 +32,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, those of scarce sources once more in part: no source is repeated over 1.25 times the largest's."""
-    return mixing.mixed_documents(docs, entropy_share=None, most_repeats=1.25, cover=True)
+    """All documents in the order of op4's mixture, those of scarce sources again as often as its target asks."""
+    return mixing.mixed_documents(docs, cover=True)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,17 +73,17 @@ def temperature(sources: DataFrame, total: int, entropy_share: float | None, mos
     return alpha, z, least
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy_share: float | None = 0.97, most_repeats: float | None = 4.0, budget: int | None = None, cover: bool = False, block_tokens: int = 1 << 20, seed: int = 1) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy_share: float | None = 0.97, most_repeats: float | None = 4.0, budget: int | None = None, cover: bool = False, block_tokens: int = 1 << 20, seed: int = 1, row_col: str | None = None) -> DataFrame:
     """(row, id, source, n_tokens, epoch, block, slot): the documents in the order of the mixture.
 
-    row is the place of the document's row in the input as read by this call. A document stands once for each epoch of
+    row is row_col, a key of the input's rows, or without one the place of the row in the input as read by this call. A document stands once for each epoch of
     its source that the budget reaches: its first token must lie below the source's quota, budget x weight. slot is
     its place in its block, by hash. budget: tokens of all (default: as many as there are); with cover, as many as
     give every source a whole epoch at least, so that no document is left out. A null source is a source of its own;
     documents without tokens come with their source's first epoch.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tokens(F.col(text_col)).alias("n_tokens"))
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "mix")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tokens(F.col(text_col)).alias("n_tokens"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"))
+    rows = stored(rows, "mix")
     sources = stored(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     alpha, z, least = temperature(sources, total, entropy_share, most_repeats, cover)
@@ -106,9 +106,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs, each row as often as the mixture takes it, the columns as they were."""
-    taken = mixed(docs, id_col, **options).where("epoch > 0").groupBy("id").agg(F.count("*").alias("_more"))
-    return docs.unionByName(docs.join(taken.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id")).withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_more").cast("int")))).select(*docs.columns))
+    """docs in the order of the mixture (block, slot): each row once for each epoch that takes it, the columns as they were.
+
+    Rows are met by a stored key of their own, so null and repeated ids are rows like others.
+    """
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    plan = mixed(keyed, id_col, row_col="_row", **options).select(F.col("row").alias("_row"), F.col("block").alias("_block"), F.col("slot").alias("_slot"))
+    return keyed.join(stored(plan, "plan"), "_row").orderBy("_block", "_slot").select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -112,30 +112,34 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, l2: float = 1e-
     return w / scale
 
 
-def ranked(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labels: int = 20_000, cut: float = 0.3) -> DataFrame:
+def ranked(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labels: int = 20_000, cut: float = 0.3, most_pairs: int = 40_000) -> DataFrame:
     """(id, score, predicted) of every whole text, learned from labels of ids for which held_out(id column) is false.
 
-    At most about `most_labels` labelled rows are learned from (those with the lowest hashes of their id); they alone
-    come to the driver, as features. An id whose labels differ is left out. The threshold is the score quantile at the
-    share of label 0 among them; scores are logistic around it, so that it becomes `cut`. Without both labels all
+    At most about `most_labels` labelled rows are learned from (those with the lowest hashes of their id; they alone
+    come to the driver, as features), by `most_pairs` random pairs of them. An id whose labels differ is left out. The
+    threshold is the quantile of all documents' scores at the share of label 0 among all labels that are not held out,
+    however many of them were learned from; scores are logistic around it, so that it becomes `cut`. Without both labels all
     documents score 0.5. Rows are scored each by its own text, also where an id is null or repeats.
     """
     facts = stored(featured(docs, id_col, text_col), "features")
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null").where(~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
-    n = known.count()
+    n, bad = known.agg(F.count("*"), F.count_if(F.col("y") == 0)).first()
     if n > most_labels:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(most_labels / n * (1 << 30)))
     learn = facts.join(known.select("id", "y"), "id").select("y", *FEATURES).toPandas()
     x, y = learn[FEATURES].to_numpy(float), learn["y"].to_numpy()
     order = np.lexsort((*x.T[::-1], y)) if len(y) else np.zeros(0, int)  # whatever order rows came in
     x, y = x[order], y[order]
-    w = fit_pairs(x, y)
+    w = fit_pairs(x, y, most_pairs)
     if not w.any():
         return facts.select("id", F.lit(0.5).alias("score"), F.lit(1).alias("predicted"))
-    threshold = float(np.quantile(x @ w, float((y == 0).mean())))
-    raw = sum((F.col(f) * float(k) for f, k in zip(FEATURES, w, strict=True)), F.lit(-threshold))
-    score = 1 / (1 + F.exp(-(raw + math.log(cut / (1 - cut)))))
+    raw = sum((F.col(f) * float(k) for f, k in zip(FEATURES, w, strict=True)), F.lit(0.0))
+    last = facts.agg(F.percentile_approx(raw, bad / n, 100_000)).first()[0]
+    # Half-way to the next score, so that the last document of the share lies below.
+    above = facts.where(raw > last).agg(F.min(raw)).first()[0]
+    threshold = last if above is None else (last + above) / 2
+    score = 1 / (1 + F.exp(-(raw - threshold + math.log(cut / (1 - cut)))))
     return facts.select("id", score.alias("score")).withColumn("predicted", F.when(F.col("score") >= cut, 1).otherwise(0))
 
 

@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership frequency, native throughout.
 
 Each text is scanned for credentials in known forms and for other tokens that could be one. The hash of every candidate
-is then counted over the corpus by distinct repositories and owners: what many owners hold is a copied example; what one
-owner alone holds looks live. Live-looking tokens without a known form are added to the spans found by form.
+is then counted over the corpus by distinct repositories and owners: what many owners or many repositories hold is a
+copied example; what one owner alone holds in few repositories looks live. Live-looking tokens without a known form are added to the spans found by form.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ HEX = r"[0-9a-f]{24,}"
 #: A token of no known form: long, of one word, with letters and digits and at least so many different characters.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = 10
-#: Owners from which a value counts as copied.
+#: Owners, and repositories of whatever owners, from which a value counts as copied.
 COPIED = 3
+REPEATED = 10
 MASK = "[SECRET]"
 
 
@@ -70,11 +71,12 @@ def ownership(held: DataFrame) -> DataFrame:
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
-    """One row per row of docs: (id, text_md5, base, live, n_live, n_copied).
+    """One row per row of docs: (id, text_md5, base, live, n_live, n_copied, judged).
 
-    base: spans found by form; live: tokens of no known form that one owner alone holds; both (start, ord, end, kind) in
-    order. n_live and n_copied count the candidates of either kind by what the corpus says of them: held by one owner,
-    or by COPIED owners at least. A null text is empty, a null owner or repository is one of its own. A repository
+    base: spans found by form; live: tokens of no known form that look live; both (start, ord, end, kind) in order.
+    judged: every candidate as (start, ord, end, kind, n_repos, n_owners, verdict), in order. verdict: copied (COPIED
+    owners or REPEATED repositories at least), live (one owner, fewer repositories) or unsure. n_live and n_copied count
+    the candidates of either kind by verdict. A null text is empty, a null owner or repository is one of its own. A repository
     belongs to its owner: the same name under two owners is two.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -85,19 +87,22 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rep
     facts = stored(facts.withColumn("c", hashed).withColumn("row", F.monotonically_increasing_id()), "secrets")
     each = facts.where(F.size("c") > 0).select("row", "repo", "owner", F.explode("c").alias("x")).select("row", "repo", "owner", "x", F.col("x.hash").alias("hash"))
     known = ownership(each.select("hash", "repo", "owner"))
-    judged = each.select("row", "x", "hash").join(known, "hash").where(f"n_owners = 1 or n_owners >= {COPIED}")
+    verdict = F.when((F.col("n_owners") >= COPIED) | (F.col("n_repos") >= REPEATED), "copied").when(F.col("n_owners") == 1, "live").otherwise("unsure")
+    judged = each.select("row", "x", "hash").join(known, "hash").withColumn("verdict", verdict)
     span = F.struct(F.col("x.start").alias("start"), F.col("x.ord").alias("ord"), F.col("x.end").alias("end"), F.col("x.kind").alias("kind"))
-    alone = F.col("n_owners") == 1
+    facts_of = F.struct("x.start", "x.ord", "x.end", "x.kind", "n_repos", "n_owners", "verdict")
+    live, copied = F.col("verdict") == "live", F.col("verdict") == "copied"
     by_row = judged.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.when(alone & (F.col("x.ord") == 3), span))).alias("live"), F.count_if(alone).alias("n_live"), F.count_if(~alone).alias("n_copied")
+        F.array_sort(F.collect_list(F.when(live & (F.col("x.ord") == 3), span))).alias("live"), F.count_if(live).alias("n_live"), F.count_if(copied).alias("n_copied"), F.array_sort(F.collect_list(facts_of)).alias("judged")
     )
     base = F.transform(F.filter("c", lambda x: x["ord"] < 3), lambda x: F.struct(x["start"], x["ord"], x["end"], x["kind"]))
     rows = facts.select("row", "id", "text_md5", base.alias("base"), F.size("c").alias("some"))
-    plain = rows.where("some = 0").select("id", "text_md5", "base", F.col("base").alias("live"), F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_copied"))
-    met = rows.where("some > 0").join(by_row, "row", "left")
     none = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
+    none_judged = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string,n_repos:bigint,n_owners:bigint,verdict:string>>")
     zero = F.lit(0).cast("long")
-    return plain.unionByName(met.select("id", "text_md5", "base", F.coalesce("live", none).alias("live"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_copied", zero).alias("n_copied")))
+    plain = rows.where("some = 0").select("id", "text_md5", "base", F.col("base").alias("live"), zero.alias("n_live"), zero.alias("n_copied"), none_judged.alias("judged"))
+    met = rows.where("some > 0").join(by_row, "row", "left")
+    return plain.unionByName(met.select("id", "text_md5", "base", F.coalesce("live", none).alias("live"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_copied", zero).alias("n_copied"), F.coalesce("judged", none_judged).alias("judged")))
 
 
 def said(spans: Column) -> Column:

@@ -1,0 +1,14 @@
+"""The ranker's cut is a quantile of all scores, at the share of label 0 among all labels."""
+
+from shelfwright.llm import quality_ranker
+
+
+def test_cut_does_not_hang_on_the_learning_sample(spark):
+    text = lambda k: "plain words of good quality here today " * 5 + f"w{k}" if k % 4 else "BAD!!! ### $$$ THING " * (k % 7 + 3) + str(k)
+    docs = spark.createDataFrame([(k, text(k)) for k in range(1200)], "doc_id long, text string")
+    # Labels cover the first 400 alone, and there one in two is bad: the cut is the median of all scores.
+    labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(400) if k % 4 in (0, 1)], "doc_id long, quality int")
+    for most in (20_000, 60):
+        got = quality_ranker.ranked(docs, labels, lambda c: c < 0, most_labels=most).collect()
+        assert sum(r.predicted == 0 for r in got) == 600
+        assert all(r.predicted == 0 for r in got if r.id % 4 == 0)
