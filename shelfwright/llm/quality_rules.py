@@ -80,10 +80,10 @@ def _vote(bad: Column, good: Column | None = None) -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """The rules: each votes that a document is bad, or abstains; two of them can also vote that it is good."""
+    """The rules: each votes that a document is bad, or abstains; three of them can also vote that it is good."""
     n, chars, symbols = F.col("n_words"), F.col("word_chars"), F.col("n_symbols")
     return {
-        "v_symbols": _vote(symbols * 5 > n),
+        "v_symbols": _vote(symbols * 5 > n, symbols * 50 <= n),
         "v_repeats": _vote(F.col("n_repeat_words") * 100 > n * 29),
         "v_dup_lines": _vote((F.col("n_dup_lines") > 2) & (F.col("n_dup_lines") * 100 > F.col("_lines") * 30)),
         "v_stutter": _vote(F.col("_stutters") * 100 > n * 30),
@@ -94,41 +94,45 @@ def votes() -> dict[str, Column]:
     }
 
 
-#: Bounds of what is learned: bad votes on good documents, bad votes on bad ones, odds of a good vote.
-FALSE_ALARMS, RECALL, GOOD_ODDS, PRIOR = (0.0005, 0.003), (0.2, 0.9), (1.0, 2.0), (0.6, 0.95)
+#: Bounds of what is learned: bad votes on good documents, bad votes on bad ones, odds of a good vote, share of good documents.
+FALSE_ALARMS, RECALL, GOOD_ODDS, PRIOR = (0.0005, 0.5), (0.02, 0.98), (1.0, 2.0), (0.7, 0.95)
+#: What false alarms are taken for before any vote is seen, and the weight of that, as a share of the good documents.
+ALARM, TRUST = 0.0005, 0.5
 
 
 def _within(x: float, bounds: tuple[float, float]) -> float:
     return min(bounds[1], max(bounds[0], x))
 
 
-def fitted(voted: DataFrame, names: list[str], rounds: int = 30) -> tuple[float, dict[str, tuple[float, float]]]:
+def fitted(voted: DataFrame, names: list[str], rounds: int = 60) -> tuple[float, dict[str, tuple[float, float]]]:
     """(prior, weights) by expectation-maximisation over the vote patterns of a corpus.
 
     Learned of each rule: how often it votes bad on good and on bad documents, and good on either. Given the class,
-    rules vote independently; an abstention says nothing. The bounds above keep a rule from being turned round: its bad
-    votes lie far from what good text shows, and it knows one kind of bad document only. A weight is the log-odds that
-    a bad (first) or good (second) vote adds for the good class. An empty corpus keeps the starting values. Each round
-    is one aggregate over the patterns.
+    rules vote independently; an abstention says nothing. A rule is never worse than chance, and at most 30 % of
+    documents are taken for bad; within that, a rule that fires on many documents which the others leave alone is learned to be noise.
+    That a rule alone fires can't tell its kind of junk from noise: false alarms count as rare (ALARM) until TRUST is
+    outweighed. Rules start with different rates. A weight is the log-odds that a bad (first) or good (second) vote
+    adds for the good class. An empty corpus keeps the starting values. The driver holds the patterns' counts.
     """
-    patterns = stored(voted.groupBy(*names).agg(F.count("*").alias("n")), "patterns").coalesce(1)
-    prior, weights = 0.9, dict.fromkeys(names, (math.log(FALSE_ALARMS[0] / 0.5), math.log(1.5)))
-    for _ in range(rounds):
-        p = posterior(prior, weights)
-        part = lambda v, vote, x: F.sum(F.when(F.col(v) == vote, F.col("n") * x))
-        sums = patterns.agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * p).alias("good"),
-            *(part(v, vote, x).alias(f"{kind}_{v}") for v in names for kind, vote, x in (("fa", BAD, p), ("hit", BAD, 1 - p), ("gg", GOOD, p), ("gb", GOOD, 1 - p))),
-        ).first()
-        if not sums["n"]:
-            break
-        good, bad = sums["good"] + 1, sums["n"] - sums["good"] + 1
+    patterns = voted.groupBy(*names).agg(F.count("*").alias("n")).collect()
+    total = sum(r["n"] for r in patterns)
+    prior, weights = 0.9, {v: (math.log(0.001 * (1 + k / 4) / 0.5), math.log(1.2)) for k, v in enumerate(names)}
+    for _ in range(rounds if total else 0):
+        known = []
+        for r in patterns:
+            odds = math.log(prior / (1 - prior)) + sum(weights[v][0] if r[v] == BAD else weights[v][1] if r[v] == GOOD else 0.0 for v in names)
+            known.append((r, r["n"] / (1 + math.exp(-odds)), r["n"] / (1 + math.exp(odds))))
+        sums = {}
+        for v in names:
+            for kind, vote, of in (("fa", BAD, 1), ("hit", BAD, 2), ("gg", GOOD, 1), ("gb", GOOD, 2)):
+                sums[f"{kind}_{v}"] = sum(x[of] for x in known if x[0][v] == vote)
+        good, bad = sum(x[1] for x in known) + 1, sum(x[2] for x in known) + 1
         new_prior = _within(good / (good + bad), PRIOR)
         new = {}
         for v in names:
-            alarm, hit = _within((sums[f"fa_{v}"] or 0.0) / good, FALSE_ALARMS), _within((sums[f"hit_{v}"] or 0.0) / bad, RECALL)
-            odds = _within(((sums[f"gg_{v}"] or 0.0) + 1) / good / (((sums[f"gb_{v}"] or 0.0) + 1) / bad), GOOD_ODDS)
+            hit = _within((sums[f"hit_{v}"] + 0.5) / (bad + 1), RECALL)
+            alarm = min(hit, _within((sums[f"fa_{v}"] + ALARM * TRUST * good) / (good * (1 + TRUST)), FALSE_ALARMS))
+            odds = _within((sums[f"gg_{v}"] + 1) / good / ((sums[f"gb_{v}"] + 1) / bad), GOOD_ODDS)
             new[v] = (math.log(alarm / hit), math.log(odds))
         moved = max(abs(new_prior - prior), *(abs(x - y) for v in names for x, y in zip(new[v], weights[v], strict=True)))
         prior, weights = new_prior, new
