@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +27,42 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+_made: list[str] = []
+
+
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A path in the shared folder that nothing has used; dropped_after() removes what comes to lie there."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """df written once to the shared folder and read back: short lineage, and no loss with an executor."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end of the block, the intermediate tables that were made inside it; results must be written by then."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        drop(spark, _made[first:])
+        del _made[first:]
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Removes folders of the shared file system; what is not there is no error."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
