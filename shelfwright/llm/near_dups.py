@@ -8,6 +8,7 @@ member first; what is not yet connected is then paired across components, so a l
 length and not its square; a document with too few shingles that others hold is in no pair. Candidates are estimated on the sketch of the union and confirmed on whole sets.
 
 A loss is possible only where a pair at the threshold shares fewer than half of 64 values (about 1 pair in a million).
+With k as large as the largest set, sketches are whole sets, the prefix rule is exact and no pair can be lost.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.llm import textarrays as ta
 from shelfwright.llm.components import components
+from shelfwright.llm.ordering import whole_numbers
 from shelfwright.session import arrow_map, stored
 
 #: Values kept of each set.
@@ -69,7 +71,7 @@ def shingle_sketches(docs: DataFrame, id_col: str, text_col: str, n: int = 5, k:
             sketch = ta.ragged(np.concatenate(heads), np.minimum(sizes, k), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), *marks, sketch], ["id", "n_shingles", "s1", "s2", "sketch"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(whole_numbers(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     return arrow_map(rows, run, "id long, n_shingles long, s1 long, s2 long, sketch array<long>")
 
 
@@ -143,24 +145,39 @@ def _can_link(n1: str, h1: str, n2: str, h2: str, per_cent: int) -> Column:
     return 100 * most >= per_cent * (F.col(n1) + F.col(n2) - most)
 
 
+def _shape(members: DataFrame, *group: str) -> DataFrame:
+    """Of each group of (.., id, c): its rows m, its largest component main, and its rows outside that."""
+    counts = members.groupBy(*group, "c").agg(F.count("*").alias("n"))
+    shape = counts.groupBy(*group).agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("m"))
+    return shape.select(*group, "m", F.col("top.c").alias("main"), (F.col("m") - F.col("top.n")).alias("out"))
+
+
 def _in_blocks(long: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """Links (a, b) across components in the long lists (value, id, c, ..), found block against block.
 
-    Lists that share members are one family. Its members outside the largest component meet all members in blocks of
+    Lists that share members are one family, unless the family holds more pairs than its lists one by one: a chain of
+    many lists stays apart. In each such group the members outside the largest component meet all members in blocks of
     BLOCK rows; whole sets are compared as bits inside a task, and only links leave it, one for each two components.
     """
     ties = long.groupBy("value").agg(F.min("id").alias("a")).join(long.select("value", F.col("id").alias("b")), "value").select("a", "b")
     families = stored(components(ties), "family").withColumnRenamed("component", "family")
-    members = long.select("id", "n_shingles", "c").distinct().join(families, "id")
-    counts = members.groupBy("family", "c").agg(F.count("*").alias("n"))
-    shape = counts.groupBy("family").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("n").alias("m"))
-    shape = shape.select("family", F.col("top.c").alias("main"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("m") - F.col("top.n")) / BLOCK).cast("int").alias("left_blocks"))
-    members = members.join(shape, "family").where("left_blocks > 0").join(sets, "id")
+    rows = stored(long.select("value", "id", "c").join(families, "id"), "chained")
+    inside = rows.select("family", "id", "c").distinct()
+    families = _shape(inside, "family")
+    by_list = _shape(rows.select("value", "id", "c"), "value").join(rows.select("value", "family").distinct(), "value")
+    by_list = by_list.groupBy("family").agg(F.sum(F.col("m").cast("double") * F.col("out")).alias("apart"))
+    split = families.join(by_list, "family").where(F.col("m").cast("double") * F.col("out") > F.col("apart")).select("family")
+    whole = inside.join(split, "family", "left_anti").select(F.lit(False).alias("one"), F.col("family").alias("g"), "id", "c")
+    apart = rows.join(split, "family", "left_semi").select(F.lit(True).alias("one"), F.col("value").alias("g"), "id", "c").distinct()
+    members = stored(whole.unionByName(apart), "grouped")
+    shape = _shape(members, "one", "g").where("out > 0")
+    shape = shape.select("one", "g", F.col("main"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("out") / BLOCK).cast("int").alias("left_blocks"))
+    members = members.join(shape, ["one", "g"]).join(sets, "id")
     place = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(n)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1))
-    right = members.select("family", every.alias("x"), place(1, "blocks").alias("y"), F.lit(False).alias("query"), "id", "c", "shingles")
+    right = members.select("one", "g", every.alias("x"), place(1, "blocks").alias("y"), F.lit(False).alias("query"), "id", "c", "shingles")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = members.where("c <> main").select("family", place(2, "left_blocks").alias("x"), every.alias("y"), F.lit(True).alias("query"), "id", "c", "shingles")
+    left = members.where("c <> main").select("one", "g", place(2, "left_blocks").alias("x"), every.alias("y"), F.lit(True).alias("query"), "id", "c", "shingles")
 
     def compare(table: pa.Table) -> pa.Table:
         query = table["query"].to_numpy()
@@ -186,7 +203,7 @@ def _in_blocks(long: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
         pairs = list(found.values())
         return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
 
-    return left.unionByName(right).groupBy("family", "x", "y").applyInArrow(compare, "a long, b long")
+    return left.unionByName(right).groupBy("one", "g", "x", "y").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, per_cent: int = 75, k: int = K) -> DataFrame:
@@ -194,9 +211,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     component_id is the least id reachable over links of Jaccard similarity >= per_cent / 100, itself included.
     Null or empty texts (and texts without a word) have the empty set and link with nothing. Rows that repeat an id are
-    one node with the links of all its rows. A null id gets a null component. Other columns are not looked at.
+    one node with the links of all its rows. A null id gets a null component. Ids are whole numbers (else a TypeError).
+    Other columns are not looked at. k: values kept of each set; from the size of the largest set on, all links are
+    found for certain.
     """
-    sketches = stored(shingle_sketches(docs, id_col, text_col, n, k), "sketch")
+    rows = docs.select(whole_numbers(docs, id_col).alias("id"), F.col(text_col).alias("text"))
+    again = rows.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+    return (_of_repeated_ids if again.limit(1).count() else _of_single_ids)(rows, n, per_cent, k)
+
+
+def _of_repeated_ids(rows: DataFrame, n: int, per_cent: int, k: int) -> DataFrame:
+    """near_duplicates() of (id, text): each different text of an id is a node, and those of one id are tied."""
+    mark = F.md5(F.coalesce("text", F.lit("")))
+    nodes = rows.withColumn("mark", mark).groupBy("id", "mark").agg(F.first("text").alias("text"))
+    nodes = stored(nodes.withColumn("key", F.monotonically_increasing_id()), "nodes")
+    found = stored(_of_single_ids(nodes.select(F.col("key").alias("id"), "text"), n, per_cent, k), "found")
+    named = nodes.select("key", "id", "mark").join(found.select(F.col("id").alias("key"), "n_shingles", F.col("component_id").alias("c")), "key")
+    known = named.where("id is not null")
+    ties = known.groupBy("id").agg(F.min("key").alias("b")).join(known.select("id", F.col("key").alias("a")), "id").select("a", "b")
+    joined = components(known.select(F.col("key").alias("a"), F.col("c").alias("b")).unionByName(ties))
+    whole = known.select("id", "mark", "n_shingles", "key").join(joined.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = whole.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = whole.join(least, "component").select(F.col("id").alias("i"), F.col("mark").alias("m"), "n_shingles", "component_id")
+    named = named.unionByName(nodes.where("id is null").join(found.select(F.col("id").alias("key"), "n_shingles"), "key").select(F.col("id").alias("i"), F.col("mark").alias("m"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    marked = rows.select("id", mark.alias("mark"))
+    return marked.join(named, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m"))).select("id", "n_shingles", "component_id")
+
+
+def _of_single_ids(docs: DataFrame, n: int, per_cent: int, k: int) -> DataFrame:
+    """near_duplicates() of (id, text) where no id repeats; null ids may."""
+    sketches = stored(shingle_sketches(docs, "id", "text", n, k), "sketch")
     mark = ["n_shingles", "s1", "s2"]
     some = sketches.where("n_shingles > 0 and id is not null")
     classes = stored(some.groupBy(*mark).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "class")
@@ -210,15 +254,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Whole sets are wanted of listed documents only.
     wanted = lists.join(pivots.select("value"), "value", "left_semi").select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = stored(shingle_sets(texts.join(wanted, "id", "left_semi"), n), "sets")
+    sets = stored(shingle_sets(docs.join(wanted, "id", "left_semi"), n), "sets")
     links = stored(_confirmed(star, sets, k, per_cent), "links")
 
     # What the stars left apart: in each list, members outside its largest component against all of the others. Here a
     # component is only what hangs on one pivot; that is enough to leave out most pairs.
     first = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("c"))
     labelled = lists.join(pivots.select("value"), "value", "left_semi").join(first, "id", "left")
-    labelled = _mixed(labelled.withColumn("c", F.least("c", "id"))).where("m > 2")  # a list of two is tried already
+    # Stored in between, so that counting by value and component deals out by both, whatever the length of a list.
+    labelled = stored(labelled.withColumn("c", F.least("c", "id")).select("value", "id", "n_shingles", "c"), "listed")
+    labelled = _mixed(labelled).where("m > 2")  # a list of two is tried already
     able = _shareable(stored(labelled.select("value", "id", "n_shingles", "c"), "labelled"), sets, per_cent)
     inside = stored(_mixed(stored(able, "able")), "inside")
     short, long = inside.where(F.col("m") <= SHORT_LIST), inside.where(F.col("m") > SHORT_LIST)

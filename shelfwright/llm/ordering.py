@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfwright.session import stored
 
 
+def whole_numbers(docs: DataFrame, id_col: str) -> Column:
+    """The ids as longs; a TypeError where they are no whole numbers (number rows first, then join the ids back)."""
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be of a whole-number type, not {docs.schema[id_col].dataType.simpleString()}")
+    return F.col(id_col).cast("long")
+
+
 def positions(df: DataFrame, keys: list[str], order: str, tie: list[str], size: str | None = None, per_part: int = 8192) -> DataFrame:
     """df (stored) with `pos`, the gapless place from 0 in its group, and `before`, the sum of size over places before.
 
