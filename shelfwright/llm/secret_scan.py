@@ -70,21 +70,8 @@ def ownership(held: DataFrame) -> DataFrame:
     return owners.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
-    """One row per row of docs: (id, text_md5, base, live, n_live, n_copied, judged).
-
-    base: spans found by form; live: tokens of no known form that look live; both (start, ord, end, kind) in order.
-    judged: every candidate as (start, ord, end, kind, n_repos, n_owners, verdict), in order. verdict: copied (COPIED
-    owners or REPEATED repositories at least), live (one owner, fewer repositories) or unsure. n_live and n_copied count
-    the candidates of either kind by verdict. A null text is empty, a null owner or repository is one of its own. A repository
-    belongs to its owner: the same name under two owners is two.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    facts = docs.select(
-        F.col(id_col).alias("id"), F.md5(text).alias("text_md5"), F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).alias("owner"), candidates(text).alias("c")
-    )
-    hashed = F.transform("c", lambda x: F.struct(x["start"], x["ord"], x["end"], x["kind"], F.md5(x["value"]).alias("hash")))
-    facts = stored(facts.withColumn("c", hashed).withColumn("row", F.monotonically_increasing_id()), "secrets")
+def _judged(facts: DataFrame) -> DataFrame:
+    """(row, live, n_live, n_copied, judged) of each row of facts (row, repo, owner, c) that has a candidate."""
     each = facts.where(F.size("c") > 0).select("row", "repo", "owner", F.explode("c").alias("x")).select("row", "repo", "owner", "x", F.col("x.hash").alias("hash"))
     known = ownership(each.select("hash", "repo", "owner"))
     verdict = F.when((F.col("n_owners") >= COPIED) | (F.col("n_repos") >= REPEATED), "copied").when(F.col("n_owners") == 1, "live").otherwise("unsure")
@@ -92,16 +79,38 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rep
     span = F.struct(F.col("x.start").alias("start"), F.col("x.ord").alias("ord"), F.col("x.end").alias("end"), F.col("x.kind").alias("kind"))
     facts_of = F.struct("x.start", "x.ord", "x.end", "x.kind", "n_repos", "n_owners", "verdict")
     live, copied = F.col("verdict") == "live", F.col("verdict") == "copied"
-    by_row = judged.groupBy("row").agg(
+    return judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(live & (F.col("x.ord") == 3), span))).alias("live"), F.count_if(live).alias("n_live"), F.count_if(copied).alias("n_copied"), F.array_sort(F.collect_list(facts_of)).alias("judged")
     )
-    base = F.transform(F.filter("c", lambda x: x["ord"] < 3), lambda x: F.struct(x["start"], x["ord"], x["end"], x["kind"]))
-    rows = facts.select("row", "id", "text_md5", base.alias("base"), F.size("c").alias("some"))
+
+
+def _facts(docs: DataFrame, text_col: str, repo_col: str, owner_col: str, *kept: Column) -> DataFrame:
+    """(row, .. kept, repo, owner, c), stored: each text scanned once, its candidates with hashes for values."""
+    found = docs.select(*kept, F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).alias("owner"), candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("c"))
+    hashed = F.transform("c", lambda x: F.struct(x["start"], x["ord"], x["end"], x["kind"], F.md5(x["value"]).alias("hash")))
+    return stored(found.withColumn("c", hashed).withColumn("row", F.monotonically_increasing_id()), "secrets")
+
+
+def _base() -> Column:
+    return F.transform(F.filter("c", lambda x: x["ord"] < 3), lambda x: F.struct(x["start"], x["ord"], x["end"], x["kind"]))
+
+
+def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
+    """One row per row of docs: (id, text_md5, base, live, n_live, n_copied, judged).
+
+    base: spans found by form; live: tokens of no known form that look live; both (start, ord, end, kind) in order.
+    judged: every candidate as (start, ord, end, kind, n_repos, n_owners, verdict), in order. verdict: copied (COPIED
+    owners or REPEATED repositories at least), live (one owner, fewer repositories) or unsure. n_live and n_copied count
+    the candidates of either kind by verdict. A null text is empty, a null owner or repository is one of its own. A repository
+    belongs to its owner: the same name under two owners is two. Rows that repeat an id are scanned each by itself.
+    """
+    facts = _facts(docs, text_col, repo_col, owner_col, F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("text_md5"))
+    rows = facts.select("row", "id", "text_md5", _base().alias("base"), F.size("c").alias("some"))
     none = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
     none_judged = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string,n_repos:bigint,n_owners:bigint,verdict:string>>")
     zero = F.lit(0).cast("long")
     plain = rows.where("some = 0").select("id", "text_md5", "base", F.col("base").alias("live"), zero.alias("n_live"), zero.alias("n_copied"), none_judged.alias("judged"))
-    met = rows.where("some > 0").join(by_row, "row", "left")
+    met = rows.where("some > 0").join(_judged(facts), "row", "left")
     return plain.unionByName(met.select("id", "text_md5", "base", F.coalesce("live", none).alias("live"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_copied", zero).alias("n_copied"), F.coalesce("judged", none_judged).alias("judged")))
 
 
@@ -121,27 +130,31 @@ def masked(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
+def redacted(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
     """docs with the spans of known form and the live-looking tokens masked, and size_col counted anew where that is.
 
-    Copied examples of no known form stay. Only texts with a candidate are moved to meet their spans.
+    Copied examples of no known form stay. Each text is scanned once and kept beside its spans; only rows with a span
+    move to meet their verdicts. Null texts stay null; rows that repeat an id, and columns of any name, are no matter.
     """
-    found = scanned(docs, id_col, text_col, repo_col, owner_col).select("id", "text_md5", F.array_sort(F.concat("base", "live")).alias("spans")).where(F.size("spans") > 0)
-    found = found.withColumnsRenamed({"id": "_id", "text_md5": "_md5", "spans": "_spans"}).dropDuplicates(["_id", "_md5"])
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.withColumn("_any", F.size(candidates(text)) > 0)
-    new = F.when(F.col("_spans").isNotNull(), masked(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col))
-    met = marked.where("_any").join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.md5(text) == F.col("_md5")), "left")
-    changed = met.withColumn("_new", new).withColumn(size_col, F.when(F.col("_spans").isNotNull(), F.length("_new")).otherwise(F.col(size_col)).cast(docs.schema[size_col].dataType)).withColumn(text_col, F.col("_new"))
-    return changed.select(*docs.columns).unionByName(marked.where("not _any").select(*docs.columns))
+    facts = _facts(docs, text_col, repo_col, owner_col, F.struct(*docs.columns).alias("doc"))
+    met = facts.where(F.size("c") > 0).select("row", "doc", _base().alias("base")).join(_judged(facts).select("row", "live"), "row", "left")
+    spans = F.array_sort(F.concat("base", F.coalesce("live", F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>"))))
+    met = met.select("doc", spans.alias("spans")).withColumn("new", F.when(F.size("spans") > 0, masked(F.col(f"doc.{text_col}"), F.col("spans"))))
+    changed = {text_col: F.coalesce("new", f"doc.{text_col}"), size_col: F.coalesce(F.length("new").cast(docs.schema[size_col].dataType), f"doc.{size_col}")}
+    made = met.select(*(changed.get(c, F.col(f"doc.{c}")).alias(c) for c in docs.columns))
+    return made.unionByName(facts.where(F.size("c") == 0).select("doc.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op1: every document's spans; its repository is the document, its owner the source."""
+    """op1: every document's spans; its repository is the document, its owner the source.
+
+    verdicts: of each candidate in order its verdict, repositories and owners.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return scanned(docs).select(
-        F.col("id").alias("doc_id"), of("assign"), of("access"), of("hex"), F.sha2(said(F.col("base")), 256).alias("base_sha256"), said(F.array_sort(F.concat("base", "live"))).alias("spans"), "n_live", "n_copied"
+        F.col("id").alias("doc_id"), of("assign"), of("access"), of("hex"), F.sha2(said(F.col("base")), 256).alias("base_sha256"), said(F.array_sort(F.concat("base", "live"))).alias("spans"), "n_live", "n_copied",
+        F.array_join(F.transform("judged", lambda x: F.concat_ws(":", x["verdict"], x["n_repos"], x["n_owners"])), ",").alias("verdicts"),
     )
 
 
@@ -160,12 +173,13 @@ base AS ({_sql_kind("assign", 0, ASSIGN, 2, "length(v) >= 6")} UNION ALL {_sql_k
 tokens AS ({_sql_kind("token", 3, TOKEN, 0, f"regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= {KINDS}")}),
 apart AS (SELECT k.* FROM tokens k ANTI JOIN base b ON b.row = k.row AND b.start < k.start + k.size AND k.start < b.start + b.size),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM apart),
-owners AS (SELECT md5(v) AS h, count(DISTINCT coalesce(owner, chr(1))) AS n_owners FROM every JOIN t USING (row) GROUP BY 1),
-judged AS (SELECT e.*, n_owners FROM every e JOIN owners ON h = md5(v)),
+held AS (SELECT md5(v) AS h, coalesce(owner, chr(1)) AS owner, count(DISTINCT coalesce(doc_id, -1)) AS repos FROM every JOIN t USING (row) GROUP BY 1, 2),
+owners AS (SELECT h, count(*) AS n_owners, sum(repos) AS n_repos FROM held GROUP BY 1),
+judged AS (SELECT e.*, n_repos::BIGINT AS n_repos, n_owners, CASE WHEN n_owners >= {COPIED} OR n_repos >= {REPEATED} THEN 'copied' WHEN n_owners = 1 THEN 'live' ELSE 'unsure' END AS verdict FROM every e JOIN owners ON h = md5(v)),
 per AS (SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   coalesce(string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord) FILTER (ord < 3), '') AS b,
-  coalesce(string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord) FILTER (ord < 3 OR n_owners = 1), '') AS spans,
-  count(*) FILTER (n_owners = 1) AS n_live, count(*) FILTER (n_owners >= {COPIED}) AS n_copied FROM judged GROUP BY row)
+  coalesce(string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, ord) FILTER (ord < 3 OR verdict = 'live'), '') AS spans,
+  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'copied') AS n_copied, string_agg(verdict || ':' || n_repos || ':' || n_owners, ',' ORDER BY start, ord) AS verdicts FROM judged GROUP BY row)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM t LEFT JOIN per USING (row)
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(verdicts, '') AS verdicts FROM t LEFT JOIN per USING (row)
 """
