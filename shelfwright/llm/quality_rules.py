@@ -25,7 +25,11 @@ def _let(value: Column, body) -> Column:
 
 def _repeat_words(words: Column) -> Column:
     """Words inside windows of 8 words that the text holds twice or more, the first one included."""
-    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(F.array().cast("array<int>"))
+
+    def paired(h: Column, by: int) -> Column:
+        """Of each place its hash together with the one `by` places on."""
+        n = F.greatest(F.lit(0), F.size(h) - by)
+        return F.zip_with(F.slice(h, 1, n), F.slice(h, by + 1, n), lambda x, y: F.xxhash64(x, y))
 
     def covered(marks: Column) -> Column:
         # (hash, place) in order: a place counts if a neighbour has its hash; windows in order of place then overlap.
@@ -44,34 +48,39 @@ def _repeat_words(words: Column) -> Column:
         return _let(ordered, lambda o: _let(places(o), length))
 
     each = F.transform(words, lambda w: F.xxhash64(w))
-    hashes = _let(each, lambda e: F.transform(starts, lambda i: F.xxhash64(F.slice(e, i + 1, WINDOW))))
+    hashes = _let(_let(_let(each, lambda h: paired(h, 1)), lambda h: paired(h, 2)), lambda h: paired(h, 4))
     return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h)))
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and what the rules look at besides.
+#: What the rules look at.
+STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_kinds", "_stutters", "_lines", "_c", "_m"]
+
+
+def measured(docs: DataFrame, text_col: str = "text", *kept: Column) -> DataFrame:
+    """The kept columns (all of docs, if none are named) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
+    what the rules look at besides.
 
     A null text has no words. The counts are of whole texts.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-
     def of_words(w: Column) -> Column:
-        return F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"),
-            _repeat_words(w).alias("n_repeat_words"),
-            F.size(F.array_distinct(w)).cast("long").alias("n_kinds"),
-            F.size(F.filter(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, y: x == y), lambda same: same)).cast("long").alias("n_stutters"),
-        )
-
-    of_lines = _let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.size(x).cast("long").alias("n_lines")))
-    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
-    out = docs.withColumns({"_w": _let(words, of_words), "_l": of_lines, "_s": F.regexp_count(text, F.lit(SYMBOL)).cast("long"), "_c": capitals.cast("long"), "_m": F.regexp_count(text, F.lit("!")).cast("long")})
-    return out.withColumns(
-        {"n_words": F.col("_w.n_words"), "word_chars": F.col("_w.word_chars"), "n_symbols": F.col("_s"), "n_dup_lines": F.col("_l.n_dup_lines"), "n_repeat_words": F.col("_w.n_repeat_words"), "_kinds": F.col("_w.n_kinds"), "_stutters": F.col("_w.n_stutters"), "_lines": F.col("_l.n_lines")}
-    ).drop("_w", "_l", "_s")
+        pairs = F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, y: x == y)
+        stutters = F.size(F.filter(pairs, lambda same: same)).cast("long")
+        return F.struct(stutters.alias("stutters"), F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), _repeat_words(w).alias("repeats"), F.size(F.array_distinct(w)).cast("long").alias("kinds"))
+
+    def of_lines(x: Column) -> Column:
+        return F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"), F.size(x).cast("long").alias("n"))
+
+    def of_text(t: Column) -> Column:
+        words = F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), "")
+        lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        count = lambda pattern: F.regexp_count(t, F.lit(pattern)).cast("long")
+        capitals = F.length(F.regexp_replace(t, "[^A-Z]+", "")).cast("long")
+        return F.struct(_let(words, of_words).alias("w"), _let(lines, of_lines).alias("l"), count(SYMBOL).alias("symbols"), capitals.alias("c"), count("!").alias("m"))
+
+    # One expression for all, so that the text is taken once a row.
+    found = docs.select(*(kept or docs.columns), _let(F.coalesce(F.col(text_col), F.lit("")), of_text).alias("_x"))
+    names = {"n_words": "w.n", "word_chars": "w.chars", "n_symbols": "symbols", "n_dup_lines": "l.dup", "n_repeat_words": "w.repeats", "_kinds": "w.kinds", "_stutters": "w.stutters", "_lines": "l.n", "_c": "c", "_m": "m"}
+    return found.withColumns({k: F.col(f"_x.{v}") for k, v in names.items()}).drop("_x")
 
 
 def _vote(bad: Column, good: Column | None = None) -> Column:
@@ -149,20 +158,29 @@ def posterior(prior: float, weights: dict[str, tuple[float, float]]) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
+def _judged(docs: DataFrame, text_col: str, threshold: float, *kept: Column) -> DataFrame:
+    """The kept columns, the statistics and votes, base_failed, p_good and kept of each row; each text is scanned once."""
+    names = list(votes())
+    facts = measured(docs, text_col, *kept).withColumns(votes())
+    facts = facts.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
+    facts = stored(facts.drop("_kinds", "_stutters", "_lines", "_c", "_m"), "facts")
+    prior, weights = fitted(facts, names)
+    return facts.withColumn("p_good", posterior(prior, weights)).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold))
+
+
 def judged(docs: DataFrame, keep_cols: list[str], text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """keep_cols of docs (renamed by the caller where they clash) with the statistics, base_failed, p_good and kept.
 
     base_failed: fewer than 20 words, or over 30 % of them in repeated windows. kept: not base_failed and a posterior
-    of at least `threshold`. Null and empty texts fail. Every row is judged, repeated rows alike.
+    of at least `threshold`. Null and empty texts fail. Every row is judged, repeated rows alike; an empty table gives none.
     """
-    names = list(votes())
-    stats = measured(docs.select(*keep_cols, text_col), text_col)
-    base = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    facts = stats.withColumns(votes()).withColumn("base_failed", base)
-    facts = stored(facts.select(*keep_cols, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *names), "facts")
-    prior, weights = fitted(facts, names)
-    p = posterior(prior, weights)
-    return facts.withColumn("p_good", p).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= threshold)).drop(*names)
+    found = _judged(docs, text_col, threshold, F.struct(*keep_cols).alias("_doc"))
+    return found.select("_doc.*", *STATISTICS[:5], "base_failed", "p_good", "kept")
+
+
+def kept_documents(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns as they were, that judged() keeps. Texts stay where they are, beside their verdict."""
+    return _judged(docs, text_col, threshold, F.struct(*docs.columns).alias("_doc")).where("kept").select("_doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
