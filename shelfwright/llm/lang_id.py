@@ -1,8 +1,9 @@
 """Language identification by unigram piece models with all segmentations summed.
 
 For each language every piece of a fixed public vocabulary has a probability, learned by expectation-maximisation. The
-likelihood of a unit (a word with the space before it) is the sum over all its segmentations into pieces, by a forward
-pass; a text's is the product over its units without digits. Each distinct unit is passed once, for all languages at a time.
+likelihood of a unit (a word with the space before it, or what stands behind a character that the vocabulary lacks) is
+the sum over all its segmentations into pieces, by a forward pass; such a character itself is its byte pieces. A text's
+likelihood is the product over its units without digits. Each distinct unit of a chunk is passed once.
 """
 
 from __future__ import annotations
@@ -16,60 +17,122 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwright.llm import textarrays as ta
 from shelfwright.llm.piece_bpe import CHUNK, KEPT, model_file
 from shelfwright.llm.pieces import Split, Units, Vocabulary, merged, vocabulary
-from shelfwright.session import arrow_map
+from shelfwright.session import arrow_map, stored
 
 #: Score of a text with nothing to learn from.
 UNDETERMINED = "und"
 
 
-def _forward(vocab: Vocabulary, u: Units, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log-likelihood of each unit by language, and the scaled forward values at each place (for the backward pass)."""
-    n = probs.shape[1]
-    alpha = np.zeros((len(u.flat) + 1, n))  # of the prefix that ends behind a place, kept at that place
-    scale = np.zeros((len(u.first), n))
-    for k, (place, past, piece) in enumerate(u.by_end(vocab)):
+def _byte_rows(vocab: Vocabulary, u: Units) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, piece) of every byte of the units whose one character the vocabulary lacks: such a unit is its byte pieces."""
+    lacking = np.flatnonzero(~u.is_known)
+    said = [chr(c).encode("utf-8", "replace") for c in u.flat[u.first[lacking]].tolist()]
+    of = np.repeat(lacking, np.fromiter(map(len, said), np.int64, len(said)))
+    return of, vocab.byte_ids[np.frombuffer(b"".join(said), np.uint8)].astype(np.int64)
+
+
+def _with_digits(u: Units) -> np.ndarray:
+    """Units with a digit; they say nothing of the language."""
+    out = np.zeros(len(u.first), bool)
+    if len(u.flat):
+        out[:] = np.maximum.reduceat((u.flat >= 48) & (u.flat <= 57), u.first)
+    return out
+
+
+#: Places after which running sums are scaled anew; no piece is longer.
+_STEP = 16
+#: Characters times languages that the forward pass holds at once.
+_CELLS = 1 << 23
+
+
+def _log_likelihood(vocab: Vocabulary, u: Units, probs: np.ndarray) -> np.ndarray:
+    """log-likelihood of each unit by language: the sum over all its segmentations. Languages go in blocks of _CELLS values."""
+    out = np.zeros((len(u.first), probs.shape[1]))
+    whole = np.flatnonzero(u.is_known & ~u.only_marks)
+    steps = list(u.by_end(vocab))
+    wide = max(1, _CELLS // max(1, len(u.flat)))
+    of, byte = _byte_rows(vocab, u)
+    for c in range(0, probs.shape[1], wide):
+        p = np.ascontiguousarray(probs[:, c : c + wide])
+        alpha = np.zeros((len(u.flat) + 1, p.shape[1]))  # of the prefix that ends behind a place, kept at that place
+        scale = np.zeros((len(u.first), p.shape[1]))
+        for k, (place, past, piece) in enumerate(steps):
+            start = place == u.core[u.unit_at[place]]
+            before = np.where(start[:, None], 1.0, alpha[place - 1])
+            order = np.argsort(past, kind="stable")
+            sums = before[order] * p[piece[order]]
+            ends, first = np.unique(past[order], return_index=True)
+            alpha[ends - 1] = np.add.reduceat(sums, first, axis=0)
+            if k % _STEP == _STEP - 1:  # keeps long units within the range of doubles
+                who = u.unit_at[ends - 1]
+                top = np.maximum(alpha[ends - 1], 1e-300)
+                scale[who] += np.log(top)
+                back = ends[:, None] - 1 - np.arange(_STEP)
+                inside = back >= u.core[who][:, None]
+                alpha[back[inside]] /= np.repeat(top, inside.sum(axis=1), axis=0)
+        out[whole, c : c + wide] = np.log(np.maximum(alpha[u.end[whole] - 1], 1e-300)) + scale[whole]
+        np.add.at(out[:, c : c + wide], of, np.log(p[byte]))
+    out[_with_digits(u)] = 0.0
+    return out
+
+
+def _expected(vocab: Vocabulary, u: Units, probs: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected counts of the pieces in the units of one language (probs: its pieces'), and the units' log-likelihood.
+
+    weights: how often each unit stands. Forward and backward sums are scaled as they go, so units may be of any length.
+    """
+    counts = np.zeros(len(probs))
+    of, byte = _byte_rows(vocab, u)
+    counts += np.bincount(byte, weights[of], len(probs))
+    total = float((np.log(probs[byte]) * weights[of]).sum())
+    steps = list(u.by_end(vocab))
+    if not steps:
+        return counts, total
+    ahead, ahead_log = np.zeros(len(u.flat) + 1), np.zeros(len(u.flat) + 1)
+    for k, (place, past, piece) in enumerate(steps):
         start = place == u.core[u.unit_at[place]]
-        before = np.where(start[:, None], 1.0, alpha[place - 1])
         order = np.argsort(past, kind="stable")
-        sums = before[order] * probs[piece[order]]
+        sums = (np.where(start, 1.0, ahead[place - 1]) * probs[piece])[order]
         ends, first = np.unique(past[order], return_index=True)
-        alpha[ends - 1] = np.add.reduceat(sums, first, axis=0)
-        if k % 16 == 15:  # keeps long units within the range of doubles; no piece is longer than 16
-            who = u.unit_at[ends - 1]
-            top = np.maximum(alpha[ends - 1], 1e-300)
-            scale[who] += np.log(top)
-            back = ends[:, None] - 1 - np.arange(16)
-            inside = back >= u.core[who][:, None]
-            alpha[back[inside]] /= np.repeat(top, inside.sum(axis=1), axis=0)
-    out = np.zeros((len(u.first), n))
-    whole = u.is_known & ~u.only_marks
-    out[whole] = np.log(np.maximum(alpha[u.end[whole] - 1], 1e-300)) + scale[whole]
-    if len(u.flat):  # digits say nothing of the language
-        out[np.maximum.reduceat((u.flat >= 48) & (u.flat <= 57), u.first)] = 0.0
-    return out, alpha
-
-
-def _expected(vocab: Vocabulary, u: Units, probs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Expected piece counts of the units (short ones) by language, each unit weighted by its count in the language."""
-    _, alpha = _forward(vocab, u, probs)
-    # suffix at a place: of what is left of the unit from there; 1 at its end, which is the next unit's start.
-    place, length, piece = u.matches(vocab)
-    past = place + length
-    order = np.argsort(-(place - u.core[u.unit_at[place]]), kind="stable")
+        ahead[ends - 1] = np.add.reduceat(sums, first)
+        # What a prefix's sum was divided by is the same for all prefixes that the next pieces begin behind.
+        ahead_log[ends - 1] = np.where(ends - 2 >= u.core[u.unit_at[ends - 1]], ahead_log[ends - 2], 0.0)
+        if k % _STEP == _STEP - 1:
+            top = np.maximum(ahead[ends - 1], 1e-300)
+            back = ends[:, None] - 1 - np.arange(_STEP)
+            inside = back >= u.core[u.unit_at[ends - 1]][:, None]
+            ahead[back[inside]] /= np.repeat(top, inside.sum(axis=1))
+            ahead_log[back[inside]] += np.repeat(np.log(top), inside.sum(axis=1))
+    place, past, piece = (np.concatenate(x) for x in zip(*steps, strict=True))
+    order = np.argsort(place - u.core[u.unit_at[place]], kind="stable")[::-1]
     place, past, piece = place[order], past[order], piece[order]
-    suffix = np.zeros((len(u.flat), probs.shape[1]))
-    cuts = np.flatnonzero(np.diff(place - u.core[u.unit_at[place]])) + 1
-    after = lambda q, who: np.where((q == u.end[who])[:, None], 1.0, suffix[np.minimum(q, len(suffix) - 1)])
+    far = place - u.core[u.unit_at[place]]
+    cuts = np.flatnonzero(np.diff(far)) + 1
+    behind, behind_log = np.zeros(len(u.flat) + 1), np.zeros(len(u.flat) + 1)
     for a, b in zip(np.concatenate(([0], cuts)).tolist(), np.append(cuts, len(place)).tolist(), strict=True):
         p, q, t = place[a:b], past[a:b], piece[a:b]
+        who = u.unit_at[p]
         by_place = np.argsort(p, kind="stable")
         starts, first = np.unique(p[by_place], return_index=True)
-        suffix[starts] = np.add.reduceat((probs[t] * after(q, u.unit_at[p]))[by_place], first, axis=0)
+        last = q == u.end[who]
+        behind[starts] = np.add.reduceat((probs[t] * np.where(last, 1.0, behind[np.minimum(q, len(behind) - 1)]))[by_place], first)
+        end = u.end[u.unit_at[starts]]
+        behind_log[starts] = np.where(starts + 1 < end, behind_log[np.minimum(starts + 1, len(behind) - 1)], 0.0)
+        if far[a] % _STEP == 0:
+            top = np.maximum(behind[starts], 1e-300)
+            on = starts[:, None] + np.arange(_STEP)
+            inside = on < end[:, None]
+            behind[on[inside]] /= np.repeat(top, inside.sum(axis=1))
+            behind_log[on[inside]] += np.repeat(np.log(top), inside.sum(axis=1))
     who = u.unit_at[place]
-    before = np.where((place == u.core[who])[:, None], 1.0, alpha[place - 1])
-    total = np.maximum(alpha[u.end[who] - 1], 1e-300)
-    shares = before * probs[piece] * after(past, who) / total * weights[who]
-    return np.stack([np.bincount(piece, shares[:, k], len(probs)) for k in range(probs.shape[1])], axis=1)
+    start, last = place == u.core[who], past == u.end[who]
+    before, before_log = np.where(start, 1.0, ahead[place - 1]), np.where(start, 0.0, ahead_log[place - 1])
+    after, after_log = np.where(last, 1.0, behind[np.minimum(past, len(behind) - 1)]), np.where(last, 0.0, behind_log[np.minimum(past, len(behind) - 1)])
+    unit_log = np.log(np.maximum(ahead[u.end - 1], 1e-300)) + ahead_log[u.end - 1]
+    shares = before * probs[piece] * after * np.exp(before_log + after_log - unit_log[who])
+    counts += np.bincount(piece, shares * weights[who], len(probs))
+    whole = u.is_known & ~u.only_marks
+    return counts, total + float((unit_log * weights)[whole].sum())
 
 
 class Model:
@@ -97,7 +160,7 @@ class Model:
         inside = at < len(self.keys)
         seen[inside] = self.keys[at[inside]] == split.keys[inside]
         new = np.flatnonzero(~seen)
-        rows, _ = _forward(vocab, Units(vocab, split, new), self.probs)
+        rows = _log_likelihood(vocab, Units(vocab, split, new), self.probs)
         keys, order = merged(self.keys, split.keys[new])
         rows = np.concatenate((self.rows, rows))[order]
         if len(keys) <= KEPT:
@@ -108,52 +171,71 @@ class Model:
         return out
 
 
-def train(samples: DataFrame, path: str, per_lang: int = 1000, rounds: int = 2, smooth: float = 0.1) -> Model:
+def _sample(known: DataFrame, per_lang: int) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """The texts to learn from, about per_lang of each language at most, and the languages with their numbers of texts."""
+    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    rate = sizes.select(F.col("lang").alias("_lang"), (F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("n")) * (1 << 20)).alias("_rate"))
+    chosen = known.join(rate, F.col("lang") == F.col("_lang")).where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.col("_rate"))
+    return chosen.select("lang", "text"), [(r["lang"], r["n"]) for r in sizes.orderBy("lang").collect()]
+
+
+def train(samples: DataFrame, path: str, per_lang: int = 1000, rounds: int = 4, gain: float = 0.01, smooth: float = 0.1) -> Model:
     """A model from (text, lang, key).
 
-    It learns from about `per_lang` texts of each language at most: those whose hash of key falls below the language's
-    rate. Their units are counted on the executors; the counts of that bounded sample come to the driver.
+    It learns from about `per_lang` texts of each language at most (a bound of the fit alone): those whose hash of key
+    falls below the language's rate. Executors count their units - all of them, of any length, with a space mark in
+    front or behind a character that the vocabulary lacks - and work out expected piece counts; the driver holds piece
+    probabilities, one row of the vocabulary (256 KB) for each language. Expectation-maximisation ends after `rounds`,
+    or once the log-likelihood grows by less than `gain` of itself: later rounds change ranks of languages no more.
     """
     known = samples.where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(sizes)
+    chosen, sizes = _sample(known, per_lang)
+    langs = [lang for lang, _ in sizes]
     if not langs:
         return Model(path, [], np.zeros(0), np.zeros((0, 0)))
-    rate = F.lit(0.0)
-    for lang in langs:
-        rate = F.when(F.col("lang") == lang, min(1.0, per_lang / sizes[lang])).otherwise(rate)
-    chosen = known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < rate * (1 << 20)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch, texts in ta.chunks(batches, "text", CHUNK):
             said, names = [t.decode().lower() for t in texts], batch.column(0).to_pylist()
-            for lang in set(names):
+            for lang in sorted(set(names)):
                 s = Split(v, [t for t, x in zip(said, names, strict=True) if x == lang])
                 times = np.bincount(s.of, minlength=len(s.keys))
-                units = [s.points[a : a + n].astype(np.uint32).tobytes().decode("utf-32-le") for a, n in zip(s.start.tolist(), s.length.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(units), pa.string()), pa.array(units, pa.string()), pa.array(times, pa.int64())], ["lang", "unit", "n"])
-
-    counted = arrow_map(chosen, count, "lang string, unit string, n long")
-    counted = counted.groupBy("unit").pivot("lang", langs).agg(F.sum("n")).na.fill(0).orderBy("unit").toArrow()
-    names = counted.column(0).to_pylist()
-    weights = np.array([counted.column(1 + i).to_numpy() for i in range(len(langs))], np.float64).T.reshape(len(names), len(langs))
-    vocab = vocabulary(path)
-    probs = np.full((len(vocab.pieces), len(langs)), 1.0 / len(vocab.pieces))
-    split = Split(vocab, [n.replace("▁", " ")[1:] if n.startswith("▁") else n for n in names])
-    # One unit a text, but where a unit has no mark the split puts one in front: keep units that came with theirs.
-    first = np.cumsum(split.per_text) - split.per_text
-    fits = np.array([n.startswith("▁") for n in names]) & (split.per_text == 1)
-    unit_weights = np.zeros((len(split.keys), len(langs)))
-    np.add.at(unit_weights, split.of[first[fits]], weights[fits])
-    short = np.flatnonzero((unit_weights.sum(axis=1) > 0) & (split.length <= 64))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(times), pa.string()), pa.array(s.units(), pa.string()), pa.array(times, pa.int64())], ["lang", "unit", "n"])
+
+    counted = stored(arrow_map(chosen, count, "lang string, unit string, n long").groupBy("lang", "unit").agg(F.sum("n").alias("n")), "units")
+    n_pieces = len(vocabulary(path).pieces)
+    at = {lang: k for k, lang in enumerate(langs)}
+    probs, before = np.full((n_pieces, len(langs)), 1.0 / n_pieces), None
     for _ in range(rounds):
-        counts = np.full_like(probs, smooth)
-        for a in range(0, len(short), 20_000):
-            part = short[a : a + 20_000]
-            counts += _expected(vocab, Units(vocab, split, part), probs, unit_weights[part])
-        probs = counts / counts.sum(axis=0)
-    prior = np.array([sizes[lang] for lang in langs], np.float64)
+
+        def expect(batches: Iterator[pa.RecordBatch], probs: np.ndarray = probs) -> Iterator[pa.RecordBatch]:
+            v = vocabulary(path)
+            sums = np.zeros_like(probs)
+            said = np.zeros(len(langs))
+            for batch, units in ta.chunks(batches, "unit", CHUNK // 4):
+                who = np.fromiter((at[x] for x in batch.column(0).to_pylist()), np.int64, batch.num_rows)
+                times, units = batch.column(2).to_numpy().astype(float), np.array([x.decode() for x in units], object)
+                for k in np.unique(who).tolist():
+                    split = Split.of_units(units[who == k].tolist())
+                    u = Units(v, split, np.arange(len(split.length)))
+                    more, log = _expected(v, u, probs[:, k], np.where(_with_digits(u), 0.0, times[who == k]))
+                    sums[:, k] += more
+                    said[k] += log
+            piece, lang = np.nonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(sums[piece, lang])], ["piece", "lang", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(langs), -1)), pa.array(np.arange(len(langs))), pa.array(said)], ["piece", "lang", "n"])
+
+        got = arrow_map(counted, expect, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow()
+        piece, lang, n = (got.column(c).to_numpy() for c in ("piece", "lang", "n"))
+        sums = np.full_like(probs, smooth)
+        sums[piece[piece >= 0], lang[piece >= 0]] += n[piece >= 0]
+        probs = sums / sums.sum(axis=0)
+        log = float(n[piece < 0].sum())
+        if before is not None and log - before < gain * abs(before):
+            break
+        before = log
+    prior = np.array([n for _, n in sizes], np.float64)
     return Model(path, langs, prior / prior.sum(), probs)
 
 

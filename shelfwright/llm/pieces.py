@@ -130,6 +130,19 @@ class Split:
         self.keys, some, self.of = np.unique(ta.span_hash(sums, start, stop), return_index=True, return_inverse=True)
         self.points, self.start, self.length = points, start[some], (stop - start)[some]
 
+    def units(self) -> list[str]:
+        """The distinct units as text."""
+        return [self.points[a : a + n].astype(np.uint32).tobytes().decode("utf-32-le") for a, n in zip(self.start.tolist(), self.length.tolist(), strict=True)]
+
+    @classmethod
+    def of_units(cls, units: list[str]) -> Split:
+        """Units that a split gave, each as it was: none is cut or marked anew."""
+        out = cls.__new__(cls)
+        out.length = np.fromiter(map(len, units), np.int64, len(units))
+        out.start = np.cumsum(out.length) - out.length
+        out.points = np.frombuffer("".join(units).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        return out
+
 
 class Units:
     """Distinct units laid out for matching.
