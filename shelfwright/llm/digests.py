@@ -1,8 +1,8 @@
 """Improbable-feature digests: byte windows ranked by how rare their entropy is, selected into chained Bloom filters.
 
-Every window of 64 bytes has an entropy over 16 classes of bytes; entropies far from what text shows are rare and come
-first. Of each 64 windows in a row the rarest (of equal ones the leftmost) gets a point; windows with 16 points or more
-are the features of a text. In order of place they go to Bloom filters of 2,048 bits, 160 to a filter, then the next.
+Every window of 64 bytes has an entropy over 16 classes of bytes. How often each entropy occurs is counted over all
+windows of the corpus, and the fewer windows share one, the rarer it is. Of each 64 windows in a row the rarest (of equal
+ones the leftmost) gets a point; windows with 16 points or more are the features of a text. In order of place they go to Bloom filters of 2,048 bits, 160 to a filter, then the next.
 A text of under 128 bytes has too few windows for a contest: all its windows of 8 bytes are features, or itself as one.
 Two digests are compared filter by filter: the bits in common beyond chance, as a share of what was possible.
 """
@@ -18,15 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.llm import textarrays as ta
+from shelfwright.llm.ordering import whole_numbers
 from shelfwright.session import arrow_map
 
 WINDOW, NEIGHBOURS, POINTS = 64, 64, 16
 FILTER_BITS, PER_FILTER, HASHES = 2048, 160, 5
-#: Entropy of usual text windows, as a share of the most that 16 classes allow.
-USUAL = 0.86
 SHORT, SHORT_WINDOW = 128, 8
 _CHUNK = 1 << 20
 _UNIT = 1000  # entropies are whole numbers of 1/1000 bit
+#: Entropies count as equal within so many thousandths of a bit; classes of entropy there are.
+CLASS, CLASSES = 20, 4 * _UNIT // 20 + 2
 _c = np.arange(WINDOW + 1)
 _TERM = np.zeros(256, np.int16)
 _TERM[1 : WINDOW + 1] = np.round(-(_c[1:] / WINDOW) * np.log2(_c[1:] / WINDOW) * _UNIT)
@@ -57,19 +58,48 @@ def _least_ahead(keys: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(behind[: len(keys) - n + 1], ahead[n - 1 : len(keys)])
 
 
-def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
-    """The filters of each text, (filters x 256) bytes: none for an empty text, equal ones for equal texts."""
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, first and end byte of each, the class of entropy of each window and whether it counts:
+    it lies in one text, of SHORT bytes at least."""
     gap = b"\0" * (WINDOW + NEIGHBOURS)  # keeps the windows and the contests of texts apart
     data, first, end = ta.packed([b"", *texts], gap)
     first, end = first[1:], end[1:]
-    rarity = np.abs(_entropy(data) - np.int32(USUAL * 4 * _UNIT)).astype(np.int64)
-    place = np.arange(len(rarity))
-    keys = (4 * _UNIT - rarity) << 32 | place
+    kind = (_entropy(data) // CLASS).astype(np.int64)
     whole = np.zeros(len(data) + 1, np.int8)
     long = end - first >= SHORT
     whole[first[long]] += 1
     whole[end[long] - WINDOW + 1] -= 1
-    valid = np.cumsum(whole[: len(keys)], dtype=np.int8) > 0
+    return data, first, end, kind, np.cumsum(whole[: len(kind)], dtype=np.int8) > 0
+
+
+def entropy_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """The place of each class of entropy from rare (0) to common, by its windows in all texts; of equal ones the lower class first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(CLASSES, np.int64)
+        for _, texts in ta.chunks(batches, "text", _CHUNK):
+            *_, kind, counts = _windows(texts)
+            sums += np.bincount(kind[counts], minlength=CLASSES)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], ["kind", "n"])
+
+    found = arrow_map(docs.select(F.col(text_col).alias("text")), run, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n")).collect()
+    sums = np.zeros(CLASSES, np.int64)
+    for r in found:
+        sums[r["kind"]] = r["n"]
+    ranks = np.empty(CLASSES, np.int64)
+    ranks[np.argsort(sums, kind="stable")] = np.arange(CLASSES)
+    return ranks
+
+
+def fingerprints(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
+    """The filters of each text, (filters x 256) bytes: none for an empty text, equal ones for equal texts.
+
+    ranks: of each class of entropy, from rare to common (entropy_ranks of a corpus).
+    """
+    data, first, end, kind, valid = _windows(texts)
+    long = end - first >= SHORT
+    keys = ranks[kind] << 32 | np.arange(len(kind))
     none = np.iinfo(np.int64).max
     keys[~valid] = none
     won = _least_ahead(keys, NEIGHBOURS)
@@ -120,12 +150,14 @@ def as_text(filters: np.ndarray) -> str:
     return f"{len(filters)}:{base64.b64encode(filters.tobytes()).decode()}"
 
 
-def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint) of every whole text; a null text is empty."""
+def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: np.ndarray | None = None) -> DataFrame:
+    """(id, fingerprint) of every whole text; a null text is empty. Without ranks those of docs themselves hold: fingerprints
+    of two corpora are comparable only by the same ranks."""
+    ranks = entropy_ranks(docs, text_col) if ranks is None else ranks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in ta.chunks(batches, "text", _CHUNK):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([as_text(f) for f in fingerprints(texts)])], ["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([as_text(f) for f in fingerprints(texts, ranks)])], ["id", "fingerprint"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return arrow_map(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string")
@@ -146,15 +178,18 @@ def _part(bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return len(bounds) - np.searchsorted(bounds, ids, "left")
 
 
-def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = 4000, most_parts: int = 50_000) -> DataFrame:
+def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = 4000, most_parts: int = 50_000, ranks: np.ndarray | None = None) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for every row.
 
     The next row is that of the next lower id (equal ids by text; a null id comes last); after the last comes the first.
-    The edited text has its last floor(n / 2) characters replaced by the next text's first ones. Texts move once, to
-    ranges of ids; the first row of each range is sent to the range before it, too, and rows are streamed in order.
+    The edited text has its last floor(n / 2) characters replaced by the next text's first ones. A null text is empty.
+    Ids are whole numbers (else a TypeError). Texts move once, to ranges of ids; the first row of each range is sent to
+    the range before it, too, and rows are streamed in order, a chunk of texts at a time. Ranges hold about `rows` rows;
+    beyond most_parts ranges they grow with the input, in time but not in memory, as do rows that share one id.
     """
     low = -(2**63)
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    ranks = entropy_ranks(docs, text_col) if ranks is None else ranks
+    ids = docs.select(whole_numbers(docs, id_col).alias("id"))
     bounds = _bounds(ids, rows, most_parts)
     parts = len(bounds) + 1
 
@@ -182,8 +217,9 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 some = batch.take(pa.array(guest))
                 yield pa.RecordBatch.from_arrays([pa.array(head_for[at[guest]]), pa.array(np.ones(len(guest), bool)), *some.columns], ["part", "guest", "id", "text"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    moved = arrow_map(texts, dealt, "part int, guest boolean, id long, text string").repartition(parts, "part")
+    texts = docs.select(whole_numbers(docs, id_col).alias("id"), F.col(text_col).alias("text"))
+    # Each range is a partition of its own: a hash of its number would put several into one.
+    moved = arrow_map(texts, dealt, "part int, guest boolean, id long, text string").repartitionById(parts, "part")
     moved = moved.sortWithinPartitions("part", "guest", F.col("id").desc_nulls_last(), F.col("text").asc_nulls_first())
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -192,7 +228,7 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         own = [t for _, t in rows] + [after]
         edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(own, own[1:], strict=False)]
         raw = [t.encode() for t in edited]
-        prints = fingerprints([*(t.encode() for t in own), *raw])
+        prints = fingerprints([*(t.encode() for t in own), *raw], ranks)
         a, b = prints[: len(own)], prints[len(own) :]
         columns = [
             pa.array([i for i, _ in rows], pa.int64()),
