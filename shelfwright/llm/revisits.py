@@ -38,34 +38,42 @@ def merged_headers(stored_headers: Column, revisit: Column) -> Column:
     return F.map_concat(old, new)
 
 
+def _small(headers: Column) -> Column:
+    """The headers with names in small letters; of names that differ only in that, the value of the first in order of name."""
+    entries = F.array_sort(F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["key"].alias("said"), e["value"].alias("value"))))
+    first = F.filter(entries, lambda e, i: (i == 0) | (F.get(entries, i - 1)["k"] != e["k"]))
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"], e["value"])))
+
+
 def resolved(captures: DataFrame, per_part: int = 4096) -> DataFrame:
     """(rec_id, uri, ts, full_id, verdict, headers) for each revisit of captures (rec_id, url, ts, status, headers).
 
     verdict: resolved; mismatch (the validators differ); unverified (either side has none); orphan (no full response
     before). Among full responses of one time the one with the largest rec_id counts; a revisit of the same time comes
-    after it. headers are merged where resolved, else the revisit's own; null headers are none. A revisit without a time
-    is an orphan, a full response without a time or any other status is not looked at.
+    after it. headers are merged where resolved, else the revisit's own, with names in small letters (names are compared
+    in any case); null headers are none. A revisit without a time is an orphan, a full response without a time or any
+    other status is not looked at. A null url is the empty address. Repeated rows give repeated answers, an empty table none.
 
-    An address's captures are cut into runs of time by the hour (or finer, see below) and the last response of each run
-    is carried forward over runs, so that no task gets all captures of an address that many have.
+    Of each address only its different times are put in order, each with its one response that counts, and those are cut
+    into runs of time of about per_part; the last response of a run is carried over to later runs. Revisits then meet
+    their time by an equality join. So no task gets all captures of an address, or of an instant, that many have.
     """
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    rows = captures.select("rec_id", canonical(F.col("url")).alias("uri"), F.col("ts").cast("long").alias("ts"), "status", F.coalesce("headers", none).alias("headers")).where(F.col("status").isin(200, 304))
+    rows = captures.select("rec_id", canonical(F.col("url")).alias("uri"), F.col("ts").cast("long").alias("ts"), "status", F.coalesce(_small(F.col("headers")), none).alias("headers")).where(F.col("status").isin(200, 304))
     rows = stored(rows, "captures")
     timed = rows.where("ts is not null")
-    # Runs: an address with n captures between two times gets about n / per_part of them.
-    span = timed.groupBy("uri").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count("*").alias("n"))
+    full = F.when(F.col("status") == 200, F.struct(F.col("rec_id").alias("full_id"), F.col("headers").alias("full_headers")))
+    times = stored(timed.groupBy("uri", "ts").agg(F.max_by(full, F.when(F.col("status") == 200, F.col("rec_id"))).alias("full"), F.bool_or(F.col("status") == 304).alias("asked")), "times")
+    # Runs: an address with n times gets about n / per_part of them, of equal width.
+    span = times.groupBy("uri").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.count("*").alias("n"))
     runs = F.greatest(F.lit(1), F.ceil(F.col("n") / per_part)).cast("long")
     width = F.greatest(F.lit(1), F.ceil((F.col("t1") - F.col("t0") + 1) / runs)).cast("long")
-    cut = timed.join(span, "uri").withColumn("run", F.floor((F.col("ts") - F.col("t0")) / width).cast("long"))
-    full = F.when(F.col("status") == 200, F.struct(F.col("rec_id").alias("full_id"), F.col("headers").alias("full_headers")))
-    order = Window.partitionBy("uri", "run").orderBy("ts", "status", "rec_id")
-    inside = cut.withColumn("near", F.last(full, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = cut.where("status = 200").groupBy("uri", "run").agg(F.max_by(F.struct(F.col("rec_id").alias("full_id"), F.col("headers").alias("full_headers")), F.struct("ts", "rec_id")).alias("end"))
-    asked = cut.select("uri", "run").distinct().join(ends, ["uri", "run"], "left")
-    carried = asked.withColumn("before", F.last("end", ignorenulls=True).over(Window.partitionBy("uri").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))).select("uri", "run", "before")
-    met = inside.where("status = 304").join(carried, ["uri", "run"], "left").withColumn("full", F.coalesce("near", "before"))
-    met = met.select("rec_id", "uri", "ts", "headers", "full")
+    cut = times.join(span, "uri").withColumn("run", F.floor((F.col("ts") - F.col("t0")) / width).cast("long"))
+    inside = cut.withColumn("near", F.last("full", ignorenulls=True).over(Window.partitionBy("uri", "run").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)))
+    ends = cut.groupBy("uri", "run").agg(F.max_by("full", F.when(F.col("full").isNotNull(), F.col("ts"))).alias("end"))
+    carried = ends.withColumn("before", F.last("end", ignorenulls=True).over(Window.partitionBy("uri").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))).select("uri", "run", "before")
+    found = inside.where("asked").join(carried, ["uri", "run"], "left").select("uri", "ts", F.coalesce("near", "before").alias("full"))
+    met = timed.where("status = 304").join(found, ["uri", "ts"]).select("rec_id", "uri", "ts", "headers", "full")
     late = rows.where("ts is null and status = 304").select("rec_id", "uri", "ts", "headers", F.lit(None).cast(met.schema["full"].dataType).alias("full"))
     met = met.unionByName(late)
     old, own = F.col("full.full_headers"), F.col("headers")
