@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.llm.ordering import positions
 from shelfwright.session import stored
@@ -79,8 +79,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     row is row_col, a key of the input's rows, or without one the place of the row in the input as read by this call. A document stands once for each epoch of
     its source that the budget reaches: its first token must lie below the source's quota, budget x weight. slot is
     its place in its block, by hash. budget: tokens of all (default: as many as there are); with cover, as many as
-    give every source a whole epoch at least, so that no document is left out. A null source is a source of its own;
-    documents without tokens come with their source's first epoch.
+    give every source a whole epoch at least, so that no document is left out. A null source is a source of its own, a
+    null text has no tokens; documents without tokens come with their source's first epoch, where all of a source are
+    so spread over the blocks by hash. Repeated rows are rows of their own, an empty table gives none.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tokens(F.col(text_col)).alias("n_tokens"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"))
     rows = stored(rows, "mix")
@@ -99,20 +100,22 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     placed = positions(each.drop("s"), ["source", "epoch"], "h", ["row"], "n_tokens")
     start = F.col("epoch") * F.col("tokens") + F.col("before")
     kept = placed.where((start < F.col("quota")) | ((F.col("epoch") == 0) & (F.col("tokens") == 0) | (F.lit(cover) & (F.col("epoch") == 0))))
-    block = F.least(F.lit(blocks - 1), F.floor(start / F.col("quota") * blocks)).cast("int")
-    kept = kept.withColumn("block", block).withColumn("h2", F.xxhash64(F.lit(seed + 1), "block", "row"))
-    slot = F.row_number().over(Window.partitionBy("block").orderBy("h2", "row", "epoch")) - 1  # a block holds block_tokens
-    return kept.select("row", "id", "source", "n_tokens", "epoch", "block", slot.cast("int").alias("slot"))
+    block = F.when(F.col("tokens") == 0, F.pmod("h", F.lit(blocks))).otherwise(F.least(F.lit(blocks - 1), F.floor(start / F.col("quota") * blocks))).cast("int")
+    kept = kept.withColumn("block", block).drop("pos", "before").withColumn("h2", F.xxhash64(F.lit(seed + 1), "block", "epoch", "row"))
+    slotted = positions(kept, ["block"], "h2", ["row", "epoch"])
+    return slotted.select("row", "id", "source", "n_tokens", "epoch", "block", F.col("pos").cast("int").alias("slot"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """docs in the order of the mixture (block, slot): each row once for each epoch that takes it, the columns as they were.
 
-    Rows are met by a stored key of their own, so null and repeated ids are rows like others.
+    Rows are met by a stored key of their own, so null and repeated ids are rows like others, and columns may have any name.
     """
-    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    plan = mixed(keyed, id_col, row_col="_row", **options).select(F.col("row").alias("_row"), F.col("block").alias("_block"), F.col("slot").alias("_slot"))
-    return keyed.join(stored(plan, "plan"), "_row").orderBy("_block", "_slot").select(*docs.columns)
+    text_col, source_col = options.pop("text_col", "text"), options.pop("source_col", "source")
+    keyed = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "keyed")
+    facts = keyed.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), F.col(f"doc.{source_col}").alias("source"))
+    plan = mixed(facts, "id", "text", "source", row_col="row", **options).select("row", "block", "slot")
+    return keyed.join(stored(plan, "plan"), "row").orderBy("block", "slot").select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
