@@ -54,11 +54,12 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     """(id, size, text_crc32, shard, slot) for every row of docs; rows of one text are in one shard.
 
     size is the text's UTF-8 bytes (null: none) plus overhead; slots are gapless from 0 in each shard. Null texts are a
-    group of their own.
+    group of their own, apart from empty ones. Ids may be of any type, null, or repeat: each row has its own slot. Groups
+    of one size go in order of their text's hash. An empty table gives no row.
     """
     text = F.col(text_col)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit(""))).cast("long").alias("text_crc32"), F.coalesce(F.md5(text), F.lit("null")).alias("g")
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit(""))).cast("long").alias("text_crc32"), F.coalesce(F.md5(text), F.lit("null")).alias("g")
     )
     rows = stored(rows, "sizes")
     groups = stored(rows.groupBy("g").agg(F.sum("size").alias("bytes")), "groups")
@@ -87,10 +88,10 @@ def sharded(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str
     ranked = positions(small, ["cls"], "h", ["g"]).join(F.broadcast(shares), F.col("cls") == F.col("k"))
     ranked = ranked.select("g", F.get("who", F.size(F.filter("ends", lambda e: e <= F.col("pos")))).alias("shard2"))
     met = rows.join(F.broadcast(whole), "g", "left")
-    placed = met.where("shard is not null").select("id", "size", "text_crc32", "shard")
-    others = met.where("shard is null").drop("shard").join(ranked, "g").select("id", "size", "text_crc32", F.col("shard2").alias("shard"))
-    placed = placed.unionByName(others).withColumn("h", F.xxhash64(F.coalesce("id", F.lit(-1)), "text_crc32"))
-    return positions(placed, ["shard"], "h", ["id", "text_crc32"]).select("id", "size", "text_crc32", "shard", F.col("pos").alias("slot"))
+    placed = met.where("shard is not null").select("row", "id", "size", "text_crc32", "shard")
+    others = met.where("shard is null").drop("shard").join(ranked, "g").select("row", "id", "size", "text_crc32", F.col("shard2").alias("shard"))
+    placed = placed.unionByName(others).withColumn("h", F.xxhash64("row"))  # rows differ, so no part of the hash range is hot
+    return positions(placed, ["shard"], "h", ["row"]).select("id", "size", "text_crc32", "shard", F.col("pos").alias("slot"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
