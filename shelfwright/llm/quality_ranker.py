@@ -86,8 +86,8 @@ def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             x = features(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(x.shape[1]))], ["id", *FEATURES])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return arrow_map(rows, run, "id long, " + ", ".join(f"{f} double" for f in FEATURES))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return arrow_map(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, l2: float = 1e-3, rounds: int = 300) -> np.ndarray:
@@ -119,10 +119,11 @@ def ranked(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id",
     come to the driver, as features), by `most_pairs` random pairs of them. An id whose labels differ is left out. The
     threshold is the quantile of all documents' scores at the share of label 0 among all labels that are not held out,
     however many of them were learned from; scores are logistic around it, so that it becomes `cut`. Without both labels all
-    documents score 0.5. Rows are scored each by its own text, also where an id is null or repeats.
+    documents score 0.5. Rows are scored each by its own text, also where an id is null or repeats; ids may be of any type,
+    labels' ids are brought to it. Null and empty texts have features of 0, equal texts equal scores; an empty table gives no row.
     """
     facts = stored(featured(docs, id_col, text_col), "features")
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null").where(~held_out(F.col("id")))
+    known = labels.select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("id"), F.col(label_col).alias("y")).where("id is not null and y is not null").where(~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2")
     n, bad = known.agg(F.count("*"), F.count_if(F.col("y") == 0)).first()
     if n > most_labels:
