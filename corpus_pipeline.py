@@ -1,33 +1,39 @@
-"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again as the next one's docs."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again as the next one's docs.
 
-from __future__ import annotations
+Of every stage: null and empty texts have no words and are rejected by the first stage (given alone, a later stage keeps
+them); texts are taken whole, however long; rows that repeat are rows like others, but for near-duplicates, where one row
+of each id stays; a null id is an id of no other row; an empty table gives an empty table; further columns of any name
+stay as they are.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwright.llm import mixing, near_dups, piece_bpe, quality_rules, secret_scan
-from shelfwright.session import shared_dir
+from shelfwright.session import drop, dropped_after, new_path, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
-    columns = docs.columns
-    kept = quality_rules.judged(docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("mark"), "text"), ["doc_id", "mark"]).where("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.md5(F.coalesce("text", F.lit(""))) == F.col("_mark"))
-    return docs.join(kept, met, "left_semi").select(*columns)
+    """Documents that the rules keep, repeated rows alike. Verdicts lie beside their texts, so no text moves."""
+    return quality_rules.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near-duplicates."""
-    firsts = near_dups.near_duplicates(docs).where("id = component_id or id is null").select(F.col("id").alias("_id")).distinct()
-    return docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    """The document with the least id of each group of near-duplicates, and one row of it where its id repeats (the first
+    as stored). Rows without an id, and texts without a word, are in no group: all stay."""
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "rows")
+    ids = rows.select("row", F.col("doc.doc_id").alias("id"))
+    found = near_dups.near_duplicates(rows.select("doc.doc_id", "doc.text"))
+    firsts = found.where("id = component_id").select("id").distinct()
+    one = ids.join(firsts, "id").groupBy("id").agg(F.min("row").alias("row")).select("row")
+    return rows.join(one.unionByName(ids.where("id is null").select("row")), "row", "left_semi").select("doc.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with credentials masked."""
+    """All documents, with credentials masked and n_chars counted anew where that is; copied examples stay."""
     return secret_scan.redacted(docs)
 
 
@@ -37,8 +43,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, source, n_tokens, ids) of all documents."""
-    rows = docs.withColumn("key", F.struct("doc_id", "source"))
+    """(doc_id, source, n_tokens, ids) of all documents; a null text has no ids."""
+    rows = docs.select(F.struct("doc_id", "source").alias("key"), "text")
     ids = piece_bpe.encode(rows, piece_bpe.model_file(), id_col="key")
     return ids.select("id.doc_id", "id.source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -49,11 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows."""
+    """The last stage's rows. What a stage needs besides, and all outputs but the last, are removed as soon as they can be."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    last = None
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        path = f"{shared_dir(spark)}/pipeline-{k}-{uuid.uuid4().hex}"
-        docs.write.parquet(path)
+        path = new_path(spark, f"pipeline-{k}")
+        with dropped_after(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last is not None:
+            drop(spark, [last])
+        last = path
     return docs
