@@ -8,19 +8,41 @@ stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwright.llm import mixing, near_dups, piece_bpe, quality_rules, secret_scan
-from shelfwright.session import drop, dropped_after, new_path, stored
+from shelfwright.session import drop, new_path, stored, tracked
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Intermediate tables of the stage that ran last.
+_left: list[str] = []
+
+
+def _stage(make: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage. Its result is to be written before the next stage is called: what it is read from is removed then."""
+
+    @wraps(make)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop(spark, _left)
+        _left.clear()
+        with tracked() as made:
+            out = make(spark, docs, sf_dir)
+        _left.extend(made)
+        return out
+
+    return call
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, repeated rows alike. Verdicts lie beside their texts, so no text moves."""
     return quality_rules.kept_documents(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near-duplicates, and one row of it where its id repeats (the first
     as stored). Rows without an id, and texts without a word, are in no group: all stay."""
@@ -32,16 +54,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(one.unionByName(ids.where("id is null").select("row")), "row", "left_semi").select("doc.*")
 
 
+@_stage
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with credentials masked and n_chars counted anew where that is; copied examples stay."""
     return secret_scan.redacted(docs)
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of op4's mixture, those of scarce sources again as often as its target asks."""
     return mixing.mixed_documents(docs, cover=True)
 
 
+@_stage
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids) of all documents; a null text has no ids."""
     rows = docs.select(F.struct("doc_id", "source").alias("key"), "text")
@@ -55,15 +80,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. What a stage needs besides, and all outputs but the last, are removed as soon as they can be."""
+    """The last stage's rows. All that was written on the way is removed as soon as it can be."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    last = None
+    last: list[str] = []
     for k, (_, stage) in enumerate(STAGES):
         path = new_path(spark, f"pipeline-{k}")
-        with dropped_after(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-        if last is not None:
-            drop(spark, [last])
-        last = path
+        drop(spark, last)
+        last = [path]
+    drop(spark, _left)
+    _left.clear()
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -31,7 +31,7 @@ _made: list[str] = []
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that nothing has used; dropped_after() removes what comes to lie there."""
+    """A path in the shared folder that nothing has used; tracked() tells of it."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     _made.append(path)
     return path
@@ -45,16 +45,26 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 @contextmanager
-def dropped_after(spark: SparkSession) -> Iterator[None]:
-    """Removes, at the end of the block, the intermediate tables that were made inside it; results must be written by then."""
-    first = len(_made)
+def tracked() -> Iterator[list[str]]:
+    """The list of paths that are made inside the block; it is whole at the block's end."""
+    first, made = len(_made), []
     try:
-        yield
+        yield made
     finally:
-        drop(spark, _made[first:])
+        made.extend(_made[first:])
         del _made[first:]
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """make()'s rows written to the shared folder and read back; the intermediate tables that it made are removed."""
+    path = new_path(spark, tag)
+    with tracked() as made:
+        df = make()
+        df.write.option("compression", "zstd").parquet(path)
+    drop(spark, made)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop(spark: SparkSession, paths: list[str]) -> None:
     """Removes folders of the shared file system; what is not there is no error."""
     jvm = spark.sparkContext._jvm
