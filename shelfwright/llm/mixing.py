@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.llm.ordering import positions
-from shelfwright.session import stored
+from shelfwright.session import settled, stored
 
 _GRID = 15
 
@@ -114,8 +114,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     text_col, source_col = options.pop("text_col", "text"), options.pop("source_col", "source")
     keyed = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "keyed")
     facts = keyed.select("row", F.col(f"doc.{id_col}").alias("id"), F.col(f"doc.{text_col}").alias("text"), F.col(f"doc.{source_col}").alias("source"))
-    plan = mixed(facts, "id", "text", "source", row_col="row", **options).select("row", "block", "slot")
-    return keyed.join(stored(plan, "plan"), "row").orderBy("block", "slot").select("doc.*")
+    plan = settled(docs.sparkSession, lambda: mixed(facts, "id", "text", "source", row_col="row", **options).select("row", "block", "slot"), "plan")
+    return keyed.join(plan, "row").orderBy("block", "slot").select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwright.llm import textarrays as ta
 from shelfwright.llm.components import components
 from shelfwright.llm.ordering import whole_numbers
-from shelfwright.session import arrow_map, stored
+from shelfwright.session import arrow_map, settled, stored
 
 #: Values kept of each set.
 K = 64
@@ -217,7 +217,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(whole_numbers(docs, id_col).alias("id"), F.col(text_col).alias("text"))
     again = rows.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
-    return (_of_repeated_ids if again.limit(1).count() else _of_single_ids)(rows, n, per_cent, k)
+    found = _of_repeated_ids if again.limit(1).count() else _of_single_ids
+    return settled(docs.sparkSession, lambda: found(rows, n, per_cent, k), "near-duplicates")
 
 
 def _of_repeated_ids(rows: DataFrame, n: int, per_cent: int, k: int) -> DataFrame:
