@@ -249,7 +249,8 @@ def _of_single_ids(docs: DataFrame, n: int, per_cent: int, k: int) -> DataFrame:
     lists = stored(_listed(reps, k, per_cent), "lists")
 
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * per_cent
-    pivots = lists.groupBy("value").agg(F.min(F.struct("id", "n_shingles")).alias("p"), F.count("*").alias("m")).where("m > 1")
+    # Stored, so that its size is known before lists move: small ones meet it where they are, others by a join that splits hot values.
+    pivots = stored(lists.groupBy("value").agg(F.min(F.struct("id", "n_shingles")).alias("p"), F.count("*").alias("m")).where("m > 1"), "pivots")
     star = lists.join(pivots, "value").where("id <> p.id").where(fits(F.col("n_shingles"), F.col("p.n_shingles")))
     star = stored(star.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
 
