@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 # Words that carry no title, and words of release names.
@@ -17,8 +19,9 @@ TALK = (
 )
 # Folders whose files are extras.
 EXTRA_FOLDERS = ["featurettes", "behind the scenes", "deleted scenes", "interviews", "scenes", "shorts", "trailers", "other", "extras"]
-# Latin letters with accents and their base letters.
-ACCENTED, BASE = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž", "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+# Letters that decompose into a letter a-z and marks, and that letter.
+_FOLDED = {chr(k): d[0] for k in range(0xC0, 0x2200) if len(d := unicodedata.normalize("NFD", chr(k))) > 1 and "a" <= d[0] <= "z" and all(map(unicodedata.combining, d[1:]))}
+ACCENTED, BASE = "".join(_FOLDED), "".join(_FOLDED.values())
 
 
 def _words(c: Column) -> Column:
@@ -53,8 +56,18 @@ def title_sim(want: Column, cand: Column) -> Column:
     """
     asked = sig_words(want)
     flat = F.regexp_replace(norm_ascii(cand), " ", "")
+    return sim_of(asked, flat, has_content(cand))
+
+
+def has_content(c: Column) -> Column:
+    """Whether there is a content word; looks no further than the first."""
+    return F.exists(_words(norm_ascii(c)), lambda w: (F.length(w) >= 3) & ~w.isin(STOP_WORDS) & ~w.isin(NOISE_WORDS) & ~w.rlike(r"^\d{3,4}$") & ~w.rlike(r"^[\dhms_.]+$"))
+
+
+def sim_of(asked: Column, flat: Column, content: Column) -> Column:
+    """T4 from what is worked out once: the wanted words, the candidate without spaces, and whether it has content."""
     share = F.size(F.filter(asked, lambda w: F.contains(flat, w))) / F.size(asked)
-    return F.when(F.size(asked) == 0, 1.0).when(F.size(content_words(cand)) == 0, F.lit(None)).otherwise(share)
+    return F.when(F.size(asked) == 0, 1.0).when(~content, F.lit(None)).otherwise(share)
 
 
 def se_tokens(c: Column) -> Column:
@@ -72,24 +85,25 @@ def parse_episode_name(c: Column) -> Column:
     def of(pattern: str, title: Column) -> Column:
         part = lambda k: F.regexp_extract(c, pattern, k)
         last = F.when(part(3) != "", part(3)).otherwise(part(2))
-        return F.struct(part(1).cast("int").alias("season"), part(2).cast("int").alias("ep_from"), last.cast("int").alias("ep_to"), title.alias("title"))
+        return F.struct(part(1).try_cast("int").alias("season"), part(2).try_cast("int").alias("ep_from"), last.try_cast("int").alias("ep_to"), title.alias("title"))
 
     return F.when(c.rlike(bare), of(bare, F.lit(""))).when(c.rlike(titled), of(titled, F.regexp_extract(c, titled, 4)))
 
 
 def normalize_title(c: Column) -> Column:
-    """Small letters without accents and anything but a-z and 0-9, and without one leading article."""
+    """Small letters without accents (as letters decompose) and anything but a-z and 0-9, and without one leading article."""
     plain = F.regexp_replace(F.translate(F.lower(F.coalesce(c, F.lit(""))), ACCENTED, BASE), "[^a-z0-9]", "")
     return F.regexp_replace(plain, "^(the|a|an)", "")
 
 
+# How a title names its part.
 _PARTS = [r"(?i),?\s*part\s+(one|i)\b", r"(?i),?\s*part\s+(two|ii)\b", r"(?i),?\s*part\s+(three|iii)\b"]
 
 
 def split_part_number(c: Column) -> Column:
     """Normalised base of a title and its part number, if it has one."""
     ending = r"\((\d+)\)\s*$"
-    made = lambda base, part: F.struct(normalize_title(base).alias("base"), part.cast("int").alias("part"))
+    made = lambda base, part: F.struct(normalize_title(base).alias("base"), part.try_cast("int").alias("part"))
     out = F.when(c.rlike(ending), made(F.regexp_replace(c, ending, ""), F.regexp_extract(c, ending, 1)))
     for k, p in enumerate(_PARTS, 1):
         out = out.when(c.rlike(p), made(F.regexp_replace(c, p, ""), F.lit(k)))
@@ -108,15 +122,16 @@ def _card_words(c: Column) -> Column:
 
 def card_score(expected: Column, read: Column) -> Column:
     """Share of the expected words (long ones and numerals) that the text of a title card contains, to 2 places."""
+    # Fixed value: which short words count, as numerals.
     asked = F.filter(_words(_card_words(expected)), lambda w: (F.length(w) > 2) | w.rlike(r"^(\d+|i{1,3}|iv|v|vi{0,3}|ix|x)$"))
     seen = _card_words(read)
     return F.when(F.size(asked) == 0, 0.0).otherwise(F.bround(F.size(F.filter(asked, lambda w: F.contains(seen, w))) / F.size(asked), 2))
 
 
 def hms_to_sec(c: Column) -> Column:
-    """H:MM:SS as seconds."""
-    p = F.split(c, ":")
-    return p[0].cast("double") * 3600 + p[1].cast("double") * 60 + p[2].cast("double")
+    """H:MM:SS as seconds; null for any other form."""
+    part = lambda k: F.get(F.split(c, ":"), k).try_cast("double")
+    return F.when(c.rlike(r"^\s*\d+:\d+:\d+(\.\d+)?\s*$"), part(0) * 3600 + part(1) * 60 + part(2))
 
 
 def srt_to_sec(c: Column) -> Column:
@@ -130,6 +145,16 @@ def sec_to_srt(c: Column) -> Column:
     return F.format_string("%02d:%02d:%02d,%03d", F.floor(ms / 3_600_000), F.floor(ms / 60_000) % 60, F.floor(ms / 1000) % 60, ms % 1000)
 
 
+def shift_scaled(t: Column, scale: Column, shift: Column) -> Column:
+    """A time in seconds, scaled and shifted, not below zero."""
+    return F.greatest(t * scale + shift, F.lit(0.0))
+
+
+def shift_ms(t: Column, offset_ms: Column) -> Column:
+    """A time in seconds moved by whole milliseconds, not below zero."""
+    return F.greatest(F.bround(t * 1000, 0).cast("long") + offset_ms, F.lit(0)) / 1000.0
+
+
 def size_to_gb(c: Column) -> Column:
     """T12: '33.2 GB' or '812 MB' in GB; null if neither."""
     n = F.regexp_extract(c, r"([\d.]+)", 1)
@@ -148,6 +173,7 @@ def repair_pipes(c: Column) -> Column:
 
 def file_role(folder: Column, name: Column) -> Column:
     """Extra, Special, Episode, Part or Feature."""
+    # How names tell roles.
     return (
         F.when(F.lower(folder).isin(EXTRA_FOLDERS) | name.rlike("(?i)(trailer|teaser)"), "Extra")
         .when(name.rlike(r"(?i)s00e\d+"), "Special")
@@ -162,6 +188,23 @@ def library_path(root: Column, show: Column, season: Column, ep: Column, name: C
     return F.concat(root, F.lit("/"), show, F.format_string("/Season %02d/", season), show, F.format_string(" - s%02de%02d - ", season, ep), name, F.lit(".mkv"))
 
 
+def source_path(root: Column, disc_form: Column, disc: Column, kind: Column, clip: Column) -> Column:
+    """Where an item is read from: the disc's folder, and on a Blu-ray the clip's stream file below it."""
+    folder = F.concat(F.replace(root, F.lit("\\"), F.lit("/")), F.lit("/"), F.replace(disc_form, F.lit("{disc}"), disc))
+    return F.when(kind == "BD", F.concat(folder, F.lit("/BDMV/STREAM/"), clip, F.lit(".m2ts"))).otherwise(folder)
+
+
+def decode_bytes(c: Column) -> Column:
+    """Bytes as text by the first encoding that fits: UTF-8 (a mark in front goes), cp1252, Latin-1."""
+    plain = c.cast("string")
+    latin = F.decode(c, "ISO-8859-1")
+    # Of 0x80-0x9F cp1252 has characters of its own, but for five that it lacks.
+    own = {chr(k): bytes([k]).decode("cp1252", "ignore") for k in range(0x80, 0xA0)}
+    windows = F.translate(latin, "".join(k for k, v in own.items() if v), "".join(own.values()))
+    lacking = "[" + "".join(k for k, v in own.items() if not v) + "]"
+    return F.regexp_replace(F.when(F.is_valid_utf8(plain), plain).when(latin.rlike(lacking), latin).otherwise(windows), "^\ufeff+", "")
+
+
 def leaf(c: Column) -> Column:
     """The last part of a path of either kind."""
     return F.substring_index(F.replace(c, F.lit("\\"), F.lit("/")), "/", -1)

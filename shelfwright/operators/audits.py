@@ -64,15 +64,16 @@ def compare_enumerations(a: DataFrame, b: DataFrame, tol: float = 20.0) -> DataF
 def reconcile_durations(claimed: DataFrame, measured: DataFrame, tol: float = 30.0, least: float = 60.0) -> DataFrame:
     """(disc, claimed, measured): each claim, ascending, takes the first measured title left within tol; null: an orphan.
 
-    The matching is a sequence within one disc, of some hundred titles; discs are spread over tasks.
+    The matching is one pass over both in order, within one disc of some hundred titles; discs are spread over tasks.
     """
 
     def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        left, out = sorted(b.sec[b.sec >= least]), []
+        left, out, k = sorted(b.sec[b.sec >= least]), [], 0
         for c in sorted(a.sec[a.sec >= least]):
-            hit = next((m for m in left if abs(m - c) <= tol), None)
-            if hit is not None:
-                left.remove(hit)
+            while k < len(left) and left[k] < c - tol:  # too short for this claim and all after it
+                k += 1
+            hit = left[k] if k < len(left) and left[k] <= c + tol else None
+            k += hit is not None
             out.append((key[0], c, hit))
         return pd.DataFrame(out, columns=["disc", "claimed", "measured"]).astype({"claimed": float, "measured": float})
 
@@ -89,8 +90,14 @@ def longest_vs_shipped(titles: DataFrame, shipped: DataFrame, n: int = 3) -> Dat
     return top.join(file, "disc", "left").select("disc", "title", "place", delta.alias("delta"), F.when(F.col("shipped_sec").isNull(), "NOT SHIPPED").when(F.abs(F.col("sec") - F.col("shipped_sec")) <= 30, "ok").otherwise("DIFFERS").alias("verdict"))
 
 
-def audit_specials(agent: DataFrame) -> DataFrame:
-    """Specials as the agent names them: placeholder, contradicts its file, UNVERIFIED, NOTE (not locked), ok."""
+def audit_specials(agent: DataFrame, since=None) -> DataFrame:
+    """(show, rk, verdict, minutes) of specials as the agent names them: placeholder, contradicts its file, UNVERIFIED,
+    NOTE (not locked), ok.
+
+    agent (show, rk, title, file, locked, duration_ms, updated). since: only shows that were updated from then on.
+    """
+    if since is not None:
+        agent = agent.join(agent.where(F.col("updated") >= since).select("show").distinct(), "show", "left_semi")
     name = T.parse_episode_name(F.col("file"))["title"]
     plain = lambda c: F.regexp_replace(F.lower(c), r"\W", "")
     rows = agent.withColumn("file_title", F.coalesce(name, F.lit("")))
@@ -101,7 +108,13 @@ def audit_specials(agent: DataFrame) -> DataFrame:
         .when(~F.col("locked"), "NOTE")
         .otherwise("ok")
     )
-    return rows.select("rk", verdict.alias("verdict"), F.bround(F.col("duration_ms") / 60000, 1).alias("minutes"))
+    return rows.select("show", "rk", verdict.alias("verdict"), F.bround(F.col("duration_ms") / 60000, 1).alias("minutes"))
+
+
+def specials_by_show(audited: DataFrame) -> DataFrame:
+    """Of each show its specials, those at fault (placeholder or contradiction), unverified and merely not locked."""
+    of = lambda *v: F.count_if(F.col("verdict").isin(*v))
+    return audited.groupBy("show").agg(F.count("*").alias("specials"), of("placeholder", "contradicts").alias("faults"), of("UNVERIFIED").alias("unverified"), of("NOTE").alias("notes"))
 
 
 def unindexed_extras(shipped: DataFrame, indexed: DataFrame) -> DataFrame:
@@ -153,12 +166,26 @@ def survey_subtitles(files: DataFrame, streams: DataFrame, image_codecs: list[st
     return rows.select("rel", "bitmap_subs", "text_subs", need.alias("needs_ocr"))
 
 
-def bitmap_populated(media: DataFrame, packets: DataFrame, read: DataFrame) -> DataFrame:
-    """P5: image subtitles with pictures in them, empty, or exhausted (read before with nothing found). packets (rel, packets)."""
-    found = packets.groupBy("rel").agg(F.sum("packets").alias("packets"))
+# Codecs of image subtitles.
+IMAGE_CODECS = ["dvd_subtitle", "hdmv_pgs_subtitle"]
+
+
+def bitmap_populated(media: DataFrame, streams: DataFrame, read: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """P5: (rel, cache_key, verdict) of files with image subtitles: populated, empty (no packets), or exhausted (read before
+    with nothing found).
+
+    media (rel, bytes, modified), streams (rel, codec, packets), read (rel, cues). The key holds path, size and time of
+    writing: a verdict of `known` (cache_key, verdict) stands for as long as the file is not written anew.
+    """
+    key = F.md5(F.concat_ws("|", "rel", F.col("bytes").cast("string"), F.unix_micros(F.col("modified").cast("timestamp")).cast("string")))
+    found = streams.where(F.col("codec").isin(IMAGE_CODECS)).groupBy("rel").agg(F.sum("packets").alias("packets"))
     done = read.where("cues = 0").select("rel", F.lit(True).alias("tried")).distinct()
-    rows = media.join(found, "rel", "left").join(done, "rel", "left")
-    return rows.select("rel", F.when(F.coalesce("packets", F.lit(0)) == 0, "empty").when(F.col("tried"), "exhausted").otherwise("populated").alias("verdict"))
+    rows = media.withColumn("cache_key", key).join(found, "rel").join(done, "rel", "left")
+    verdict = F.when(F.coalesce("packets", F.lit(0)) == 0, "empty").when(F.col("tried"), "exhausted").otherwise("populated")
+    if known is not None:
+        rows = rows.join(known.select("cache_key", F.col("verdict").alias("known")), "cache_key", "left")
+        verdict = F.coalesce("known", verdict)
+    return rows.select("rel", "cache_key", verdict.alias("verdict"))
 
 
 def metadata_mismatch(items: DataFrame, minutes: float = 10.0, sim: float = 0.5) -> DataFrame:

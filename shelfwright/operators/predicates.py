@@ -69,17 +69,19 @@ def offset_verdict(alignments: DataFrame) -> DataFrame:
     return alignments.withColumn("verdict", verdict)
 
 
-def keep_audio(tracks: DataFrame, original: Column) -> DataFrame:
+def keep_audio(tracks: DataFrame, original: Column, explicit: Column | None = None) -> DataFrame:
     """(file_id, kept): ordinals of the audio tracks to keep, the original language first, then English.
 
-    Of one track it is kept. An English original keeps English and untagged ones; if nothing fits, all stay.
+    Of one track it is kept. An English original keeps English and untagged ones; if nothing fits, all stay. explicit: a
+    list of ordinals that overrides all this, in its own order, where a file has one.
     """
     english = F.coalesce("lang", F.lit("")).isin("eng", "en", "und", "")
     rank = F.when(~original.isin("eng", "en") & (F.col("lang") == original), 0).when(english, 1)
-    rows = tracks.withColumn("_rank", rank).groupBy("file_id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("_rank").isNotNull(), F.struct("_rank", "ordinal")))).alias("fit"), F.array_sort(F.collect_list("ordinal")).alias("every")
+    said = F.lit(None).cast("array<int>") if explicit is None else explicit
+    rows = tracks.withColumns({"_rank": rank, "_said": said}).groupBy("file_id").agg(
+        F.max("_said").alias("said"), F.array_sort(F.collect_list(F.when(F.col("_rank").isNotNull(), F.struct("_rank", "ordinal")))).alias("fit"), F.array_sort(F.collect_list("ordinal")).alias("every")
     )
-    return rows.select("file_id", F.when((F.size("every") == 1) | (F.size("fit") == 0), F.col("every")).otherwise(F.transform("fit", lambda x: x["ordinal"])).alias("kept"))
+    return rows.select("file_id", F.when(F.size("said") > 0, F.col("said")).when((F.size("every") == 1) | (F.size("fit") == 0), F.col("every")).otherwise(F.transform("fit", lambda x: x["ordinal"])).alias("kept"))
 
 
 def select_track(wanted: DataFrame, streams: DataFrame) -> DataFrame:
@@ -94,10 +96,40 @@ def select_track(wanted: DataFrame, streams: DataFrame) -> DataFrame:
     return rows.select("file_id", "spec", chosen.cast("int").alias("ordinal"), verdict.alias("verdict"))
 
 
+def label_audio(kept: DataFrame, tracks: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(file_id, place, ordinal, language, title, disposition) of each kept track in its output order.
+
+    kept (file_id, kept), tracks (file_id, ordinal, lang), manifest (file_id, orig_lang, audio_langs, commentary,
+    description; the last two arrays of (idx, title)). A language is the manifest's for that place, else the original one
+    for the first track of a foreign work, else the source's tag, else eng. Several unnamed commentaries or descriptions
+    are numbered; of a track that is both, the description counts.
+    """
+    rows = kept.select("file_id", F.posexplode("kept").alias("place", "ordinal")).join(tracks.select("file_id", "ordinal", "lang"), ["file_id", "ordinal"], "left").join(manifest, "file_id", "left")
+    tag = F.when(F.coalesce("lang", F.lit("")).isin("", "und"), "eng").otherwise(F.col("lang"))
+    first = (F.col("place") == 0) & ~F.coalesce("orig_lang", F.lit("eng")).isin("eng", "en", "")
+    language = F.coalesce(F.get("audio_langs", F.col("place")), F.when(first, F.col("orig_lang")), tag)
+
+    def named(entries: str, plain: str) -> Column:
+        """The title of the last entry for the track; an unnamed one is plain, with its number where there are several."""
+        several = F.when(F.size(entries) > 1, F.lit(1))
+        title = lambda x, i: F.coalesce(x["title"], F.when(several.isNotNull(), F.concat(F.lit(f"{plain} "), (i + 1).cast("string"))), F.lit(plain))
+        numbered = F.transform(entries, lambda x, i: F.struct(x["idx"].alias("idx"), title(x, i).alias("title")))
+        return F.element_at(F.filter(numbered, lambda x: x["idx"] == F.col("ordinal")), -1)["title"]
+
+    rows = rows.withColumns({"_c": F.when(F.size("commentary") > 0, named("commentary", "Audio Commentary")), "_d": F.when(F.size("description") > 0, named("description", "Audio Description"))})
+    disposition = F.when(F.col("_d").isNotNull(), "visual_impaired").when(F.col("_c").isNotNull(), "comment")
+    return rows.select("file_id", "place", "ordinal", language.alias("language"), F.coalesce("_d", "_c").alias("title"), disposition.alias("disposition"))
+
+
 def geometry_flags(titles: DataFrame) -> DataFrame:
-    """Standard definition, interlaced, and a disc of a high-definition kind that holds a standard one (an abort)."""
+    """Standard definition, interlaced, a Blu-ray item with a standard source (an abort), and trailers by definition.
+
+    titles (.., name, kind, width, height, field_order); an unknown field order is not interlaced.
+    """
     sd = (F.col("width") <= 720) & (F.col("height") <= 576)
-    return titles.withColumns({"is_sd": sd, "interlaced": F.col("field_order") != "progressive", "abort": sd & (F.col("kind") == "BD")})
+    order = F.coalesce("field_order", F.lit(""))
+    trailer = F.when(F.col("name").rlike("(?i)(trailer|teaser)"), F.when(sd, "SD trailer").otherwise("HD trailer"))
+    return titles.withColumns({"is_sd": sd, "interlaced": ~order.isin("progressive", "unknown", ""), "abort": sd & (F.col("kind") == "BD"), "trailer": trailer})
 
 
 def layout_violations(listing: DataFrame) -> DataFrame:

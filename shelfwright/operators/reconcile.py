@@ -35,12 +35,29 @@ def copy_plan(src: DataFrame, dst: DataFrame, overwrite: bool = False) -> DataFr
 
 
 def match_by_runtime(files: DataFrame, canon: DataFrame) -> DataFrame:
-    """The canonical episode nearest in minutes, the distance, and the gap to the runner-up, with a verdict."""
-    met = files.join(canon, "show").withColumn("d", F.abs(F.col("file_mins") - F.col("mins")))
-    place = F.row_number().over(Window.partitionBy("file_id").orderBy("d", "idx"))
-    two = met.withColumn("place", place).where("place <= 2").groupBy("file_id").agg(
-        F.min_by("idx", "place").alias("idx"), F.min("d").alias("d1"), F.max(F.when(F.col("place") == 2, F.col("d"))).alias("d2")
+    """The canonical episode of the file's season nearest in minutes, the distance, and the gap to the runner-up, with a verdict.
+
+    files (file_id, show, season, file_mins), canon (show, season, idx, mins). Of equally near episodes the one with the
+    least idx counts. Episodes and files of a season are put in one order of minutes, where a file's nearest ones stand
+    next to it: no pairs of a season are made.
+    """
+    key = ["show", "season"]
+    each = canon.where("mins is not null").groupBy(*key, "mins").agg(F.min("idx").alias("idx"), F.count("*").alias("n"))
+    order = Window.partitionBy(*key).orderBy("mins")
+    one = F.struct("mins", "idx", "n")
+    each = each.withColumn("e", one).withColumn("near", F.array("e", F.lag("e").over(order), F.lead("e").over(order)))
+    none = F.lit(None)
+    rows = each.select(*key, "mins", none.cast(files.schema["file_id"].dataType).alias("file_id"), "near").unionByName(
+        files.where("file_mins is not null").select(*key, F.col("file_mins").alias("mins"), "file_id", none.cast(each.schema["near"].dataType).alias("near"))
+    )
+    sorted_ = Window.partitionBy(*key).orderBy("mins", F.col("file_id").isNotNull())
+    around = F.concat(
+        F.coalesce(F.last("near", ignorenulls=True).over(sorted_.rowsBetween(Window.unboundedPreceding, 0)), F.array().cast(each.schema["near"].dataType)),
+        F.coalesce(F.first("near", ignorenulls=True).over(sorted_.rowsBetween(0, Window.unboundedFollowing)), F.array().cast(each.schema["near"].dataType)),
     )
+    met = rows.withColumn("around", F.array_distinct(F.filter(around, lambda x: x.isNotNull()))).where("file_id is not null")
+    best = F.array_sort(F.transform("around", lambda x: F.struct(F.abs(F.col("mins") - x["mins"]).alias("d"), x["idx"].alias("idx"), x["n"].alias("n"))))
+    two = met.withColumn("b", best).select("file_id", F.get("b", 0)["idx"].alias("idx"), F.get("b", 0)["d"].alias("d1"), F.when(F.get("b", 0)["n"] > 1, F.get("b", 0)["d"]).otherwise(F.get("b", 1)["d"]).alias("d2"))
     delta = F.bround("d1", 1)
     gap = F.when(F.col("d2").isNull(), 99.0).otherwise(F.bround(F.col("d2") - delta, 1))
     out = files.select("file_id", "file_mins").join(two, "file_id", "left").withColumns({"delta": delta, "gap": F.when(F.col("idx").isNotNull(), gap)})
@@ -63,16 +80,17 @@ def guard_candidates(items: DataFrame, candidates: DataFrame, blocklist: DataFra
     The block list is a curated table of some rows, so Spark may send it to all tasks if it is small.
     """
     named = candidates.where((F.col("format") == "srt") & ~F.col("title").rlike("(?i)commentary|karaoke|lyrics"))
-    met = named.join(items.where("duration >= 60"), "rk")
+    # What similarity needs is worked out once: of an item before it meets its candidates, of a candidate after the cheap tests.
+    asked = items.where("duration >= 60").withColumns({"_show": T.sig_words(F.col("show")), "_ep": F.when(T.usable_title(F.col("ep_title")), T.sig_words(F.col("ep_title")))})
+    met = named.join(asked, "rk")
     blocked = met.join(blocklist, (blocklist["key"] == met["rk"].cast("string")) & F.contains(met["title"], blocklist["pattern"]), "left_anti")
     se = T.se_tokens(F.col("title"))
     exact = F.exists("_se", lambda x: (x["season"] == F.col("season")) & (x["ep"] == F.col("ep")))
     rows = blocked.withColumn("_se", se).withColumn("_exact", exact).where((F.size("_se") == 0) | F.col("_exact"))
-    by_show = T.title_sim(F.col("show"), F.col("title"))
-    by_title = F.when(T.usable_title(F.col("ep_title")), T.title_sim(F.col("ep_title"), F.col("title")))
-    best = F.greatest(by_show, by_title)
+    of_title = F.array(F.struct(F.regexp_replace(T.norm_ascii(F.col("title")), " ", "").alias("flat"), T.has_content(F.col("title")).alias("content")))
+    best = F.transform(of_title, lambda x: F.greatest(T.sim_of(F.col("_show"), x["flat"], x["content"]), F.when(F.col("_ep").isNotNull(), T.sim_of(F.col("_ep"), x["flat"], x["content"]))))[0]
     floor = F.when(F.col("_exact"), 0.3).otherwise(0.6)
-    return rows.withColumn("sim", best).where(F.col("sim").isNull() | (F.col("sim") >= floor)).drop("_se", "_exact")
+    return rows.withColumn("sim", best).where(F.coalesce("sim", F.lit(1.0)) >= floor).drop("_se", "_exact", "_show", "_ep")
 
 
 def verify_episode_slots(agent: DataFrame, files: DataFrame) -> DataFrame:
@@ -107,16 +125,20 @@ def compare_orderings(seasons: DataFrame, a: str, b: str) -> DataFrame:
 
 def todo(work: DataFrame, state: DataFrame, keys: list | None = None, limit: int | None = None, size: str = "bytes") -> DataFrame:
     """Work not yet decided, smallest first; named keys are taken whatever was decided."""
-    open_work = work.join(state, "rk", "left_anti") if keys is None else work.where(F.col("rk").isin(keys))
+    named = None if keys is None else work.sparkSession.createDataFrame([(k,) for k in keys], f"rk {work.schema['rk'].dataType.simpleString()}")
+    open_work = work.join(state, "rk", "left_anti") if named is None else work.join(named, "rk", "left_semi")
     ordered = open_work.orderBy(size, "rk")
     return ordered if limit is None else ordered.limit(limit)
 
 
-def nearest_cue(cues: DataFrame, landmarks: DataFrame, bucket: int = 60) -> DataFrame:
-    """For each landmark the nearest cue that carries its line, and the error; buckets of a minute are joined, not all pairs."""
-    spread = landmarks.withColumn("b", F.explode(F.array(*(F.floor(F.col("t") / bucket) + k for k in (-1, 0, 1)))))
-    met = spread.join(cues.withColumn("b", F.floor(F.col("start_s") / bucket)), ["file_id", "b"]).where(F.contains(F.lower("text"), F.lower("line")))
-    return met.groupBy("file_id", "landmark").agg(F.min_by(F.col("start_s") - F.col("t"), F.struct(F.abs(F.col("start_s") - F.col("t")), F.col("start_s"))).alias("error"))
+def nearest_cue(cues: DataFrame, landmarks: DataFrame) -> DataFrame:
+    """(file_id, landmark, error): for each landmark the nearest cue, however far, that carries its line; null without one.
+
+    A file has few landmarks, so its cues meet them by file and line.
+    """
+    met = landmarks.join(cues.select("file_id", "start_s", "text"), (cues["file_id"] == landmarks["file_id"]) & F.contains(F.lower("text"), F.lower("line")), "left").select(landmarks["file_id"], "landmark", "t", "start_s")
+    off = F.col("start_s") - F.col("t")
+    return met.groupBy("file_id", "landmark").agg(F.min_by(off, F.when(off.isNotNull(), F.struct(F.abs(off), F.col("start_s")))).alias("error"))
 
 
 def landmark_verdict(errors: DataFrame) -> DataFrame:
@@ -165,6 +187,32 @@ def incomplete_title_sets(declared: DataFrame, present: DataFrame) -> DataFrame:
     return declared.join(have, "disc", "left").withColumn("present", F.coalesce("present", F.lit(0).cast("long"))).where("declared > present")
 
 
+def title_sets_without_backup(listing: DataFrame) -> DataFrame:
+    """(disc, title_set) whose index file has no backup file beside it: the mark of a copy that stopped. listing (disc, name)."""
+    number = lambda ending: F.regexp_extract("name", rf"(?i)^VTS_(\d+)_0\.{ending}$", 1)
+    of = lambda ending: listing.select("disc", number(ending).alias("title_set")).where("title_set <> ''").distinct()
+    return of("IFO").join(of("BUP"), ["disc", "title_set"], "left_anti")
+
+
+def playall_containment(titles: DataFrame, members: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Whether a reel holds the parts that are also there one by one, as a row for each reel with its parts' sum.
+
+    titles (disc, title, sec), members (disc, reel, title), hashes (disc, title, offset_s, h) of windows of sound or
+    text. A part is inside if one of its windows is one of the reel's; hits in the reel's last third count as late, since
+    its head always fits. CONTAINED: every part is inside and one is late; PARTLY; APART. excess: seconds of the reel
+    beyond its parts. A verdict is a prompt to look, nothing is dropped.
+    """
+    sec = titles.select("disc", "title", "sec")
+    reels = members.select("disc", "reel").distinct().join(sec.withColumnsRenamed({"title": "reel", "sec": "reel_sec"}), ["disc", "reel"])
+    windows = hashes.select("disc", F.col("title").alias("reel"), F.col("offset_s").alias("at"), "h").join(reels, ["disc", "reel"])
+    own = members.join(hashes.select("disc", "title", "h").distinct(), ["disc", "title"])
+    hits = own.join(windows, ["disc", "reel", "h"]).groupBy("disc", "reel", "title").agg(F.bool_or(F.col("at") * 3 >= F.col("reel_sec") * 2).alias("late"))
+    parts = members.join(sec, ["disc", "title"]).join(hits, ["disc", "reel", "title"], "left")
+    sums = parts.groupBy("disc", "reel").agg(F.count("*").alias("parts"), F.count("late").alias("inside"), F.count_if(F.coalesce("late", F.lit(False))).alias("late"), F.sum("sec").alias("parts_sec"))
+    verdict = F.when((F.col("inside") == F.col("parts")) & (F.col("late") > 0), "CONTAINED").when(F.col("inside") > 0, "PARTLY").otherwise("APART")
+    return reels.join(sums, ["disc", "reel"]).select("disc", "reel", "parts", "inside", "late", F.bround(F.col("reel_sec") - F.col("parts_sec"), 3).alias("excess"), verdict.alias("verdict"))
+
+
 def awaiting_sidecar(media: DataFrame, sidecars: DataFrame) -> DataFrame:
     """Files with populated image subtitles and no text file beside them; without a duration one is still encoding."""
     need = media.where("populated").join(sidecars.select("base").distinct(), "base", "left_anti")

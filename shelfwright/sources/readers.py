@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfwright.functions import text as T
 
@@ -19,6 +19,7 @@ def _name(path_col: str = "path"):
 def read_robot_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Titles and streams of disc enumeration logs; the disc is the file's name."""
     lines = spark.read.text(path).select(_name("_metadata.file_path").alias("disc"), "value")
+    # The forms of the log's lines.
     t = r'^TINFO:(\d+),(\d+),\d+,"(.*)"\s*$'
     s = r'^SINFO:(\d+),(\d+),(\d+),\d+,"(.*)"\s*$'
     part = lambda p, k: F.regexp_extract("value", p, k)
@@ -30,17 +31,23 @@ def read_robot_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return titles.withColumn("sec", T.hms_to_sec(F.col("duration"))), streams
 
 
+def _disc(path_col: str = "path") -> Column:
+    """The disc that a file lies on: the folder above the one of its disc format (BDMV, VIDEO_TS), else its own folder."""
+    inner = F.regexp_extract(path_col, r"/([^/]+)/(?:BDMV|VIDEO_TS)/", 1)
+    return F.when(inner != "", inner).otherwise(F.regexp_extract(path_col, r"([^/]+)/[^/]+$", 1))
+
+
 def read_playlists(spark: SparkSession, glob: str) -> DataFrame:
-    """(playlist, clips): the clip numbers of binary playlists, in order."""
+    """(disc, playlist, clips): the clip numbers of binary playlists, in order."""
     said = F.decode("content", "ISO-8859-1")
-    return spark.read.format("binaryFile").load(glob).select(_name().alias("playlist"), F.regexp_extract_all(said, F.lit(r"(\d{5})(?=M2TS)"), F.lit(1)).alias("clips"))
+    return spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), _name().alias("playlist"), F.regexp_extract_all(said, F.lit(r"(\d{5})(?=M2TS)"), F.lit(1)).alias("clips"))
 
 
 def read_clip_languages(spark: SparkSession, glob: str, codes: list[str]) -> DataFrame:
-    """S3: (clip, pos, lang): language codes embedded in binary clip files, in order."""
+    """S3: (disc, clip, pos, lang): language codes embedded in binary clip files, in order."""
     said = F.decode("content", "ISO-8859-1")
     found = F.regexp_extract_all(said, F.lit("(" + "|".join(codes) + ")"), F.lit(1))
-    return spark.read.format("binaryFile").load(glob).select(_name().alias("clip"), F.posexplode(found).alias("pos", "lang"))
+    return spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), _name().alias("clip"), F.posexplode(found).alias("pos", "lang"))
 
 
 def read_dispositions(spark: SparkSession, path: str) -> DataFrame:
@@ -58,13 +65,24 @@ def read_pipe_table(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*(c.strip() for c in raw.columns))
 
 
+# How the dialects write the time line of a cue.
 _TIMES = {"strict": r"(\d\d:\d\d:\d\d,\d\d\d) --> (\d\d:\d\d:\d\d,\d\d\d)", "lenient": r"(\d\d:\d\d:\d\d[,.]\d\d\d)\s*-->\s*(\d\d:\d\d:\d\d[,.]\d\d\d)"}
 
 
 def read_srt(spark: SparkSession, glob: str, dialect: str = "lenient") -> DataFrame:
-    """(file_id, cue, start_s, end_s, text); a block reaches from one time line to the number line before the next."""
+    """(file_id, cue, start_s, end_s, text) of subtitle files in any encoding of decode_bytes().
+
+    strict and lenient: a block reaches from one time line to the number line before the next. blocks: blocks stand
+    between blank lines, their first line is a number (cue), the second the times; others are left out.
+    """
+    whole = spark.read.format("binaryFile").load(glob).select(_name().alias("file_id"), F.regexp_replace(T.decode_bytes(F.col("content")), "\r\n", "\n").alias("value"))
+    if dialect == "blocks":
+        p = _TIMES["lenient"]
+        block = whole.select("file_id", F.explode(F.split("value", r"\n[ \t]*\n\s*")).alias("b")).select("file_id", F.split(F.trim(F.trim("b"), F.lit("\n")), "\n").alias("l"))
+        found = block.where(F.get("l", 0).rlike(r"^\s*\d+\s*$") & F.get("l", 1).rlike(p))
+        span = lambda k: T.srt_to_sec(F.regexp_extract(F.get("l", 1), p, k))
+        return found.select("file_id", F.trim(F.get("l", 0)).cast("int").alias("cue"), span(1).alias("start_s"), span(2).alias("end_s"), F.array_join(F.slice("l", 3, 1 << 30), "\n").alias("text"))
     p = _TIMES[dialect]
-    whole = spark.read.text(glob, wholetext=True).select(_name("_metadata.file_path").alias("file_id"), F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r\n", "\n").alias("value"))
     blocks = whole.select("file_id", F.regexp_extract_all("value", F.lit(p), F.lit(0)).alias("times"), F.slice(F.split("value", p, -1), 2, 1 << 30).alias("bodies"))
     rows = blocks.select("file_id", F.posexplode(F.arrays_zip("times", "bodies")).alias("cue", "x"), F.size("times").alias("n"))
     body = F.col("x.bodies")
@@ -73,6 +91,73 @@ def read_srt(spark: SparkSession, glob: str, dialect: str = "lenient") -> DataFr
     return rows.select("file_id", "cue", span(1).alias("start_s"), span(2).alias("end_s"), F.trim(F.trim(body), F.lit("\n")).alias("text"))
 
 
+def read_ocr_results(spark: SparkSession, root: str) -> DataFrame:
+    """(file_id, cue, text) of the texts read from each cue's picture; file_id is the folder of cue_N.txt and cue_N_res.json.
+
+    Lines of a JSON result stand by the upper edge of their boxes where there is a box for each; boxes are points, or
+    left, top, right, bottom. JSON beats text for one cue, blank lines and cues without a line are left out.
+    """
+    folder, cue = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), lambda p: F.regexp_extract("path", p, 1).try_cast("int")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    plain = files.option("pathGlobFilter", "cue_*.txt").load(root).select(folder.alias("file_id"), cue(r"cue_(\d+)\.txt$").alias("cue"), F.split(T.decode_bytes(F.col("content")), r"\r?\n").alias("lines"))
+    said = files.option("pathGlobFilter", "cue_*_res.json").load(root).select(folder.alias("file_id"), cue(r"cue_(\d+)_res\.json$").alias("cue"), T.decode_bytes(F.col("content")).alias("json"))
+    points = F.from_json("json", "rec_texts array<string>, rec_polys array<array<array<double>>>")
+    boxes = F.from_json("json", "rec_boxes array<array<double>>")["rec_boxes"]
+    tops = F.coalesce(F.transform("p.rec_polys", lambda b: F.array_min(F.transform(b, lambda q: F.get(q, 1)))), F.transform("b", lambda b: F.least(F.get(b, 1), F.get(b, 3))))
+    said = said.withColumns({"p": points, "b": boxes}).select("file_id", "cue", F.filter(F.transform("p.rec_texts", lambda x: F.trim(x)), lambda x: x != "").alias("lines"), tops.alias("tops"))
+    placed = F.array_sort(F.transform(F.arrays_zip("tops", "lines"), lambda x, i: F.struct(x["tops"].alias("top"), i.alias("i"), x["lines"].alias("line"))))
+    ordered = F.when(F.size("tops") == F.size("lines"), F.transform(placed, lambda x: x["line"])).otherwise(F.col("lines"))
+    trimmed = F.filter(F.transform("lines", lambda x: F.trim(x)), lambda x: x != "")
+    both = plain.select("file_id", "cue", F.lit(0).alias("kind"), trimmed.alias("lines")).unionByName(said.select("file_id", "cue", F.lit(1).alias("kind"), ordered.alias("lines")))
+    best = both.where("cue is not null and size(lines) > 0").groupBy("file_id", "cue").agg(F.max_by("lines", "kind").alias("lines"))
+    return best.select("file_id", "cue", F.array_join("lines", "\n").alias("text"))
+
+
+def read_disc_xml(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What discs say of themselves, of each file the disc it lies on: titles (disc, pos, title, sec, episode),
+    audio_tracks (disc, pos, language, type, channels) in stream order, extras (disc, pos, name), header (disc, local_title, imdb).
+    """
+    text = spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), T.decode_bytes(F.col("content")).alias("x"))
+    of = lambda c, p: F.regexp_extract(c, p, 1)
+    some = lambda c: F.when(c != "", c)
+    each = lambda p, *names: text.select("disc", F.posexplode(F.regexp_extract_all("x", F.lit(p), F.lit(0))).alias("pos", "e"))
+    attr = lambda name: some(of(F.col("e"), rf"(?s)^<[^>]*?\b{name}\s*=\s*\"([^\"]*)\""))
+    titles = each(r"(?s)<Title\b[^>]*/?>").select("disc", "pos", attr("Name").alias("title"), T.hms_to_sec(attr("Duration")).alias("sec"), attr("Episode").try_cast("int").alias("episode"))
+    tracks = each(r"(?s)<AudioTrack\b[^>]*/?>").select("disc", "pos", attr("Language").alias("language"), attr("Type").alias("type"), attr("Channels").alias("channels"))
+    listed = F.split(of(F.col("x"), r"(?s)<ExtraFeatures[^>]*>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</ExtraFeatures>"), r"\r?\n")
+    extras = text.select("disc", F.posexplode(F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != "")).alias("pos", "name"))
+    header = text.select("disc", some(F.trim(of(F.col("x"), r"(?s)<LocalTitle>(.*?)</LocalTitle>"))).alias("local_title"), some(F.trim(of(F.col("x"), r"(?s)<IMDB>(.*?)</IMDB>"))).alias("imdb"))
+    return titles, tracks, extras, header
+
+
+STATE = "struct<r:string,label:string,tried:array<struct<title:string,sim:double>>,kept:string,cover:double,cues:int,offset:double>"
+CATALOGUE = "disc string, title_count int, titles array<struct<title:int,sec:double,source:string,streams:array<struct<n:int,type:string,lang:string,codec:string>>>>"
+MANIFEST = "out string, kind string, src string, crop string, title int, chapterStart int, chapterEnd int, subTrack string, audioTracks array<int>, audioLangs array<string>, origLang string, deinterlace boolean, allowRawStream boolean"
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """(rk, r, label, tried, kept, cover, cues, offset): state files, each one JSON object of verdicts by key."""
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    return whole.select(F.explode(F.from_json("value", f"map<string,{STATE}>")).alias("rk", "v")).select("rk", "v.*")
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a log of JSON lines, of the columns that schema names."""
+    return spark.read.schema(schema).json(path)
+
+
+def read_catalogue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(titles, streams) of nested catalogue files; the disc is a field, or the name of its folder."""
+    discs = spark.read.schema(CATALOGUE).json(path)
+    titles = discs.select("disc", F.explode("titles").alias("t")).select("disc", "t.*")
+    return titles.drop("streams"), titles.select("disc", "title", F.explode("streams").alias("s")).select("disc", "title", "s.*")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest rows with fixed columns; what a row leaves out is null. A file is one JSON list or JSON lines."""
+    return spark.read.schema(MANIFEST).json(path)
+
+
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """(rel, work, dir, name, ext, bytes, modified) of a folder and all below; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
@@ -82,8 +167,8 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_declared_title_sets(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, declared): the big-endian number at byte 0x3E of disc index files."""
-    return spark.read.format("binaryFile").load(glob).select("path", F.conv(F.hex(F.substring("content", 63, 2)), 16, 10).cast("int").alias("declared"))
+    """(disc, declared): the big-endian number at byte 0x3E of disc index files."""
+    return spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), F.conv(F.hex(F.substring("content", 63, 2)), 16, 10).cast("int").alias("declared"))
 
 
 def explode_media_streams(items: DataFrame) -> DataFrame:

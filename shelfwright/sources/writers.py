@@ -2,17 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
+from shelfwright.session import stored
+
+
+def write_files(files: DataFrame, path: str) -> DataFrame:
+    """One file for each row of files (name, content): path/name. Returns (name, bytes) of what was written.
+
+    Tasks write to a name of their own and then move it in place, so a task that runs again leaves the same files.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        store, top = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for name, content in zip(names, batch.column(1), strict=True):
+                at = f"{top}/{name}"
+                folder, _, leaf = at.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                tmp = f"{folder}/.{leaf}.{uuid.uuid4().hex}"
+                with store.open_output_stream(tmp) as out:
+                    out.write(content.as_py() or b"")
+                store.move(tmp, at)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c.as_py() or b"") for c in batch.column(1)], pa.int64())], ["name", "bytes"])
+
+    rows = files.select(F.col("name").cast("string").alias("name"), F.col("content").cast("binary").alias("content"))
+    return stored(rows.mapInArrow(run, "name string, bytes long"), "written")
 
 
-def write_srt(cues: DataFrame, path: str) -> None:
-    """K3: one renumbered subtitle text for each file, in a folder of its own below path."""
+def write_srt(cues: DataFrame, path: str) -> DataFrame:
+    """K3: one renumbered subtitle text for each file, path/<file_id>.srt, UTF-8 with plain line ends; (name, bytes) of each."""
     n = F.row_number().over(Window.partitionBy("file_id").orderBy("start_s", "cue"))
     block = F.concat_ws("\n", n.cast("string"), F.concat(T.sec_to_srt(F.col("start_s")), F.lit(" --> "), T.sec_to_srt(F.col("end_s"))), "text", F.lit(""))
-    files = cues.withColumn("n", n).withColumn("block", block).groupBy("file_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "block"))), lambda x: x["block"]), "\n").alias("value"))
-    files.write.partitionBy("file_id").mode("overwrite").option("lineSep", "\n").text(path)
+    blocks = F.transform(F.array_sort(F.collect_list(F.struct("n", "block"))), lambda x: x["block"])
+    files = cues.withColumn("n", n).withColumn("block", block).groupBy("file_id").agg(F.array_join(blocks, "\n").alias("content"))
+    return write_files(files.select(F.concat(F.col("file_id").cast("string"), F.lit(".srt")).alias("name"), "content"), path)
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
@@ -28,6 +60,6 @@ def write_catalogue(titles: DataFrame, streams: DataFrame, path: str) -> None:
     discs.write.partitionBy("disc").mode("overwrite").json(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """K4: rows added to a log of JSON lines."""
-    df.write.mode("append").json(path)
+def append_log(df: DataFrame, path: str, form: str = "json") -> None:
+    """K4: rows added to a log or state of JSON lines, CSV or Parquet; what was there stays."""
+    df.write.mode("append").format(form).save(path)

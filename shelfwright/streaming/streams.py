@@ -2,44 +2,66 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfwright.session import shared_dir
+from shelfwright.session import new_path
 
 
-def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60) -> DataFrame:
-    """A row for each change of a folder's verdict: SHORT, GROWING (complete, but not yet quiet), COMPLETE.
+def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: str = "1 minute", keep_s: int = 86_400) -> DataFrame:
+    """(folder, ts, verdict) for each change of a folder's verdict: SHORT, GROWING (complete, but not yet quiet), COMPLETE.
 
     obs (ts, folder, file, bytes) is a stream, source (folder, files, total) a table. A folder is COMPLETE once files
-    and bytes equal the source's and the last change is settle_s of event time old; then its state goes. State holds the
-    sizes of a folder's files.
+    and bytes equal the source's and no size has changed for settle_s of event time; its ts is when that came true. The
+    next observation tells it, or, if none comes, a timer as soon as the watermark (the latest time less `late`) has
+    passed. Then the sizes go, and later observations change nothing; what is left of the state goes keep_s after the
+    last of them. State holds the sizes of an unfinished folder's files.
     """
-    met = obs.join(source, "folder", "left")
+    met = obs.withWatermark("ts", late).join(source, "folder", "left")
 
     def gate(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        names, sizes, changed, said, done = state.get if state.exists else ([], [], 0.0, "", False)
-        held = dict(zip(names, sizes))
-        rows = pd.concat(list(chunks)).sort_values(["ts", "file"])
-        out = []
-        for r in rows.itertuples():
-            now = r.ts.timestamp()
+        names, sizes, changed, said, done, seen, same = state.get if state.exists else ([], [], 0, "", False, 0, False)
+        if state.hasTimedOut and done:
+            state.remove()
+            return
+        held, out = dict(zip(names, sizes, strict=True)), []
+
+        def finish(until: int) -> bool:
+            """Whether the folder was quiet for long enough before `until`."""
+            if same and not done and until >= changed + settle_s * 1_000_000:
+                out.append((key[0], pd.Timestamp(changed + settle_s * 1_000_000, unit="us"), "COMPLETE"))
+                return True
+            return False
+
+        if state.hasTimedOut:
+            done = finish(1 << 62)
+        rows = [] if state.hasTimedOut else pd.concat(list(chunks)).sort_values(["ts", "file"]).itertuples()
+        for r in rows:
+            now = r.ts.value // 1000
+            seen = max(seen, now)
+            done = done or finish(now)
+            if done:
+                continue
             if held.get(r.file) != r.bytes:
                 held[r.file], changed = r.bytes, now
             same = len(held) == r.files and sum(held.values()) == r.total
-            verdict = "SHORT" if not same else "COMPLETE" if now - changed >= settle_s else "GROWING"
-            if verdict != said and not done:
+            verdict = "GROWING" if same else "SHORT"
+            if verdict != said:
                 out.append((key[0], r.ts, verdict))
-                said, done = verdict, verdict == "COMPLETE"
-        state.update(([], [], changed, said, True) if done else (list(held), [int(v) for v in held.values()], changed, said, done))
+                said = verdict
+        held = {} if done else held
+        state.update((list(held), [int(v) for v in held.values()], changed, said, done, seen, same))
+        if done or same:
+            at = seen // 1000 + keep_s * 1000 if done else changed // 1000 + settle_s * 1000
+            state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["folder", "ts", "verdict"])
 
+    kind = obs.schema["folder"].dataType.simpleString()
     return met.groupBy("folder").applyInPandasWithState(
-        gate, "folder string, ts timestamp, verdict string", "names array<string>, sizes array<long>, changed double, said string, done boolean", "append", GroupStateTimeout.NoTimeout
+        gate, f"folder {kind}, ts timestamp, verdict string", "names array<string>, sizes array<long>, changed long, said string, done boolean, seen long, same boolean", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -50,33 +72,36 @@ def quiet_folders(obs: DataFrame, quiet: str = "5 minutes", late: str = "1 minut
 
 
 def transitions(status: DataFrame) -> DataFrame:
-    """(rk, event_id, event, before) where the status of a key changes. State is one status a key."""
+    """(rk, event_id, event, before) where the status of a key changes. State is one status a key.
+
+    A key's rows of one batch are one sorted frame, compared as columns; the source bounds a batch (maxFilesPerTrigger).
+    """
 
     def changes(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        out = []
-        for r in pd.concat(list(chunks)).sort_values(["ts", "event_id"]).itertuples():
-            if r.event != last:
-                out.append((key[0], r.event_id, r.event, last))
-                last = r.event
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["rk", "event_id", "event", "before"])
+        rows = pd.concat(list(chunks)).sort_values(["ts", "event_id"])
+        before = rows.event.shift(1).astype(object)
+        before.iloc[0] = state.get[0] if state.exists else None
+        changed = (rows.event != before).to_numpy()
+        state.update((rows.event.iloc[-1],))
+        yield pd.DataFrame({"rk": key[0], "event_id": rows.event_id[changed], "event": rows.event[changed], "before": before[changed]})
 
     return status.groupBy("rk").applyInPandasWithState(changes, "rk long, event_id long, event string, before string", "last string", "append", GroupStateTimeout.NoTimeout)
 
 
 def failure_breaker(log: DataFrame, n: int = 15, failure: str = "search_fail") -> DataFrame:
-    """(rk, event_id) of the n-th failure in a row of a key; a success resets the count."""
+    """(rk, event_id) of the n-th failure in a row of a key; a success resets the count. State is one count a key.
+
+    A key's rows of one batch are one sorted frame, counted as columns; the source bounds a batch (maxFilesPerTrigger).
+    """
 
     def count(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        failures = state.get[0] if state.exists else 0
-        out = []
-        for r in pd.concat(list(chunks)).sort_values(["ts", "event_id"]).itertuples():
-            failures = failures + 1 if r.event == failure else 0
-            if failures == n:
-                out.append((key[0], r.event_id))
-        state.update((failures,))
-        yield pd.DataFrame(out, columns=["rk", "event_id"])
+        rows = pd.concat(list(chunks)).sort_values(["ts", "event_id"])
+        failed = rows.event == failure
+        run = (~failed).cumsum()
+        length = failed.groupby(run).cumsum() + (state.get[0] if state.exists else 0) * (run == 0)
+        length = length.where(failed, 0)
+        state.update((int(length.iloc[-1]),))
+        yield pd.DataFrame({"rk": key[0], "event_id": rows.event_id[(length == n).to_numpy()]})
 
     return log.groupBy("rk").applyInPandasWithState(count, "rk long, event_id long", "failures int", "append", GroupStateTimeout.NoTimeout)
 
@@ -95,29 +120,58 @@ def new_work(manifests: DataFrame, state: DataFrame, late: str = "1 hour") -> Da
 
 
 def latest_state(log: DataFrame) -> DataFrame:
-    """The latest event of each key, in update or complete mode."""
-    latest = log.groupBy("rk").agg(F.max_by(F.struct("event", "event_id"), F.struct("ts", "event_id")).alias("x"))
-    return latest.select("rk", F.col("x.event").alias("event"), F.col("x.event_id").alias("event_id"))
+    """The latest event of each key that a batch changes, in update mode (all keys in complete mode)."""
+    latest = log.groupBy("rk").agg(F.max_by(F.struct("event", "event_id", "ts"), F.struct("ts", "event_id")).alias("x"))
+    return latest.select("rk", F.col("x.event").alias("event"), F.col("x.event_id").alias("event_id"), F.col("x.ts").alias("ts"))
+
 
+def upserts(stream: DataFrame, path: str):
+    """A writer of what each batch changes, as path/batch=N: a batch that runs again writes the same folder, and no batch
+    writes what another has written. latest_of() reads it, compact() makes one batch of many."""
+    return stream.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"))
 
-def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """What a stream emits for all that is there now, as a table in the shared folder.
 
-    append: every batch adds rows, exactly once by the sink's own log; complete: each batch replaces the table.
+def latest_of(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest row of each key of what upserts() wrote."""
+    rows = spark.read.schema(schema.add("batch", "long")).option("basePath", path).parquet(path)
+    names = [c for c in rows.columns if c not in ("rk", "batch")]
+    return rows.groupBy("rk").agg(F.max_by(F.struct(*names), "batch").alias("x")).select("rk", *(F.col(f"x.{c}").alias(c) for c in names))
+
+
+def drained(stream: DataFrame, mode: str = "append", top: str | None = None) -> DataFrame:
+    """What a stream emits for all that is there now, as a table in the shared folder; with top, going on where a run there ended.
+
+    append: every batch adds rows, exactly once by the sink's own log; update: batches of changed rows by key rk, of which
+    the newest count; complete: each batch replaces the table.
     """
     spark = stream.sparkSession
-    top = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{top}/log").trigger(availableNow=True)
+    top = top or new_path(spark, "stream")
     if mode == "append":
-        writer.format("parquet").option("path", f"{top}/out").start().awaitTermination()
+        writer = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{top}/out")
+    elif mode == "update":
+        writer = upserts(stream, f"{top}/out")
     else:
-        writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{top}/out")).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{top}/out")
+        writer = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{top}/out"))
+    writer.option("checkpointLocation", f"{top}/log").trigger(availableNow=True).start().awaitTermination()
+    return latest_of(spark, f"{top}/out", stream.schema) if mode == "update" else spark.read.schema(stream.schema).parquet(f"{top}/out")
 
 
-def events_stream(spark: SparkSession, sf_dir: str, per_batch: int | None = None) -> DataFrame:
-    """The events table as a stream (event_id, ts, rk, event)."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
-    raw = (reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)).parquet(sf_dir)
-    return raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("rk"), F.when(F.col("event_type") == "error", "search_fail").otherwise(F.col("event_type")).alias("event"))
+def replayed(table: DataFrame, arrives, build: Callable[[DataFrame], DataFrame], slices: int = 3, mode: str = "append") -> DataFrame:
+    """What build(stream) emits if table arrives in slices, those rows first for which arrives(k) holds for the lowest k.
+
+    After each slice the query ends and is started anew from its checkpoint, so state has to survive both.
+    """
+    spark = table.sparkSession
+    top = new_path(spark, "replay")
+    out = None
+    for k in range(slices):
+        table.where(arrives(k)).write.mode("append").parquet(f"{top}/in")
+        stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1000).parquet(f"{top}/in")
+        out = drained(build(stream), mode, f"{top}/run")
+    return out
+
+
+def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a log (event_id, ts, rk, event)."""
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("rk"), F.when(F.col("event_type") == "error", "search_fail").otherwise(F.col("event_type")).alias("event"), "value")
