@@ -14,13 +14,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+class Proxies:
+    """The proxies of the tables that a session has registered, by name."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __call__(self, name: str) -> DataFrame:
+        return view(self.spark, name)
+
+
 def query(name: str, views: list[str], sql: str):
     """Registers make(px) -> DataFrame under name, px giving a proxy by its name, and its SQL over the same proxies."""
 
     def add(make):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             register(spark, sf_dir)
-            return make(lambda v: view(spark, v))
+            return make(Proxies(spark))
 
         QUERIES[name] = run
         ORACLE_SQL[name] = f"WITH {with_parts(views)}\n{sql}" if views else sql  # sql may go on with further parts
@@ -272,10 +282,17 @@ def _(px):
     return A.anchor_fit(cues.withColumn("start_s", F.col("start_s") * 5.0), anchors)
 
 
-@query("t13_repair_pipes", [], "SELECT doc_id, length(text) - length(replace(text, '|', '')) AS n, md5(replace(text, '|', 'I')) AS digest FROM documents")
+@query(
+    "t13_repair_pipes",
+    [],
+    r"""SELECT doc_id, list_sum(list_transform(l, lambda x: CASE WHEN regexp_full_match(x, '\d+\s*') OR contains(x, '-->') THEN 0 ELSE length(x) - length(replace(x, '|', '')) END))::BIGINT AS n,
+  md5(array_to_string(list_transform(l, lambda x: CASE WHEN regexp_full_match(x, '\d+\s*') OR contains(x, '-->') THEN x ELSE replace(x, '|', 'I') END), chr(10))) AS digest
+FROM (SELECT doc_id, string_split('12' || chr(10) || '00:00:01,000 --> 00:00:02,000 | x' || chr(10) || '|t |s' || chr(10) || text, chr(10)) AS l FROM documents)""",
+)
 def _(px):
-    fixed = px("px_cues").select(F.col("file_id").alias("doc_id"), T.repair_pipes(F.col("text")).alias("r"))
-    return fixed.select("doc_id", F.col("r.n").alias("n"), F.md5("r.text").alias("digest"))
+    cue = F.concat(F.lit("12\n00:00:01,000 --> 00:00:02,000 | x\n|t |s\n"), "text")
+    fixed = px("px_cues").select(F.col("file_id").alias("doc_id"), T.repair_pipes(cue).alias("r"))
+    return fixed.select("doc_id", F.col("r.n").cast("long").alias("n"), F.md5("r.text").alias("digest"))
 
 
 @query("t1_norm_ascii", [], f"SELECT doc_id, md5({_norm('text')}) AS digest FROM documents")
@@ -294,7 +311,7 @@ def _(px):
 
 
 def _events(px):
-    return SparkSession.getActiveSession().table("events")
+    return px.spark.table("events")
 
 
 @query("j3_verify_copies", ["px_src", "px_dst"], "SELECT s.rel, CASE WHEN d.bytes IS NULL THEN 'MISSING' WHEN d.bytes <> s.bytes THEN 'SIZE' ELSE 'OK' END AS verdict FROM px_src s LEFT JOIN px_dst d USING (rel)")
@@ -358,7 +375,9 @@ def _(px):
 @query(
     "j11_verify_episode_slots",
     ["px_agent", "px_files"],
-    """SELECT rk, file, CASE m WHEN 5 THEN 'NOFILE' WHEN 2 THEN 'OK(combined)' WHEN 0 THEN 'OK' WHEN 1 THEN 'OK(normalised)' WHEN 4 THEN 'NOTITLE' ELSE 'MISMATCH' END AS verdict, m <> 5 AS slot_ok FROM px_agent JOIN px_files USING (rk)""",
+    r""", p AS (SELECT a.rk, a.title, a.idx, f.file, regexp_extract(file, '(?i)E(\d+)', 1) AS e1, regexp_extract(file, '(?i)-E(\d+)', 1) AS e2, regexp_extract(file, ' - (.+)\.[^.]+$', 1) AS t FROM px_agent a JOIN px_files f USING (rk)),
+q AS (SELECT *, coalesce(idx BETWEEN try_cast(e1 AS INT) AND try_cast(coalesce(nullif(e2, ''), e1) AS INT), false) AS inside, regexp_replace(regexp_replace(lower(t), '[^a-z0-9]', '', 'g'), '^(the|a|an)', '') AS tn, regexp_replace(regexp_replace(lower(title), '[^a-z0-9]', '', 'g'), '^(the|a|an)', '') AS an FROM p)
+SELECT rk, file, CASE WHEN file IS NULL THEN 'NOFILE' WHEN inside AND e2 <> '' AND e2::INT > e1::INT THEN 'OK(combined)' WHEN lower(t) = lower(title) THEN 'OK' WHEN t <> '' AND tn = an THEN 'OK(normalised)' WHEN t = '' THEN 'NOTITLE' ELSE 'MISMATCH' END AS verdict, inside AS slot_ok FROM q""",
 )
 def _(px):
     return J.verify_episode_slots(px("px_agent"), px("px_files").select("rk", "file")).select("rk", "file", "verdict", "slot_ok")
@@ -378,16 +397,16 @@ def _(px):
 @query(
     "j5_match_by_runtime",
     ["px_canon"],
-    """, f AS (SELECT ok AS file_id, show_name, CASE WHEN ok % 9 <> 0 THEN mins + ok % 5 * 1.3 END AS file_mins FROM px_canon WHERE ok % 3 = 0),
-d AS (SELECT file_id, c.idx, abs(file_mins - mins) AS d, row_number() OVER (PARTITION BY file_id ORDER BY abs(file_mins - mins) NULLS FIRST, c.idx) AS p FROM f JOIN px_canon c USING (show_name)),
+    """, e AS (SELECT show_name, ok % 3 AS season, idx, mins, ok FROM px_canon), f AS (SELECT ok AS file_id, show_name, season, CASE WHEN ok % 9 <> 0 THEN mins + ok % 5 * 1.3 END AS file_mins FROM e),
+d AS (SELECT file_id, e.idx, abs(file_mins - mins) AS d, row_number() OVER (PARTITION BY file_id ORDER BY abs(file_mins - mins), e.idx) AS p FROM f JOIN e USING (show_name, season) WHERE file_mins IS NOT NULL),
 t AS (SELECT file_id, min(idx) FILTER (p = 1) AS idx, round_even(min(d), 1) AS delta, max(d) FILTER (p = 2) AS d2 FROM d WHERE p <= 2 GROUP BY 1)
 SELECT file_id, idx, delta, CASE WHEN idx IS NULL THEN NULL WHEN d2 IS NULL THEN 99.0 ELSE round_even(d2 - delta, 1) + 0.0 END AS gap,
   CASE WHEN file_mins IS NULL THEN 'NO DURATION' WHEN idx IS NULL OR delta > 3 THEN 'NO CLOSE MATCH' WHEN (CASE WHEN d2 IS NULL THEN 99.0 ELSE round_even(d2 - delta, 1) END) < 1 THEN 'AMBIGUOUS' ELSE 'ok' END AS verdict FROM f LEFT JOIN t USING (file_id)""",
 )
 def _(px):
-    c = px("px_canon")
-    files = c.where("ok % 3 = 0").select(F.col("ok").alias("file_id"), "show", F.when(F.col("ok") % 9 != 0, F.col("mins") + F.col("ok") % 5 * 1.3).alias("file_mins"))
-    return J.match_by_runtime(files, c.select("show", "idx", "mins"))
+    c = px("px_canon").withColumn("season", F.col("ok") % 3)
+    files = c.select(F.col("ok").alias("file_id"), "show", "season", F.when(F.col("ok") % 9 != 0, F.col("mins") + F.col("ok") % 5 * 1.3).alias("file_mins"))
+    return J.match_by_runtime(files, c.select("show", "season", "idx", "mins"))
 
 
 @query(
@@ -403,7 +422,8 @@ def _(px):
 @query(
     "a8_audio_gaps",
     ["px_packets"],
-    """, p AS (SELECT *, lag(pts) OVER (PARTITION BY file_id, track ORDER BY pts) AS prev, count(*) OVER (PARTITION BY file_id, track) AS n FROM px_packets WHERE pts BETWEEN 0 AND 60),
+    """, pr AS (SELECT file_id, CASE WHEN max(pts) < 1 + 60 THEN round_even(max(pts)::DOUBLE * 0.25, 0) ELSE 1 END AS from_s FROM px_packets GROUP BY 1),
+p AS (SELECT *, lag(pts) OVER (PARTITION BY file_id, track ORDER BY pts) AS prev, count(*) OVER (PARTITION BY file_id, track) AS n FROM px_packets JOIN pr USING (file_id) WHERE pts BETWEEN from_s AND from_s + 60),
 d AS (SELECT *, pts - prev AS d FROM p WHERE prev IS NOT NULL AND n >= 50), m AS (SELECT file_id, track, list_sort(list(d)) AS l FROM d GROUP BY 1, 2),
 a AS (SELECT file_id, track, l[least(CAST(round_even(len(l) / 2, 0) AS INT), len(l) - 1) + 1] AS approx FROM m),
 f AS (SELECT file_id, track, avg(d) FILTER (d < 1.5 * approx) AS frame, count(*) FILTER (d < 1.5 * approx) AS usual, min(prev) AS first, max(pts) AS last, count(*) AS present FROM d JOIN a USING (file_id, track) WHERE approx > 0 GROUP BY 1, 2),
@@ -412,7 +432,8 @@ SELECT file_id, track, round_even(frame, 6) AS frame, round_even(100 * (e - pres
   CASE WHEN 100 * (e - present) / e >= 1.0 THEN 'FLAG' ELSE 'ok' END AS verdict FROM (SELECT *, round_even((last - first) / frame, 0) AS e FROM f WHERE usual >= 10) LEFT JOIN g USING (file_id, track)""",
 )
 def _(px):
-    return A.audio_gaps(px("px_packets").withColumn("pts", F.col("pts").cast("double")))
+    packets = px("px_packets").withColumn("pts", F.col("pts").cast("double"))
+    return A.audio_gaps(packets, packets.groupBy("file_id").agg(F.max("pts").alias("sec")), start=1.0)
 
 
 @query(
@@ -430,11 +451,10 @@ def _(px):
     return W.transitions(px("px_log")).select("event_id", "rk", "event", "before")
 
 
-@query("o2_merge_state", ["px_log"], "SELECT rk, arg_max(event, (ts, event_id)) AS event, max(event_id) FILTER (true) IS NOT NULL AS seen FROM px_log GROUP BY 1")
+@query("o2_merge_state", ["px_log"], "SELECT rk, arg_max(event, (ts, event_id)) AS event, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM px_log GROUP BY 1")
 def _(px):
     log = px("px_log").select("rk", "ts", "event_id", "event")
-    merged = W.merge_state(log.where("event_id % 2 = 0"), log.where("event_id % 2 = 1"))
-    return merged.select("rk", "event", F.lit(True).alias("seen"))
+    return W.merge_state(log.where("event_id % 2 = 0"), log.where("event_id % 2 = 1")).select("rk", "event", "ts", "event_id")
 
 
 @query("j16_todo", ["px_items", "px_log"], "SELECT rk, duration FROM px_items ANTI JOIN px_log ON px_items.rk = px_log.rk")
@@ -460,7 +480,7 @@ def _(px):
     "SELECT conv_id AS file_id, turn AS cue, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE turn % 6 <> 5 AND trim(text) <> ''",
 )
 def _(px):
-    c = SparkSession.getActiveSession().table("conversations").select(F.col("conv_id").alias("file_id"), F.col("turn").alias("cue"), "text")
+    c = px.spark.table("conversations").select(F.col("conv_id").alias("file_id"), F.col("turn").alias("cue"), "text")
     return J.merge_ocr(c.select("file_id", "cue"), c.where("cue % 6 <> 5")).select("file_id", "cue", "n")
 
 
@@ -471,6 +491,6 @@ def _(px):
  FROM (SELECT text, CASE turn % 3 WHEN 0 THEN text WHEN 1 THEN text || '!' ELSE text || ' more' END AS y FROM conversations)) GROUP BY 1""",
 )
 def _(px):
-    c = SparkSession.getActiveSession().table("conversations").select(F.col("conv_id").alias("file_id"), F.col("turn").alias("cue"), "text")
+    c = px.spark.table("conversations").select(F.col("conv_id").alias("file_id"), F.col("turn").alias("cue"), "text")
     other = F.when(F.col("cue") % 3 == 0, F.col("text")).when(F.col("cue") % 3 == 1, F.concat("text", F.lit("!"))).otherwise(F.concat("text", F.lit(" more")))
     return A.engine_agreement(c, c.withColumn("text", other))

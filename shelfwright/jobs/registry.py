@@ -1,6 +1,6 @@
 """All queries of the library and their SQL."""
 
-from shelfwright.jobs import audit_queries, composite_queries, stream_queries
+from shelfwright.jobs import audit_queries, composite_queries, queries, stream_queries, text_queries  # noqa: F401
 
-QUERIES = audit_queries.queries.QUERIES | composite_queries.QUERIES | stream_queries.QUERIES
-ORACLE_SQL = audit_queries.queries.ORACLE_SQL | composite_queries.ORACLE_SQL | stream_queries.ORACLE_SQL
+QUERIES = queries.QUERIES | stream_queries.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | stream_queries.ORACLE_SQL

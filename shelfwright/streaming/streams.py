@@ -20,7 +20,7 @@ def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: st
     passed. Then the sizes go, and later observations change nothing; what is left of the state goes keep_s after the
     last of them. State holds the sizes of an unfinished folder's files.
     """
-    met = obs.withWatermark("ts", late).join(source, "folder", "left")
+    met = obs.withWatermark("ts", late).withColumn("us", F.unix_micros("ts")).join(source, "folder", "left")
 
     def gate(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         names, sizes, changed, said, done, seen, same = state.get if state.exists else ([], [], 0, "", False, 0, False)
@@ -32,15 +32,15 @@ def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: st
         def finish(until: int) -> bool:
             """Whether the folder was quiet for long enough before `until`."""
             if same and not done and until >= changed + settle_s * 1_000_000:
-                out.append((key[0], pd.Timestamp(changed + settle_s * 1_000_000, unit="us"), "COMPLETE"))
+                out.append((key[0], changed + settle_s * 1_000_000, "COMPLETE"))
                 return True
             return False
 
         if state.hasTimedOut:
             done = finish(1 << 62)
-        rows = [] if state.hasTimedOut else pd.concat(list(chunks)).sort_values(["ts", "file"]).itertuples()
+        rows = [] if state.hasTimedOut else pd.concat(list(chunks)).sort_values(["us", "file"]).itertuples()
         for r in rows:
-            now = r.ts.value // 1000
+            now = r.us
             seen = max(seen, now)
             done = done or finish(now)
             if done:
@@ -50,19 +50,20 @@ def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: st
             same = len(held) == r.files and sum(held.values()) == r.total
             verdict = "GROWING" if same else "SHORT"
             if verdict != said:
-                out.append((key[0], r.ts, verdict))
+                out.append((key[0], now, verdict))
                 said = verdict
         held = {} if done else held
         state.update((list(held), [int(v) for v in held.values()], changed, said, done, seen, same))
         if done or same:
             at = seen // 1000 + keep_s * 1000 if done else changed // 1000 + settle_s * 1000
             state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["folder", "ts", "verdict"])
+        yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
 
     kind = obs.schema["folder"].dataType.simpleString()
-    return met.groupBy("folder").applyInPandasWithState(
-        gate, f"folder {kind}, ts timestamp, verdict string", "names array<string>, sizes array<long>, changed long, said string, done boolean, seen long, same boolean", "append", GroupStateTimeout.EventTimeTimeout
+    told = met.groupBy("folder").applyInPandasWithState(
+        gate, f"folder {kind}, us long, verdict string", "names array<string>, sizes array<long>, changed long, said string, done boolean, seen long, same boolean", "append", GroupStateTimeout.EventTimeTimeout
     )
+    return told.select("folder", F.timestamp_micros("us").alias("ts"), "verdict")
 
 
 def quiet_folders(obs: DataFrame, quiet: str = "5 minutes", late: str = "1 minute") -> DataFrame:
