@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwright.operators import aggregates as A, predicates as P, ranking as W, reconcile as J
+from shelfwright.functions import text as T
+from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
 
 
 def subtitle_search(items: DataFrame, streams: DataFrame, decided: DataFrame, candidates: DataFrame, blocklist: DataFrame, spans: DataFrame) -> DataFrame:
@@ -29,3 +30,111 @@ def disc_accounting(titles: DataFrame, dispositions: DataFrame, discs: DataFrame
     missing = J.unaccounted_titles(titles, dispositions)
     gate = A.disc_gate(discs, missing, P.bad_exclusions(dispositions))
     return gate, J.unaccounted_titles(labelled, dispositions)
+
+
+def ocr_publish(timings: DataFrame, texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None, media: DataFrame, local: DataFrame, remote: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """From read pictures to what may be copied: (cues, gates, status, plan).
+
+    timings (file_id, cue, start_s, end_s), texts (file_id, cue, text), probes (file_id, sec, max_packets), media (base,
+    populated, dur), local (work, rel, base, bytes), remote (rel, bytes). cues are those of files that pass the gates,
+    repaired and numbered, as write_srt() takes them; a work with a file that still waits for its subtitles is held; the
+    plan has the files of works that are ready.
+    """
+    merged = J.merge_ocr(timings, texts).withColumn("text", T.repair_pipes(F.col("text"))["text"])
+    span = F.concat(T.sec_to_srt(F.col("start_s")), F.lit(" --> "), T.sec_to_srt(F.col("end_s")))
+    block = F.concat_ws("\n", F.col("n").cast("string"), span, "text", F.lit(""))
+    whole = merged.groupBy("file_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", block.alias("b")))), lambda x: x["b"]), "\n").alias("text"))
+    gates = A.ocr_gates(whole, probes, dictionary)
+    passed = gates.where("verdict = 'ok'").select("file_id")
+    waiting = J.awaiting_sidecar(media, passed.select(F.col("file_id").cast(media.schema["base"].dataType).alias("base")))
+    held = local.join(waiting.select("base"), "base", "left_semi").select("rel")
+    status = A.work_status(local.drop("base"), remote, held)
+    ready = local.join(status.where("verdict = 'READY'").select("work"), "work", "left_semi")
+    return merged.join(passed, "file_id", "left_semi"), gates, status, J.copy_plan(ready, remote, overwrite=True)
+
+
+def resync(tracks: DataFrame, cues: DataFrame, alignments: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C4: (state, moved): what became of each item's subtitle, and the cues of those that were corrected.
+
+    tracks (rk, ordinal, cues, forced), cues (rk, ordinal, cue, start_s, end_s, text), alignments (rk, offset, scale), anchors
+    (file_id = rk, dur, oa, ob). The fullest track that is not forced is taken. A correction is proposed by the
+    alignment and has to be borne out by both anchors; else it is left for review with the reason.
+    """
+    picked = W.pick_subtitle(tracks).where("picked").select("rk", "ordinal")
+    judged = P.offset_verdict(alignments)
+    taken = cues.join(picked, ["rk", "ordinal"], "left_semi")
+    wanted = judged.where("verdict = 'refine'").select("rk")
+    fit = A.anchor_fit(taken.join(wanted, "rk", "left_semi").select(F.col("rk").alias("file_id"), "start_s"), anchors).withColumnRenamed("file_id", "rk").withColumnRenamed("scale", "scale2")
+    rows = tracks.select("rk").distinct().join(picked, "rk", "left").join(judged.select("rk", "offset", "verdict"), "rk", "left").join(fit, "rk", "left")
+    r = (
+        F.when(F.col("ordinal").isNull(), "no_usable_sub").when(F.col("verdict").isNull(), "align_fail").when(F.col("verdict") != "refine", F.col("verdict"))
+        .when(F.col("reason") == "ok", "resynced").otherwise("needs_review")
+    )
+    state = rows.select("rk", r.alias("r"), "offset", F.when(F.col("verdict") == "refine", F.coalesce("reason", F.lit("too_few_cues"))).alias("why"), "scale2", "shift")
+    moved = taken.join(state.where("r = 'resynced'").select("rk", "scale2", "shift"), "rk")
+    at = lambda c: T.shift_scaled(F.col(c), F.col("scale2"), F.col("shift")).alias(c)
+    return state, moved.select("rk", "ordinal", "cue", at("start_s"), at("end_s"), "text")
+
+
+def episode_identity(orderings: DataFrame, a: str, b: str, files: DataFrame, agent: DataFrame, frames: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(evidence, shifted, plan): what speaks for and against each file's place, and how to rename what is shifted.
+
+    orderings (show, ordering, season, idx, title, mins), files (file_id = rk, show, season, idx, file, title, file_mins),
+    agent (rk, show, season, idx, title), frames (file_id, t, text). Evidence of a file: whether the orderings disagree at
+    its place, the canonical episode of its running time, the verdicts of its slot and of its title card.
+    """
+    torn = J.compare_orderings(orderings, a, b).select("show", "season", "idx").distinct().withColumn("torn", F.lit(True))
+    near = J.match_by_runtime(files, orderings.where(F.col("ordering") == a)).select("file_id", F.col("idx").alias("near_idx"), F.col("verdict").alias("runtime"))
+    slots = J.verify_episode_slots(agent, files.select(F.col("file_id").alias("rk"), "file")).select(F.col("rk").alias("file_id"), F.col("verdict").alias("slot"))
+    cards = W.best_card_frame(frames, files.select("file_id", "title")).select("file_id", F.col("verdict").alias("card"))
+    evidence = files.select("file_id", "show", "season", "idx").join(near, "file_id", "left").join(slots, "file_id", "left").join(cards, "file_id", "left").join(torn, ["show", "season", "idx"], "left")
+    shifted = W.uniform_shift(agent, files)
+    plan = W.rename_plan(files.select("show", "season", "idx"), shifted.select("show", "season", "shift"))
+    return evidence.withColumn("torn", F.coalesce("torn", F.lit(False))), shifted, plan
+
+
+def manifest(table: DataFrame, streams: DataFrame, playlists: DataFrame, lists: DataFrame, root: str, src_root: str, disc_form: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, aborts): manifest rows with paths, subtitle track and labelled audio, and what a preflight holds against them.
+
+    table (file_id, disc, show, season, ep, name, kind, clip, sec, width, height, field_order, orig_lang, sub_track), streams
+    (file_id, ordinal, kind: audio or subtitle, lang), playlists (disc, playlist, clips), lists (disc, playlist, sec). A row
+    that aborts (a truncated stream, a standard source as Blu-ray, a wanted subtitle tag that is missing) is not in rows.
+    """
+    cut = J.truncated_streams(table.select("disc", F.col("clip").alias("stem"), "sec"), lists, playlists).select("disc", F.col("stem").alias("clip")).distinct()
+    short = table.join(cut, ["disc", "clip"], "left_semi").select("file_id", F.lit("truncated stream").alias("reason"))
+    standard = P.geometry_flags(table).where("abort").select("file_id", F.lit("standard source as BD").alias("reason"))
+    subs = P.select_track(table.select("file_id", "sub_track"), streams.where("kind = 'subtitle'"))
+    untagged = subs.where("verdict = 'ABORT'").select("file_id", F.lit("no such subtitle").alias("reason"))
+    aborts = short.unionByName(standard).unionByName(untagged)
+    good = table.join(aborts, "file_id", "left_anti")
+    audio = streams.where("kind = 'audio'").join(good.select("file_id", "orig_lang"), "file_id")
+    entry = "array<struct<idx:int,title:string>>"
+    none = lambda kind: F.lit(None).cast(kind)
+    kept = P.keep_audio(audio, F.coalesce("orig_lang", F.lit("eng")))
+    labels = P.label_audio(kept, audio.drop("orig_lang"), good.select("file_id", "orig_lang", none("array<string>").alias("audio_langs"), none(entry).alias("commentary"), none(entry).alias("description")))
+    tracks = labels.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("place", "ordinal", "language"))).alias("a"))
+    rows = good.join(tracks, "file_id", "left").join(subs.select("file_id", F.col("ordinal").alias("subTrack")), "file_id", "left")
+    out = T.library_path(F.lit(root), F.col("show"), F.col("season"), F.col("ep"), F.col("name"))
+    src = T.source_path(F.lit(src_root), F.lit(disc_form), F.col("disc").cast("string"), F.col("kind"), F.col("clip"))
+    pick = lambda f: F.transform("a", lambda x: x[f])
+    return rows.select("file_id", out.alias("out"), src.alias("src"), "kind", F.col("subTrack").cast("string").alias("subTrack"), pick("ordinal").alias("audioTracks"), pick("language").alias("audioLangs")), aborts
+
+
+def library_audit(listing: DataFrame, streams: DataFrame, probes: DataFrame, agent: DataFrame, shipped: DataFrame, indexed: DataFrame, tracks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(findings, rollup): every finding of the audits as (check, key, verdict), and files and GB by kind and day.
+
+    listing (file_id, kind, work, grp, rel, dir, name, ext, bytes, created), the others as their audits take them.
+    """
+    row = lambda df, check, key, verdict: df.select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"), F.col(verdict).alias("verdict"))
+    findings = [
+        row(U.survey_subtitles(listing, streams, U.IMAGE_CODECS, P.TEXT_CODECS).where("needs_ocr <> 'no'"), "subtitles", "rel", "needs_ocr"),
+        row(A.stub_inventory(listing, probes).where("verdict not like 'ok%'"), "stub", "file_id", "verdict"),
+        row(U.audit_specials(agent).where("verdict not in ('ok', 'NOTE')"), "special", "rk", "verdict"),
+        row(U.unindexed_extras(shipped, indexed).withColumn("verdict", F.lit("not indexed")), "extra", "base", "verdict"),
+        row(P.layout_violations(listing), "layout", "dir", "reason"),
+        row(U.audio_review(tracks).where("verdict <> 'ok'"), "audio", "file_id", "verdict"),
+    ]
+    out = findings[0]
+    for df in findings[1:]:
+        out = out.unionByName(df)
+    return out, A.inventory_rollup(listing)

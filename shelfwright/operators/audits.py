@@ -78,7 +78,8 @@ def reconcile_durations(claimed: DataFrame, measured: DataFrame, tol: float = 30
         return pd.DataFrame(out, columns=["disc", "claimed", "measured"]).astype({"claimed": float, "measured": float})
 
     schema = f"disc {claimed.schema['disc'].dataType.simpleString()}, claimed double, measured double"
-    got = claimed.select("disc", "sec").groupBy("disc").cogroup(measured.select("disc", "sec").groupBy("disc")).applyInPandas(match, schema)
+    timed = lambda df: df.select("disc", F.col("sec").cast("double").alias("sec")).groupBy("disc")
+    got = timed(claimed).cogroup(timed(measured)).applyInPandas(match, schema)
     return got.withColumn("measured", F.when(~F.isnan("measured"), F.col("measured")))
 
 

@@ -114,7 +114,7 @@ def label_audio(kept: DataFrame, tracks: DataFrame, manifest: DataFrame) -> Data
         several = F.when(F.size(entries) > 1, F.lit(1))
         title = lambda x, i: F.coalesce(x["title"], F.when(several.isNotNull(), F.concat(F.lit(f"{plain} "), (i + 1).cast("string"))), F.lit(plain))
         numbered = F.transform(entries, lambda x, i: F.struct(x["idx"].alias("idx"), title(x, i).alias("title")))
-        return F.element_at(F.filter(numbered, lambda x: x["idx"] == F.col("ordinal")), -1)["title"]
+        return F.try_element_at(F.filter(numbered, lambda x: x["idx"] == F.col("ordinal")), F.lit(-1))["title"]
 
     rows = rows.withColumns({"_c": F.when(F.size("commentary") > 0, named("commentary", "Audio Commentary")), "_d": F.when(F.size("description") > 0, named("description", "Audio Description"))})
     disposition = F.when(F.col("_d").isNotNull(), "visual_impaired").when(F.col("_c").isNotNull(), "comment")
