@@ -36,7 +36,7 @@ FROM lineitem GROUP BY 1, 2, 3""",
     "px_agent": """SELECT p_brand AS show_name, CAST(1 + p_size % 5 AS INT) AS season, CAST(p_partkey % 30 AS INT) AS idx, p_partkey AS rk, p_name AS title, p_partkey % 6 AS m FROM part""",
     "px_files": """SELECT rk, season, idx, CASE m WHEN 0 THEN 'Show S0' || season || 'E' || idx || ' - ' || title || '.mkv' WHEN 1 THEN 'Show S0' || season || 'E' || idx || ' - ' || upper(title) || '!.mkv'
   WHEN 2 THEN 'Show S0' || season || 'E' || idx || '-E' || (idx + 1) || '.mkv' WHEN 3 THEN 'Show S0' || season || 'E' || idx || ' - Some other thing.mkv' WHEN 4 THEN 'Show S0' || season || 'E' || idx || '.mkv' ELSE NULL END AS file FROM px_agent""",
-    "px_canon": """SELECT o_custkey AS show_name, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS idx, 20.0 + floor(o_totalprice) % 400 / 10.0 AS mins, o_orderkey AS ok FROM orders""",
+    "px_canon": """SELECT o_custkey AS show_name, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS idx, CAST((200 + CAST(floor(o_totalprice) AS BIGINT) % 400) / 10.0 AS DOUBLE) AS mins, o_orderkey AS ok FROM orders""",
     "px_log": """SELECT event_id, ts, user_id AS rk, CASE WHEN event_type = 'error' THEN 'search_fail' ELSE event_type END AS event FROM events""",
     "px_cues": """SELECT doc_id AS file_id, n_chars, text FROM documents""",
 }

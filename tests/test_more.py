@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
 
 
@@ -34,9 +36,15 @@ def test_sidecars(spark):
     assert {r.base: r.verdict for r in J.awaiting_sidecar(media, table(spark, "base string", ("d",))).collect()} == {"a": "AWAITING", "b": "ENCODING"}
     spans = table(spark, "file_id string, last_end double", ("a", 990.0), ("b", 100.0), ("c", 5.0))
     assert {r.file_id: r.verdict for r in J.orphan_sidecars(spans, table(spark, "file_id string, dur double", ("a", 1000.0), ("b", 1000.0))).collect()} == {"a": "ok", "b": "FAR FROM END", "c": "NO MEDIA"}
-    media = table(spark, "rel string", ("a",), ("b",), ("c",))
-    packets, read = table(spark, "rel string, packets int", ("a", 3), ("b", 4)), table(spark, "rel string, cues int", ("b", 0), ("a", 7))
-    assert {r.rel: r.verdict for r in U.bitmap_populated(media, packets, read).collect()} == {"a": "populated", "b": "exhausted", "c": "empty"}
+    when = dt.datetime(2024, 1, 1)
+    media = table(spark, "rel string, bytes long, modified timestamp", ("a", 1, when), ("b", 1, when), ("c", 1, when), ("d", 1, when))
+    streams = table(spark, "rel string, codec string, packets int", ("a", "dvd_subtitle", 3), ("b", "dvd_subtitle", 4), ("c", "hdmv_pgs_subtitle", 0), ("c", "subrip", 9), ("d", "subrip", 5))
+    got = U.bitmap_populated(media, streams, table(spark, "rel string, cues int", ("b", 0), ("a", 7)))
+    assert {r.rel: r.verdict for r in got.collect()} == {"a": "populated", "b": "exhausted", "c": "empty"}
+    # A kept verdict holds until the file is written anew.
+    known = got.select("cache_key", F.lit("exhausted").alias("verdict"))
+    assert {r.verdict for r in U.bitmap_populated(media, streams, table(spark, "rel string, cues int"), known).collect()} == {"exhausted"}
+    assert "exhausted" not in {r.verdict for r in U.bitmap_populated(media.withColumn("bytes", F.lit(2)), streams, table(spark, "rel string, cues int"), known).collect()}
 
 
 def test_folders_and_names(spark):
@@ -63,8 +71,8 @@ def test_surveys(spark):
     files = table(spark, "kind string, work string, grp string, rel string, ext string, bytes long", ("film", "w", None, "w/a", "mkv", 5), ("film", "w", None, "w/b", "mkv", 9), ("tv", "t", "s1", "t/e1", "mkv", 1), ("tv", "t", "s1", "t/e2", "mkv", 9), ("film", "x", None, "x/n", "nfo", 9))
     streams = table(spark, "rel string, codec string", ("w/b", "pgs"), ("t/e1", "srt"), ("t/e1", "pgs"), ("t/e1", "pgs"))
     assert {r.rel: r.needs_ocr for r in U.survey_subtitles(files, streams, ["pgs"], ["srt"]).collect()} == {"w/b": "YES", "t/e1": "partial"}
-    titles = table(spark, "title int, width int, height int, field_order string, kind string", (1, 720, 576, "tt", "BD"), (2, 1920, 1080, "progressive", "BD"))
-    assert [(r.is_sd, r.interlaced, r.abort) for r in P.geometry_flags(titles).orderBy("title").collect()] == [(True, True, True), (False, False, False)]
+    titles = table(spark, "title int, name string, width int, height int, field_order string, kind string", (1, "Trailer", 720, 576, "tt", "BD"), (2, "Teaser", 1920, 1080, "progressive", "BD"))
+    assert [(r.is_sd, r.interlaced, r.abort, r.trailer) for r in P.geometry_flags(titles).orderBy("title").collect()] == [(True, True, True, "SD trailer"), (False, False, False, "HD trailer")]
     items = table(spark, "rk int, year int, aired date, sec double, matched_sec double, title string, folder string", (1, 1990, dt.date(1990, 5, 1), 6000.0, 6100.0, "Dirty Harry", "Dirty Harry (1971)"), (2, 1990, dt.date(1991, 1, 1), 6000.0, None, "Big Deal", "Other Thing"))
     assert {r.rk: (r.bad_year, r.bad_runtime, r.bad_folder) for r in U.metadata_mismatch(items).collect()} == {2: (True, False, True)}
     listing = table(spark, "kind string, dir string, name string", ("movie", "m", "a {edition-One}.mkv"), ("movie", "m", "a {edition-Two}.mkv"), ("movie", "n", "b {edition-One}.mkv"), ("tv", "t/Featurettes", "x"))

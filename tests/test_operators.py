@@ -55,8 +55,8 @@ def test_crops_gaps_and_sets(spark):
 
 
 def test_runtime_match(spark):
-    canon = spark.createDataFrame([("s", 5, 57.4), ("s", 6, 50.5), ("s", 7, 57.2)], "show string, idx int, mins double")
-    files = spark.createDataFrame([("f", "s", 50.3), ("g", "s", 57.3), ("h", "s", None), ("i", "none", 3.0)], "file_id string, show string, file_mins double")
+    canon = spark.createDataFrame([("s", 1, 5, 57.4), ("s", 1, 6, 50.5), ("s", 1, 7, 57.2), ("s", 2, 1, 50.3)], "show string, season int, idx int, mins double")
+    files = spark.createDataFrame([("f", "s", 1, 50.3), ("g", "s", 1, 57.3), ("h", "s", 1, None), ("i", "none", 1, 3.0)], "file_id string, show string, season int, file_mins double")
     got = {r.file_id: (r.idx, r.verdict) for r in J.match_by_runtime(files, canon).collect()}
     assert got["f"] == (6, "ok") and got["g"][1] == "AMBIGUOUS" and got["h"][1] == "NO DURATION" and got["i"] == (None, "NO CLOSE MATCH")
 
@@ -69,6 +69,10 @@ def test_truncated_and_landmarks(spark):
     cues = spark.createDataFrame([("f", 61.0, "Hello there"), ("f", 3000.0, "Bye now"), ("f", 10.0, "hello there")], "file_id string, start_s double, text string")
     marks = spark.createDataFrame([("f", 1, 59.0, "hello"), ("f", 2, 2998.0, "bye")], "file_id string, landmark int, t double, line string")
     assert J.landmark_verdict(J.nearest_cue(cues, marks)).first().verdict == "pure shift"
+    # A line may stand far from its landmark, and a landmark without its line has no error.
+    far = spark.createDataFrame([("f", 1, 761.0, "hello"), ("f", 2, 3700.0, "bye"), ("f", 3, 5.0, "never said")], "file_id string, landmark int, t double, line string")
+    errors = J.nearest_cue(cues, far)
+    assert {r.landmark: r.error for r in errors.collect()} == {1: -700.0, 2: -700.0, 3: None} and J.landmark_verdict(errors).first().verdict == "pure shift"
 
 
 def test_rankings(spark):
@@ -99,7 +103,8 @@ def test_sources(spark, tmp_path):
     cues = S.read_srt(spark, str(tmp_path / "*.srt")).orderBy("file_id", "cue").collect()
     assert [tuple(c)[1:] for c in cues] == [(0, 1.0, 2.5, "Hi\nthere"), (1, 3.0, 4.0, "42")] * 2
     K.write_srt(S.read_srt(spark, str(tmp_path / "lf.srt")), str(tmp_path / "out"))
-    back = S.read_srt(spark, str(tmp_path / "out/*/*.txt")).orderBy("cue").collect()
+    assert {p.name for p in (tmp_path / "out").iterdir()} - {"._SUCCESS.crc"} >= {"lf.srt"}
+    back = S.read_srt(spark, str(tmp_path / "out/*.srt")).orderBy("cue").collect()
     assert [tuple(c)[1:] for c in back] == [(0, 1.0, 2.5, "Hi\nthere"), (1, 3.0, 4.0, "42")]
     names = {x.name for x in S.read_listing(spark, str(tmp_path)).collect()}
     assert {"disc1.log", "00020.mpls"} <= names
@@ -140,7 +145,7 @@ def test_audits(spark):
     assert [r.claimed for r in U.reconcile_durations(claimed, measured).where("measured is null").collect()] == [500.0]
     tracks = spark.createDataFrame([("f", 0, "a", -20.0, -1.0), ("f", 1, None, -20.0, -1.0), ("g", 0, "", None, None), ("g", 1, "x", None, None)], "file_id string, track int, title string, mean_db double, max_db double")
     assert {r.file_id: r.verdict for r in U.audio_review(tracks).collect()} == {"f": "DUPLICATE?", "g": "UNTITLED"}
-    agent = spark.createDataFrame([(1, "Episode 4", "S S00E04.mkv", 60000, True), (2, "Other", "S S00E01 - Title.mkv", 1, True), (3, "Title!", "S S00E01 - title.mkv", 1, False), (4, "A", "S S00E02.mkv", 90000, True)], "rk int, title string, file string, duration_ms long, locked boolean")
+    agent = spark.createDataFrame([(1, "Episode 4", "S S00E04.mkv", 60000, True), (2, "Other", "S S00E01 - Title.mkv", 1, True), (3, "Title!", "S S00E01 - title.mkv", 1, False), (4, "A", "S S00E02.mkv", 90000, True)], "rk int, title string, file string, duration_ms long, locked boolean").withColumn("show", F.lit("s"))
     assert {r.rk: r.verdict for r in U.audit_specials(agent).collect()} == {1: "placeholder", 2: "contradicts", 3: "NOTE", 4: "UNVERIFIED"}
     files = spark.createDataFrame([("s", 1, 1, 3000.0), ("s", 1, 2, 1500.0)], "show string, season int, idx int, sec double")
     slots = spark.createDataFrame([("s", 1, k, 1500.0) for k in (1, 2, 3)], "show string, season int, idx int, sec double")
