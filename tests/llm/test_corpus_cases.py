@@ -168,8 +168,8 @@ def plain_digest(text: bytes, ranks):
         n = collections.Counter(b & 15 for b in text[i : i + 64])
         kinds.append(sum(int(digests._TERM[c]) for c in n.values()) // digests.CLASS)
     points = collections.Counter()
-    for a in range(len(kinds) - 63):
-        points[min(range(a, a + 64), key=lambda i: (ranks[kinds[i]], i))] += 1
+    for a in range(-63, len(kinds)):  # runs that reach beyond an end count, too
+        points[min(range(max(0, a), min(a + 64, len(kinds))), key=lambda i: (ranks[kinds[i]], i))] += 1
     return [i for i in sorted(points) if points[i] >= digests.POINTS]
 
 
