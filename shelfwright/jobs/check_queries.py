@@ -377,8 +377,8 @@ _lum = lambda c: f"(0.299 * ({c} >> 16) + 0.587 * (({c} >> 8) % 256) + 0.114 * (
     f""", e AS (SELECT disc, k, min(rgb) AS rgb, count(*) * 50 + k AS n FROM ({_PALETTES}) WHERE title <= 20 GROUP BY 1, 2), v AS (SELECT *, {_lum("rgb")} AS l FROM e WHERE NOT (k = 3 AND disc % 3 = 0)),
 w AS (SELECT *, l - min(l) OVER (PARTITION BY disc) > 32 AS ink, count(*) OVER (PARTITION BY disc) AS seen FROM v),
 f AS (SELECT disc, arg_max(n, (l, k)) AS fill_n, arg_max(k, (l, k)) AS fill_k, arg_max(rgb, (l, k)) AS fill_rgb, sum(n) AS total, count(*) AS inks, any_value(seen) AS seen FROM w WHERE ink GROUP BY 1),
-r AS (SELECT d.disc, CASE WHEN seen >= 2 AND inks >= 2 AND fill_n > 0 THEN (total - fill_n) / fill_n END AS ratio, (SELECT count(*) FROM w WHERE w.disc = d.disc AND ink AND k <> fill_k AND rgb <> fill_rgb) AS changed FROM (SELECT DISTINCT disc FROM px_titles) d LEFT JOIN f USING (disc))
-SELECT disc, round_even(ratio, 2) AS ratio, CASE WHEN ratio IS NULL OR ratio < 0.15 OR changed = 0 THEN 'skip' ELSE 'repair' END AS verdict FROM r""",
+r AS (SELECT d.disc, CASE WHEN seen >= 2 AND inks >= 2 AND fill_n > 0 THEN (total - fill_n) / fill_n END AS ratio, 100 * (total - fill_n) // fill_n AS q, 2 * (100 * (total - fill_n) % fill_n) - fill_n AS over, (SELECT count(*) FROM w WHERE w.disc = d.disc AND ink AND k <> fill_k AND rgb <> fill_rgb) AS changed FROM (SELECT DISTINCT disc FROM px_titles) d LEFT JOIN f USING (disc))
+SELECT disc, CASE WHEN ratio IS NOT NULL THEN (q + CASE WHEN over > 0 OR (over = 0 AND q % 2 = 1) THEN 1 ELSE 0 END) / 100 END AS ratio, CASE WHEN ratio IS NULL OR ratio < 0.15 OR changed = 0 THEN 'skip' ELSE 'repair' END AS verdict FROM r""",
 )
 def _(px):
     t = px("px_titles").where("title <= 20").select("disc", (F.col("title") % 4).alias("k"), (1000000 + F.col("pk") * 7919 % 15000000).cast("int").alias("rgb"))
