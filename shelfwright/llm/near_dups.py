@@ -123,7 +123,8 @@ def _mixed(rows: DataFrame) -> DataFrame:
     """Rows (value, id, c, ..) of lists with several components, with the list's length m and its largest component."""
     counts = rows.groupBy("value", "c").agg(F.count("*").alias("k"))
     lists = counts.groupBy("value").agg(F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-    return rows.join(lists.select("value", "m", F.col("top.c").alias("main")), "value")
+    # Stored, so that few shapes meet their lists where these are, and many by a join that splits hot values.
+    return rows.join(stored(lists.select("value", "m", F.col("top.c").alias("main")), "shape"), "value")
 
 
 def _shareable(rows: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -159,7 +160,9 @@ def _in_blocks(long: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     many lists stays apart. In each such group the members outside the largest component meet all members in blocks of
     BLOCK rows; whole sets are compared as bits inside a task, and only links leave it, one for each two components.
     """
-    ties = long.groupBy("value").agg(F.min("id").alias("a")).join(long.select("value", F.col("id").alias("b")), "value").select("a", "b")
+    # Stored for the same reason as the shapes in _mixed.
+    heads = stored(long.groupBy("value").agg(F.min("id").alias("a")), "heads")
+    ties = long.select("value", F.col("id").alias("b")).join(heads, "value").select("a", "b")
     families = stored(components(ties), "family").withColumnRenamed("component", "family")
     rows = stored(long.select("value", "id", "c").join(families, "id"), "chained")
     inside = rows.select("family", "id", "c").distinct()
