@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
-from shelfwright.llm import digests, lang_id, mixing, near_dups, piece_bpe, quality_ranker, quality_rules, revisits, secret_scan, sharding
+from shelfwright.llm import alignment, digests, lang_id, mixing, near_dups, piece_bpe, quality_ranker, quality_rules, revisits, secret_scan, sharding
 
 QUERIES = {
     "op1_secret_scan": secret_scan.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_near_duplicates": near_dups.query,
     "op8_piece_encoding": piece_bpe.query,
     "op9_language_id": lang_id.query,
+    "op13_alignment": alignment.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": secret_scan.ORACLE_SQL,
