@@ -5,7 +5,7 @@ end arrays. Each interval lies in one token of either side (binary search in its
 of tokens holds just one interval: intervals are the links. Ends that both sides share close the groups; the product of a
 group's two sides expands to all its pairs.
 
-Texts never move. A slice of texts (4 MB, or one longer text) is aligned in its task, which writes the documents' links
+Texts never move. A slice of texts (1 MB, or one longer text) is aligned in its task, which writes the documents' links
 against the slice's own list of distinct id pairs. Only those lists are shuffled by pair for the counts over the corpus,
 and looked up again by slice; what a task holds is a slice's links and pairs.
 
@@ -34,7 +34,7 @@ from shelfwright.llm.piece_bpe import encoder, model_file
 from shelfwright.session import arrow_map, ship, stored
 
 #: Bytes of text that are aligned at a time, and pairs in a row of a slice's list.
-SLICE = 1 << 22
+SLICE = 1 << 20
 LISTED = 1 << 15
 
 
@@ -58,6 +58,7 @@ class ByteBPE:
         self.surfaces = np.full(max(ranks.values()) + 1, b"", object)
         for said, i in ranks.items():
             self.surfaces[i] = said
+        self.sizes = np.array([len(x) for x in self.surfaces])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number in each; strings of special tokens are plain text."""
@@ -70,35 +71,45 @@ def byte_bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+@lru_cache(maxsize=4)
+def _decimal(n: int, behind: bytes) -> np.ndarray:
+    """Every number below n as bytes, with what stands behind it."""
+    return np.array([b"%d" % i + behind for i in range(n)], object)
+
+
 class Side:
-    """The tokens of a slice's texts by one vocabulary."""
+    """The tokens of a slice's texts by one vocabulary: its entries' bytes and their lengths, ids one text after the other, ids in each text."""
 
-    def __init__(self, surfaces: np.ndarray, ids: np.ndarray, counts: np.ndarray):
-        self.surfaces, self.ids, self.counts = surfaces, ids, counts
-        self.said = surfaces[ids]
+    def __init__(self, surfaces: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        self.surfaces, self.sizes, self.ids, self.counts = surfaces, sizes, ids, counts
+        self.ends = np.cumsum(sizes[ids])
 
     def spoken(self, said: list[bytes]) -> np.ndarray:
         """Whether the tokens of each text join to its bytes."""
-        if b"".join(self.said.tolist()) == b"".join(said):
-            edges = np.concatenate(([0], np.cumsum(self.lengths())))[np.concatenate(([0], np.cumsum(self.counts)))]
+        own = self.surfaces[self.ids].tolist()
+        if b"".join(own) == b"".join(said):
+            edges = np.concatenate(([0], self.ends))[np.concatenate(([0], np.cumsum(self.counts)))]
             return np.diff(edges) == np.fromiter(map(len, said), np.int64, len(said))
         stops = np.cumsum(self.counts)
-        return np.array([b"".join(self.said[e - n : e].tolist()) == t for e, n, t in zip(stops.tolist(), self.counts.tolist(), said, strict=True)], bool)
-
-    def lengths(self) -> np.ndarray:
-        return np.fromiter(map(len, self.said.tolist()), np.int64, len(self.said))
+        return np.array([b"".join(own[e - n : e]) == t for e, n, t in zip(stops.tolist(), self.counts.tolist(), said, strict=True)], bool)
 
     def only(self, keep: np.ndarray) -> Side:
-        return self if keep.all() else Side(self.surfaces, self.ids[np.repeat(keep, self.counts)], np.where(keep, self.counts, 0))
+        return self if keep.all() else Side(self.surfaces, self.sizes, self.ids[np.repeat(keep, self.counts)], np.where(keep, self.counts, 0))
+
+
+@lru_cache(maxsize=2)
+def _piece_sizes(path: str) -> np.ndarray:
+    return np.array([len(x) for x in encoder(path).vocab.surfaces])
 
 
 class Slice:
     """The alignment of a slice of texts: elementary intervals, their owners, and the groups that shared ends close."""
 
     def __init__(self, a: Side, b: Side):
-        ends_a, ends_b = np.cumsum(a.lengths()), np.cumsum(b.lengths())
+        ends_a, ends_b = a.ends, b.ends
         self.a, self.b = a, b
-        self.ends = np.union1d(ends_a, ends_b)
+        both = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")  # union1d, by a merge as both are sorted
+        self.ends = both[np.diff(both, prepend=0) > 0]
         self.of_a, self.of_b = np.searchsorted(ends_a, self.ends), np.searchsorted(ends_b, self.ends)
         shared = np.flatnonzero((ends_a[self.of_a] == self.ends) & (ends_b[self.of_b] == self.ends)) if len(self.ends) else np.zeros(0, np.int64)
         self.close_a, self.close_b = self.of_a[shared] + 1, self.of_b[shared] + 1
@@ -127,10 +138,9 @@ class Slice:
         last_a, last_b = np.zeros(len(in_a), bool), np.zeros(len(in_b), bool)
         last_a[self.close_a - 1], last_b[self.close_b - 1] = True, True
         at_a, at_b = np.arange(len(in_a)) + (self.close_b - n)[in_a], np.arange(len(in_b)) + self.close_a[in_b]
-        for at, ids, last, between in ((at_a, self.a.ids, last_a, b"|"), (at_b, self.b.ids, last_b, b";")):
-            top = int(ids.max(initial=0)) + 1
-            said[at] = np.array([b"%d," % i for i in range(top)], object)[ids]
-            said[at[last]] = np.array([b"%d" % i + between for i in range(top)], object)[ids[last]]
+        for at, side, last, behind in ((at_a, self.a, last_a, b"|"), (at_b, self.b, last_b, b";")):
+            said[at] = _decimal(len(side.surfaces), b",")[side.ids]
+            said[at[last]] = _decimal(len(side.surfaces), behind)[side.ids[last]]
         edges = (self.first_a + self.first_b).tolist()
         return [b"".join(said[lo:hi].tolist())[:-1] for lo, hi in zip(edges, edges[1:], strict=False)]
 
@@ -139,9 +149,9 @@ def align(texts: list[bytes], a_path: str, b_path: str) -> Slice:
     """The alignment of texts (UTF-8), each behind one space: by a byte-level BPE file, and by a piece model that adds the space itself."""
     left, right = byte_bpe(a_path), encoder(b_path)
     plain = [t.decode() for t in texts]
-    a = Side(left.surfaces, *left.encode([" " + t if t else "" for t in plain]))
+    a = Side(left.surfaces, left.sizes, *left.encode([" " + t if t else "" for t in plain]))
     ids, counts = right.encode(plain)
-    b = Side(right.vocab.surfaces, ids.astype(np.int64), counts)
+    b = Side(right.vocab.surfaces, _piece_sizes(b_path), ids.astype(np.int64), counts)
     said = [b" " + t if t else b"" for t in texts]
     ok = a.spoken(said) & b.spoken(said)
     return Slice(a.only(ok), b.only(ok))
@@ -162,7 +172,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
         for batch, texts in ta.chunks(batches, "text", SLICE):
             x = align(texts, a_path, b_path)
             links, groups = np.diff(x.first_link), np.diff(x.first_group)
-            before = np.concatenate(([0], np.cumsum(x.a.lengths())))[x.first_a[:-1]]
+            before = np.concatenate(([0], x.a.ends))[x.first_a[:-1]]
             lists = [(x.a.ids, x.a.counts), (x.b.ids, x.b.counts)]
             lists += [(x.of_a - np.repeat(x.first_a[:-1], links), links), (x.of_b - np.repeat(x.first_b[:-1], links), links), (x.ends - np.repeat(before, links), links)]
             lists += [(x.close_a - np.repeat(x.first_a[:-1], groups), groups), (x.close_b - np.repeat(x.first_b[:-1], groups), groups)]
