@@ -183,9 +183,10 @@ def file_role(folder: Column, name: Column) -> Column:
     )
 
 
-def library_path(root: Column, show: Column, season: Column, ep: Column, name: Column) -> Column:
-    """root/show/Season SS/show - SssEee - name.mkv."""
-    return F.concat(root, F.lit("/"), show, F.format_string("/Season %02d/", season), show, F.format_string(" - s%02de%02d - ", season, ep), name, F.lit(".mkv"))
+def library_path(root: Column, show: Column, season: Column, ep: Column, name: Column, year: Column | None = None) -> Column:
+    """root/Show (Year)/Season SS/Show (Year) - SssEee - name.mkv; without a year (or where it is null) the bare show."""
+    title = show if year is None else F.concat(show, F.coalesce(F.concat(F.lit(" ("), year.cast("string"), F.lit(")")), F.lit("")))
+    return F.concat(F.replace(root, F.lit("\\"), F.lit("/")), F.lit("/"), title, F.format_string("/Season %02d/", season), title, F.format_string(" - S%02dE%02d - ", season, ep), name, F.lit(".mkv"))
 
 
 def source_path(root: Column, disc_form: Column, disc: Column, kind: Column, clip: Column) -> Column:

@@ -206,7 +206,7 @@ def _(px):
     return U.match_by_basename(agent, listing).select("rk", F.replace(F.substring("rel", 4, 1 << 20), F.lit("-"), F.lit("/")).alias("rel"))
 
 
-_MARKS = f"""SELECT file_id, cue AS landmark, start_s + CASE file_id % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 200.0 + cue ELSE 400.0 END AS t, CASE WHEN cue % 4 = 3 THEN 'no such line' ELSE substr(text, 1, 25) END AS line FROM ({_CUES}) WHERE cue % 5 IN (0, 3) AND cue < 25"""
+_MARKS = f"""SELECT file_id, cue AS landmark, start_s + CASE file_id % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 200.0 + cue ELSE 400.0 END AS t, CASE WHEN cue % 4 = 3 THEN 'no such line' ELSE substr(text, 1, 25) END AS line FROM ({_CUES}) WHERE cue % 5 IN (0, 3)"""
 _ERRORS = f"""SELECT m.file_id, landmark, arg_min(c.start_s - t, (abs(c.start_s - t), c.start_s)) FILTER (c.start_s IS NOT NULL) AS error FROM ({_MARKS}) m LEFT JOIN ({_CUES}) c ON c.file_id = m.file_id AND contains(lower(c.text), lower(line)) GROUP BY 1, 2"""
 
 
@@ -214,7 +214,7 @@ def _errors(px):
     cues = _cues(px)
     f, cue = F.col("file_id"), F.col("cue")
     off = F.when(f % 3 == 0, 0.5).when(f % 3 == 1, 200.0 + cue).otherwise(400.0)
-    marks = cues.where("cue % 5 in (0, 3) and cue < 25").select("file_id", cue.alias("landmark"), (F.col("start_s") + off).alias("t"), F.when(cue % 4 == 3, "no such line").otherwise(F.substring("text", 1, 25)).alias("line"))
+    marks = cues.where("cue % 5 in (0, 3)").select("file_id", cue.alias("landmark"), (F.col("start_s") + off).alias("t"), F.when(cue % 4 == 3, "no such line").otherwise(F.substring("text", 1, 25)).alias("line"))
     return J.nearest_cue(cues, marks)
 
 
@@ -280,10 +280,13 @@ def _(px):
     return J.playall_containment(t, t.where("place > 0").select("disc", "reel", "title"), own.unionByName(reel))
 
 
-@query("j26_staged_without_manifest", ["px_src"], "SELECT DISTINCT 'disk ' || work AS folder FROM px_src WHERE work NOT IN (SELECT work FROM px_src WHERE ok % 1000 = 7)")
+@query("j26_staged_without_manifest", ["px_src"], "SELECT DISTINCT 'disk ' || work AS folder FROM px_src WHERE work NOT IN (SELECT work FROM px_src WHERE ok % 1000 IN (7, 102, 229))")
 def _(px):
-    folder = F.concat(F.lit("disk "), "work")
-    return U.staged_without_manifest(px("px_src").select(folder.alias("folder")), px("px_src").where("ok % 1000 = 7").select(F.concat(F.lit("E:\\stage\\"), folder, F.lit("\\t00.mkv")).alias("src")))
+    """Manifests read a title file in the folder, a Blu-ray's stream far below it, or the folder as a whole disc."""
+    folder, mark = F.concat(F.lit("disk "), "work"), F.col("ok") % 1000
+    below = F.when(mark == 102, "/BDMV/STREAM/00001.m2ts").when(mark == 229, "").otherwise("\\t00.mkv")
+    read = px("px_src").where(mark.isin(7, 102, 229, 500)).select(F.concat(F.when(mark == 500, "F:/other/").otherwise("E:\\Stage\\"), folder, below).alias("src"))
+    return U.staged_without_manifest(px("px_src").select(folder.alias("folder")), read, "E:\\stage")
 
 
 @query(
@@ -374,14 +377,14 @@ _lum = lambda c: f"(0.299 * ({c} >> 16) + 0.587 * (({c} >> 8) % 256) + 0.114 * (
 @query(
     "a21_ink_weight",
     ["px_titles"],
-    f""", e AS (SELECT disc, k, min(rgb) AS rgb, count(*) * 50 + k AS n FROM ({_PALETTES}) WHERE title <= 20 GROUP BY 1, 2), v AS (SELECT *, {_lum("rgb")} AS l FROM e WHERE NOT (k = 3 AND disc % 3 = 0)),
+    f""", e AS (SELECT disc, k, min(rgb) AS rgb, count(*) * 50 + k AS n FROM ({_PALETTES}) GROUP BY 1, 2), v AS (SELECT *, {_lum("rgb")} AS l FROM e WHERE NOT (k = 3 AND disc % 3 = 0)),
 w AS (SELECT *, l - min(l) OVER (PARTITION BY disc) > 32 AS ink, count(*) OVER (PARTITION BY disc) AS seen FROM v),
 f AS (SELECT disc, arg_max(n, (l, k)) AS fill_n, arg_max(k, (l, k)) AS fill_k, arg_max(rgb, (l, k)) AS fill_rgb, sum(n) AS total, count(*) AS inks, any_value(seen) AS seen FROM w WHERE ink GROUP BY 1),
 r AS (SELECT d.disc, CASE WHEN seen >= 2 AND inks >= 2 AND fill_n > 0 THEN (total - fill_n) / fill_n END AS ratio, 100 * (total - fill_n) // fill_n AS q, 2 * (100 * (total - fill_n) % fill_n) - fill_n AS over, (SELECT count(*) FROM w WHERE w.disc = d.disc AND ink AND k <> fill_k AND rgb <> fill_rgb) AS changed FROM (SELECT DISTINCT disc FROM px_titles) d LEFT JOIN f USING (disc))
 SELECT disc, CASE WHEN ratio IS NOT NULL THEN (q + CASE WHEN over > 0 OR (over = 0 AND q % 2 = 1) THEN 1 ELSE 0 END) / 100 END AS ratio, CASE WHEN ratio IS NULL OR ratio < 0.15 OR changed = 0 THEN 'skip' ELSE 'repair' END AS verdict FROM r""",
 )
 def _(px):
-    t = px("px_titles").where("title <= 20").select("disc", (F.col("title") % 4).alias("k"), (1000000 + F.col("pk") * 7919 % 15000000).cast("int").alias("rgb"))
+    t = px("px_titles").select("disc", (F.col("title") % 4).alias("k"), (1000000 + F.col("pk") * 7919 % 15000000).cast("int").alias("rgb"))
     of = t.groupBy("disc").agg(*(F.min(F.when(F.col("k") == k, F.col("rgb"))).alias(f"c{k}") for k in range(4)), *(F.count_if(F.col("k") == k).alias(f"n{k}") for k in range(4)))
     idx = F.array(*(F.when(F.col(f"n{k}") > 0, F.lit(k)) for k in range(4)))
     seen = F.array(*(F.when(F.lit(k == 3) & (F.col("disc") % 3 == 0) | (F.col(f"n{k}") == 0), 0).otherwise(15) for k in range(4)))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.functions import text as T
 from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
+from shelfwright.session import stored
+from shelfwright.sources.state import StateTable
+from shelfwright.sources.writers import write_run
 
 
 def subtitle_search(items: DataFrame, streams: DataFrame, decided: DataFrame, candidates: DataFrame, blocklist: DataFrame, spans: DataFrame) -> DataFrame:
@@ -24,6 +29,62 @@ def subtitle_search(items: DataFrame, streams: DataFrame, decided: DataFrame, ca
     return out.select("rk", "x.cand_id", "x.place", "x.band", verdict.alias("verdict"))
 
 
+STATE = "rk {key}, r string, label string, tried array<struct<t:string,score:bigint,sim:double,cover:double,cues:bigint,kind:string>>, kept string, cover double, cues bigint, kind string, ts timestamp"
+
+
+def search_verdicts(wanted: DataFrame, candidates: DataFrame, blocklist: DataFrame, spans: DataFrame, now: dt.datetime) -> DataFrame:
+    """C1's rows for the state: one for each wanted item, with what was tried up to the candidate that fits.
+
+    r is skip_no_duration (under 60 s), no_candidates (none passes the guards), matched or no_match.
+    """
+    ranked = W.rank_candidates(J.guard_candidates(wanted, candidates, blocklist))
+    met = ranked.join(spans, "cand_id", "left")
+    n = F.coalesce("cues", F.lit(0)).cast("long")
+    cover = F.bround(F.when(n > 0, F.col("last_end") / F.col("duration")).otherwise(0.0), 3)
+    one = F.struct("place", F.struct(F.col("title").alias("t"), F.col("score").cast("long").alias("score"), F.col("sim").cast("double").alias("sim"), cover.alias("cover"), n.alias("cues"), P.cover_band(F.col("last_end"), F.col("duration"), n).alias("kind")).alias("x"))
+    lists = met.groupBy("rk").agg(F.array_sort(F.collect_list(one)).alias("all"), F.min(F.when(one["x"]["kind"].isNotNull(), F.col("place"))).alias("fit"))
+    tried = F.transform(F.filter("all", lambda x: F.col("fit").isNull() | (x["place"] <= F.col("fit"))), lambda x: x["x"])
+    out = wanted.select("rk", F.col("show").alias("label"), "duration").join(lists, "rk", "left").withColumn("tried", tried)
+    r = F.when(F.coalesce("duration", F.lit(0.0)) < 60, "skip_no_duration").when(F.col("all").isNull(), "no_candidates").when(F.col("fit").isNotNull(), "matched").otherwise("no_match")
+    kept = F.when(F.col("fit").isNotNull(), F.element_at("tried", -1))
+    return out.select("rk", r.alias("r"), "label", "tried", kept["t"].alias("kept"), kept["cover"].alias("cover"), kept["cues"].alias("cues"), kept["kind"].alias("kind"), F.lit(now).alias("ts"))
+
+
+def subtitle_search_job(state: StateTable, items: DataFrame, streams: DataFrame, candidates: DataFrame, blocklist: DataFrame, spans: DataFrame, now: dt.datetime, log: str | None = None, keys: list | None = None, limit: int | None = None) -> int:
+    """C1 with its state: decides what lacks subtitles and is not decided (or the named keys), shortest first; the state's version.
+
+    The log's rows are written under the version that is to come, then the state moves there. So a run that stops on the
+    way decides nothing, and the next one decides the same, whose log rows take the place of those left; a run with
+    nothing to do adds no version.
+    """
+    work = J.todo(P.needs_subtitles(items, streams), state.read(), keys, limit, size="duration")
+    verdicts = stored(search_verdicts(work, candidates, blocklist, spans, now), "verdicts")
+    if verdicts.isEmpty():
+        return state.version()
+    if log:
+        write_run(verdicts.select("rk", F.col("r").alias("event"), "label", "kept", "cover", "cues", "kind", "ts"), log, f"v{state.version() + 1}")
+    return state.commit(verdicts)
+
+
+RESYNC = "rk {key}, r string, offset double, why string, scale2 double, shift double, ts timestamp"
+
+
+def resync_job(state: StateTable, found: DataFrame, tracks: DataFrame, cues: DataFrame, alignments: DataFrame, anchors: DataFrame, now: dt.datetime, log: str | None = None, keys: list | None = None, limit: int | None = None) -> DataFrame:
+    """C4 with its state: aligns the tracks of items that the search's state (found) has matched and that are not decided (or the
+    named keys), in order of label; the corrected cues of this run, as write_srt() takes them. Stops and repeats as subtitle_search_job()."""
+    matched = found.select("rk", "label") if keys is not None else found.where("r = 'matched'").select("rk", "label")
+    work = stored(J.todo(matched, state.read(), keys, limit, size="label").select("rk"), "work")
+    own = lambda df: df.join(work, "rk", "left_semi")
+    verdicts, moved = resync(own(tracks), own(cues), own(alignments), anchors)
+    verdicts = stored(work.join(verdicts, "rk", "left").select("rk", F.coalesce("r", F.lit("no_usable_sub")).alias("r"), "offset", "why", "scale2", "shift", F.lit(now).alias("ts")), "verdicts")
+    moved = stored(moved, "moved")
+    if not verdicts.isEmpty():
+        if log:
+            write_run(verdicts.select("rk", F.col("r").alias("event"), "offset", "why", "ts"), log, f"v{state.version() + 1}")
+        state.commit(verdicts)
+    return moved
+
+
 def disc_accounting(titles: DataFrame, dispositions: DataFrame, discs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per disc whether all titles are accounted for, and the titles that are not, with what they look like."""
     labelled = P.classify_probed_titles(titles)
@@ -96,7 +157,7 @@ def episode_identity(orderings: DataFrame, a: str, b: str, files: DataFrame, age
 def manifest(table: DataFrame, streams: DataFrame, playlists: DataFrame, lists: DataFrame, root: str, src_root: str, disc_form: str) -> tuple[DataFrame, DataFrame]:
     """(rows, aborts): manifest rows with paths, subtitle track and labelled audio, and what a preflight holds against them.
 
-    table (file_id, disc, show, season, ep, name, kind, clip, sec, width, height, field_order, orig_lang, sub_track), streams
+    table (file_id, disc, show, year, season, ep, name, kind, clip, sec, width, height, field_order, orig_lang, sub_track), streams
     (file_id, ordinal, kind: audio or subtitle, lang), playlists (disc, playlist, clips), lists (disc, playlist, sec). A row
     that aborts (a truncated stream, a standard source as Blu-ray, a wanted subtitle tag that is missing) is not in rows.
     """
@@ -114,7 +175,7 @@ def manifest(table: DataFrame, streams: DataFrame, playlists: DataFrame, lists:
     labels = P.label_audio(kept, audio.drop("orig_lang"), good.select("file_id", "orig_lang", none("array<string>").alias("audio_langs"), none(entry).alias("commentary"), none(entry).alias("description")))
     tracks = labels.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("place", "ordinal", "language"))).alias("a"))
     rows = good.join(tracks, "file_id", "left").join(subs.select("file_id", F.col("ordinal").alias("subTrack")), "file_id", "left")
-    out = T.library_path(F.lit(root), F.col("show"), F.col("season"), F.col("ep"), F.col("name"))
+    out = T.library_path(F.lit(root), F.col("show"), F.col("season"), F.col("ep"), F.col("name"), F.col("year") if "year" in table.columns else None)
     src = T.source_path(F.lit(src_root), F.lit(disc_form), F.col("disc").cast("string"), F.col("kind"), F.col("clip"))
     pick = lambda f: F.transform("a", lambda x: x[f])
     return rows.select("file_id", out.alias("out"), src.alias("src"), "kind", F.col("subTrack").cast("string").alias("subTrack"), pick("ordinal").alias("audioTracks"), pick("language").alias("audioLangs")), aborts

@@ -12,9 +12,9 @@ from shelfwright.operators import aggregates as A
 
 @query(
     "c1_subtitle_search",
-    ["px_items", "px_streams", "px_candidates", "px_log", "px_cues"],
+    ["px_items", "px_media", "px_candidates", "px_log", "px_cues"],
     _GUARD.strip()
-    + f""", need AS (SELECT rk FROM px_items i WHERE NOT EXISTS (SELECT 1 FROM px_streams s WHERE s.rk = i.rk AND stream_type = 3 AND codec IN ('srt', 'ass') AND NOT forced AND starts_with(language_code, 'en'))
+    + f""", need AS (SELECT rk FROM px_items i WHERE NOT EXISTS (SELECT 1 FROM px_media s WHERE s.rk = i.rk AND stream_type = 3 AND codec IN ('srt', 'ass') AND forced IS NOT TRUE AND starts_with(lower(coalesce(nullif(language_code, ''), language, '')), 'en'))
   AND rk NOT IN (SELECT rk FROM px_log WHERE event_id % 7 = 0)),
 k AS (SELECT *, row_number() OVER (PARTITION BY rk ORDER BY score DESC, provider_rank, cand_id) AS place FROM g WHERE rk IN (SELECT rk FROM need)),
 sp AS (SELECT file_id AS f, max(end_s) * 60 AS last_end, count(*) * 10 AS cues FROM ({_CUES}) GROUP BY 1),
@@ -30,7 +30,7 @@ def _(px):
     of = A.cue_span(_cues(px)).select(F.col("file_id").alias("f"), (F.col("last_end") * 60).alias("last_end"), (F.col("cues") * 10).alias("cues"))
     docs = px("px_cues").agg((F.max("file_id") + 1).alias("docs"))  # one row
     ids = candidates.select("cand_id").distinct().crossJoin(docs).withColumn("f", F.col("cand_id") % F.col("docs")).drop("docs")
-    return composite.subtitle_search(items, px("px_streams"), px("px_log").where("event_id % 7 = 0").select("rk"), candidates, block, ids.join(of, "f").drop("f"))
+    return composite.subtitle_search(items, px("px_media"), px("px_log").where("event_id % 7 = 0").select("rk"), candidates, block, ids.join(of, "f").drop("f"))
 
 
 _GATE = ORACLE_SQL["a14_disc_gate"]
@@ -53,7 +53,7 @@ def _published(px):
     f = F.col("file_id")
     probes = files.select("file_id", F.lit(30.0).alias("sec"), F.lit(2).alias("max_packets"))
     media = files.select(f.alias("base"), (f % 3 > 0).alias("populated"), F.when(f % 5 > 0, 60.0).alias("dur"))
-    local = files.select((f % 40).alias("work"), F.concat(F.lit("r"), f).alias("rel"), f.alias("base"), (f * 7).alias("bytes"))
+    local = files.select(F.floor(f / 8).alias("work"), F.concat(F.lit("r"), f).alias("rel"), f.alias("base"), (f * 7).alias("bytes"))
     remote = local.where("base % 2 = 0").select("rel", (F.col("bytes") + F.when(F.col("base") % 4 == 0, 1).otherwise(0)).alias("bytes"))
     return composite.ocr_publish(c.drop("text"), texts, probes, None, media, local, remote)
 
@@ -65,7 +65,7 @@ b AS (SELECT file_id, count(DISTINCT n) AS cues FROM m GROUP BY 1), j AS (SELECT
   count(*) FILTER (t <> '' AND NOT digits AND NOT regexp_matches(line, '^\s*[\(\[][^\)\]]{{2,}}[\)\]]\s*$')) AS judgeable, count(*) FILTER (t <> '' AND NOT digits AND NOT regexp_matches(line, '^\s*[\(\[][^\)\]]{{2,}}[\)\]]\s*$') AND len(list_filter(regexp_extract_all(lower(line), '[a-zà-ÿ]+'), lambda w: w IN ({_FUNCTION}))) > 0) AS english FROM k GROUP BY 1),
 g AS (SELECT file_id, CASE WHEN cues + more < CASE WHEN cues + more < 2 THEN 1 ELSE 2 END THEN 'too few cues' WHEN round_even(100 * junk / lines, 0) > 30 THEN 'junk' WHEN judgeable >= 10 AND round_even(100 * english / judgeable, 0) < 15 THEN 'function words' ELSE 'ok' END AS verdict FROM b JOIN j USING (file_id)),
 f AS (SELECT DISTINCT conv_id AS file_id FROM conversations), h AS (SELECT f.file_id, f.file_id % 3 > 0 AND coalesce(verdict, '') <> 'ok' AS held, f.file_id % 2 = 1 OR f.file_id % 4 = 0 AS needs FROM f LEFT JOIN g USING (file_id)),
-w AS (SELECT file_id % 40 AS work, bool_or(needs) AS needs, bool_or(held) AS hold FROM h GROUP BY 1)"""
+w AS (SELECT file_id // 8 AS work, bool_or(needs) AS needs, bool_or(held) AS hold FROM h GROUP BY 1)"""
 
 
 @query("c3_ocr_gates", [], f"WITH {_PASSED} SELECT file_id, verdict FROM g")
@@ -83,7 +83,7 @@ def _(px):
     return _published(px)[2].select("work", "verdict")
 
 
-@query("c3_ocr_plan", [], f"WITH {_PASSED} SELECT 'r' || file_id AS rel FROM h JOIN w ON work = file_id % 40 WHERE w.needs AND NOT w.hold AND h.needs")
+@query("c3_ocr_plan", [], f"WITH {_PASSED} SELECT 'r' || file_id AS rel FROM h JOIN w ON work = file_id // 8 WHERE w.needs AND NOT w.hold AND h.needs")
 def _(px):
     return _published(px)[3].select("rel")
 
@@ -144,7 +144,7 @@ def _(px):
     return composite.episode_identity(orderings, "aired", "dvd", files, agent, frames)[0]
 
 
-_MANIFEST = """, t AS (SELECT rk AS file_id, rk % 9 AS disc, show_name, season, ep, ep_title, CASE WHEN rk % 2 = 0 THEN 'BD' ELSE 'DVD' END AS kind, printf('%05d', rk % 40) AS clip, rk % 8 = 0 AS sd, CASE rk % 6 WHEN 0 THEN 'deu' END AS orig, CASE rk % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'deu' END AS sub, rk % 40 < 10 AND rk % 9 = 3 AS short FROM px_items),
+_MANIFEST = """, t AS (SELECT rk AS file_id, rk // 8 AS disc, 1960 + rk % 60 AS year, show_name, season, ep, ep_title, CASE WHEN rk % 2 = 0 THEN 'BD' ELSE 'DVD' END AS kind, printf('%05d', rk % 40) AS clip, rk % 8 = 0 AS sd, CASE rk % 6 WHEN 0 THEN 'deu' END AS orig, CASE rk % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'deu' END AS sub, rk % 40 < 10 AND rk // 8 % 9 = 3 AS short FROM px_items),
 s AS (SELECT file_id, min(ordinal) FILTER (language_code = coalesce(sub, 'eng')) AS o, count(ordinal) AS n FROM t LEFT JOIN (SELECT * FROM px_streams WHERE stream_type = 3) ON rk = file_id GROUP BY 1),
 b AS (SELECT file_id, 'truncated stream' AS reason FROM t WHERE short UNION ALL SELECT file_id, 'standard source as BD' FROM t WHERE sd AND kind = 'BD' UNION ALL SELECT file_id, 'no such subtitle' FROM t JOIN s USING (file_id) WHERE coalesce(sub, 'eng') <> 'none' AND o IS NULL AND n > 0)"""
 
@@ -153,11 +153,11 @@ def _manifested(px):
     rk = F.col("rk")
     sd = rk % 8 == 0
     table = px("px_items").select(
-        rk.alias("file_id"), (rk % 9).alias("disc"), "show", "season", "ep", F.col("ep_title").alias("name"), F.when(rk % 2 == 0, "BD").otherwise("DVD").alias("kind"), F.format_string("%05d", rk % 40).alias("clip"), F.lit(100.0).alias("sec"),
+        rk.alias("file_id"), F.floor(rk / 8).alias("disc"), (1960 + rk % 60).alias("year"), "show", "season", "ep", F.col("ep_title").alias("name"), F.when(rk % 2 == 0, "BD").otherwise("DVD").alias("kind"), F.format_string("%05d", rk % 40).alias("clip"), F.lit(100.0).alias("sec"),
         F.when(sd, 720).otherwise(1920).alias("width"), F.when(sd, 576).otherwise(1080).alias("height"), F.lit("progressive").alias("field_order"), F.when(rk % 6 == 0, "deu").alias("orig_lang"), F.when(rk % 4 == 0, "none").when(rk % 4 == 1, "deu").alias("sub_track"),
     )
     streams = px("px_streams").where("stream_type > 1").select(rk.alias("file_id"), "ordinal", F.when(F.col("stream_type") == 3, "subtitle").otherwise("audio").alias("kind"), F.col("language_code").alias("lang"))
-    one = table.where("disc = 3").select("disc").distinct()
+    one = table.where("disc % 9 = 3").select("disc").distinct()
     clips = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.format_string("%05d", k))
     return composite.manifest(table, streams, one.select("disc", F.lit("00800").alias("playlist"), clips.alias("clips")), one.select("disc", F.lit("00800").alias("playlist"), F.lit(500.0).alias("sec")), "/tv", "E:\\rips", "Disk {disc}")
 
@@ -173,7 +173,7 @@ def _(px):
     f"""{_MANIFEST}, a AS (SELECT rk AS file_id, ordinal, language_code AS lang, CASE WHEN orig = 'deu' AND language_code = 'deu' THEN 0 WHEN language_code IN ('eng', 'en') THEN 1 END AS r FROM px_streams JOIN t ON rk = file_id WHERE stream_type = 2),
 k AS (SELECT file_id, list(ordinal ORDER BY ordinal) AS every, list(lang ORDER BY ordinal) AS every_lang, list(ordinal ORDER BY r, ordinal) FILTER (r IS NOT NULL) AS fit, list(lang ORDER BY r, ordinal) FILTER (r IS NOT NULL) AS fit_lang FROM a GROUP BY 1),
 m AS (SELECT file_id, CASE WHEN len(every) = 1 OR fit IS NULL THEN every ELSE fit END AS o, CASE WHEN len(every) = 1 OR fit IS NULL THEN every_lang ELSE fit_lang END AS l FROM k)
-SELECT file_id, '/tv/' || show_name || printf('/Season %02d/', season) || show_name || printf(' - s%02de%02d - ', season, ep) || ep_title || '.mkv' AS out, 'E:/rips/Disk ' || disc || CASE WHEN kind = 'BD' THEN '/BDMV/STREAM/' || clip || '.m2ts' ELSE '' END AS src,
+SELECT file_id, '/tv/' || show_name || ' (' || year || printf(')/Season %02d/', season) || show_name || ' (' || year || printf(') - S%02dE%02d - ', season, ep) || ep_title || '.mkv' AS out, 'E:/rips/Disk ' || disc || CASE WHEN kind = 'BD' THEN '/BDMV/STREAM/' || clip || '.m2ts' ELSE '' END AS src,
   CASE WHEN coalesce(sub, 'eng') <> 'none' THEN o2 END AS sub_track, array_to_string(m.o, ',') AS tracks, array_to_string(CASE WHEN orig = 'deu' THEN list_concat(['deu'], m.l[2:]) ELSE m.l END, ',') AS langs
 FROM t JOIN (SELECT file_id, o AS o2 FROM s) USING (file_id) LEFT JOIN m USING (file_id) WHERE file_id NOT IN (SELECT file_id FROM b)""",
 )

@@ -22,6 +22,8 @@ FROM (SELECT CAST(floor(l_orderkey / 8) AS BIGINT) AS disc, CAST(row_number() OV
   CASE WHEN sp % 3 = 0 THEN 'eng' WHEN sp % 3 = 1 THEN 'en' ELSE 'deu' END AS language_code, st = 'F' AS forced, q AS cues, ln AS channel
 FROM (SELECT l_partkey AS rk, CAST(row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS INT) AS ordinal,
   l_linenumber AS ln, l_returnflag AS fl, l_linestatus AS st, l_suppkey AS sp, l_quantity AS q FROM lineitem) t""",
+    "px_media": """SELECT rk, ordinal, stream_type, codec, cues, CASE ordinal % 4 WHEN 1 THEN NULL WHEN 2 THEN upper(language_code) WHEN 3 THEN '' ELSE language_code END AS language_code,
+  CASE language_code WHEN 'deu' THEN 'Deutsch' ELSE 'English' END AS language, CASE WHEN ordinal % 3 = 0 AND NOT forced THEN NULL ELSE forced END AS forced FROM px_streams""",
     "px_candidates": """SELECT c.rk, c.cand_id, c.provider_rank, CASE WHEN c.m = 0 THEN 'Audio Commentary' ELSE replace(p.p_name, ' ', '.') END || '.S0' || (p.p_size % 5) || 'E' || (p.p_partkey % 20) || '.' || replace(p.p_type, ' ', '.') || '.1080p.BluRay' AS title,
   c.fmt AS format, c.score FROM (SELECT l_partkey AS rk, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS provider_rank,
     l_orderkey AS cand_id, l_suppkey % 11 AS m, CASE WHEN l_returnflag = 'N' THEN 'ass' ELSE 'srt' END AS fmt, CAST(floor(l_extendedprice) AS BIGINT) AS score,

@@ -136,21 +136,23 @@ def _(px):
 @query(
     "j22_verify_rips",
     ["px_titles"],
-    "SELECT disc, title, sec, CASE WHEN title % 5 <> 0 THEN sec + title % 4 * 2 END AS got, CASE WHEN title % 5 = 0 THEN 'NO FILE' WHEN title % 4 * 2 <= 3 THEN 'ok' ELSE 'CHECK' END AS verdict FROM px_titles",
+    "SELECT disc, title, sec, CASE WHEN title % 5 <> 0 THEN sec + title % 4 * 2 END AS got, CASE WHEN title % 5 = 0 THEN 'NO FILE' WHEN title % 4 * 2 > 3 THEN 'CHECK' WHEN title % 13 > 0 AND title % 11 = 3 THEN 'SIZE' ELSE 'ok' END AS verdict FROM px_titles",
 )
 def _(px):
     t = px("px_titles")
-    made = t.where("title % 5 <> 0").select("disc", "title", (F.col("sec") + F.col("title") % 4 * 2).alias("sec"))
-    return J.verify_rips(t.select("disc", "title", "sec"), made)
+    k = F.col("title")
+    made = t.where("title % 5 <> 0").select("disc", "title", (F.col("sec") + k % 4 * 2).alias("sec"), ((k % 7 + F.when(k % 11 == 3, 40).otherwise(0)) .cast("long") * 104_857_600).alias("bytes"))
+    size = F.when(k % 13 > 0, F.concat(((k % 7) / 10).cast("string"), F.lit(" GB")))
+    return J.verify_rips(t.select("disc", "title", "sec", size.alias("size_text")), made).select("disc", "title", "sec", "got", "verdict")
 
 
 @query(
     "p1_needs_subtitles",
-    ["px_items", "px_streams"],
-    "SELECT rk, show_name AS \"show\" FROM px_items i WHERE NOT EXISTS (SELECT 1 FROM px_streams s WHERE s.rk = i.rk AND stream_type = 3 AND codec IN ('srt', 'ass') AND NOT forced AND starts_with(language_code, 'en'))",
+    ["px_items", "px_media"],
+    "SELECT rk, show_name AS \"show\" FROM px_items i WHERE NOT EXISTS (SELECT 1 FROM px_media s WHERE s.rk = i.rk AND stream_type = 3 AND codec IN ('srt', 'ass') AND forced IS NOT TRUE AND starts_with(lower(coalesce(nullif(language_code, ''), language, '')), 'en'))",
 )
 def _(px):
-    return P.needs_subtitles(px("px_items"), px("px_streams")).select("rk", "show")
+    return P.needs_subtitles(px("px_items"), px("px_media")).select("rk", "show")
 
 
 @query(
@@ -164,9 +166,9 @@ def _(px):
     return A.library_subtitle_stats(px("px_items"), px("px_streams"), P.TEXT_CODECS)
 
 
-@query("w2_pick_subtitle", ["px_streams"], "SELECT rk, ordinal, row_number() OVER (PARTITION BY rk ORDER BY cues DESC, ordinal DESC) = 1 AS picked FROM px_streams WHERE NOT forced")
+@query("w2_pick_subtitle", ["px_media"], "SELECT rk, ordinal, row_number() OVER (PARTITION BY rk ORDER BY cues DESC, ordinal DESC) = 1 AS picked FROM px_media WHERE forced IS NOT TRUE")
 def _(px):
-    return W.pick_subtitle(px("px_streams")).select("rk", "ordinal", "picked")
+    return W.pick_subtitle(px("px_media")).select("rk", "ordinal", "picked")
 
 
 _KEEP = """SELECT rk AS file_id, list(ordinal ORDER BY ordinal) AS every, list(ordinal ORDER BY r, ordinal) FILTER (r IS NOT NULL) AS fit FROM

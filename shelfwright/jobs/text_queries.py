@@ -136,12 +136,12 @@ def _(px):
 @query(
     "t16_paths",
     ["px_agent"],
-    """SELECT rk, '/tv/' || show_name || printf('/Season %02d/', season) || show_name || printf(' - s%02de%02d - ', season, idx) || title || '.mkv' AS path,
-  'E:/rips/Disk ' || rk % 7 || CASE WHEN rk % 2 = 0 THEN '/BDMV/STREAM/' || printf('%05d', rk) || '.m2ts' ELSE '' END AS src FROM px_agent""",
+    """SELECT rk, '/tv/' || show_title || printf('/Season %02d/', season) || show_title || printf(' - S%02dE%02d - ', season, idx) || title || '.mkv' AS path,
+  'E:/rips/Disk ' || rk % 7 || CASE WHEN rk % 2 = 0 THEN '/BDMV/STREAM/' || printf('%05d', rk) || '.m2ts' ELSE '' END AS src FROM (SELECT *, show_name || CASE WHEN rk % 5 > 0 THEN ' (' || 1960 + rk % 60 || ')' ELSE '' END AS show_title FROM px_agent)""",
 )
 def _(px):
     rk = F.col("rk")
-    path = T.library_path(F.lit("/tv"), F.col("show"), F.col("season"), F.col("idx"), F.col("title"))
+    path = T.library_path(F.lit("/tv"), F.col("show"), F.col("season"), F.col("idx"), F.col("title"), F.when(rk % 5 > 0, 1960 + rk % 60))
     src = T.source_path(F.lit("E:\\rips"), F.lit("Disk {disc}"), (rk % 7).cast("string"), F.when(rk % 2 == 0, "BD").otherwise("DVD"), F.format_string("%05d", rk))
     return px("px_agent").select("rk", path.alias("path"), src.alias("src"))
 

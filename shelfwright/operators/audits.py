@@ -141,10 +141,14 @@ def verify_stream_copy(src: DataFrame, out: DataFrame, tol: float = 1.0) -> Data
     return met.select("file_id", F.when(F.col("o_sec").isNull(), "MISSING").when(same, "ok").otherwise("DIFFERS").alias("verdict"))
 
 
-def staged_without_manifest(staged: DataFrame, manifests: DataFrame) -> DataFrame:
-    """Staged folders that no manifest reads."""
-    read = manifests.select(F.regexp_extract("src", r"([^/\\]+)[/\\][^/\\]*$", 1).alias("folder"))
-    return staged.select("folder").distinct().join(read, "folder", "left_anti")
+def staged_without_manifest(staged: DataFrame, manifests: DataFrame, root: str) -> DataFrame:
+    """Staged folders that no manifest reads. A manifest's folder is the one below the staging root, however deep its source
+    lies in it (a Blu-ray's stream file), or the source itself (a whole disc); both are compared in any case."""
+    plain = lambda c: F.lower(F.replace(c, F.lit("\\"), F.lit("/")))
+    top = F.lower(F.lit(root.replace("\\", "/").rstrip("/") + "/"))
+    src = plain(F.col("src"))
+    read = manifests.where(F.startswith(src, top)).select(F.substring_index(F.substr(src, F.length(top) + 1), "/", 1).alias("_folder"))
+    return staged.select("folder").distinct().join(read, plain(F.col("folder")) == F.col("_folder"), "left_anti")
 
 
 def track_identity(tracks: DataFrame, transcripts: DataFrame) -> DataFrame:

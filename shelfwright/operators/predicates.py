@@ -12,8 +12,14 @@ NO_REASON = r"(?i)^(too short|short|duplicate|dupe|not needed|n/?a|junk|skip)\.?
 
 
 def needs_subtitles(items: DataFrame, streams: DataFrame, lang: str = "en") -> DataFrame:
-    """Items without a text stream of the language that is not forced; image streams do not count."""
-    usable = streams.where((F.col("stream_type") == 3) & F.col("codec").isin(TEXT_CODECS) & ~F.col("forced") & F.startswith("language_code", F.lit(lang)))
+    """Items without a text stream of the language that is not forced; image streams do not count.
+
+    The language is the code, or where that is missing or empty the language's name (column language, if there is one), in
+    any case; a null forced is not forced.
+    """
+    name = F.col("language") if "language" in streams.columns else F.lit(None)
+    code = F.lower(F.coalesce(F.nullif("language_code", F.lit("")), name, F.lit("")))
+    usable = streams.where((F.col("stream_type") == 3) & F.col("codec").isin(TEXT_CODECS) & ~F.coalesce("forced", F.lit(False)) & F.startswith(code, F.lit(lang)))
     return items.join(usable, "rk", "left_anti")
 
 

@@ -14,9 +14,9 @@ def rank_candidates(guarded: DataFrame, most: int = 6) -> DataFrame:
 
 
 def pick_subtitle(tracks: DataFrame) -> DataFrame:
-    """Each item's tracks, the fullest one that is not forced picked, the others duplicates."""
+    """Each item's tracks, the fullest one that is not forced (or null there) picked, the others duplicates."""
     order = Window.partitionBy("rk").orderBy(F.desc("cues"), F.desc("ordinal"))
-    return tracks.where(~F.col("forced")).withColumn("picked", F.row_number().over(order) == 1)
+    return tracks.where(~F.coalesce("forced", F.lit(False))).withColumn("picked", F.row_number().over(order) == 1)
 
 
 def best_card_frame(frames: DataFrame, files: DataFrame, floor: float = 0.6) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
+from shelfwright.session import stored
 
 
 def unaccounted_titles(titles: DataFrame, dispositions: DataFrame) -> DataFrame:
@@ -20,10 +21,11 @@ def staged_complete(staged: DataFrame, source: DataFrame, done: DataFrame) -> Da
     return both.withColumn("verdict", F.when(F.col("t_files").isNull(), F.when(F.col("done"), "DONE").otherwise("UNKNOWN")).when(same, "COMPLETE").otherwise("SHORT"))
 
 
-def verify_copies(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """Every source file: OK, SIZE or MISSING on the target."""
+def verify_copies(src: DataFrame, dst: DataFrame, scratch: str = "_titlecards") -> DataFrame:
+    """Every source file: OK, SIZE or MISSING on the target. Files in a folder named `scratch`, in any case, are not asked for."""
     there = dst.select("rel", F.col("bytes").alias("dst_bytes"))
-    out = src.join(there, "rel", "left")
+    inside = F.array_contains(F.split(F.lower(F.regexp_replace("rel", r"[/\\]?[^/\\]*$", "")), r"[/\\]"), scratch.lower())
+    out = src.where(~inside).join(there, "rel", "left")
     return out.withColumn("verdict", F.when(F.col("dst_bytes").isNull(), "MISSING").when(F.col("dst_bytes") != F.col("bytes"), "SIZE").otherwise("OK"))
 
 
@@ -131,14 +133,56 @@ def todo(work: DataFrame, state: DataFrame, keys: list | None = None, limit: int
     return ordered if limit is None else ordered.limit(limit)
 
 
-def nearest_cue(cues: DataFrame, landmarks: DataFrame) -> DataFrame:
-    """(file_id, landmark, error): for each landmark the nearest cue, however far, that carries its line; null without one.
-
-    A file has few landmarks, so its cues meet them by file and line.
-    """
-    met = landmarks.join(cues.select("file_id", "start_s", "text"), (cues["file_id"] == landmarks["file_id"]) & F.contains(F.lower("text"), F.lower("line")), "left").select(landmarks["file_id"], "landmark", "t", "start_s")
+def _by_word(cues: DataFrame, marks: DataFrame) -> DataFrame:
+    """(file_id, landmark, error) of landmarks that have a whole word (`words`): they meet the cues that hold the word of theirs which
+    fewest cues of the file hold."""
+    asked = marks.select("file_id", F.explode("words").alias("word")).distinct()
+    each = cues.select("file_id", "start_s", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word"))
+    held = each.join(asked, ["file_id", "word"], "left_semi")
+    counts = held.groupBy("file_id", "word").agg(F.count("*").alias("n"))
+    # A word that no cue holds settles it: the line is in none.
+    rarest = marks.select("file_id", "landmark", "t", "line", F.explode("words").alias("word")).join(counts, ["file_id", "word"], "left")
+    rarest = rarest.groupBy("file_id", "landmark", "t", "line").agg(F.min_by(F.struct("word", "n"), F.struct(F.coalesce("n", F.lit(0)), "word")).alias("w"))
+    met = rarest.where("w.n is not null").select("file_id", "landmark", "t", "line", F.col("w.word").alias("word")).join(held, ["file_id", "word"]).where(F.contains("text", "line"))
     off = F.col("start_s") - F.col("t")
-    return met.groupBy("file_id", "landmark").agg(F.min_by(off, F.when(off.isNotNull(), F.struct(F.abs(off), F.col("start_s")))).alias("error"))
+    return met.groupBy("file_id", "landmark").agg(F.min_by(off, F.struct(F.abs(off), F.col("start_s"))).alias("error"))
+
+
+def _by_rings(cues: DataFrame, marks: DataFrame, first_s: float) -> list[DataFrame]:
+    """(file_id, landmark, error) of landmarks without a whole word, ring by ring: a landmark meets the cues of its own stretch of time and
+    the two beside it; what is found within one stretch's length is nearest, all others go on with stretches four times as long."""
+    found, left, width = [], stored(marks.select("file_id", "landmark", "t", "line"), "marks"), first_s
+    low, high = cues.agg(F.min("start_s"), F.max("start_s")).first()
+    while low is not None and not left.isEmpty():
+        span = left.agg(F.greatest(F.max("t") - F.lit(low), F.lit(high) - F.min("t"))).first()[0]
+        at = lambda c: F.floor(F.col(c) / width).alias("at")
+        near = left.select("*", F.explode(F.array(*(at("t") + k for k in (-1, 0, 1)))).alias("at"))
+        met = near.join(cues.select("file_id", "start_s", "text", at("start_s")), ["file_id", "at"]).where(F.contains("text", "line"))
+        off = F.col("start_s") - F.col("t")
+        best = met.where(F.abs(off) <= width).groupBy("file_id", "landmark").agg(F.min_by(off, F.struct(F.abs(off), F.col("start_s"))).alias("error"))
+        found.append(stored(best, "ring"))
+        if width >= span:
+            break
+        left, width = stored(left.join(found[-1], ["file_id", "landmark"], "left_anti"), "marks"), width * 4
+    return found
+
+
+def nearest_cue(cues: DataFrame, landmarks: DataFrame, first_s: float = 60.0) -> DataFrame:
+    """(file_id, landmark, error): for each landmark the nearest cue, however far, that carries its line in any case, the earlier of
+    two as near; null without one, and where t or line is null.
+
+    An as-of join without a product of a file's cues and landmarks: a line of three words or more meets cues by its rarest
+    inner word, which must stand whole in a cue that carries it; shorter ones go outwards in time (first_s seconds first).
+    """
+    low = cues.select("file_id", "start_s", F.lower("text").alias("text")).where("start_s is not null and text is not null")
+    words = F.split(F.lower("line"), r"\s+")
+    marks = landmarks.where("t is not null and line is not null").select("file_id", "landmark", "t", F.lower("line").alias("line"), F.array_distinct(F.slice(words, 2, F.greatest(F.lit(0), F.size(words) - 2))).alias("words"))
+    marks = marks.withColumn("words", F.filter("words", lambda w: w != ""))
+    found = _by_word(low, marks.where(F.size("words") > 0))
+    for ring in _by_rings(low, marks.where(F.size("words") == 0), first_s):
+        found = found.unionByName(ring)
+    found = found.groupBy("file_id", "landmark").agg(F.min_by("error", F.struct(F.abs("error"), "error")).alias("error"))
+    return landmarks.select("file_id", "landmark").distinct().join(found, ["file_id", "landmark"], "left")
 
 
 def landmark_verdict(errors: DataFrame) -> DataFrame:
@@ -149,9 +193,17 @@ def landmark_verdict(errors: DataFrame) -> DataFrame:
 
 
 def verify_rips(requested: DataFrame, produced: DataFrame) -> DataFrame:
-    """Asked titles against files: NO FILE, ok within 3 s, CHECK."""
-    met = requested.join(produced.select("disc", "title", F.col("sec").alias("got")), ["disc", "title"], "left")
-    return met.withColumn("verdict", F.when(F.col("got").isNull(), "NO FILE").when(F.abs(F.col("got") - F.col("sec")) <= 3, "ok").otherwise("CHECK"))
+    """Asked titles against files: NO FILE, CHECK (over 3 s off), SIZE, ok.
+
+    SIZE: the file is over a tenth (what containers add) off the size that the enumeration gave, a text such as "4.7 GB" in
+    size_text: the numbering of titles has moved between the two. Where either side has no size, none is compared.
+    """
+    has_sizes = "size_text" in requested.columns and "bytes" in produced.columns
+    files = produced.select("disc", "title", F.col("sec").alias("got"), *(["bytes"] if has_sizes else []))
+    met = requested.join(files, ["disc", "title"], "left")
+    want = T.size_to_gb(F.col("size_text")) * (1 << 30) if has_sizes else F.lit(None)
+    off = F.coalesce(F.abs(F.col("bytes") - want) > want * 0.1, F.lit(False)) if has_sizes else F.lit(False)
+    return met.withColumn("verdict", F.when(F.col("got").isNull(), "NO FILE").when(F.abs(F.col("got") - F.col("sec")) > 3, "CHECK").when(off, "SIZE").otherwise("ok"))
 
 
 def duplicate_prompts(titles: DataFrame) -> DataFrame:

@@ -63,3 +63,8 @@ def write_catalogue(titles: DataFrame, streams: DataFrame, path: str) -> None:
 def append_log(df: DataFrame, path: str, form: str = "json") -> None:
     """K4: rows added to a log or state of JSON lines, CSV or Parquet; what was there stays."""
     df.write.mode("append").format(form).save(path)
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """K4: the log rows of one run of a job, as path/run=<name>: a run that is repeated writes its rows again, none twice."""
+    df.write.mode("overwrite").json(f"{path}/run={run}")

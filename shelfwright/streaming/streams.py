@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfwright.session import new_path
+from shelfwright.session import drop, new_path
+from shelfwright.sources.state import Commits
 
 
 def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: str = "1 minute", keep_s: int = 86_400) -> DataFrame:
@@ -126,19 +129,69 @@ def latest_state(log: DataFrame) -> DataFrame:
     return latest.select("rk", F.col("x.event").alias("event"), F.col("x.event_id").alias("event_id"), F.col("x.ts").alias("ts"))
 
 
-def upserts(stream: DataFrame, path: str):
+#: Batches of an upsert log after which they are merged.
+MERGE_AFTER = 16
+
+
+def upserts(stream: DataFrame, path: str, merge_after: int = MERGE_AFTER):
     """A writer of what each batch changes, as path/batch=N: a batch that runs again writes the same folder, and no batch
-    writes what another has written. latest_of() reads it, compact() makes one batch of many."""
-    return stream.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"))
+    writes what another has written. latest_of() reads it; every merge_after batches those before the newest one, which alone
+    can run again as it was, are merged by compact()."""
+
+    def write(df: DataFrame, n: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={n}")
+        if n and n % merge_after == 0:
+            compact(df.sparkSession, path, df.schema, n - 1)
+
+    return stream.writeStream.outputMode("update").foreachBatch(write)
+
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(fs_path)] if fs.exists(fs_path) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch=") and n.removeprefix("batch=").isdigit())
 
-def latest_of(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The newest row of each key of what upserts() wrote."""
-    rows = spark.read.schema(schema.add("batch", "long")).option("basePath", path).parquet(path)
-    names = [c for c in rows.columns if c not in ("rk", "batch")]
+
+def upsert_folders(spark: SparkSession, path: str, upto: int | None = None) -> tuple[str | None, list[int]]:
+    """What latest_of() reads: the newest merged folder, and the batches that came after it (to upto)."""
+    info = Commits(spark, f"{path}/merges").last()[1]
+    return info.get("folder"), [n for n in _batches(spark, path) if n > info.get("upto", -1) and (upto is None or n <= upto)]
+
+
+def _latest_with_batch(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
+    whole = T.StructType([*(f for f in schema.fields if f.name != "batch"), T.StructField("batch", T.LongType())])
+    merged, batches = upsert_folders(spark, path, upto)
+    parts = [spark.read.schema(whole).parquet(f"{path}/{merged}")] if merged else []
+    if batches:
+        parts.append(spark.read.schema(whole).option("basePath", path).parquet(*(f"{path}/batch={n}" for n in batches)))
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], whole)
+    names = [f.name for f in whole.fields if f.name != "rk"]
     return rows.groupBy("rk").agg(F.max_by(F.struct(*names), "batch").alias("x")).select("rk", *(F.col(f"x.{c}").alias(c) for c in names))
 
 
+def compact(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> None:
+    """The batches of an upsert log to upto (all) as one merged folder, which a ledger names once it is whole; then they are
+    removed. A batch to upto that is written again, meanwhile or later, says what the merged folder has of it and is not
+    looked at; the next merge removes it. The folder merged before stays for readers that have begun."""
+    ledger = Commits(spark, f"{path}/merges")
+    number, info = ledger.last()
+    batches = _batches(spark, path)
+    upto = max(batches, default=-1) if upto is None else upto
+    if upto > info.get("upto", -1) and any(n <= upto for n in batches):
+        folder = f"merged-{upto}-{uuid.uuid4().hex}"
+        _latest_with_batch(spark, path, schema, upto).write.parquet(f"{path}/{folder}")
+        ledger.add(number + 1, {"folder": folder, "upto": upto, "before": info.get("folder")})
+        if info.get("before"):
+            drop(spark, [f"{path}/{info['before']}"])
+    drop(spark, [f"{path}/batch={n}" for n in batches if n <= upto])
+
+
+def latest_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest row of each key of what upserts() wrote: one merged folder and the few batches since."""
+    return _latest_with_batch(spark, path, schema).drop("batch")
+
+
 def drained(stream: DataFrame, mode: str = "append", top: str | None = None) -> DataFrame:
     """What a stream emits for all that is there now, as a table in the shared folder; with top, going on where a run there ended.
 

@@ -49,7 +49,10 @@ def test_sidecars(spark):
 
 def test_folders_and_names(spark):
     staged, manifests = table(spark, "folder string", ("x",), ("y",)), table(spark, "src string", ("D:\\stage\\x\\t00.mkv",))
-    assert [r.folder for r in U.staged_without_manifest(staged, manifests).collect()] == ["y"]
+    assert [r.folder for r in U.staged_without_manifest(staged, manifests, "D:\\stage").collect()] == ["y"]
+    discs = table(spark, "folder string", ("Blu One",), ("Whole",), ("STREAM",), ("Other",))
+    reads = table(spark, "src string", ("d:/Stage/blu one/BDMV/STREAM/00001.m2ts",), ("D:\\stage\\Whole",), ("E:/elsewhere/Other/x.mkv",))
+    assert {r.folder for r in U.staged_without_manifest(discs, reads, "D:\\stage\\").collect()} == {"STREAM", "Other"}
     now, old = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1)
     folders = table(spark, "folder string, parent string, listed boolean, modified timestamp", ("a", None, True, old), ("a/b", "a", True, old), ("c", None, False, old), ("d", None, True, now), ("e", None, True, old))
     assert {r.folder for r in W.empty_folders(folders, table(spark, "folder string", ("e",)), now).collect()} == {"a/b"}
