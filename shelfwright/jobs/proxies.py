@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["lineitem", "part", "orders", "events", "documents", "conversations"]
 
 VIEWS = {
-    "px_titles": """SELECT disc, title, CASE WHEN q = 1 THEN 273.0 WHEN q = 2 THEN 8.0 WHEN q = 3 THEN 4000.0 + ln ELSE 1200.0 + floor(pr * 100) % 1800 END AS sec,
+    "px_titles": """SELECT disc, title, CAST(CASE WHEN q = 1 THEN 273.0 WHEN q = 2 THEN 8.0 WHEN q = 3 THEN 4000.0 + ln ELSE 1200.0 + floor(pr * 100) % 1800 END AS DOUBLE) AS sec,
   tax < 0.08 AS has_video, CAST(ln % 4 AS INT) AS audio, (fl = 'R' AND st = 'F') AS phantom, CAST(pk % 9 AS INT) AS md5_no, sup, pk
 FROM (SELECT CAST(floor(l_orderkey / 8) AS BIGINT) AS disc, CAST(row_number() OVER (PARTITION BY CAST(floor(l_orderkey / 8) AS BIGINT) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS INT) AS title,
   l_quantity AS q, l_extendedprice AS pr, l_linenumber AS ln, l_tax AS tax, l_returnflag AS fl, l_linestatus AS st, l_partkey AS pk, l_suppkey AS sup FROM lineitem) t""",
@@ -49,8 +49,8 @@ def register(spark: SparkSession, sf_dir: str) -> None:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
 
-def with_parts(names: list[str]) -> str:
-    """WITH parts for the views and those they are made from."""
+def with_parts(names: list[str], kind: str = "") -> str:
+    """WITH parts for the views and those they are made from; kind: what stands behind AS."""
     wanted: list[str] = []
 
     def add(name: str) -> None:
@@ -62,7 +62,7 @@ def with_parts(names: list[str]) -> str:
 
     for n in names:
         add(n)
-    return ",\n".join(f"{n} AS ({VIEWS[n]})" for n in wanted)
+    return ",\n".join(f"{n} AS {kind}({VIEWS[n]})" for n in wanted)
 
 
 def view(spark: SparkSession, name: str) -> DataFrame:

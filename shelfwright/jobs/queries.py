@@ -33,7 +33,7 @@ def query(name: str, views: list[str], sql: str):
             return make(Proxies(spark))
 
         QUERIES[name] = run
-        ORACLE_SQL[name] = f"WITH {with_parts(views)}\n{sql}" if views else sql  # sql may go on with further parts
+        ORACLE_SQL[name] = f"WITH {with_parts(views, 'MATERIALIZED ')}\n{sql}" if views else sql  # sql may go on with further parts
         return make
 
     return add

@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +28,16 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-_made: list[str] = []
+#: The paths made inside the innermost tracked() block of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder that nothing has used; tracked() tells of it."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _made.append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -46,13 +50,13 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 @contextmanager
 def tracked() -> Iterator[list[str]]:
-    """The list of paths that are made inside the block; it is whole at the block's end."""
-    first, made = len(_made), []
+    """The list of paths that are made inside the block by this thread, without those of blocks inside it."""
+    made: list[str] = []
+    outer = _made.set(made)
     try:
         yield made
     finally:
-        made.extend(_made[first:])
-        del _made[first:]
+        _made.reset(outer)
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
@@ -73,6 +77,13 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file or folder of the shared file system was last changed, in ms; None if it is not there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(at).getModificationTime() if fs.exists(at) else None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
