@@ -8,29 +8,56 @@ stay as they are.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwright.llm import mixing, near_dups, piece_bpe, quality_rules, secret_scan
-from shelfwright.session import drop, new_path, stored, tracked
+from shelfwright.session import drop, modified, new_path, stored, tracked
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Intermediate tables of the stage that ran last.
-_left: list[str] = []
 
 
-def _stage(make: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage. Its result is to be written before the next stage is called: what it is read from is removed then."""
+class Scratch:
+    """Tables that stages have made on the way to their results. Who writes the results closes it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def close(self) -> None:
+        drop(self.spark, self.paths)
+        self.paths.clear()
+
+    def close_older(self, docs: DataFrame) -> None:
+        """Closes it if docs are files written after all its tables: they are what was made of them, so these are not needed."""
+        files = docs.inputFiles() if self.paths else []
+        if files:
+            written, made = modified(self.spark, files[0]), [modified(self.spark, p) for p in self.paths]
+            if written is not None and all(m is None or m < written for m in made):
+                self.close()
+
+
+#: For stages that are given no scratch: one for each thread.
+_own = threading.local()
+
+
+def _stage(make: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[..., DataFrame]:
+    """A stage (spark, docs, sf_dir, scratch). Its tables lie in scratch, which the caller closes once the result is written.
+
+    Without one they stay until this thread gives a stage documents that were written after them. So any number of stages
+    may be built before one of them is written; a result is good until a later stage reads what was written of it.
+    """
 
     @wraps(make)
-    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop(spark, _left)
-        _left.clear()
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
+        if scratch is None:
+            scratch = _own.__dict__.setdefault(spark.sparkContext.applicationId, Scratch(spark))
+            scratch.close_older(docs)
         with tracked() as made:
             out = make(spark, docs, sf_dir)
-        _left.extend(made)
+        scratch.paths.extend(made)
         return out
 
     return call
@@ -82,13 +109,15 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. All that was written on the way is removed as soon as it can be."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
-    last: list[str] = []
-    for k, (_, stage) in enumerate(STAGES):
-        path = new_path(spark, f"pipeline-{k}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        drop(spark, last)
-        last = [path]
-    drop(spark, _left)
-    _left.clear()
+    scratch, last = Scratch(spark), []
+    try:
+        for k, (_, stage) in enumerate(STAGES):
+            path = new_path(spark, f"pipeline-{k}")
+            stage(spark, docs, sf_dir, scratch).write.parquet(path)
+            scratch.close()
+            docs = spark.read.parquet(path)
+            drop(spark, last)
+            last = [path]
+    finally:
+        scratch.close()
     return docs

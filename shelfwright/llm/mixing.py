@@ -74,13 +74,13 @@ def temperature(sources: DataFrame, total: int, entropy_share: float | None, mos
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy_share: float | None = 0.97, most_repeats: float | None = 4.0, budget: int | None = None, cover: bool = False, block_tokens: int = 1 << 20, seed: int = 1, row_col: str | None = None) -> DataFrame:
-    """(row, id, source, n_tokens, epoch, block, slot): the documents in the order of the mixture.
+    """(row, id, source, n_tokens, epoch, block, slot, exponent, weight): the documents in the order of the mixture.
 
     row is row_col, a key of the input's rows, or without one the place of the row in the input as read by this call. A document stands once for each epoch of
     its source that the budget reaches: its first token must lie below the source's quota, budget x weight. slot is
     its place in its block, by hash. budget: tokens of all (default: as many as there are); with cover, as many as
     give every source a whole epoch at least, so that no document is left out. A null source is a source of its own, a
-    null text has no tokens; documents without tokens come with their source's first epoch, where all of a source are
+    null text has no tokens; exponent is the same for all rows, weight is the source's (0 without tokens). Documents without tokens come with their source's first epoch, where all of a source are
     so spread over the blocks by hash. Repeated rows are rows of their own, an empty table gives none.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), tokens(F.col(text_col)).alias("n_tokens"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"))
@@ -103,7 +103,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     block = F.when(F.col("tokens") == 0, F.pmod("h", F.lit(blocks))).otherwise(F.least(F.lit(blocks - 1), F.floor(start / F.col("quota") * blocks))).cast("int")
     kept = kept.withColumn("block", block).drop("pos", "before").withColumn("h2", F.xxhash64(F.lit(seed + 1), "block", "epoch", "row"))
     slotted = positions(kept, ["block"], "h2", ["row", "epoch"])
-    return slotted.select("row", "id", "source", "n_tokens", "epoch", "block", F.col("pos").cast("int").alias("slot"))
+    return slotted.select("row", "id", "source", "n_tokens", "epoch", "block", F.col("pos").cast("int").alias("slot"), F.lit(alpha).alias("exponent"), F.when(F.col("tokens") > 0, weight).otherwise(0.0).alias("weight"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -119,6 +119,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op4: the documents as a mixture of their sources, flattened to 97 % of the greatest entropy or 4 epochs at most."""
+    """op4: the documents as a mixture of what each language has of each source, flattened to 97 % of the greatest entropy or 4 epochs
+    at most. Languages are uneven where sources are alike, so the exponent is below 1 and scarce languages come again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mixed(docs).withColumnRenamed("id", "doc_id").drop("row")
+    rows = docs.select("doc_id", "text", F.to_json(F.struct("lang", "source")).alias("source"))
+    return mixed(rows).withColumnRenamed("id", "doc_id").drop("row")

@@ -116,7 +116,8 @@ def ranked(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id",
     """(id, score, predicted) of every whole text, learned from labels of ids for which held_out(id column) is false.
 
     At most about `most_labels` labelled rows are learned from (those with the lowest hashes of their id; they alone
-    come to the driver, as features), by `most_pairs` random pairs of them. An id whose labels differ is left out. The
+    come to the driver, as features, one row for each id: of rows that repeat an id the one with the least features), by
+    `most_pairs` random pairs of them. An id whose labels differ is left out. The
     threshold is the quantile of all documents' scores at the share of label 0 among all labels that are not held out,
     however many of them were learned from; scores are logistic around it, so that it becomes `cut`. Without both labels all
     documents score 0.5. Rows are scored each by its own text, also where an id is null or repeats; ids may be of any type,
@@ -128,7 +129,7 @@ def ranked(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id",
     n, bad = known.agg(F.count("*"), F.count_if(F.col("y") == 0)).first()
     if n > most_labels:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(most_labels / n * (1 << 30)))
-    learn = facts.join(known.select("id", "y"), "id").select("y", *FEATURES).toPandas()
+    learn = facts.join(known.select("id", "y"), "id").groupBy("id", "y").agg(F.min(F.struct(*FEATURES)).alias("x")).select("y", "x.*").toPandas()
     x, y = learn[FEATURES].to_numpy(float), learn["y"].to_numpy()
     order = np.lexsort((*x.T[::-1], y)) if len(y) else np.zeros(0, int)  # whatever order rows came in
     x, y = x[order], y[order]
