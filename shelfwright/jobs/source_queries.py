@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwright.jobs.queries import query
 from shelfwright.operators import audits as U, reconcile as J
@@ -65,29 +65,36 @@ def _(px):
 
 
 def _xml(px) -> str:
+    """A disc's own XML: every third title with its length in elements below, every seventh plays all, episodes are marked."""
     b, n = F.col("bytes") % 20000, F.col("n")
+    marks = F.when(n % 7 == 0, ' ContainsEpisode="False"').when(n % 2 == 0, F.format_string(' TVEpisode="%d"', n)).otherwise("")
+    clock = (F.floor(b / 3600), F.floor(b / 60) % 60, b % 60)
+    below = F.format_string("<Hours>%d</Hours>\n<Minutes>%d</Minutes><Seconds>%d</Seconds>", *clock)
     line = F.concat(
-        F.format_string('<Title Name="T%d" Duration="%d:%02d:%02d"%s/>\n', n, F.floor(b / 3600), F.floor(b / 60) % 60, b % 60, F.when(n % 2 == 0, F.format_string(' Episode="%d"', n)).otherwise("")),
-        F.format_string('<AudioTrack Language="%s" Type="DTS" Channels="5.1" />', F.when(n % 3 == 0, "Commentary").otherwise("English")),
+        F.format_string('<Title Number="%d"%s', n, marks), F.when(n % 3 == 0, F.concat(F.lit(">"), below, F.lit("</Title>\n"))).otherwise(F.format_string(' Hours="%d" Minutes="%d" Seconds="%d"/>\n', *clock)),
+        F.format_string('<AudioTrack Language="%s" Type="DTS &amp; more" Channels="5.1" />', F.when(n % 3 == 0, "Commentary").otherwise("English")),
     )
-    first = F.concat(F.lit("<LocalTitle> Film "), F.col("work"), F.lit("</LocalTitle><ExtraFeatures><![CDATA[Trailer\n  Making of \n\n]]></ExtraFeatures>\n"))
-    rows = _numbered(px)
-    return _written(px, rows, F.concat(F.lit("disc"), F.col("work").cast("string"), F.lit("/mymovies.xml")), F.when(n == 1, F.concat(first, line)).otherwise(line), ["n"])
+    first = F.concat(F.lit('<?xml version="1.0"?>\n<Disc><LocalTitle> Film &amp; '), F.col("work"), F.lit("</LocalTitle><ExtraFeatures><![CDATA[Trailer\n  Making <of> \n\n]]></ExtraFeatures>\n"))
+    last = n == F.max("n").over(Window.partitionBy("work"))
+    rows = _numbered(px).withColumn("last", last)
+    line = F.concat(F.when(n == 1, first).otherwise(""), line, F.when(F.col("last") & (F.col("work") % 10 > 0), "</Disc>").otherwise(""))
+    return _written(px, rows, F.concat(F.lit("disc"), F.col("work").cast("string"), F.lit("/mymovies.xml")), line, ["n"])
 
 
 @query(
     "s4_read_disc_xml",
     ["px_src"],
-    f"""SELECT 'disc' || work AS disc, 'title' AS kind, n - 1 AS pos, 'T' || n AS name, (bytes % 20000)::DOUBLE AS sec, CASE WHEN n % 2 = 0 THEN n END AS episode FROM ({_SRC})
-UNION ALL SELECT 'disc' || work, 'audio', n - 1, CASE WHEN n % 3 = 0 THEN 'Commentary' ELSE 'English' END, NULL, NULL FROM ({_SRC})
-UNION ALL SELECT DISTINCT 'disc' || work, 'extra', i, ['Trailer', 'Making of'][i + 1], NULL, NULL FROM px_src, (SELECT unnest([0, 1]) AS i) UNION ALL SELECT DISTINCT 'disc' || work, 'header', 0, 'Film ' || work, NULL, NULL FROM px_src""",
+    f"""SELECT 'disc' || work AS disc, 'title' AS kind, n - 1 AS pos, n::VARCHAR AS name, (bytes % 20000)::DOUBLE AS sec, CASE WHEN n % 7 > 0 AND n % 2 = 0 THEN n END AS episode, n % 7 = 0 AS mark FROM ({_SRC})
+UNION ALL SELECT 'disc' || work, 'audio', n - 1, CASE WHEN n % 3 = 0 THEN 'Commentary' ELSE 'English' END || ' DTS & more', NULL, NULL, NULL FROM ({_SRC})
+UNION ALL SELECT DISTINCT 'disc' || work, 'extra', i, ['Trailer', 'Making <of>'][i + 1], NULL, NULL, NULL FROM px_src, (SELECT unnest([0, 1]) AS i)
+UNION ALL SELECT DISTINCT 'disc' || work, 'header', 0, 'Film & ' || work, NULL, NULL, work % 10 = 0 FROM px_src""",
 )
 def _(px):
     titles, tracks, extras, header = S.read_disc_xml(px.spark, f"{_xml(px)}/*/mymovies.xml")
-    none = (F.lit(None).cast("double").alias("sec"), F.lit(None).cast("int").alias("episode"))
-    row = lambda df, kind, pos, name: df.select("disc", F.lit(kind).alias("kind"), pos.alias("pos"), name.alias("name"), *none)
-    out = titles.select("disc", F.lit("title").alias("kind"), "pos", F.col("title").alias("name"), "sec", "episode")
-    return out.unionByName(row(tracks, "audio", F.col("pos"), F.col("language"))).unionByName(row(extras, "extra", F.col("pos"), F.col("name"))).unionByName(row(header, "header", F.lit(0), F.col("local_title")))
+    row = lambda df, kind, name, mark=F.lit(None), pos=F.col("pos"): df.select("disc", F.lit(kind).alias("kind"), pos.alias("pos"), name.alias("name"), F.lit(None).cast("double").alias("sec"), F.lit(None).cast("int").alias("episode"), mark.cast("boolean").alias("mark"))  # noqa: B008, E731
+    out = titles.select("disc", F.lit("title").alias("kind"), "pos", F.col("title").cast("string").alias("name"), "sec", "episode", F.col("play_all").alias("mark"))
+    out = out.unionByName(row(tracks, "audio", F.concat_ws(" ", "language", "type"))).unionByName(row(extras, "extra", F.col("name")))
+    return out.unionByName(row(header, "header", F.col("local_title"), F.col("malformed"), F.lit(0)))
 
 
 @query(
@@ -166,37 +173,84 @@ def _(px):
     return S.read_declared_title_sets(px.spark, f"{path}/*/VIDEO_TS/VIDEO_TS.IFO")
 
 
-@query("s12_read_state", ["px_src"], "SELECT rel AS rk, CASE ok % 3 WHEN 0 THEN 'kept' ELSE 'no_match' END AS r, CASE ok % 3 WHEN 0 THEN ok % 100 / 100.0::DOUBLE END AS cover, CASE WHEN ok % 2 = 0 THEN 'a' || ok END AS tried FROM px_src")
+@query(
+    "s12_read_state",
+    ["px_src"],
+    "SELECT rel AS rk, CASE ok % 3 WHEN 0 THEN 'matched' ELSE 'no_match' END AS r, CASE ok % 3 WHEN 0 THEN ok % 100 / 100.0::DOUBLE END AS cover, CASE WHEN ok % 2 = 0 THEN 'a' || ok END AS t, CASE WHEN ok % 2 = 0 THEN ok END AS score, CASE WHEN ok % 2 = 0 AND ok % 5 = 0 THEN 'download_failed' END AS why FROM px_src",
+)
 def _(px):
+    """State files as the search writes them, a tried candidate's title in t; every second one indented."""
     ok = F.col("ok")
-    tried = F.when(ok % 2 == 0, F.array(F.struct(F.concat(F.lit("a"), ok).alias("title"), F.lit(0.5).alias("sim"))))
-    verdict = F.struct(F.when(ok % 3 == 0, "kept").otherwise("no_match").alias("r"), F.when(ok % 3 == 0, ok % 100 / 100.0).alias("cover"), tried.alias("tried"))
-    states = px("px_src").groupBy(F.format_string("state%d.json", "work").alias("name")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("rel", verdict)))).alias("content"))
+    one = F.struct(F.concat(F.lit("a"), ok).alias("t"), ok.alias("score"), F.lit(0.5).alias("sim"), F.when(ok % 5 == 0, "download_failed").alias("why"))
+    verdict = F.struct(F.when(ok % 3 == 0, "matched").otherwise("no_match").alias("r"), F.when(ok % 3 == 0, ok % 100 / 100.0).alias("cover"), F.when(ok % 2 == 0, F.array(one)).alias("tried"))
+    rows = px("px_src").groupBy("work").agg(F.map_from_entries(F.collect_list(F.struct("rel", verdict))).alias("m"))
+    content = F.when(F.col("work") % 2 == 0, F.to_json("m", {"pretty": "true"})).otherwise(F.to_json("m"))
     path = new_path(px.spark, "files")
-    K.write_files(states, path)
-    return S.read_state(px.spark, path).select("rk", "r", "cover", F.get("tried", 0)["title"].alias("tried"))
+    K.write_files(rows.select(F.format_string("state%d.json", "work").alias("name"), content.alias("content")), path)
+    return S.read_state(px.spark, path).select("rk", "r", "cover", F.get("tried", 0)["t"].alias("t"), F.get("tried", 0)["score"].alias("score"), F.get("tried", 0)["why"].alias("why"))
 
 
-@query("s12_k1_catalogue", ["px_src"], f"SELECT work::VARCHAR AS disc, n AS title, bytes % 9000::DOUBLE AS sec, count(*) AS streams, string_agg(CASE s WHEN 0 THEN 'Video' ELSE 'Audio' END, ',' ORDER BY s) AS types FROM ({_SRC}), (SELECT unnest([0, 1]) AS s) GROUP BY work, n, bytes")
-def _(px):
-    t = _numbered(px).select(F.col("work").alias("disc"), F.col("n").alias("title"), (F.col("bytes") % 9000).cast("double").alias("sec"))
-    s = t.select("disc", "title", F.explode(F.array(F.lit(0), F.lit(1))).alias("n")).withColumn("type", F.when(F.col("n") == 0, "Video").otherwise("Audio"))
+def _catalogued(px, per_disc: bool):
+    b, n = F.col("bytes") % 9000, F.col("n")
+    t = _numbered(px).select(F.concat(F.lit("disc "), F.col("work")).alias("disc"), F.lit(10).alias("min_length"), n.alias("title"), F.format_string("%d:%02d:%02d", F.floor(b / 3600), F.floor(b / 60) % 60, b % 60).alias("duration"), F.format_string("%d MB", n).alias("size_text"), F.when(n % 3 == 0, F.array(F.lit("f1.png"))).alias("frames"))
+    s = t.where("title % 10 > 0").select("disc", "title", F.explode(F.array(F.lit(0), F.lit(1))).alias("n")).withColumn("type", F.when(F.col("n") == 0, "Video").otherwise("Audio"))
     path = new_path(px.spark, "catalogue")
-    K.write_catalogue(t, s, path)
-    titles, streams = S.read_catalogue(px.spark, path)
-    of = streams.groupBy("disc", "title").agg(F.count("*").alias("streams"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "type"))), lambda x: x["type"]), ",").alias("types"))
-    return titles.join(of, ["disc", "title"]).select("disc", "title", "sec", "streams", "types")
+    K.write_catalogue(t, s, path, per_disc)
+    titles, streams = S.read_catalogue(px.spark, path, not per_disc)
+    of = streams.groupBy("disc", "title").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "type"))), lambda x: x["type"]), ",").alias("types"))
+    return titles.join(of, ["disc", "title"], "left").select("disc", "title", "sec", "size_text", F.size("frames").alias("frames"), "types")
+
 
+_CATALOGUE = f"SELECT 'disc ' || work AS disc, n AS title, (bytes % 9000)::DOUBLE AS sec, n || ' MB' AS size_text, CASE WHEN n % 3 = 0 THEN 1 END AS frames, CASE WHEN n % 10 > 0 THEN 'Video,Audio' END AS types FROM ({_SRC})"
 
-@query("s12_k2_manifest", ["px_agent"], "SELECT title || '.mkv' AS out, CASE WHEN rk % 2 = 0 THEN 'BD' ELSE 'DVD' END AS kind, CASE WHEN rk % 2 > 0 THEN idx END AS title, CASE rk % 3 WHEN 0 THEN 'eng' END AS subTrack, CASE rk % 5 WHEN 0 THEN '1,0' END AS tracks FROM px_agent")
+
+@query("s12_k1_catalogue", ["px_src"], _CATALOGUE)
+def _(px):
+    """A file a disc, indented, as the cataloguing tool writes it."""
+    return _catalogued(px, True)
+
+
+@query("s12_k1_catalogue_lines", ["px_src"], _CATALOGUE)
 def _(px):
-    rk = F.col("rk")
+    return _catalogued(px, False)
+
+
+@query("s12_unreadable", ["px_src"], "SELECT DISTINCT work, CASE WHEN work % 6 = 1 THEN 'empty' ELSE 'no JSON' END AS why FROM px_src WHERE work % 3 = 1")
+def _(px):
+    work, path = F.col("work"), new_path(px.spark, "files")
+    content = F.when(work % 6 == 1, " \n").when(work % 3 == 1, '{"a": {"r": "matched"').otherwise('{\n  "a": {"r": "matched"}\n}')
+    K.write_files(px("px_src").select(F.format_string("s%d.json", work).alias("name"), content.alias("content")).distinct(), path)
+    return S.unreadable(px.spark, path).select(F.regexp_extract("file", r"s(\d+)\.json$", 1).cast("long").alias("work"), "why")
+
+
+def _manifested(px, per_show: bool):
+    rk, none = F.col("rk"), F.lit(None).cast("string")
+    pair = lambda k, title: F.struct(F.lit(k).alias("idx"), title.alias("title"))
     rows = px("px_agent").select(
-        F.concat("title", F.lit(".mkv")).alias("out"), F.when(rk % 2 == 0, "BD").otherwise("DVD").alias("kind"), F.when(rk % 2 > 0, F.col("idx")).alias("title"), F.when(rk % 3 == 0, "eng").alias("subTrack"), F.when(rk % 5 == 0, F.array(F.lit(1), F.lit(0))).alias("audioTracks")
+        F.col("show").alias("manifest"), F.concat(rk, F.lit(" "), "title", F.lit(".mkv")).alias("out"), F.when(rk % 2 == 0, "BD").otherwise("DVD").alias("kind"), F.when(rk % 2 > 0, F.col("idx")).alias("title"), F.when(rk % 3 == 0, "eng").when(rk % 3 == 1, "2").alias("subTrack"),
+        F.when(rk % 5 == 0, F.array(F.lit(1), F.lit(0))).alias("audioTracks"), F.when(rk % 4 == 0, F.array(pair(1, none), pair(2, F.lit('The "Writers"')))).when(rk % 4 == 1, F.array(pair(3, none))).alias("commentary"),
+        F.when(rk % 6 == 0, F.array(pair(4, F.lit("Described")))).alias("audioDescription"),
     )
     path = new_path(px.spark, "manifest")
-    K.write_manifest(rows, path)
-    return S.read_manifest(px.spark, path).select("out", "kind", "title", "subTrack", F.array_join("audioTracks", ",").alias("tracks"))
+    K.write_manifest(rows if per_show else rows.drop("manifest"), path, "manifest" if per_show else None)
+    read = S.read_manifest(px.spark, path, not per_show)
+    said = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["idx"], F.lit(":"), F.coalesce(x["title"], F.lit("-")))), ",").alias(S.snake(c))
+    return read.select("out", "kind", "title", F.col("subTrack").alias("sub_track"), F.array_join("audioTracks", ",").alias("tracks"), said("commentary"), said("audioDescription"))
+
+
+_MANIFESTS = """SELECT rk || ' ' || title || '.mkv' AS out, CASE WHEN rk % 2 = 0 THEN 'BD' ELSE 'DVD' END AS kind, CASE WHEN rk % 2 > 0 THEN idx END AS title, CASE rk % 3 WHEN 0 THEN 'eng' WHEN 1 THEN '2' END AS sub_track, CASE rk % 5 WHEN 0 THEN '1,0' END AS tracks,
+  CASE rk % 4 WHEN 0 THEN '1:-,2:The "Writers"' WHEN 1 THEN '3:-' END AS commentary, CASE WHEN rk % 6 = 0 THEN '4:Described' END AS audio_description FROM px_agent"""
+
+
+@query("s12_k2_manifest", ["px_agent"], _MANIFESTS)
+def _(px):
+    """A list of items in a file for each show."""
+    return _manifested(px, True)
+
+
+@query("s12_k2_manifest_lines", ["px_agent"], _MANIFESTS)
+def _(px):
+    return _manifested(px, False)
 
 
 @query("k4_append_log", ["px_log"], "SELECT event_id, rk, event FROM px_log UNION ALL SELECT event_id, rk, event FROM px_log WHERE event_id % 3 = 0")

@@ -95,7 +95,7 @@ def read_ocr_results(spark: SparkSession, root: str) -> DataFrame:
     """(file_id, cue, text) of the texts read from each cue's picture; file_id is the folder of cue_N.txt and cue_N_res.json.
 
     Lines of a JSON result stand by the upper edge of their boxes where there is a box for each; boxes are points, or
-    left, top, right, bottom. JSON beats text for one cue, blank lines and cues without a line are left out.
+    left, top, right, bottom (read where there are no points). JSON beats text for one cue, blank lines and cues without a line are left out.
     """
     folder, cue = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), lambda p: F.regexp_extract("path", p, 1).try_cast("int")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -103,7 +103,7 @@ def read_ocr_results(spark: SparkSession, root: str) -> DataFrame:
     said = files.option("pathGlobFilter", "cue_*_res.json").load(root).select(folder.alias("file_id"), cue(r"cue_(\d+)_res\.json$").alias("cue"), T.decode_bytes(F.col("content")).alias("json"))
     points = F.from_json("json", "rec_texts array<string>, rec_polys array<array<array<double>>>")
     boxes = F.from_json("json", "rec_boxes array<array<double>>")["rec_boxes"]
-    tops = F.coalesce(F.transform("p.rec_polys", lambda b: F.array_min(F.transform(b, lambda q: F.get(q, 1)))), F.transform("b", lambda b: F.least(F.get(b, 1), F.get(b, 3))))
+    tops = F.coalesce(F.transform(F.when(F.size("p.rec_polys") > 0, F.col("p.rec_polys")), lambda b: F.array_min(F.transform(b, lambda q: F.get(q, 1)))), F.transform("b", lambda b: F.least(F.get(b, 1), F.get(b, 3))))
     said = said.withColumns({"p": points, "b": boxes}).select("file_id", "cue", F.filter(F.transform("p.rec_texts", lambda x: F.trim(x)), lambda x: x != "").alias("lines"), tops.alias("tops"))
     placed = F.array_sort(F.transform(F.arrays_zip("tops", "lines"), lambda x, i: F.struct(x["tops"].alias("top"), i.alias("i"), x["lines"].alias("line"))))
     ordered = F.when(F.size("tops") == F.size("lines"), F.transform(placed, lambda x: x["line"])).otherwise(F.col("lines"))
@@ -113,32 +113,74 @@ def read_ocr_results(spark: SparkSession, root: str) -> DataFrame:
     return best.select("file_id", "cue", F.array_join("lines", "\n").alias("text"))
 
 
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    """(file, content): whole small control files, below a folder at any depth, in any encoding of decode_bytes()."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("path").alias("file"), T.decode_bytes(F.col("content")).alias("content"))
+
+
+# Attributes and elements of a disc's own XML.
+_TITLE_XML = "_Number int, _TVEpisode string, _ContainsEpisode string, _MainMovie string, _Hours int, _Minutes int, _Seconds int, Hours int, Minutes int, Seconds int"
+_TRACK_XML = "_Language string, _Type string, _Channels string"
+
+
 def read_disc_xml(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """What discs say of themselves, of each file the disc it lies on: titles (disc, pos, title, sec, episode),
-    audio_tracks (disc, pos, language, type, channels) in stream order, extras (disc, pos, name), header (disc, local_title, imdb).
+    """What discs say of themselves, of each file the disc it lies on: titles (disc, pos, title, sec, episode, play_all, main_movie)
+    of the numbered titles, audio_tracks (disc, pos, language, type, channels) in stream order, extras (disc, pos, name), header
+    (disc, file, local_title, imdb, malformed).
+
+    Elements are found wherever they stand in a file and read by Spark's XML parser: lengths as attributes or as elements
+    below, entities and CDATA decoded. A title that holds no episode plays all; episode is the number it is marked with.
+    A file that is no XML is reported as malformed, with what could be read of it.
     """
-    text = spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), T.decode_bytes(F.col("content")).alias("x"))
-    of = lambda c, p: F.regexp_extract(c, p, 1)
-    some = lambda c: F.when(c != "", c)
-    each = lambda p, *names: text.select("disc", F.posexplode(F.regexp_extract_all("x", F.lit(p), F.lit(0))).alias("pos", "e"))
-    attr = lambda name: some(of(F.col("e"), rf"(?s)^<[^>]*?\b{name}\s*=\s*\"([^\"]*)\""))
-    titles = each(r"(?s)<Title\b[^>]*/?>").select("disc", "pos", attr("Name").alias("title"), T.hms_to_sec(attr("Duration")).alias("sec"), attr("Episode").try_cast("int").alias("episode"))
-    tracks = each(r"(?s)<AudioTrack\b[^>]*/?>").select("disc", "pos", attr("Language").alias("language"), attr("Type").alias("type"), attr("Channels").alias("channels"))
-    listed = F.split(of(F.col("x"), r"(?s)<ExtraFeatures[^>]*>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</ExtraFeatures>"), r"\r?\n")
-    extras = text.select("disc", F.posexplode(F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != "")).alias("pos", "name"))
-    header = text.select("disc", some(F.trim(of(F.col("x"), r"(?s)<LocalTitle>(.*?)</LocalTitle>"))).alias("local_title"), some(F.trim(of(F.col("x"), r"(?s)<IMDB>(.*?)</IMDB>"))).alias("imdb"))
+    text = spark.read.format("binaryFile").load(glob).select(_disc().alias("disc"), F.col("path").alias("file"), T.decode_bytes(F.col("content")).alias("x"))
+    element = lambda name, more="": rf"(?s)<{name}\b{more}(?:[^>]*/>|[^>]*>.*?</{name}>)"
+    some = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    each = lambda p, kind: text.select("disc", F.posexplode(F.regexp_extract_all("x", F.lit(p), F.lit(0))).alias("pos", "e")).select("disc", "pos", F.from_xml("e", F.lit(kind)).alias("e"))
+    part = lambda name: F.coalesce(f"e._{name}", f"e.{name}", F.lit(0))
+    timed = F.coalesce(*(F.col(f"e.{p}{n}") for n in ("Hours", "Minutes", "Seconds") for p in ("_", ""))).isNotNull()
+    titles = each(element("Title", r"(?=[^>]*\bNumber\s*=)"), _TITLE_XML).select(
+        "disc", "pos", F.col("e._Number").alias("title"), F.when(timed, (part("Hours") * 3600 + part("Minutes") * 60 + part("Seconds")).cast("double")).alias("sec"), F.col("e._TVEpisode").try_cast("int").alias("episode"),
+        F.coalesce(F.lower("e._ContainsEpisode") == "false", F.lit(False)).alias("play_all"), F.coalesce(F.lower("e._MainMovie") == "true", F.lit(False)).alias("main_movie"),
+    )
+    tracks = each(element("AudioTrack"), _TRACK_XML).select("disc", "pos", some(F.col("e._Language")).alias("language"), some(F.col("e._Type")).alias("type"), some(F.col("e._Channels")).alias("channels"))
+    wrapped = lambda name: F.from_xml(F.concat(F.lit("<w>"), F.regexp_extract("x", element(name), 0), F.lit("</w>")), F.lit(f"{name} string"))[name]
+    extras = text.select("disc", F.posexplode(F.filter(F.transform(F.split(wrapped("ExtraFeatures"), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")).alias("pos", "name"))
+    broken = F.from_xml("x", F.lit("_corrupt_record string"))["_corrupt_record"].isNotNull() | (F.trim("x") == "")
+    header = text.select("disc", "file", some(wrapped("LocalTitle")).alias("local_title"), some(wrapped("IMDB")).alias("imdb"), F.coalesce(broken, F.lit(True)).alias("malformed"))
     return titles, tracks, extras, header
 
 
-STATE = "struct<r:string,label:string,tried:array<struct<title:string,sim:double>>,kept:string,cover:double,cues:int,offset:double>"
-CATALOGUE = "disc string, title_count int, titles array<struct<title:int,sec:double,source:string,streams:array<struct<n:int,type:string,lang:string,codec:string>>>>"
-MANIFEST = "out string, kind string, src string, crop string, title int, chapterStart int, chapterEnd int, subTrack string, audioTracks array<int>, audioLangs array<string>, origLang string, deinterlace boolean, allowRawStream boolean"
+# Fields of the control files, as they are written and as the tables have them.
+STREAM_FIELDS = {"n": "int", "type": "string", "lang": "string", "codec": "string", "bitrate": "string", "channels": "string", "resolution": "string", "label": "string"}
+TITLE_FIELDS = {
+    "title": "int", "duration": "string", "sizeText": "string", "source": "string", "outName": "string", "width": "int", "height": "int", "fieldOrder": "string", "frameRate": "string",
+    "probeFile": "string", "probeScope": "string", "audioMd5": "string", "frames": "array<string>", "disposition": "string",
+}
+DISC_FIELDS = {"disc": "string", "discPath": "string", "minLength": "int", "titleCount": "int"}
+TRIED = "array<struct<t:string,score:bigint,sim:double,cover:double,cues:bigint,kind:string,why:string>>"
+STATE = f"struct<r:string,label:string,tried:{TRIED},kept:string,cover:double,cues:bigint,kind:string,offset:double,scale:double,shift:double>"
+MANIFEST_FIELDS = {
+    "out": "string", "kind": "string", "src": "string", "crop": "string", "title": "int", "chapterStart": "int", "chapterEnd": "int", "subTrack": "string", "audioTracks": "array<int>", "audioLangs": "array<string>",
+    "origLang": "string", "deinterlace": "boolean", "allowRawStream": "boolean",
+}
+
+
+def snake(name: str) -> str:
+    """The name of a table's column for a field: sizeText is size_text, audioMd5 audio_md5."""
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
+
+
+def unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """(file, why) of the control files below path that are no JSON: empty, or broken. Spark does not list files of no bytes at all."""
+    return _documents(spark, path).where(F.try_parse_json("content").isNull()).select("file", F.when(F.col("content").rlike(r"^\s*$"), "empty").otherwise("no JSON").alias("why"))
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """(rk, r, label, tried, kept, cover, cues, offset): state files, each one JSON object of verdicts by key."""
-    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return whole.select(F.explode(F.from_json("value", f"map<string,{STATE}>")).alias("rk", "v")).select("rk", "v.*")
+    """(rk, r, label, tried, kept, cover, cues, kind, offset, scale, shift): state files, each one JSON object of verdicts by key,
+    indented or not. Entries that are no objects are left out; unreadable() names broken files."""
+    whole = _documents(spark, path).select(F.explode(F.from_json("content", f"map<string,{STATE}>")).alias("rk", "v"))
+    return whole.where("v is not null").select("rk", "v.*")
 
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -146,16 +188,40 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def read_catalogue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(titles, streams) of nested catalogue files; the disc is a field, or the name of its folder."""
-    discs = spark.read.schema(CATALOGUE).json(path)
-    titles = discs.select("disc", F.explode("titles").alias("t")).select("disc", "t.*")
-    return titles.drop("streams"), titles.select("disc", "title", F.explode("streams").alias("s")).select("disc", "title", "s.*")
+def read_catalogue(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(titles, streams) of nested catalogues: a file for each disc, indented or not, or (lines) many discs to a file, one a line.
 
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest rows with fixed columns; what a row leaves out is null. A file is one JSON list or JSON lines."""
-    return spark.read.schema(MANIFEST).json(path)
+    Columns are those of the files in small letters; titles have sec, their duration in seconds, besides. unreadable() names broken files.
+    """
+    schema = _ddl(DISC_FIELDS | {"titles": f"array<struct<{_ddl(TITLE_FIELDS | {'streams': f'array<struct<{_ddl(STREAM_FIELDS)}>>'})}>>"})
+    discs = spark.read.schema(schema).json(path) if lines else _documents(spark, path).select(F.from_json("content", schema).alias("d")).select("d.*")
+    discs = discs.where("disc is not null")
+    titles = discs.select("disc", F.explode("titles").alias("t")).select("disc", *(F.col(f"t.{k}").alias(snake(k)) for k in TITLE_FIELDS), "t.streams")
+    titles = titles.withColumn("sec", T.hms_to_sec(F.col("duration")))
+    return titles.drop("streams"), titles.select("disc", "title", F.explode("streams").alias("s")).select("disc", "title", *(F.col(f"s.{k}").alias(k) for k in STREAM_FIELDS))
+
+
+def _ddl(fields: dict[str, str]) -> str:
+    return ", ".join(f"{k} {v}" for k, v in fields.items())
+
+
+def _entries(v: Column, name: str) -> Column:
+    """A field that is a number, a list of numbers, or a list of [number, title] pairs, as an array of (idx, title)."""
+    many = F.coalesce(F.try_variant_get(v, f"$.{name}", "array<variant>"), F.array(F.try_variant_get(v, f"$.{name}", "variant")))
+    entry = lambda e: F.struct(F.coalesce(F.try_variant_get(e, "$[0]", "int"), F.try_variant_get(e, "$", "int")).alias("idx"), F.try_variant_get(e, "$[1]", "string").alias("title"))
+    found = F.filter(F.transform(many, entry), lambda x: x["idx"].isNotNull())
+    return F.when(F.size(found) > 0, found)
+
+
+def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Manifest rows with fixed columns; what a row leaves out is null. A file holds a list of items or one item, indented or
+    not, or (lines) one item a line. commentary and audioDescription become arrays of (idx, title), subTrack a text.
+    unreadable() names broken files."""
+    text = spark.read.text(path).select(F.col("value").alias("content")) if lines else _documents(spark, path)
+    whole = text.select(F.try_parse_json("content").alias("v")).where("v is not null")
+    items = whole.select(F.explode(F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))).alias("v"))
+    plain = (F.try_variant_get("v", f"$.{k}", kind).alias(k) for k, kind in MANIFEST_FIELDS.items())
+    return items.select(*plain, *(_entries(F.col("v"), k).alias(k) for k in ("commentary", "audioDescription")))
 
 
 def read_listing(spark: SparkSession, root: str) -> DataFrame:

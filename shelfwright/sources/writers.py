@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
 from shelfwright.session import stored
+from shelfwright.sources.readers import DISC_FIELDS, STREAM_FIELDS, TITLE_FIELDS, snake
 
 
 def write_files(files: DataFrame, path: str) -> DataFrame:
@@ -47,17 +48,52 @@ def write_srt(cues: DataFrame, path: str) -> DataFrame:
     return write_files(files.select(F.concat(F.col("file_id").cast("string"), F.lit(".srt")).alias("name"), "content"), path)
 
 
-def write_manifest(df: DataFrame, path: str) -> None:
-    """K2: manifest rows as JSON, fields without a value left out."""
-    df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
+def _written_entries(c: str) -> Column:
+    """An array of (idx, title) as the list that a manifest holds: numbers, and [number, title] pairs of those with a title."""
+    named = lambda e: F.concat(F.lit("["), e["idx"].cast("string"), F.lit(","), F.substr(F.to_json(F.array(e["title"])), F.lit(2)))
+    each = F.transform(c, lambda e: F.when(e["title"].isNull(), e["idx"].cast("string")).otherwise(named(e)))
+    return F.when(F.size(c) > 0, F.parse_json(F.concat(F.lit("["), F.array_join(each, ","), F.lit("]"))))
 
 
-def write_catalogue(titles: DataFrame, streams: DataFrame, path: str) -> None:
-    """K1: a nested row for each disc, its titles with their streams, in a folder for each disc."""
-    of = streams.groupBy("disc", "title").agg(F.array_sort(F.collect_list(F.struct("n", *[c for c in streams.columns if c not in ("disc", "title", "n")]))).alias("streams"))
-    rows = titles.join(of, ["disc", "title"], "left")
-    discs = rows.groupBy("disc").agg(F.count("*").alias("title_count"), F.array_sort(F.collect_list(F.struct("title", *[c for c in rows.columns if c not in ("disc", "title")]))).alias("titles"))
-    discs.write.partitionBy("disc").mode("overwrite").json(path)
+def _item(df: DataFrame) -> Column:
+    """A manifest's item as JSON, fields without a value left out; a subTrack of digits is a number."""
+    quoted = F.to_json(F.array("subTrack"))  # ["tag"]
+    sub = F.parse_json(F.when(F.col("subTrack").rlike(r"^\d+$"), F.regexp_replace("subTrack", r"^0+(?=\d)", "")).otherwise(F.substr(quoted, F.lit(2), F.length(quoted) - 2)))
+    own = {"subTrack": F.when(F.col("subTrack").isNotNull(), sub)} if "subTrack" in df.columns else {}
+    own |= {c: _written_entries(c) for c in ("commentary", "audioDescription") if c in df.columns}
+    return F.to_json(F.struct(*(own.get(c, F.col(c)).alias(c) for c in df.columns)))
+
+
+def write_manifest(df: DataFrame, path: str, file_col: str | None = None) -> DataFrame | None:
+    """K2: manifest rows as JSON, fields without a value left out; commentary and audioDescription are arrays of (idx, title).
+
+    With file_col, a column that names each row's manifest, each manifest is a file path/<name>.json with a list of its items,
+    and (name, bytes) of each comes back; without, Spark writes one item a line.
+    """
+    if file_col is None:
+        df.select(_item(df).alias("value")).write.mode("overwrite").text(path)
+        return None
+    rows = df.select(F.col(file_col).cast("string").alias("name"), _item(df.drop(file_col)).alias("item"))
+    files = rows.groupBy("name").agg(F.concat(F.lit("[\n"), F.array_join(F.array_sort(F.collect_list("item")), ",\n"), F.lit("\n]\n")).alias("content"))
+    return write_files(files.select(F.concat("name", F.lit(".json")).alias("name"), "content"), path)
+
+
+def write_catalogue(titles: DataFrame, streams: DataFrame, path: str, per_disc: bool = False) -> DataFrame | None:
+    """K1: a nested catalogue of each disc, its titles with their streams, with the field names of read_catalogue().
+
+    Spark writes one disc a line, many to a file; with per_disc each disc is an indented file path/<disc>.catalogue.json of its own, and
+    (name, bytes) of each comes back. Of a disc's own columns (disc_path, min_length) the titles' largest are taken.
+    """
+    renamed = lambda df, fields: [F.col(snake(k)).alias(k) for k in fields if snake(k) in df.columns]
+    of = streams.groupBy("disc", "title").agg(F.array_sort(F.collect_list(F.struct(*renamed(streams, STREAM_FIELDS)))).alias("streams"))
+    rows = titles.join(of, ["disc", "title"], "left").withColumn("streams", F.coalesce("streams", F.array().cast(of.schema["streams"].dataType)))
+    own = [F.max(snake(k)).alias(k) for k in DISC_FIELDS if k not in ("disc", "titleCount") and snake(k) in titles.columns]
+    discs = rows.groupBy("disc").agg(*own, F.count("*").cast("int").alias("titleCount"), F.array_sort(F.collect_list(F.struct(*renamed(titles, TITLE_FIELDS), "streams"))).alias("titles"))
+    if not per_disc:
+        discs.write.mode("overwrite").json(path)
+        return None
+    name = F.concat(F.col("disc").cast("string"), F.lit(".catalogue.json"))
+    return write_files(discs.select(name.alias("name"), F.to_json(F.struct(*discs.columns), {"pretty": "true"}).alias("content")), path)
 
 
 def append_log(df: DataFrame, path: str, form: str = "json") -> None:
