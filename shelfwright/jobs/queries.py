@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwright.functions import text as T
 from shelfwright.jobs.proxies import register, view, with_parts
 from shelfwright.operators import aggregates as A, predicates as P, ranking as W, reconcile as J
+from shelfwright.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -166,6 +167,22 @@ def _(px):
     return A.library_subtitle_stats(px("px_items"), px("px_streams"), P.TEXT_CODECS)
 
 
+@query(
+    "a23_sketched_shares",
+    ["px_items", "px_streams"],
+    """SELECT season % 2 AS part, CASE WHEN t IS NULL THEN 'none' WHEN t THEN 'text' ELSE 'image only' END AS kind, count(*) AS n, true AS within FROM px_items LEFT JOIN
+  (SELECT rk, bool_or(codec IN ('srt', 'ass')) AS t FROM px_streams WHERE stream_type = 3 GROUP BY 1) USING (rk) GROUP BY 1, 2""",
+)
+def _(px):
+    """Each library's sketches stored, then merged: every item is in two libraries. The estimate lies within three standard errors of the count."""
+    items = px("px_items")
+    libraries = items.withColumn("library", F.col("season")).unionByName(items.withColumn("library", F.col("season") + 100)).withColumn("part", F.col("season") % 2)
+    sketches = stored(A.subtitle_sketches(libraries, px("px_streams"), P.TEXT_CODECS, ["part", "library"]), "sketches")
+    exact = A.subtitle_kinds(items, px("px_streams"), P.TEXT_CODECS).groupBy((F.col("season") % 2).alias("part"), "kind").agg(F.count("*").alias("exact"))
+    met = exact.join(A.sketched_shares(sketches, ["part"]), ["part", "kind"])
+    return met.select("part", "kind", F.col("exact").alias("n"), (F.abs(F.col("n") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("within"))
+
+
 @query("w2_pick_subtitle", ["px_media"], "SELECT rk, ordinal, row_number() OVER (PARTITION BY rk ORDER BY cues DESC, ordinal DESC) = 1 AS picked FROM px_media WHERE forced IS NOT TRUE")
 def _(px):
     return W.pick_subtitle(px("px_media")).select("rk", "ordinal", "picked")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
-from shelfwright.operators.common import with_rint_median
+from shelfwright.operators.common import PER_PART, with_previous, with_rint_median
 
 # Frequent words of English, and of the languages that a failed reading shows instead.
 ENGLISH = "the and you that this with have not for but what are was his her him she they there would your from all been will has had who when were".split()
@@ -100,10 +100,11 @@ def commentary_verdict(hashes: DataFrame, a: int = 0, b: int = 1) -> DataFrame:
     return out.withColumn("verdict", F.when(F.col("windows") == 0, "TOO SHORT").when(F.col("differ") > 0, "COMMENTARY").otherwise("DUPLICATE"))
 
 
-def audio_gaps(packets: DataFrame, probes: DataFrame | None = None, start: float = 1800.0, dur: float = 60.0, fail: float = 1.0, least: int = 50) -> DataFrame:
+def audio_gaps(packets: DataFrame, probes: DataFrame | None = None, start: float = 1800.0, dur: float = 60.0, fail: float = 1.0, least: int = 50, per_part: int = PER_PART) -> DataFrame:
     """Cadence of packets in a window of each track: frame length, missing share, gaps and their period, FLAG or ok.
 
-    Without probes the window begins at 0 for all. Tracks with under `least` packets or 10 usual distances are left out.
+    Without probes the window begins at 0 for all. Tracks with under `least` packets or 10 usual distances are left out. A track with more
+    than per_part packets in its window is scanned in parts.
     """
     if probes is None:
         rows = packets.where(F.col("pts").between(0.0, dur))
@@ -111,7 +112,8 @@ def audio_gaps(packets: DataFrame, probes: DataFrame | None = None, start: float
         met = packets.join(probes, "file_id").withColumn("from_s", F.when(F.col("sec") < start + dur, F.rint(F.col("sec") * 0.25)).otherwise(start))
         rows = met.where(F.col("pts").between(F.col("from_s"), F.col("from_s") + dur))
     key = ["file_id", "track"]
-    rows = rows.withColumn("prev", F.lag("pts").over(Window.partitionBy(*key).orderBy("pts"))).withColumn("n", F.count("*").over(Window.partitionBy(*key))).where(F.col("n") >= least)
+    enough = rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
+    rows = with_previous(rows.join(enough, key, "left_semi"), key, ["pts"], "pts", "prev", per_part)
     deltas = rows.where("prev is not null").withColumn("d", F.col("pts") - F.col("prev"))
     deltas = with_rint_median(deltas, key, "d", "approx").where("approx > 0")
     usual = F.col("d") < 1.5 * F.col("approx")
@@ -186,15 +188,37 @@ def engine_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
     return met.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-def library_subtitle_stats(items: DataFrame, streams: DataFrame, text_codecs: list[str]) -> DataFrame:
-    """Items without subtitles, with images only, with text; and their shares."""
+def subtitle_kinds(items: DataFrame, streams: DataFrame, text_codecs: list[str]) -> DataFrame:
+    """Items with kind: none (without subtitles), image only, or text."""
     subs = streams.where("stream_type = 3").groupBy("rk").agg(F.bool_or(F.col("codec").isin(text_codecs)).alias("text"))
     kind = F.when(F.col("text").isNull(), "none").when(F.col("text"), "text").otherwise("image only")
-    counts = items.join(subs, "rk", "left").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return items.join(subs, "rk", "left").withColumn("kind", kind).drop("text")
+
+
+def library_subtitle_stats(items: DataFrame, streams: DataFrame, text_codecs: list[str]) -> DataFrame:
+    """Items without subtitles, with images only, with text; and their shares."""
+    counts = subtitle_kinds(items, streams, text_codecs).groupBy("kind").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.crossJoin(F.broadcast(total)).select("kind", "n", F.bround(100 * F.col("n") / F.col("total"), 2).alias("pct"))  # at most three rows by one
 
 
+def subtitle_sketches(items: DataFrame, streams: DataFrame, text_codecs: list[str], by: list[str], lg: int = 12) -> DataFrame:
+    """(by.., kind, sketch): sketches of the different items of each kind, to be stored for each library and merged later.
+
+    2 ** lg registers a sketch, about 1.04 / sqrt(2 ** lg) standard error (1.6 %).
+    """
+    return subtitle_kinds(items, streams, text_codecs).groupBy(*by, "kind").agg(F.hll_sketch_agg("rk", F.lit(lg)).alias("sketch"))
+
+
+def sketched_shares(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by.., kind, n, pct): about how many different items of each kind the libraries of each `by` hold together (all libraries,
+    without one). An item that several libraries hold counts once; no item is looked at again."""
+    keys = by or []
+    merged = sketches.groupBy(*keys, "kind").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*keys))  # three rows a key
+    return merged.select(*keys, "kind", "n", F.bround(100 * F.col("n") / total, 2).alias("pct"))
+
+
 def ink_weight(palettes: DataFrame) -> DataFrame:
     """Whether a disc's subtitle palette hides anti-aliasing that must be repaired. Arrays of 4 (indices) and 16 (colours)."""
     entry = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(k.alias("k"), F.get("pal_idx", k).alias("e"), F.get("palette", F.get("pal_idx", k)).alias("rgb"), F.get("hist", k).alias("n"), (F.get("alpha", k) > 0).alias("seen")))

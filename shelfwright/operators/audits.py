@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
@@ -64,23 +63,23 @@ def compare_enumerations(a: DataFrame, b: DataFrame, tol: float = 20.0) -> DataF
 def reconcile_durations(claimed: DataFrame, measured: DataFrame, tol: float = 30.0, least: float = 60.0) -> DataFrame:
     """(disc, claimed, measured): each claim, ascending, takes the first measured title left within tol; null: an orphan.
 
-    The matching is one pass over both in order, within one disc of some hundred titles; discs are spread over tasks.
+    The matching is one fold over both sorted lists of a disc, which hold some hundred titles, with the place in either as state.
+    Lengths that are null or below `least` take no part.
     """
-
-    def match(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        left, out, k = sorted(b.sec[b.sec >= least]), [], 0
-        for c in sorted(a.sec[a.sec >= least]):
-            while k < len(left) and left[k] < c - tol:  # too short for this claim and all after it
-                k += 1
-            hit = left[k] if k < len(left) and left[k] <= c + tol else None
-            k += hit is not None
-            out.append((key[0], c, hit))
-        return pd.DataFrame(out, columns=["disc", "claimed", "measured"]).astype({"claimed": float, "measured": float})
-
-    schema = f"disc {claimed.schema['disc'].dataType.simpleString()}, claimed double, measured double"
-    timed = lambda df: df.select("disc", F.col("sec").cast("double").alias("sec")).groupBy("disc")
-    got = timed(claimed).cogroup(timed(measured)).applyInPandas(match, schema)
-    return got.withColumn("measured", F.when(~F.isnan("measured"), F.col("measured")))
+    lists = lambda df, name: df.where(F.col("sec") >= least).groupBy("disc").agg(F.array_sort(F.collect_list(F.col("sec").cast("double"))).alias(name))
+    both = lists(claimed, "c").join(lists(measured, "m"), "disc", "left").withColumn("m", F.coalesce("m", F.array().cast("array<double>")))
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.array().cast("array<struct<claimed:double,measured:double>>").alias("out"))
+
+    def step(at: Column, _: Column) -> Column:
+        c, m = F.get("c", at["i"]), F.get("m", at["j"])
+        short, hit = F.coalesce(m < c - tol, F.lit(False)), F.coalesce(m <= c + tol, F.lit(False))
+        said = F.concat(at["out"], F.array(F.struct(c.alias("claimed"), F.when(hit, m).alias("measured"))))
+        # A measured title too short for this claim is so for all after it.
+        on = F.struct((at["i"] + F.when(short, 0).otherwise(1)).alias("i"), (at["j"] + F.when(hit, 1).otherwise(0)).alias("j"), F.when(short, at["out"]).otherwise(said).alias("out"))
+        return F.when(at["i"] < F.size("c"), on).otherwise(at)
+
+    matched = F.aggregate(F.sequence(F.lit(1), F.size("c") + F.size("m")), start, step, lambda at: at["out"])
+    return both.select("disc", F.explode(matched).alias("x")).select("disc", "x.claimed", "x.measured")
 
 
 def longest_vs_shipped(titles: DataFrame, shipped: DataFrame, n: int = 3) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
+from shelfwright.operators.common import PER_PART, with_previous, with_running_sum
 
 
 def rank_candidates(guarded: DataFrame, most: int = 6) -> DataFrame:
@@ -67,18 +68,17 @@ def subset_renumber(cues: DataFrame, lo: float, hi: float) -> DataFrame:
     return part.withColumn("n", F.row_number().over(Window.partitionBy("file_id").orderBy("start_s", "cue")))
 
 
-def failure_runs(log: DataFrame, n: int = 15, failure: str = "search_fail") -> DataFrame:
-    """Runs of failures in a row by key, and whether one is long enough to abort; a success ends a run."""
-    w = Window.partitionBy("rk").orderBy("ts", "event_id")
-    rows = log.withColumn("run", F.sum(F.when(F.col("event") != failure, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def failure_runs(log: DataFrame, n: int = 15, failure: str = "search_fail", per_part: int = PER_PART) -> DataFrame:
+    """Runs of failures in a row by key, and whether one is long enough to abort; a success ends a run. A key with more than
+    per_part rows is scanned in parts."""
+    rows = with_running_sum(log, ["rk"], ["ts", "event_id"], F.when(F.col("event") != failure, 1).otherwise(0), "run", per_part)
     runs = rows.where(F.col("event") == failure).groupBy("rk", "run").agg(F.count("*").alias("failures"), F.min("event_id").alias("first_event"))
     return runs.withColumn("abort", F.col("failures") >= n)
 
 
-def transitions(obs: DataFrame) -> DataFrame:
-    """Rows whose status differs from the one before."""
-    w = Window.partitionBy("rk").orderBy("ts", "event_id")
-    return obs.withColumn("before", F.lag("event").over(w)).where(~F.col("event").eqNullSafe(F.col("before")))
+def transitions(obs: DataFrame, per_part: int = PER_PART) -> DataFrame:
+    """Rows whose status differs from the one before. A key with more than per_part rows is scanned in parts."""
+    return with_previous(obs, ["rk"], ["ts", "event_id"], "event", "before", per_part).where(~F.col("event").eqNullSafe(F.col("before")))
 
 
 def first_plausible(attempts: DataFrame, bound: float = 30.0) -> DataFrame:
