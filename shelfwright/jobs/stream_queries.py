@@ -36,7 +36,8 @@ def _r1(spark, sf_dir):
     last = obs.groupBy("rk", "event").agg(F.max_by("bytes", F.struct("ts", "event_id")).alias("bytes"))
     source = last.groupBy(F.col("rk").alias("folder")).agg(F.count("*").cast("int").alias("files"), F.sum(F.col("bytes") + F.when(F.col("rk") % 3 == 0, 1).otherwise(0)).alias("total"))
     rows = _closed(log).select("event_id", "ts", F.col("rk").alias("folder"), F.col("event").alias("file"), (F.col("value") % 7).cast("long").alias("bytes"))
-    return S.replayed(rows, _in_slices(log), lambda s: S.staging_gate(s.drop("event_id"), source, 600, keep_s=10**9), SLICES).where("folder >= 0")
+    with S.rocksdb_state(spark):
+        return S.replayed(rows, _in_slices(log), lambda s: S.staging_gate(s.drop("event_id"), source, 600, keep_s=10**9), SLICES).where("folder >= 0")
 
 
 def _r2(spark, sf_dir):

@@ -4,68 +4,108 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shelfwright.session import drop, new_path
 from shelfwright.sources.state import Commits
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which writes what changes; staging_gate() needs it."""
+    name, kind = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, kind)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: str = "1 minute", keep_s: int = 86_400) -> DataFrame:
     """(folder, ts, verdict) for each change of a folder's verdict: SHORT, GROWING (complete, but not yet quiet), COMPLETE.
 
     obs (ts, folder, file, bytes) is a stream, source (folder, files, total) a table. A folder is COMPLETE once files
     and bytes equal the source's and no size has changed for settle_s of event time; its ts is when that came true. The
     next observation tells it, or, if none comes, a timer as soon as the watermark (the latest time less `late`) has
-    passed. Then the sizes go, and later observations change nothing; what is left of the state goes keep_s after the
-    last of them. State holds the sizes of an unfinished folder's files.
+    passed. Then the sizes go, and later observations change nothing; a further timer removes what is left keep_s after the
+    last of them.
+
+    State is a map from each file to its size and one row of totals for each folder: a batch reads the sizes of the files
+    that it names and writes those that have changed, however many files a folder has.
     """
-    met = obs.withWatermark("ts", late).withColumn("us", F.unix_micros("ts")).join(source, "folder", "left")
-
-    def gate(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        names, sizes, changed, said, done, seen, same = state.get if state.exists else ([], [], 0, "", False, 0, False)
-        if state.hasTimedOut and done:
-            state.remove()
-            return
-        held, out = dict(zip(names, sizes, strict=True)), []
-
-        def finish(until: int) -> bool:
-            """Whether the folder was quiet for long enough before `until`."""
-            if same and not done and until >= changed + settle_s * 1_000_000:
-                out.append((key[0], changed + settle_s * 1_000_000, "COMPLETE"))
-                return True
-            return False
-
-        if state.hasTimedOut:
-            done = finish(1 << 62)
-        rows = [] if state.hasTimedOut else pd.concat(list(chunks)).sort_values(["us", "file"]).itertuples()
-        for r in rows:
-            now = r.us
-            seen = max(seen, now)
-            done = done or finish(now)
+    met = obs.withWatermark("ts", late).withColumn("us", F.unix_micros("ts")).join(source, "folder", "left").select("folder", "us", F.col("file").cast("string").alias("file"), F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"), F.col("total").cast("long").alias("total"), "ts")
+    settle, keep = settle_s * 1_000_000, keep_s * 1_000_000
+
+    class Gate(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.sizes = handle.getMapState("sizes", "file string", "bytes long")
+            self.totals = handle.getValueState("totals", "files long, bytes long, changed long, said string, done boolean, seen long, same boolean")
+
+        def _timer(self, us: int) -> None:
+            self.handle.registerTimer(-(-us // 1000))
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            batch = pd.concat(list(rows)).sort_values(["us", "file"])
+            files, total, changed, said, done, seen, same = self.totals.get() if self.totals.exists() else (0, 0, 0, "", False, 0, False)
+            held, new, out = {}, {}, []
+            for r in batch.itertuples():
+                seen = max(seen, r.us)
+                if not done and same and r.us >= changed + settle:
+                    out.append((key[0], changed + settle, "COMPLETE"))
+                    done = True
+                if done:
+                    continue
+                if r.file not in held:
+                    held[r.file] = self.sizes.getValue((r.file,))[0] if self.sizes.containsKey((r.file,)) else None
+                if held[r.file] != r.bytes:
+                    files, total = files + (held[r.file] is None), total + r.bytes - (held[r.file] or 0)
+                    held[r.file] = new[r.file] = int(r.bytes)
+                    changed = r.us
+                same = bool(files == r.files and total == r.total)
+                verdict = "GROWING" if same else "SHORT"
+                if verdict != said:
+                    out.append((key[0], r.us, verdict))
+                    said = verdict
             if done:
-                continue
-            if held.get(r.file) != r.bytes:
-                held[r.file], changed = r.bytes, now
-            same = len(held) == r.files and sum(held.values()) == r.total
-            verdict = "GROWING" if same else "SHORT"
-            if verdict != said:
-                out.append((key[0], now, verdict))
-                said = verdict
-        held = {} if done else held
-        state.update((list(held), [int(v) for v in held.values()], changed, said, done, seen, same))
-        if done or same:
-            at = seen // 1000 + keep_s * 1000 if done else changed // 1000 + settle_s * 1000
-            state.setTimeoutTimestamp(max(at, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
+                self.sizes.clear()
+                self._timer(seen + keep)
+            else:
+                for name, size in new.items():
+                    self.sizes.updateValue((name,), (size,))
+                if same:
+                    self._timer(changed + settle)
+            self.totals.update((int(files), int(total), int(changed), said, done, int(seen), same))
+            yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            out, at = [], expiredTimerInfo.getExpiryTimeInMs() * 1000
+            if self.totals.exists():
+                files, total, changed, said, done, seen, same = self.totals.get()
+                if done and at >= seen + keep:
+                    self.totals.clear()
+                elif not done and same and at >= changed + settle:  # not one that a later change has outrun
+                    out.append((key[0], changed + settle, "COMPLETE"))
+                    self.sizes.clear()
+                    self.totals.update((files, total, changed, said, True, seen, same))
+                    self._timer(seen + keep)
+            yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
+
+        def close(self) -> None:
+            pass
 
     kind = obs.schema["folder"].dataType.simpleString()
-    told = met.groupBy("folder").applyInPandasWithState(
-        gate, f"folder {kind}, us long, verdict string", "names array<string>, sizes array<long>, changed long, said string, done boolean, seen long, same boolean", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    told = met.groupBy("folder").transformWithStateInPandas(Gate(), f"folder {kind}, us long, verdict string", "append", "eventtime")
     return told.select("folder", F.timestamp_micros("us").alias("ts"), "verdict")
 
 

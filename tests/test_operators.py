@@ -119,7 +119,8 @@ def test_staging_gate(spark, tmp_path):
     at = lambda s: dt.datetime(2024, 1, 1, 0, 0, 0) + dt.timedelta(seconds=s)
     rows = [(at(0), "a", "1", 5), (at(10), "a", "2", 3), (at(20), "a", "2", 7), (at(90), "a", "2", 7), (at(95), "a", "2", 9), (at(0), "b", "1", 1)]
     source = spark.createDataFrame([("a", 2, 12), ("b", 2, 4)], "folder string, files int, total long")
-    out = R.drained(R.staging_gate(_stream(spark, tmp_path, rows, "ts timestamp, folder string, file string, bytes long"), source))
+    with R.rocksdb_state(spark):
+        out = R.drained(R.staging_gate(_stream(spark, tmp_path, rows, "ts timestamp, folder string, file string, bytes long"), source))
     assert [r.verdict for r in out.where("folder = 'a'").orderBy("ts").collect()] == ["SHORT", "GROWING", "COMPLETE"] and [r.verdict for r in out.where("folder = 'b'").collect()] == ["SHORT"]
 
 
