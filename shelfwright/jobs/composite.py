@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwright.functions import text as T
 from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
 from shelfwright.session import stored
+from shelfwright.sources import readers as S
 from shelfwright.sources.state import StateTable
-from shelfwright.sources.writers import write_run
+from shelfwright.sources.writers import write_catalogue, write_manifest, write_run, write_srt
 
 
 def subtitle_search(items: DataFrame, streams: DataFrame, decided: DataFrame, candidates: DataFrame, blocklist: DataFrame, spans: DataFrame) -> DataFrame:
@@ -93,6 +94,53 @@ def disc_accounting(titles: DataFrame, dispositions: DataFrame, discs: DataFrame
     return gate, J.unaccounted_titles(labelled, dispositions)
 
 
+def disc_accounting_job(spark: SparkSession, logs: str, dispositions: str, playlists: str, out: str, min_length: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C2 from files to files: (gate, missing, counts), and the discs' catalogues written to `out`, many to a file.
+
+    logs are enumerations made with a floor of min_length seconds, one for each disc. missing are titles that nobody decided on, with
+    label, geometry, and the number of clips of the playlist that they come from; counts are decisions by kind.
+    """
+    titles, streams = (stored(df, "log") for df in S.read_robot_log(spark, logs))  # read once, used by every step
+    decided, lists = stored(S.read_dispositions(spark, dispositions), "decided"), S.read_playlists(spark, playlists)
+    seen = streams.groupBy("disc", "title").agg(F.bool_or(F.coalesce(F.col("type") == "Video", F.lit(False))).alias("has_video"), F.count_if(F.col("type") == "Audio").cast("int").alias("audio"), F.max(F.when(F.col("type") == "Video", F.col("resolution"))).alias("size"))
+    facts = titles.join(seen, ["disc", "title"], "left").withColumns({"has_video": F.coalesce("has_video", F.lit(False)), "phantom": F.lit(False)})
+    labels = P.classify_probed_titles(facts.select("disc", "title", "sec", "has_video", "audio", "phantom"))
+    side = lambda k: F.regexp_extract("size", r"^(\d+)x(\d+)", k).try_cast("int")
+    shape = facts.select("disc", "title", F.col("out_name").alias("name"), F.when(F.col("source").rlike(r"(?i)\.(mpls|m2ts)$"), "BD").otherwise("DVD").alias("kind"), side(1).alias("width"), side(2).alias("height"), F.lit(None).cast("string").alias("field_order"), "source")
+    shape = P.geometry_flags(shape).select("disc", "title", "is_sd", F.regexp_replace("source", r"\.mpls$", "").alias("playlist"))
+    undecided = J.unaccounted_titles(titles.select("disc", "title"), decided)
+    missing = undecided.join(labels, ["disc", "title"], "left").join(shape, ["disc", "title"], "left").join(lists.select("disc", "playlist", F.size("clips").alias("clips")), ["disc", "playlist"], "left")
+    gate = A.disc_gate(titles.select("disc").distinct().withColumn("min_length", F.lit(min_length)), undecided, P.bad_exclusions(decided))
+    write_catalogue(titles.withColumn("min_length", F.lit(min_length)), streams, out)
+    return gate, missing.drop("playlist"), A.verdict_counts(decided, "kind")
+
+
+def ocr_publish_job(spark: SparkSession, readings: str, timings: DataFrame, probes: DataFrame, dictionary: DataFrame | None, media: DataFrame, local: DataFrame, remote: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
+    """C3 from files to files: texts read from pictures below `readings` become subtitle files in `out`; (status, verified).
+
+    status is each work's, as in ocr_publish(); verified compares every file written with what lies in `out`, by name and bytes.
+    """
+    texts = S.read_ocr_results(spark, readings)
+    cues, _, status, _ = ocr_publish(timings, texts, probes, dictionary, media, local, remote)
+    written = write_srt(cues, out)
+    there = S.read_listing(spark, out).select("rel", "bytes")
+    return status, J.verify_copies(written.withColumnRenamed("name", "rel"), there)
+
+
+def manifest_job(spark: SparkSession, table: str, streams: DataFrame, playlists: DataFrame, lists: DataFrame, out: str, root: str, src_root: str, disc_form: str) -> DataFrame:
+    """C6 from files to files: the pipe table's rows become manifests in `out`, one item a line; the rows that abort, with the reason.
+
+    The table has the columns of manifest(); what it leaves out or leaves empty is null.
+    """
+    raw = S.read_pipe_table(spark, table)
+    kinds = {"file_id": "long", "disc": "long", "year": "int", "season": "int", "ep": "int", "sec": "double", "width": "int", "height": "int"}
+    names = ["file_id", "disc", "show", "year", "season", "ep", "name", "kind", "clip", "sec", "width", "height", "field_order", "orig_lang", "sub_track"]
+    rows = raw.select(*((F.nullif(F.col(c), F.lit("")) if c in raw.columns else F.lit(None)).try_cast(kinds.get(c, "string")).alias(c) for c in names))
+    items, aborts = manifest(stored(rows, "table"), streams, playlists, lists, root, src_root, disc_form)
+    write_manifest(items.drop("file_id"), out)
+    return aborts
+
+
 def ocr_publish(timings: DataFrame, texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None, media: DataFrame, local: DataFrame, remote: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """From read pictures to what may be copied: (cues, gates, status, plan).
 

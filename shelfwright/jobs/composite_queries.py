@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from shelfwright.jobs import composite
 from shelfwright.jobs.check_queries import _FILES, _FUNCTION, _SPECIALS, _files, _special
 from shelfwright.jobs.queries import _CUES, _GUARD, ORACLE_SQL, _cues, query
-from shelfwright.operators import aggregates as A
+from shelfwright.jobs.source_queries import _SRC, _hms, _log, _numbered, _written
+from shelfwright.operators import aggregates as A, predicates as P
+from shelfwright.session import new_path
+from shelfwright.sources import readers as S, writers as K
+from shelfwright.sources.state import StateTable
 
 
 @query(
@@ -25,12 +31,46 @@ SELECT need.rk, b.cand_id, b.place, b.band, CASE WHEN r.p IS NOT NULL THEN 'kept
 FROM need LEFT JOIN r ON r.rk = need.rk LEFT JOIN b ON b.rk = need.rk AND b.place = r.p""",
 )
 def _(px):
-    items, candidates = px("px_items"), px("px_candidates")
-    block = items.where("rk % 50 = 7").select(F.col("rk").cast("string").alias("key"), F.lit("BluRay").alias("pattern"))
+    return composite.subtitle_search(px("px_items"), px("px_media"), px("px_log").where("event_id % 7 = 0").select("rk"), *_search_args(px))
+
+
+def _search_args(px):
+    """Candidates, block list and spans."""
+    candidates = px("px_candidates")
+    block = px("px_items").where("rk % 50 = 7").select(F.col("rk").cast("string").alias("key"), F.lit("bluray").alias("pattern"))
     of = A.cue_span(_cues(px)).select(F.col("file_id").alias("f"), (F.col("last_end") * 60).alias("last_end"), (F.col("cues") * 10).alias("cues"))
     docs = px("px_cues").agg((F.max("file_id") + 1).alias("docs"))  # one row
     ids = candidates.select("cand_id").distinct().crossJoin(docs).withColumn("f", F.col("cand_id") % F.col("docs")).drop("docs")
-    return composite.subtitle_search(items, px("px_media"), px("px_log").where("event_id % 7 = 0").select("rk"), candidates, block, ids.join(of, "f").drop("f"))
+    return candidates, block, ids.join(of, "f").drop("f")
+
+
+_NOW, _BEFORE = dt.datetime(2024, 5, 1), dt.datetime(2024, 4, 1)
+_C1 = ORACLE_SQL["c1_subtitle_search"].split("\nSELECT need.rk")[0]
+
+
+@query(
+    "c1_search_resumed",
+    [],
+    _C1
+    + """, k6 AS (SELECT b.*, r.p AS fit FROM b JOIN r USING (rk) WHERE place <= coalesce(r.p, 6))
+SELECT need.rk, CASE WHEN count(k6.rk) = 0 THEN 'no_candidates' WHEN any_value(fit) IS NOT NULL THEN 'matched' ELSE 'no_match' END AS r, CASE WHEN count(k6.rk) > 0 THEN count(k6.rk) END AS tried,
+  any_value(title) FILTER (place = fit) AS kept, any_value(k6.band) FILTER (place = fit) AS kind FROM need LEFT JOIN k6 USING (rk) GROUP BY 1""",
+)
+def _(px):
+    """The same search as a job with state that runs in instalments; one of them stops before its commit."""
+    state = StateTable(px.spark, new_path(px.spark, "state"), composite.STATE.format(key="long"))
+    known = px("px_log").where("event_id % 7 = 0").select("rk").distinct()
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name not in ("rk", "r", "ts")]
+    state.commit(known.select("rk", F.lit("matched").alias("r"), *none, F.lit(_BEFORE).alias("ts")), "before")
+    args = [px("px_items"), px("px_media"), *_search_args(px), _NOW]
+    log = new_path(px.spark, "log")
+    half = P.needs_subtitles(args[0], args[1]).join(state.read(), "rk", "left_anti").count() // 2 + 1
+    composite.subtitle_search_job(state, *args, log=log, limit=half)
+    state.staged(known.select("rk", F.lit("lost").alias("r"), *none, F.lit(_NOW).alias("ts")))
+    while composite.subtitle_search_job(state, *args, log=log, limit=half) > state.version():
+        pass
+    done = state.read().where(F.col("ts") == F.lit(_NOW))
+    return done.select("rk", "r", F.size("tried").cast("long").alias("tried"), "kept", "kind")
 
 
 _GATE = ORACLE_SQL["a14_disc_gate"]
@@ -47,6 +87,11 @@ _CONV = "SELECT conv_id AS file_id, turn AS cue, turn * 3.0 AS start_s, CASE WHE
 
 
 def _published(px):
+    c, texts, probes, media, local, remote = _publish_args(px)
+    return composite.ocr_publish(c, texts, probes, None, media, local, remote)
+
+
+def _publish_args(px):
     c = px.spark.table("conversations").select(F.col("conv_id").alias("file_id"), F.col("turn").alias("cue"), (F.col("turn") * 3.0).alias("start_s"), (F.col("turn") * 3.0 + 2).alias("end_s"), "text")
     texts = c.select("file_id", "cue", F.when(F.col("cue") % 6 == 5, " ").otherwise(F.concat(F.lit("|"), "text")).alias("text"))
     files = c.select("file_id").distinct()
@@ -55,7 +100,7 @@ def _published(px):
     media = files.select(f.alias("base"), (f % 3 > 0).alias("populated"), F.when(f % 5 > 0, 60.0).alias("dur"))
     local = files.select(F.floor(f / 8).alias("work"), F.concat(F.lit("r"), f).alias("rel"), f.alias("base"), (f * 7).alias("bytes"))
     remote = local.where("base % 2 = 0").select("rel", (F.col("bytes") + F.when(F.col("base") % 4 == 0, 1).otherwise(0)).alias("bytes"))
-    return composite.ocr_publish(c.drop("text"), texts, probes, None, media, local, remote)
+    return c.drop("text"), texts, probes, media, local, remote
 
 
 # Without a dictionary the gates see cues, junk and function words; every text here has a bar in front that becomes an I.
@@ -94,6 +139,10 @@ _TRACKS = f"SELECT file_id AS rk, CASE WHEN file_id % 2 = 0 THEN 1 ELSE 2 END AS
 
 
 def _resynced(px):
+    return composite.resync(*_resync_args(px))
+
+
+def _resync_args(px):
     f = F.col("file_id")
     words = px("px_cues").select("file_id", F.posexplode(F.split("text", " ", -1)).alias("cue", "text")).withColumns({"start_s": F.col("cue") * 4.0, "end_s": F.col("cue") * 4.0 + 2.5})
     cues = words.select(f.alias("rk"), F.when(f % 2 == 0, 1).otherwise(2).alias("ordinal"), "cue", (F.col("start_s") * 12).alias("start_s"), (F.col("end_s") * 12).alias("end_s"), "text")
@@ -102,7 +151,7 @@ def _resynced(px):
     tracks = counts.select("rk", "ordinal", "cues", (rk % 7 == 0).alias("forced")).unionByName(counts.select("rk", (3 - F.col("ordinal")).alias("ordinal"), (F.col("cues") - 1).alias("cues"), (rk % 7 < 2).alias("forced")))
     alignments = counts.where("rk % 5 < 4").select("rk", F.when(rk % 5 == 0, 59.0).when(rk % 5 == 1, 2.0).when(rk % 5 == 2, 0.05).otherwise(-1.5).alias("offset"), F.lit(1.0).alias("scale"))
     anchors = counts.select(rk.alias("file_id"), "dur", (rk % 4 / 10.0).alias("oa"), F.when(rk % 11 > 0, rk % 3 / 10.0).alias("ob"))
-    return composite.resync(tracks, cues, alignments, anchors)
+    return tracks, cues, alignments, anchors
 
 
 _RESYNC = f"""WITH c AS ({_TRACKS}), n AS (SELECT rk, any_value(ordinal) AS own, count(*) AS cues, max(start_s) * 1.01::DOUBLE AS dur FROM c GROUP BY 1),
@@ -124,6 +173,18 @@ def _(px):
     return _resynced(px)[1].select("rk", "ordinal", "cue", F.bround("start_s", 4).alias("start_s"))
 
 
+@query("c4_resync_resumed", [], f"{_RESYNC} SELECT rk, r, why, shift FROM s WHERE rk % 13 > 0")
+def _(px):
+    """The same correction as a job with state, in two runs, over the items that a search has matched."""
+    tracks, cues, alignments, anchors = _resync_args(px)
+    rk = F.col("rk")
+    found = tracks.select("rk").distinct().select("rk", F.concat(F.lit("l"), rk).alias("label"), F.when(rk % 13 == 0, "no_match").otherwise("matched").alias("r"))
+    state = StateTable(px.spark, new_path(px.spark, "state"), composite.RESYNC.format(key="long"))
+    composite.resync_job(state, found, tracks, cues, alignments, anchors, _NOW, limit=found.count() // 2)
+    composite.resync_job(state, found, tracks, cues, alignments, anchors, _NOW)
+    return state.read().select("rk", "r", "why", "shift")
+
+
 _IDENTITY = r""", c AS (SELECT show_name, 1 + ok % 2 AS season, idx, 'T' || ok AS title, mins, ok FROM px_canon), f AS (SELECT ok AS rk, show_name, season, idx, mins + ok % 5 AS file_mins, CASE WHEN ok % 6 = 0 THEN '' ELSE title END AS title,
   CASE WHEN ok % 8 > 0 THEN 'S S' || season || 'E' || idx || ' - ' || title || '.mkv' END AS file FROM c),
 d AS (SELECT rk, c.idx, abs(file_mins - c.mins) AS d, row_number() OVER (PARTITION BY rk ORDER BY abs(file_mins - c.mins), c.idx) AS p FROM f JOIN c USING (show_name, season)),
@@ -150,6 +211,10 @@ b AS (SELECT file_id, 'truncated stream' AS reason FROM t WHERE short UNION ALL
 
 
 def _manifested(px):
+    return composite.manifest(*_manifest_args(px), "/tv", "E:\\rips", "Disk {disc}")
+
+
+def _manifest_args(px):
     rk = F.col("rk")
     sd = rk % 8 == 0
     table = px("px_items").select(
@@ -159,7 +224,7 @@ def _manifested(px):
     streams = px("px_streams").where("stream_type > 1").select(rk.alias("file_id"), "ordinal", F.when(F.col("stream_type") == 3, "subtitle").otherwise("audio").alias("kind"), F.col("language_code").alias("lang"))
     one = table.where("disc % 9 = 3").select("disc").distinct()
     clips = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.format_string("%05d", k))
-    return composite.manifest(table, streams, one.select("disc", F.lit("00800").alias("playlist"), clips.alias("clips")), one.select("disc", F.lit("00800").alias("playlist"), F.lit(500.0).alias("sec")), "/tv", "E:\\rips", "Disk {disc}")
+    return table, streams, one.select("disc", F.lit("00800").alias("playlist"), clips.alias("clips")), one.select("disc", F.lit("00800").alias("playlist"), F.lit(500.0).alias("sec"))
 
 
 @query("c6_manifest_aborts", ["px_items", "px_streams"], f"{_MANIFEST} SELECT * FROM b")
@@ -213,3 +278,49 @@ def _(px):
     tracks = px("px_streams").select(rk.alias("file_id"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("double").alias("mean_db"), F.lit(None).cast("double").alias("max_db"))
     findings, _ = composite.library_audit(listing, image.unionByName(text), probes, agent, shipped.drop("ok"), shipped.where("ok % 5 > 0").drop("ok").withColumn("local", F.lit(True)), tracks)
     return A.verdict_counts(findings, "check", "verdict")
+
+
+@query(
+    "c2_accounting_files",
+    ["px_src"],
+    f""", t AS (SELECT 'disc' || work AS disc, n AS title, ({_hms})::DOUBLE AS sec FROM ({_SRC})), p AS (SELECT 'disc' || work AS disc, n // 2 AS title, max(n) AS last FROM ({_SRC}) WHERE n % 7 > 0 GROUP BY work, n // 2),
+u AS (SELECT disc, count(*) AS missing, count(*) FILTER (sec > 0) AS timed FROM t ANTI JOIN p USING (disc, title) GROUP BY 1), b AS (SELECT disc, count(*) AS bad FROM p WHERE last % 2 = 1 AND (last % 3 = 0 OR last < 100) GROUP BY 1), c AS (SELECT disc, count(*) AS catalogued FROM t GROUP BY 1)
+SELECT disc, catalogued, coalesce(missing, 0) AS missing, coalesce(timed, 0) AS labelled, coalesce(bad, 0) AS bad, CASE WHEN missing > 0 THEN 'missing titles' WHEN bad > 0 THEN 'bad reasons' ELSE 'ACCOUNTED' END AS verdict FROM c LEFT JOIN u USING (disc) LEFT JOIN b USING (disc)""",
+)
+def _(px):
+    """From logs, decisions and playlists on disk to the gate and the catalogues, which are read back."""
+    n, out = F.col("n"), new_path(px.spark, "catalogue")
+    entry = F.format_string("t%02d|%s%s", F.floor(n / 2), F.when(n % 2 == 0, "Encode").otherwise("EXCLUDE"), F.when(n % 3 == 0, "").otherwise(F.format_string("| note %d ", n)))
+    name = lambda ending: F.concat(F.lit("disc"), F.col("work").cast("string"), F.lit(ending))
+    decisions = _written(px, _numbered(px).where("n % 7 > 0"), name(".dispositions.txt"), entry, ["n"], "\r\n")
+    lists = _written(px, _numbered(px).where("n < 5"), name("/BDMV/PLAYLIST/00001.mpls"), F.format_string("%05dM2TS", n), ["n"], "#")
+    gate, missing, _ = composite.disc_accounting_job(px.spark, _log(px), decisions, f"{lists}/*/BDMV/PLAYLIST/*.mpls", out)
+    kept = S.read_catalogue(px.spark, out, lines=True)[0].groupBy("disc").agg(F.count("*").alias("catalogued"))
+    labels = missing.groupBy("disc").agg(F.count("label").alias("labelled"))
+    met = gate.join(kept, "disc", "left").join(labels, "disc", "left")
+    return met.select("disc", "catalogued", "missing", F.coalesce("labelled", F.lit(0).cast("long")).alias("labelled"), "bad", "verdict")
+
+
+@query("c3_published_files", [], f"WITH {_PASSED} SELECT file_id || '.srt' AS rel, 'OK' AS verdict FROM g WHERE verdict = 'ok'")
+def _(px):
+    """From a text file for each picture to subtitle files, verified byte by byte against the folder."""
+    path, out = new_path(px.spark, "readings"), new_path(px.spark, "published")
+    c, texts, probes, media, local, remote = _publish_args(px)
+    at = F.concat("file_id", F.lit("/cue_"), F.lpad(F.col("cue").cast("string"), 4, "0"), F.lit(".txt"))
+    K.write_files(texts.select(at.alias("name"), F.col("text").alias("content")), path)
+    files = lambda df: df.withColumn("file_id", F.col("file_id").cast("string"))
+    return composite.ocr_publish_job(px.spark, path, files(c), files(probes), None, media, local, remote, out)[1].select("rel", "verdict")
+
+
+@query(
+    "c6_manifest_files",
+    [],
+    "SELECT kind, out, src, sub_track::VARCHAR AS sub_track, tracks, langs FROM (SELECT *, CASE WHEN file_id % 2 = 0 THEN 'BD' ELSE 'DVD' END AS kind FROM (" + ORACLE_SQL["c6_manifest"] + "))",
+)
+def _(px):
+    """From the pipe table on disk to manifests on disk, which are read back."""
+    table, streams, playlists, lists = _manifest_args(px)
+    path, out = new_path(px.spark, "table"), new_path(px.spark, "manifests")
+    table.write.option("sep", "|").option("header", True).csv(path)
+    composite.manifest_job(px.spark, path, streams, playlists, lists, out, "/tv", "E:\\rips", "Disk {disc}")
+    return S.read_manifest(px.spark, out, lines=True).select("kind", "out", "src", F.col("subTrack").alias("sub_track"), F.array_join("audioTracks", ",").alias("tracks"), F.array_join("audioLangs", ",").alias("langs"))

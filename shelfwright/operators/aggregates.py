@@ -25,11 +25,41 @@ def _any_word(c: Column, words: list[str]) -> Column:
     return F.arrays_overlap(tokens, F.array(*map(F.lit, words)))
 
 
-def ocr_gates(texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None, lang: str = "eng") -> DataFrame:
+#: Bits of a bucket of the sieve (what bitmap_construct_agg makes), bits for each word, bits that a word sets.
+_BUCKET, _PER_WORD, _SET = 1 << 15, 12, 4
+#: The largest sieve: 8 MB to every executor.
+SIEVE_BITS = 1 << 26
+
+
+def _places(word: str) -> list[Column]:
+    h = F.xxhash64(F.col(word), F.lit(1))
+    return [F.pmod(F.shiftrightunsigned(h, 15 * k), F.lit(_BUCKET)) for k in range(_SET)]
+
+
+def likely(rows: DataFrame, word: str, known: DataFrame, most_bits: int = SIEVE_BITS) -> DataFrame:
+    """rows without those whose word is certainly not among known (word, distinct): a Bloom filter in buckets, all bits of a word in one.
+
+    The filter is built by an aggregate and goes to every task, so that only rows that it passes, about one in a hundred of the
+    others among them, move to an exact join. Its size is counted first: 12 bits a word; beyond most_bits rows are passed as they are.
+    """
+    buckets = max(1, -(-known.count() * _PER_WORD // _BUCKET))
+    if buckets * _BUCKET > most_bits:
+        return rows
+    bucket = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(buckets))
+    bits = known.select(bucket("word").alias("_bucket"), F.explode(F.array(*_places("word"))).alias("p")).groupBy("_bucket").agg(F.bitmap_construct_agg("p").alias("_bits"))
+    # The byte of a place, its bit from the low end.
+    is_set = lambda p: F.getbit(F.conv(F.hex(F.substr("_bits", F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long"), (p % 8).cast("int")) == 1
+    passes = is_set(_places(word)[0])
+    for p in _places(word)[1:]:
+        passes = passes & is_set(p)
+    return rows.withColumn("_of", bucket(word)).join(F.broadcast(bits), (F.col("_of") == F.col("_bucket")) & passes, "left_semi").drop("_of")
+
+
+def ocr_gates(texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None, lang: str = "eng", sieve_bits: int = SIEVE_BITS) -> DataFrame:
     """A2: whether the text read from each file's image subtitles may be used, with the first reason against it.
 
     texts (file_id, text of a whole subtitle file), probes (file_id, sec, max_packets), dictionary (word) or None.
-    Tokens are counted by file and word before they meet the dictionary.
+    Tokens are counted by file and word before they meet the dictionary, and only likely hits move to it (likely()).
     """
     lines = texts.select("file_id", F.explode(F.split("text", "\n", -1)).alias("line"))
     lines = lines.withColumn("line", F.regexp_replace("line", "\r$", ""))
@@ -48,11 +78,12 @@ def ocr_gates(texts: DataFrame, probes: DataFrame, dictionary: DataFrame | None,
         token = F.explode(F.regexp_extract_all("line", F.lit(r"([A-Za-z][A-Za-z']{2,})"), F.lit(1)))
         words = lines.where(said & ~sound).select("file_id", token.alias("w")).select("file_id", F.trim(F.col("w"), F.lit("'")).alias("w"))
         words = words.where((F.length("w") >= 3) & F.col("w").rlike("^[a-z]")).select("file_id", F.lower("w").alias("w")).groupBy("file_id", "w").agg(F.count("*").alias("n"))
-        known = dictionary.select(F.lower("word").alias("word")).distinct()
-        stem = F.substring_index("w", "'", 1)
-        whole = known.withColumn("hit", F.lit(1))
-        met = words.join(whole.withColumnRenamed("word", "w"), "w", "left").withColumn("stem", stem).join(whole.select(F.col("word").alias("stem"), F.col("hit").alias("hit2")), "stem", "left")
-        totals = met.groupBy("file_id").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("hit").isNotNull() | F.col("hit2").isNotNull(), F.col("n")).otherwise(0)).alias("known"))
+        known = dictionary.select(F.lower("word").alias("word")).where("word is not null").distinct()
+        # A word counts if it is there whole or by its stem before a mark; what the sieve knows to be absent stays where it is.
+        asked = words.select("file_id", "w", "n", F.explode(F.array_distinct(F.array("w", F.substring_index("w", "'", 1)))).alias("word"))
+        hits = likely(asked, "word", known, sieve_bits).join(known, "word").select("file_id", "w", "n").distinct()
+        totals = words.groupBy("file_id").agg(F.sum("n").alias("tokens"))
+        totals = totals.join(hits.groupBy("file_id").agg(F.sum("n").alias("known")), "file_id", "left").na.fill(0, ["known"])
         rows = rows.join(totals, "file_id", "left").withColumns({"tokens": F.coalesce("tokens", F.lit(0).cast("long")), "dict_pct": F.when(F.col("tokens") > 0, F.bround(100 * F.col("known") / F.col("tokens"), 1)).otherwise(0.0)})
     else:
         rows = rows.withColumns({"tokens": F.lit(0).cast("long"), "dict_pct": F.lit(100.0)})

@@ -77,7 +77,7 @@ def raw_stream_duplicates(titles: DataFrame) -> DataFrame:
 def guard_candidates(items: DataFrame, candidates: DataFrame, blocklist: DataFrame) -> DataFrame:
     """Candidates that may belong to their item, with the similarity that decided.
 
-    Only srt; no commentary, karaoke or lyrics; nothing blocked; no other SxxEyy than the item's. The better of the
+    Only srt; no commentary, karaoke or lyrics; nothing blocked, by key or label, in any case; no other SxxEyy than the item's. The better of the
     similarities to show and episode title must reach 0.6, or 0.3 with the exact SxxEyy; none known passes.
     The block list is a curated table of some rows, so Spark may send it to all tasks if it is small.
     """
@@ -85,7 +85,9 @@ def guard_candidates(items: DataFrame, candidates: DataFrame, blocklist: DataFra
     # What similarity needs is worked out once: of an item before it meets its candidates, of a candidate after the cheap tests.
     asked = items.where("duration >= 60").withColumns({"_show": T.sig_words(F.col("show")), "_ep": F.when(T.usable_title(F.col("ep_title")), T.sig_words(F.col("ep_title")))})
     met = named.join(asked, "rk")
-    blocked = met.join(blocklist, (blocklist["key"] == met["rk"].cast("string")) & F.contains(met["title"], blocklist["pattern"]), "left_anti")
+    label = "label" if "label" in items.columns else "show"
+    has = F.contains(F.lower(met["title"]), F.lower(blocklist["pattern"]))
+    blocked = met.join(blocklist, (blocklist["key"] == met["rk"].cast("string")) & has, "left_anti").join(blocklist, (blocklist["key"] == met[label]) & has, "left_anti")
     se = T.se_tokens(F.col("title"))
     exact = F.exists("_se", lambda x: (x["season"] == F.col("season")) & (x["ep"] == F.col("ep")))
     rows = blocked.withColumn("_se", se).withColumn("_exact", exact).where((F.size("_se") == 0) | F.col("_exact"))
