@@ -55,6 +55,19 @@ def _r4(spark, sf_dir):
     return S.replayed(log, _by_time(log), lambda s: S.failure_breaker(s, 3), SLICES)
 
 
+def _r3_parts(spark, sf_dir):
+    """Batches as tables whose hot keys are scanned in parts of 500 rows."""
+    log = S.events_log(spark, sf_dir)
+    drain = lambda s, top: S.drained_in_batches(s, S.transitions_step(500), "event string", "rk long, event_id long, event string, before string", top)
+    return S.replayed(log, _by_time(log), lambda s: s, SLICES, drain)
+
+
+def _r4_parts(spark, sf_dir):
+    log = S.events_log(spark, sf_dir)
+    drain = lambda s, top: S.drained_in_batches(s, S.breaker_step(3, per_part=500), "failures long", "rk long, event_id long", top)
+    return S.replayed(log, _by_time(log), lambda s: s, SLICES, drain)
+
+
 def _r5(spark, sf_dir):
     log = S.events_log(spark, sf_dir)
     return S.replayed(log, _by_time(log), lambda s: S.event_counts(s, "6 hours"), SLICES, "complete")
@@ -81,7 +94,7 @@ def _r7(spark, sf_dir):
 
 
 QUERIES = {
-    "r1_stream_staging_gate": _r1, "r2_stream_quiet_folders": _r2, "r3_stream_transitions": _r3, "r4_stream_failure_breaker": _r4, "r5_stream_event_counts": _r5, "r5_stream_late_events": _r5_late, "r6_stream_new_work": _r6, "r7_stream_latest_state": _r7,
+    "r1_stream_staging_gate": _r1, "r2_stream_quiet_folders": _r2, "r3_stream_transitions": _r3, "r4_stream_failure_breaker": _r4, "r3_transitions_in_parts": _r3_parts, "r4_breaker_in_parts": _r4_parts, "r5_stream_event_counts": _r5, "r5_stream_late_events": _r5_late, "r6_stream_new_work": _r6, "r7_stream_latest_state": _r7,
 }
 ORACLE_SQL = {
     "r1_stream_staging_gate": f"""WITH o AS (SELECT event_id, ts, rk AS folder, event AS file, CAST(floor(value % 7) AS BIGINT) AS bytes FROM {_LOG}),
@@ -105,3 +118,4 @@ SELECT start, event, count(*) AS n FROM p JOIN w USING (slice) WHERE mark IS NUL
     "r6_stream_new_work": f"SELECT event_id AS rk, event FROM {_LOG} WHERE event_id % 4 > 0",
     "r7_stream_latest_state": f"SELECT rk, arg_max(event, (ts, event_id)) AS event, arg_max(event_id, (ts, event_id)) AS event_id FROM {_LOG} GROUP BY 1",
 }
+ORACLE_SQL |= {"r3_transitions_in_parts": ORACLE_SQL["r3_stream_transitions"], "r4_breaker_in_parts": ORACLE_SQL["r4_stream_failure_breaker"]}

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from shelfwright.session import drop, new_path
-from shelfwright.sources.state import Commits
+from shelfwright.operators.common import PER_PART, with_previous, with_running_sum
+from shelfwright.session import drop, new_path, stored
+from shelfwright.sources.state import Commits, StateTable
 
 
 @contextmanager
@@ -150,6 +151,55 @@ def failure_breaker(log: DataFrame, n: int = 15, failure: str = "search_fail") -
     return log.groupBy("rk").applyInPandasWithState(count, "rk long, event_id long", "failures int", "append", GroupStateTimeout.NoTimeout)
 
 
+def in_batches(stream: DataFrame, path: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], state: str):
+    """A writer that takes each batch as a table: step(batch, state) gives what it emits and the new state of the keys it changes.
+
+    For keys so hot that a batch of theirs is no frame: a step may scan in parts, as batch operators do. What a batch emits is
+    path/out/batch=N, its state a version that is committed after it; a batch that runs again after that emits nothing anew, one that
+    stopped before starts from the state it had. state: columns besides rk, kept in path/state.
+    """
+
+    def run(df: DataFrame, n: int) -> None:
+        spark = df.sparkSession
+        kept = StateTable(spark, f"{path}/state", f"rk {df.schema['rk'].dataType.simpleString()}, {state}, ts timestamp")
+        if kept.has_run(str(n)):
+            return
+        out, new = step(stored(df, "batch"), kept.read().drop("ts"))
+        out.write.mode("overwrite").parquet(f"{path}/out/batch={n}")
+        kept.commit(new.withColumn("ts", F.timestamp_seconds(F.lit(n))), str(n))
+
+    return stream.writeStream.foreachBatch(run)
+
+
+def transitions_step(per_part: int = PER_PART) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """R3 for in_batches(), with state `event string`: what transitions() emits, a key's rows of a batch scanned in parts of per_part."""
+
+    def step(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        seen = with_previous(rows.withColumn("_e", F.struct("event")), ["rk"], ["ts", "event_id"], "_e", "_b", per_part)
+        met = seen.join(state.select("rk", F.col("event").alias("_s")), "rk", "left").withColumn("before", F.when(F.col("_b").isNull(), F.col("_s")).otherwise(F.col("_b.event")))
+        last = rows.groupBy("rk").agg(F.max_by(F.struct("event"), F.struct("ts", "event_id")).alias("x")).select("rk", "x.event")
+        return met.where(~F.col("event").eqNullSafe(F.col("before"))).select("rk", "event_id", "event", "before"), last
+
+    return step
+
+
+def breaker_step(n: int = 15, failure: str = "search_fail", per_part: int = PER_PART) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """R4 for in_batches(), with state `failures long`: what failure_breaker() emits, a key's rows of a batch scanned in parts of per_part."""
+
+    def step(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        failed = F.coalesce(F.col("event") == failure, F.lit(False))
+        runs = stored(with_running_sum(rows.select("rk", "ts", "event_id", failed.alias("failed")), ["rk"], ["ts", "event_id"], F.when(F.col("failed"), 0).otherwise(1), "run", per_part), "runs")
+        inside = with_running_sum(runs.where("failed"), ["rk", "run"], ["ts", "event_id"], F.lit(1), "length", per_part)
+        carried = F.when(F.col("run") == 0, F.coalesce("failures", F.lit(0))).otherwise(0)
+        hit = inside.join(state, "rk", "left").where(F.col("length") + carried == n).select("rk", "event_id")
+        last = runs.groupBy("rk").agg(F.max("run").alias("last"))
+        ends = runs.where("failed").groupBy("rk", "run").agg(F.count("*").alias("length"))
+        new = last.join(ends.withColumnRenamed("run", "last"), ["rk", "last"], "left").join(state, "rk", "left")
+        return hit, new.select("rk", (F.coalesce("length", F.lit(0)) + F.when(F.col("last") == 0, F.coalesce("failures", F.lit(0))).otherwise(0)).cast("long").alias("failures"))
+
+    return step
+
+
 def event_counts(log: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Outcomes by tumbling or sliding window; what is later than the watermark is dropped."""
     counts = log.withWatermark("ts", late).groupBy(F.window("ts", size, slide).alias("w"), "event").agg(F.count("*").alias("n"))
@@ -232,6 +282,12 @@ def latest_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return _latest_with_batch(spark, path, schema).drop("batch")
 
 
+def drained_in_batches(stream: DataFrame, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], state: str, schema: str, top: str) -> DataFrame:
+    """What in_batches() emits for all that is there now, going on where a run in the folder top ended."""
+    in_batches(stream, top, step, state).option("checkpointLocation", f"{top}/log").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(schema).option("basePath", f"{top}/out").parquet(f"{top}/out").drop("batch")
+
+
 def drained(stream: DataFrame, mode: str = "append", top: str | None = None) -> DataFrame:
     """What a stream emits for all that is there now, as a table in the shared folder; with top, going on where a run there ended.
 
@@ -250,8 +306,9 @@ def drained(stream: DataFrame, mode: str = "append", top: str | None = None) ->
     return latest_of(spark, f"{top}/out", stream.schema) if mode == "update" else spark.read.schema(stream.schema).parquet(f"{top}/out")
 
 
-def replayed(table: DataFrame, arrives, build: Callable[[DataFrame], DataFrame], slices: int = 3, mode: str = "append") -> DataFrame:
-    """What build(stream) emits if table arrives in slices, those rows first for which arrives(k) holds for the lowest k.
+def replayed(table: DataFrame, arrives, build: Callable[[DataFrame], DataFrame], slices: int = 3, mode: str | Callable[[DataFrame, str], DataFrame] = "append") -> DataFrame:
+    """What build(stream) emits if table arrives in slices, those rows first for which arrives(k) holds for the lowest k. mode: one of
+    drained(), or a function (stream, folder) that drains it.
 
     After each slice the query ends and is started anew from its checkpoint, so state has to survive both.
     """
@@ -261,7 +318,7 @@ def replayed(table: DataFrame, arrives, build: Callable[[DataFrame], DataFrame],
     for k in range(slices):
         table.where(arrives(k)).write.mode("append").parquet(f"{top}/in")
         stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1000).parquet(f"{top}/in")
-        out = drained(build(stream), mode, f"{top}/run")
+        out = mode(build(stream), f"{top}/run") if callable(mode) else drained(build(stream), mode, f"{top}/run")
     return out
 
 

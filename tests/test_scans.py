@@ -6,6 +6,8 @@ import random
 from pyspark.sql import Window, functions as F
 
 from shelfwright.operators import aggregates as A, audits as U, common as C, predicates as P, ranking as W
+from shelfwright.sources.state import StateTable
+from shelfwright.streaming import streams as R
 
 
 def hot_log(spark, n=900):
@@ -39,6 +41,27 @@ def test_operators_on_a_hot_key(spark):
     assert rows(A.audio_gaps(table, per_part=100)) == rows(A.audio_gaps(table)) and len(rows(A.audio_gaps(table))) == 2
 
 
+def test_streams_scan_hot_keys_in_parts(spark, tmp_path):
+    """Batches as tables give what the keyed streams give, and a batch that runs again adds nothing."""
+    draw = random.Random(9)
+    rows = [(k, 1000 * (k // 40) + draw.randrange(50), 7 if k % 3 == 0 else draw.randrange(5), draw.choice(["search_fail", "search_fail", "search_fail", "ok"])) for k in range(240)]
+    log = spark.createDataFrame(rows, "event_id long, t long, rk long, event string").withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    schema = log.schema
+    for k in range(3):
+        log.where(f"event_id div 80 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect())) != []
+    top = str(tmp_path / "t")
+    got = R.drained_in_batches(stream, R.transitions_step(10), "event string", "rk long, event_id long, event string, before string", top)
+    assert same(got, W.transitions(log).select("rk", "event_id", "event", "before"))
+    kept = StateTable(spark, f"{top}/state", "rk long, event string, ts timestamp")
+    before = (kept.version(), sorted(map(str, got.collect())))
+    R.in_batches(stream, top, R.transitions_step(10), "event string").option("checkpointLocation", str(tmp_path / "again")).trigger(availableNow=True).start().awaitTermination()
+    assert (kept.version(), sorted(map(str, got.collect()))) == before and kept.has_run("2")
+    got = R.drained_in_batches(stream, R.breaker_step(3, per_part=10), "failures long", "rk long, event_id long", str(tmp_path / "b"))
+    assert same(got, R.drained(R.failure_breaker(stream, 3)))
+
+
 def test_durations_fold(spark):
     draw = random.Random(8)
     claimed = [(d, draw.choice([30.0, 59.9, 60.0, *(float(draw.randrange(60, 700)) for _ in range(9))])) for d in range(40) for _ in range(draw.randrange(1, 12))] + [(99, None), (98, 100.0)]
