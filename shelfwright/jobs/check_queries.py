@@ -132,6 +132,23 @@ def _(px):
     )
 
 
+@query(
+    "j4_allowed_streams",
+    ["px_titles"],
+    """, m AS (SELECT disc, title, disc * 4 + title % 4 AS manifest, printf('%05d', title) AS stem, sec, CASE WHEN title % 3 = 0 THEN title % 15 = 0 END AS ok FROM px_titles WHERE title % 3 < 2), l AS (SELECT disc, title, sec AS list_sec FROM px_titles WHERE title % 3 = 2)
+SELECT m.disc, m.stem, printf('%05d', l.title) AS playlist, list_sec, CASE WHEN l.title % 4 = 1 THEN 'UNREADABLE' ELSE 'TRUNCATED' END AS verdict FROM m JOIN l ON m.disc = l.disc AND list_sec > sec + 20
+WHERE manifest NOT IN (SELECT manifest FROM m WHERE ok) AND (l.title % 4 = 1 OR m.title IN (l.title - 1, l.title - 2, l.title + 1))""",
+)
+def _(px):
+    """A quarter of the playlists is not on the disc, and manifests with an item that asks for its raw stream pass whole."""
+    t = px("px_titles")
+    title, name = F.col("title"), lambda k: F.format_string("%05d", F.col("title") + k)
+    items = t.where("title % 3 < 2").select("disc", (F.col("disc") * 4 + title % 4).alias("manifest"), name(0).alias("stem"), "sec", F.when(title % 3 == 0, title % 15 == 0).alias("allow_raw_stream"))
+    lists = t.where("title % 3 = 2")
+    there = lists.where("title % 4 <> 1").select("disc", name(0).alias("playlist"), F.array(name(-1), name(-2), name(1)).alias("clips"))
+    return J.truncated_streams(items, lists.select("disc", name(0).alias("playlist"), "sec"), there)
+
+
 @query(
     "j6_reconcile_durations",
     ["px_titles"],

@@ -355,6 +355,19 @@ def _(px):
     return J.staged_complete(folder(px("px_dst")), src.where("folder % 5 <> 0"), src.where("folder % 2 = 0").select("folder")).select("folder", "s_files", "s_bytes", "verdict")
 
 
+@query(
+    "j2_never_staged",
+    ["px_src", "px_dst"],
+    """, s AS (SELECT work AS folder, count(*) AS s_files, sum(bytes)::BIGINT AS s_bytes FROM px_dst WHERE work % 7 <> 3 GROUP BY 1), t AS (SELECT work AS folder, count(*) AS t_files, sum(bytes)::BIGINT AS t_bytes FROM px_src WHERE work % 5 <> 0 GROUP BY 1)
+SELECT folder, coalesce(s_files, 0) AS s_files, coalesce(s_bytes, 0)::BIGINT AS s_bytes, t_files, CASE WHEN s_files IS NULL THEN 'NOT STAGED' WHEN t_files IS NULL THEN CASE WHEN folder % 2 = 0 THEN 'DONE' ELSE 'UNKNOWN' END WHEN s_files = t_files AND s_bytes = t_bytes THEN 'COMPLETE' ELSE 'SHORT' END AS verdict FROM s FULL JOIN t USING (folder)""",
+)
+def _(px):
+    """Folders seen from both sides: a seventh of them is still on the source alone."""
+    folder = lambda df: df.withColumnRenamed("work", "folder")
+    src, staged = folder(px("px_src")), folder(px("px_dst")).where("folder % 7 <> 3")
+    return J.staged_complete(staged, src.where("folder % 5 <> 0"), src.where("folder % 2 = 0").select("folder")).select("folder", "s_files", "s_bytes", "t_files", "verdict")
+
+
 @query(
     "a13_work_status",
     ["px_src", "px_dst"],

@@ -118,11 +118,13 @@ def specials_by_show(audited: DataFrame) -> DataFrame:
 
 
 def unindexed_extras(shipped: DataFrame, indexed: DataFrame) -> DataFrame:
-    """Extras on disk that the index lacks, for works where it counts fewer; by base name, local entries only."""
+    """Extras on disk that the index lacks, for works where it counts fewer; by base name in any case, local entries only."""
     base = F.regexp_replace(T.leaf(F.col("path")), r"\.[^.]+$", "")
     a, b = shipped.withColumn("base", base), indexed.where("local").withColumn("base", base)
     short = a.groupBy("work").agg(F.count("*").alias("n")).join(b.groupBy("work").agg(F.count("*").alias("m")), "work", "left").na.fill(0, ["m"]).where("m < n")
-    return a.join(short.select("work"), "work", "left_semi").join(b, ["work", "base"], "left_anti").select("work", "base")
+    seen = b.select("work", F.lower("base").alias("_seen"))
+    met = a.join(short.select("work"), "work", "left_semi").withColumn("_seen", F.lower("base"))
+    return met.join(seen, ["work", "_seen"], "left_anti").select("work", "base")
 
 
 def match_by_basename(agent: DataFrame, listing: DataFrame) -> DataFrame:

@@ -38,18 +38,20 @@ def boilerplate_durations(probed: DataFrame) -> DataFrame:
 
 def classify_probed_titles(probed: DataFrame) -> DataFrame:
     """Every title with a running time labelled ARTIFACT, BOILERPLATE, PLAYALL?, EPISODE? or REVIEW; none is dropped."""
-    rows = probed.where("sec > 0").withColumn("sec3", F.bround("sec", 3))
     real = F.col("has_video") & (F.col("sec") > 15) & ~(F.col("phantom") & (F.col("sec") < 120))
-    order = Window.partitionBy("disc", "real").orderBy(F.desc("sec"), "title")
-    rows = rows.withColumn("real", real).withColumn("place", F.row_number().over(order))
-    second = F.max(F.when(F.col("real") & (F.col("place") == 2), F.col("sec"))).over(Window.partitionBy("disc"))
-    rows = with_rint_median(rows.withColumn("second", second), ["disc"], "sec", "median", F.col("real") & (F.col("place") > 1))
+    rows = probed.where("sec > 0").withColumns({"sec3": F.bround("sec", 3), "real": real})
+    # The two longest of a disc: each task hands on two rows of it at most, however many it has.
+    longest = F.row_number().over(Window.partitionBy("disc").orderBy(F.desc("sec"), "title"))
+    two = rows.where("real").select("disc", "title", "sec", longest.alias("place")).where("place <= 2")
+    heads = two.groupBy("disc").agg(F.max(F.when(F.col("place") == 1, F.col("title"))).alias("head"), F.max(F.when(F.col("place") == 2, F.col("sec"))).alias("second"))
+    rows = rows.join(heads, "disc", "left").withColumn("is_head", F.col("real") & F.col("title").eqNullSafe(F.col("head")))
+    rows = with_rint_median(rows, ["disc"], "sec", "median", F.col("real") & ~F.col("is_head"))
     rows = rows.join(boilerplate_durations(probed).withColumn("reel", F.lit(True)).drop("discs"), "sec3", "left")
     med = F.coalesce("median", F.lit(0.0))
     label = (
         F.when(~F.col("real"), "ARTIFACT")
         .when(F.col("reel"), "BOILERPLATE")
-        .when((F.col("place") == 1) & (F.col("sec") >= 1.5 * F.col("second")), "PLAYALL?")
+        .when(F.col("is_head") & (F.col("sec") >= 1.5 * F.col("second")), "PLAYALL?")
         .when((med > 0) & (F.abs(F.col("sec") - med) <= 0.25 * med), "EPISODE?")
         .otherwise("REVIEW")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
+from shelfwright.operators.common import PER_PART, with_nearest, with_previous
 from shelfwright.session import stored
 
 
@@ -14,11 +15,14 @@ def unaccounted_titles(titles: DataFrame, dispositions: DataFrame) -> DataFrame:
 
 
 def staged_complete(staged: DataFrame, source: DataFrame, done: DataFrame) -> DataFrame:
-    """Per folder COMPLETE if files and bytes equal the source's, SHORT if not; without a source DONE or UNKNOWN."""
+    """Per folder COMPLETE if files and bytes equal the source's, SHORT if not; without a source DONE or UNKNOWN; NOT STAGED if only
+    the source has it, with no files and no bytes staged."""
     total = lambda df, p: df.groupBy("folder").agg(F.count("*").alias(f"{p}_files"), F.sum("bytes").alias(f"{p}_bytes"))
-    both = total(staged, "s").join(total(source, "t"), "folder", "left").join(done.select("folder", F.lit(True).alias("done")).distinct(), "folder", "left")
+    both = total(staged, "s").join(total(source, "t"), "folder", "full_outer").join(done.select("folder", F.lit(True).alias("done")).distinct(), "folder", "left")
     same = (F.col("s_files") == F.col("t_files")) & (F.col("s_bytes") == F.col("t_bytes"))
-    return both.withColumn("verdict", F.when(F.col("t_files").isNull(), F.when(F.col("done"), "DONE").otherwise("UNKNOWN")).when(same, "COMPLETE").otherwise("SHORT"))
+    gone = F.when(F.col("done"), "DONE").otherwise("UNKNOWN")
+    verdict = F.when(F.col("s_files").isNull(), "NOT STAGED").when(F.col("t_files").isNull(), gone).when(same, "COMPLETE").otherwise("SHORT")
+    return both.withColumn("verdict", verdict).na.fill(0, ["s_files", "s_bytes"])
 
 
 def verify_copies(src: DataFrame, dst: DataFrame, scratch: str = "_titlecards") -> DataFrame:
@@ -36,28 +40,27 @@ def copy_plan(src: DataFrame, dst: DataFrame, overwrite: bool = False) -> DataFr
     return verify_copies(src, dst).where("verdict <> 'OK'").drop("dst_bytes", "verdict")
 
 
-def match_by_runtime(files: DataFrame, canon: DataFrame) -> DataFrame:
+def match_by_runtime(files: DataFrame, canon: DataFrame, per_part: int = PER_PART) -> DataFrame:
     """The canonical episode of the file's season nearest in minutes, the distance, and the gap to the runner-up, with a verdict.
 
     files (file_id, show, season, file_mins), canon (show, season, idx, mins). Of equally near episodes the one with the
     least idx counts. Episodes and files of a season are put in one order of minutes, where a file's nearest ones stand
-    next to it: no pairs of a season are made.
+    next to it: no pairs of a season are made, and a season of more than per_part rows is put in order in parts.
     """
     key = ["show", "season"]
     each = canon.where("mins is not null").groupBy(*key, "mins").agg(F.min("idx").alias("idx"), F.count("*").alias("n"))
-    order = Window.partitionBy(*key).orderBy("mins")
-    one = F.struct("mins", "idx", "n")
-    each = each.withColumn("e", one).withColumn("near", F.array("e", F.lag("e").over(order), F.lead("e").over(order)))
+    each = each.withColumns({"e": F.struct("mins", "idx", "n"), "back": -F.col("mins")})
+    each = with_previous(with_previous(each, key, ["mins"], "e", "e_before", per_part), key, ["back"], "e", "e_after", per_part)
+    each = each.withColumn("near", F.array("e", "e_before", "e_after"))
     none = F.lit(None)
     rows = each.select(*key, "mins", none.cast(files.schema["file_id"].dataType).alias("file_id"), "near").unionByName(
         files.where("file_mins is not null").select(*key, F.col("file_mins").alias("mins"), "file_id", none.cast(each.schema["near"].dataType).alias("near"))
     )
-    sorted_ = Window.partitionBy(*key).orderBy("mins", F.col("file_id").isNotNull())
-    around = F.concat(
-        F.coalesce(F.last("near", ignorenulls=True).over(sorted_.rowsBetween(Window.unboundedPreceding, 0)), F.array().cast(each.schema["near"].dataType)),
-        F.coalesce(F.first("near", ignorenulls=True).over(sorted_.rowsBetween(0, Window.unboundedFollowing)), F.array().cast(each.schema["near"].dataType)),
-    )
-    met = rows.withColumn("around", F.array_distinct(F.filter(around, lambda x: x.isNotNull()))).where("file_id is not null")
+    rows = rows.withColumn("is_file", F.col("file_id").isNotNull())
+    met = with_nearest(rows, key, ["mins", "is_file", "file_id"], "near", "lower", "upper", per_part).where("is_file")
+    no_near = F.array().cast(each.schema["near"].dataType)
+    around = F.concat(F.coalesce("lower", no_near), F.coalesce("upper", no_near))
+    met = met.withColumn("around", F.array_distinct(F.filter(around, lambda x: x.isNotNull())))
     best = F.array_sort(F.transform("around", lambda x: F.struct(F.abs(F.col("mins") - x["mins"]).alias("d"), x["idx"].alias("idx"), x["n"].alias("n"))))
     two = met.withColumn("b", best).select("file_id", F.get("b", 0)["idx"].alias("idx"), F.get("b", 0)["d"].alias("d1"), F.when(F.get("b", 0)["n"] > 1, F.get("b", 0)["d"]).otherwise(F.get("b", 1)["d"]).alias("d2"))
     delta = F.bround("d1", 1)
@@ -219,13 +222,24 @@ def duplicate_prompts(titles: DataFrame) -> DataFrame:
 def truncated_streams(manifest: DataFrame, titles: DataFrame, playlists: DataFrame) -> DataFrame:
     """Raw streams shorter by over 20 s than a playlist of their disc that contains them.
 
-    manifest (disc, stem, sec), titles (disc, playlist, sec), playlists (disc, playlist, clips; null clips: unreadable,
-    which is reported, too). Clips are exploded, so the containment is an equality join.
+    manifest (disc, stem, sec), titles (disc, playlist, sec), playlists (disc, playlist, clips). A playlist that is longer and can't be
+    read, with null clips or without a row, proves nothing either way and is reported, too; a null playlist is none. Clips
+    are exploded, so the containment is an equality join. Where the manifest has a column allow_raw_stream, its rows
+    that are true are let through; with a column manifest besides, so are all rows of the manifest that holds one.
     """
-    clips = playlists.where("clips is not null").select("disc", "playlist", F.explode(F.array_distinct("clips")).alias("stem"))
-    sure = manifest.join(clips, ["disc", "stem"]).join(titles.withColumnRenamed("sec", "list_sec"), ["disc", "playlist"]).where("list_sec > sec + 20").select("disc", "stem", "playlist", "list_sec", F.lit("TRUNCATED").alias("verdict"))
-    blind = playlists.where("clips is null").select("disc", "playlist").join(titles.withColumnRenamed("sec", "list_sec"), ["disc", "playlist"]).join(manifest, "disc").where("list_sec > sec + 20")
-    return sure.unionByName(blind.select("disc", "stem", "playlist", "list_sec", F.lit("UNREADABLE").alias("verdict")))
+    if "allow_raw_stream" in manifest.columns:
+        if "manifest" in manifest.columns:
+            manifest = manifest.join(manifest.where("allow_raw_stream").select("manifest").distinct(), "manifest", "left_anti")
+        else:
+            manifest = manifest.where(~F.coalesce("allow_raw_stream", F.lit(False)))
+    asked = manifest.select("disc", "stem", "sec")
+    lists = titles.where("playlist is not null").select("disc", "playlist", F.col("sec").alias("list_sec"))
+    known = playlists.where("clips is not null")
+    clips = known.select("disc", "playlist", F.explode(F.array_distinct("clips")).alias("stem"))
+    sure = asked.join(clips, ["disc", "stem"]).join(lists, ["disc", "playlist"]).where("list_sec > sec + 20").select("disc", "stem", "playlist", "list_sec", F.lit("TRUNCATED").alias("verdict"))
+    blind = lists.join(known, ["disc", "playlist"], "left_anti")
+    met = asked.join(blind, "disc").where("list_sec > sec + 20")
+    return sure.unionByName(met.select("disc", "stem", "playlist", "list_sec", F.lit("UNREADABLE").alias("verdict")))
 
 
 def orphan_sidecars(spans: DataFrame, media: DataFrame, tolerance: float = 120.0) -> DataFrame:

@@ -31,6 +31,32 @@ def test_index(spark):
     assert [r.rel for r in U.match_by_basename(agent, listing).collect()] == ["t/a b.mkv"]
 
 
+def test_index_in_any_case(spark):
+    shipped = table(spark, "work string, path string", ("w", "/x/Behind The Scenes.mkv"), ("w", "/x/Trailer.mkv"))
+    indexed = table(spark, "work string, path string, local boolean", ("w", "D:\\x\\behind the scenes.mkv", True))
+    assert [tuple(r) for r in U.unindexed_extras(shipped, indexed).collect()] == [("w", "Trailer")]
+
+
+def test_staging_from_both_sides(spark):
+    rows = lambda *r: table(spark, "folder string, bytes long", *r)
+    staged, source = rows(("a", 1), ("a", 2), ("b", 1), ("c", 1), ("d", 5)), rows(("a", 2), ("a", 1), ("b", 2), ("e", 7))
+    got = {r.folder: (r.s_files, r.s_bytes, r.t_files, r.verdict) for r in J.staged_complete(staged, source, table(spark, "folder string", ("c",), ("c",))).collect()}
+    assert got == {"a": (2, 3, 2, "COMPLETE"), "b": (1, 1, 1, "SHORT"), "c": (1, 1, None, "DONE"), "d": (1, 5, None, "UNKNOWN"), "e": (0, 0, 1, "NOT STAGED")}
+
+
+def test_playlists_that_cannot_be_read(spark):
+    """Null clips and no row at all are the same, a title without a playlist is none, and the flag lets an item or its manifest through."""
+    ddl = "manifest string, disc string, stem string, sec double, allow_raw_stream boolean"
+    items = table(spark, ddl, ("m", "d", "00001", 100.0, None), ("m", "d", "00002", 100.0, True), ("n", "d", "00003", 100.0, False), (None, "d", "00004", 900.0, None))
+    titles = table(spark, "disc string, playlist string, sec double", ("d", "00100", 500.0), ("d", "00101", 600.0), ("d", None, 700.0), ("d", "00102", 110.0), ("d", "00103", 800.0), ("e", "00100", 990.0))
+    lists = table(spark, "disc string, playlist string, clips array<string>", ("d", "00100", None), ("d", "00103", ["00001", "00002", "00003"]))
+    got = lambda df: sorted((r.stem, r.playlist, r.verdict) for r in J.truncated_streams(df, titles, lists).collect())
+    of = lambda stem: [(stem, "00100", "UNREADABLE"), (stem, "00101", "UNREADABLE"), (stem, "00103", "TRUNCATED")]
+    assert got(items.drop("allow_raw_stream", "manifest")) == of("00001") + of("00002") + of("00003")
+    assert got(items.drop("manifest")) == of("00001") + of("00003")
+    assert got(items) == of("00003")
+
+
 def test_sidecars(spark):
     media = table(spark, "base string, populated boolean, dur double", ("a", True, 1.0), ("b", True, None), ("c", False, 1.0), ("d", True, 1.0))
     assert {r.base: r.verdict for r in J.awaiting_sidecar(media, table(spark, "base string", ("d",))).collect()} == {"a": "AWAITING", "b": "ENCODING"}

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from shelfwright.operators import aggregates as A, audits as U, common as C, predicates as P, ranking as W
+from shelfwright.operators import aggregates as A, audits as U, common as C, predicates as P, ranking as W, reconcile as J
 from shelfwright.sources.state import StateTable
 from shelfwright.streaming import streams as R
 
@@ -41,6 +41,26 @@ def test_operators_on_a_hot_key(spark):
     assert rows(A.audio_gaps(table, per_part=100)) == rows(A.audio_gaps(table)) and len(rows(A.audio_gaps(table))) == 2
 
 
+def test_runtimes_of_a_hot_season(spark):
+    """A season with a third of all rows, ties of episodes and of files: parts give what one order gives, and what all pairs give."""
+    draw = random.Random(5)
+    season = lambda k: "hot" if k % 3 == 0 else f"s{k % 4}"
+    canon = [(season(k), 1, k, draw.randrange(200, 400) / 10) for k in range(150)] + [("hot", 1, 900, None), ("one", 1, 1, 20.0)]
+    files = [(f"f{k}", season(k), 1, draw.randrange(180, 460) / 10) for k in range(300)] + [("g", "hot", 1, None), ("h", "one", 1, 22.5), ("i", "none", 1, 3.0)]
+    a, b = spark.createDataFrame(files, "file_id string, show string, season int, file_mins double"), spark.createDataFrame(canon, "show string, season int, idx int, mins double")
+    got = {per: {r.file_id: tuple(r) for r in J.match_by_runtime(a, b, per).collect()} for per in (25, 1 << 20)}
+    assert got[25] == got[1 << 20] and len(got[25]) == len(files)
+    for name, show, _, mins in files:
+        near = sorted((abs(mins - m), i) for s, _, i, m in canon if s == show and m is not None) if mins is not None else []
+        _, idx, delta, gap, verdict = got[25][name]
+        assert idx == (near[0][1] if near else None)
+        if near:
+            assert abs(delta - near[0][0]) <= 0.05 + 1e-9 and abs(gap - (near[1][0] - delta if len(near) > 1 else 99.0)) <= 0.05 + 1e-9
+            assert verdict == ("NO CLOSE MATCH" if delta > 3 else "AMBIGUOUS" if gap < 1 else "ok")
+        else:
+            assert verdict == ("NO DURATION" if mins is None else "NO CLOSE MATCH")
+
+
 def test_streams_scan_hot_keys_in_parts(spark, tmp_path):
     """Batches as tables give what the keyed streams give, and a batch that runs again adds nothing."""
     draw = random.Random(9)
