@@ -11,23 +11,43 @@ TITLE_CODES = {9: "duration", 10: "size_text", 16: "source", 27: "out_name"}
 STREAM_CODES = {1: "type", 4: "lang", 6: "codec", 13: "bitrate", 14: "channels", 19: "resolution", 30: "label"}
 
 
-def _name(path_col: str = "path"):
+def _name(path_col: str = "path") -> Column:
     """A file's name without its last ending."""
     return F.regexp_replace(F.regexp_extract(path_col, r"([^/]+)$", 1), r"\.[^.]+$", "")
 
 
+def _text_name() -> Column:
+    """The name of a line's file without its last ending, as it is on disk: Spark gives the path percent-encoded, with a plus sign as it
+    stands. Without patterns, since each line asks for it."""
+    leaf = F.substring_index("_metadata.file_path", "/", -1)
+    ending = F.when(F.contains(leaf, F.lit(".")), F.length(F.substring_index(leaf, ".", -1)) + 1).otherwise(0)
+    stem = F.substr(leaf, F.lit(1), F.length(leaf) - ending)
+    return F.when(F.contains(stem, F.lit("%")), F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))).otherwise(stem)
+
+
+def _log_rows(lines: DataFrame, start: str, form: str, numbers: list[str]) -> DataFrame:
+    """The log's lines of one kind: the disc, the numbers in front and the text in quotes. A line meets one pattern, once; its parts
+    are then cut at commas."""
+    held = lines.where(F.startswith("value", F.lit(start)) & F.col("value").rlike(form))
+    cut = held.select("disc", F.split(F.substr("value", F.lit(len(start) + 1)), ",", len(numbers) + 1).alias("p"))
+    quoted = F.get("p", len(numbers))
+    inside = F.substr(quoted, F.lit(2), F.length(quoted) - F.length(F.substring_index(quoted, '"', -1)) - 2)
+    return cut.select("disc", *(F.get("p", k).cast("int").alias(c) for k, c in enumerate(numbers) if c), inside.alias("v"))
+
+
+def _by_code(rows: DataFrame, keys: list[str], codes: dict[int, str]) -> DataFrame:
+    """One row of each key with a column for each of the codes: one shuffle, begun where the lines are."""
+    return rows.groupBy(*keys).agg(*(F.first(F.when(F.col("code") == k, F.col("v")), ignorenulls=True).alias(c) for k, c in codes.items()))
+
+
 def read_robot_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Titles and streams of disc enumeration logs; the disc is the file's name."""
-    lines = spark.read.text(path).select(_name("_metadata.file_path").alias("disc"), "value")
+    lines = spark.read.text(path).select(_text_name().alias("disc"), "value")
     # The forms of the log's lines.
     t = r'^TINFO:(\d+),(\d+),\d+,"(.*)"\s*$'
     s = r'^SINFO:(\d+),(\d+),(\d+),\d+,"(.*)"\s*$'
-    part = lambda p, k: F.regexp_extract("value", p, k)
-    title_rows = lines.where(F.col("value").rlike(t)).select("disc", part(t, 1).cast("int").alias("title"), part(t, 2).cast("int").alias("code"), part(t, 3).alias("v"))
-    stream_rows = lines.where(F.col("value").rlike(s)).select("disc", part(s, 1).cast("int").alias("title"), part(s, 2).cast("int").alias("n"), part(s, 3).cast("int").alias("code"), part(s, 4).alias("v"))
-    named = lambda df, codes: df.select(*(c for c in df.columns if str(c) not in map(str, codes)), *(F.col(str(k)).alias(v) for k, v in codes.items()))
-    titles = named(title_rows.groupBy("disc", "title").pivot("code", list(TITLE_CODES)).agg(F.first("v")), TITLE_CODES)
-    streams = named(stream_rows.groupBy("disc", "title", "n").pivot("code", list(STREAM_CODES)).agg(F.first("v")), STREAM_CODES)
+    titles = _by_code(_log_rows(lines, "TINFO:", t, ["title", "code", ""]), ["disc", "title"], TITLE_CODES)
+    streams = _by_code(_log_rows(lines, "SINFO:", s, ["title", "n", "code", ""]), ["disc", "title", "n"], STREAM_CODES)
     return titles.withColumn("sec", T.hms_to_sec(F.col("duration"))), streams
 
 
@@ -52,11 +72,12 @@ def read_clip_languages(spark: SparkSession, glob: str, codes: list[str]) -> Dat
 
 def read_dispositions(spark: SparkSession, path: str) -> DataFrame:
     """(disc, title, kind, note) of tNN|kind|note lines; the last line of a title counts."""
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace(_name("_metadata.file_path"), r"\.dispositions$", "").alias("disc"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace(_text_name(), r"\.dispositions$", "").alias("disc"), F.split("value", r"\r?\n").alias("lines"))
+    each = whole.select("disc", F.posexplode("lines").alias("line", "value"))
     p = r"^\s*t(\d+)\s*\|\s*([A-Za-z]+)\s*(?:\|(.*))?$"
-    rows = whole.where(F.col("value").rlike(p)).select("disc", F.regexp_extract("value", p, 1).cast("int").alias("title"), F.lower(F.regexp_extract("value", p, 2)).alias("kind"), F.trim(F.regexp_extract("value", p, 3)).alias("note"), "line")
-    last = F.row_number().over(Window.partitionBy("disc", "title").orderBy(F.desc("line")))
-    return rows.withColumn("_r", last).where("_r = 1").drop("_r", "line")
+    rows = each.where(F.col("value").rlike(p)).select("disc", F.regexp_extract("value", p, 1).cast("int").alias("title"), "line", "value")
+    last = rows.groupBy("disc", "title").agg(F.max_by("value", "line").alias("value"))
+    return last.select("disc", "title", F.lower(F.regexp_extract("value", p, 2)).alias("kind"), F.trim(F.regexp_extract("value", p, 3)).alias("note"))
 
 
 def read_pipe_table(spark: SparkSession, path: str) -> DataFrame:

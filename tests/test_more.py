@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfwright.operators import aggregates as A, audits as U, predicates as P, ranking as W, reconcile as J
+from shelfwright.sources import readers as S
 
 
 def table(spark, ddl, *rows):
@@ -108,3 +109,21 @@ def test_surveys(spark):
     assert {tuple(r) for r in P.layout_violations(listing).collect()} == {("m", "several editions"), ("t/Featurettes", "film extras folder")}
     sound = table(spark, "file_id int, track int, offset_s int, h string", (1, 0, 0, "a"), (1, 1, 0, "a"), (2, 0, 0, "a"), (2, 1, 0, "b"), (3, 0, 0, "a"))
     assert {r.file_id: r.verdict for r in A.commentary_verdict(sound).collect()} == {1: "DUPLICATE", 2: "COMMENTARY", 3: "TOO SHORT"}
+
+
+def test_names_of_discs_as_on_disk(spark, tmp_path):
+    """Spaces, plus and percent signs in names; empty, quoted and broken values of a log; a key of unknown codes alone stays a row."""
+    log = 'MSG:1,"x"\nTINFO:0,9,0,"1:02:03"\t \nTINFO:0,27,0,"a, ""b""_t00.mkv"\nTINFO:0,16,0,""\nTINFO:0,10,0,"4 GB" x\nTINFO:x,9,0,"1"\nTINFO:1,99,0,"z"\n'
+    log += 'SINFO:0,0,1,6201,"Video"\nSINFO:0,1,4,0,"eng,fra"\nSINFO:0,1,30,0,"\n SINFO:0,2,4,0,"eng"\n'
+    for name in ("Show S1 Disc 2", "50% A+B %20 ü"):
+        (tmp_path / f"{name}.log").write_text(log)
+        (tmp_path / f"{name}.dispositions.txt").write_text("t00|Encode|\nt01|exclude| studio logo \n")
+        (tmp_path / name / "BDMV" / "PLAYLIST").mkdir(parents=True)
+        (tmp_path / name / "BDMV" / "PLAYLIST" / "00001.mpls").write_text("x00019M2TSy00020M2TS")
+    titles, streams = S.read_robot_log(spark, f"{tmp_path}/*.log")
+    for name in ("Show S1 Disc 2", "50% A+B %20 ü"):
+        of = lambda df, *c: sorted(tuple(r) for r in df.where(F.col("disc") == name).select(*c).collect())  # noqa: E731, B023
+        assert of(titles, "title", "sec", "size_text", "source", "out_name") == [(0, 3723.0, None, "", 'a, ""b""_t00.mkv'), (1, None, None, None, None)]
+        assert of(streams, "title", "n", "type", "lang", "label") == [(0, 0, "Video", None, None), (0, 1, None, "eng,fra", None)]
+        assert of(S.read_dispositions(spark, f"{tmp_path}/*.dispositions.txt"), "title", "kind", "note") == [(0, "encode", ""), (1, "exclude", "studio logo")]
+        assert of(S.read_playlists(spark, f"{tmp_path}/*/BDMV/PLAYLIST/*.mpls"), "playlist", "clips") == [("00001", ["00019", "00020"])]
