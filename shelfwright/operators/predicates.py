@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.operators.common import with_rint_median
+from shelfwright.session import stored
 
 # Codecs of text subtitles; reasons that identify nothing.
 TEXT_CODECS = ["srt", "ass", "ssa", "subrip", "webvtt"]
@@ -39,7 +40,8 @@ def boilerplate_durations(probed: DataFrame) -> DataFrame:
 def classify_probed_titles(probed: DataFrame) -> DataFrame:
     """Every title with a running time labelled ARTIFACT, BOILERPLATE, PLAYALL?, EPISODE? or REVIEW; none is dropped."""
     real = F.col("has_video") & (F.col("sec") > 15) & ~(F.col("phantom") & (F.col("sec") < 120))
-    rows = probed.where("sec > 0").withColumns({"sec3": F.bround("sec", 3), "real": real})
+    probed = stored(probed.select("disc", "title", "sec", F.bround("sec", 3).alias("sec3"), real.alias("real")), "probed")  # read by each step below
+    rows = probed.where("sec > 0")
     # The two longest of a disc: each task hands on two rows of it at most, however many it has.
     longest = F.row_number().over(Window.partitionBy("disc").orderBy(F.desc("sec"), "title"))
     two = rows.where("real").select("disc", "title", "sec", longest.alias("place")).where("place <= 2")

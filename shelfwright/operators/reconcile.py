@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright.functions import text as T
-from shelfwright.operators.common import PER_PART, with_nearest, with_previous
+from shelfwright.operators.common import PER_PART, key_sizes, with_nearest, with_previous
 from shelfwright.session import stored
 
 
@@ -48,6 +48,8 @@ def match_by_runtime(files: DataFrame, canon: DataFrame, per_part: int = PER_PAR
     next to it: no pairs of a season are made, and a season of more than per_part rows is put in order in parts.
     """
     key = ["show", "season"]
+    if key_sizes(canon.select(*key).unionByName(files.select(*key)), key)[1] <= per_part:
+        per_part = None
     each = canon.where("mins is not null").groupBy(*key, "mins").agg(F.min("idx").alias("idx"), F.count("*").alias("n"))
     each = each.withColumns({"e": F.struct("mins", "idx", "n"), "back": -F.col("mins")})
     each = with_previous(with_previous(each, key, ["mins"], "e", "e_before", per_part), key, ["back"], "e", "e_after", per_part)
