@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from shelfwright.jobs import registry
-from shelfwright.operators import aggregates as A
+from shelfwright.operators import aggregates as A, reconcile as J
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +34,15 @@ def test_minutes_as_decimals(spark, tmp_path):
     want = sorted(ran.fetchall(), key=str)
     got = registry.QUERIES["j5_match_by_runtime"](spark, str(tmp_path)).select(*names).collect()
     assert sorted((tuple(r) for r in got), key=str) == want
+
+
+def test_landmarks_of_large_files(spark):
+    """Files above the limit of pairs go by words and rings, with the errors that a comparison line by line has."""
+    say = ["a long line that comes back", "uh 3!", "another Line of five words", "of five", "", "x"]
+    cues = [(f, 4.0 * k, say[(k * k + f) % 6] + ("" if k % 3 else f" {k}")) for f in (1, 2, 3) for k in range(120)] + [(3, 8.0, "uh 3!"), (None, 1.0, "x")]
+    marks = [(f, 40 * f + k, 7.0 * k + f, w) for f in (1, 2, 3, 4) for k, w in enumerate(["LINE of five", "uh", "that comes", "a long line", "never a word", "line that comes back 3", "five words", "x", None, ""] * 2)]
+    cues = spark.createDataFrame(cues, "file_id long, start_s double, text string")
+    marks = spark.createDataFrame([*marks, (None, 1, 1.0, "x"), (1, 999, None, "x")], "file_id long, landmark int, t double, line string")
+    pairs = {(f, n): min(((abs(s - t), s, s - t) for g, s, text in map(tuple, cues.collect()) if g == f and f and t is not None and line is not None and line.lower() in text.lower()), default=(0, 0, None))[2] for f, n, t, line in map(tuple, marks.collect())}
+    for per_file in (J.PER_FILE, 2000, 0):
+        assert {(r.file_id, r.landmark): r.error for r in J.nearest_cue(cues, marks, per_file=per_file).collect()} == pairs
