@@ -7,6 +7,7 @@ import pytest
 
 from shelfwright.jobs import registry
 from shelfwright.operators import aggregates as A, reconcile as J
+from shelfwright.sources import readers as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,3 +47,21 @@ def test_landmarks_of_large_files(spark):
     pairs = {(f, n): min(((abs(s - t), s, s - t) for g, s, text in map(tuple, cues.collect()) if g == f and f and t is not None and line is not None and line.lower() in text.lower()), default=(0, 0, None))[2] for f, n, t, line in map(tuple, marks.collect())}
     for per_file in (J.PER_FILE, 2000, 0):
         assert {(r.file_id, r.landmark): r.error for r in J.nearest_cue(cues, marks, per_file=per_file).collect()} == pairs
+
+
+def test_small_files_in_few_tasks(spark, tmp_path):
+    """Readers of many small files run few tasks, and give back the setting that they list with."""
+    for k in range(100):
+        (tmp_path / f"c{k}").mkdir()
+        (tmp_path / f"c{k}/cue_{k}.txt").write_text(f" line {k} \n")
+        (tmp_path / f"c{k}/cue_{k}_res.json").write_text('{"rec_texts": ["read"]}' if k % 2 else '{"rec_texts": []}')
+    key, most = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.maxPartitionBytes"
+    before, size = spark.conf.get(key), spark.conf.get(most)
+    spark.conf.set(most, "4m")
+    try:
+        listing, read = S.read_listing(spark, str(tmp_path)), S.read_ocr_results(spark, str(tmp_path))
+        assert listing.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert listing.count() == 200 and spark.conf.get(key) == before
+        assert {(r.file_id, r.cue, r.text) for r in read.collect()} == {(f"c{k}", k, "read" if k % 2 else f"line {k}") for k in range(100)}
+    finally:
+        spark.conf.set(most, size)
