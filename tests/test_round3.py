@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from shelfwright.jobs import registry
-from shelfwright.operators import aggregates as A, reconcile as J
+from shelfwright.operators import aggregates as A, audits as U, reconcile as J
 from shelfwright.sources import readers as S
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +65,12 @@ def test_small_files_in_few_tasks(spark, tmp_path):
         assert {(r.file_id, r.cue, r.text) for r in read.collect()} == {(f"c{k}", k, "read" if k % 2 else f"line {k}") for k in range(100)}
     finally:
         spark.conf.set(most, size)
+
+
+def test_union_after_merge_in_one_pass(spark, capsys):
+    """The names are compared in one aggregation, with no joins; a null name equals no other."""
+    names = lambda *rels: spark.createDataFrame([(r,) for r in rels], "rel string")
+    out = U.union_after_merge(names("a", "b", "b", None), names("c", "a"), names("b", "c", "d", "d", None))
+    assert sorted(map(tuple, out.collect()), key=str) == [("a", "LOST"), ("d", "UNEXPECTED"), (None, "LOST"), (None, "UNEXPECTED")]
+    out.explain()
+    assert "Join" not in capsys.readouterr().out
