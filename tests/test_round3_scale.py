@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfwright.operators import ranking as W
+from shelfwright.operators import aggregates as A, common as C, ranking as W
 
 
 def test_uniform_shift_counts_pairs_without_making_them(spark):
@@ -14,3 +14,27 @@ def test_uniform_shift_counts_pairs_without_making_them(spark):
     assert sorted(map(tuple, W.uniform_shift(agent, files).collect())) == [("s", 1, 1, 10**10), ("s", 2, 1, 5)]
     one = few.where("season = 2 and (idx is null or idx > 5)")
     assert sorted(map(tuple, W.uniform_shift(one, one.withColumn("idx", F.col("idx") - 2)).collect())) == [("s", 2, 2, 2)]
+
+
+def _joins(df, capsys) -> int:
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out.count("SortMergeJoin")
+
+
+def test_gaps_of_whole_tracks_need_no_joins(spark, capsys):
+    """Tracks dealt out whole are scanned by windows alone; cut into parts they say the same."""
+    packets = spark.range(600).select((F.col("id") % 4).alias("file_id"), F.lit(0).alias("track"), (F.floor(F.col("id") / 4) * F.when(F.col("id") % 4 == 1, 0.04).otherwise(0.032)).alias("pts"))
+    packets = packets.where("not (file_id = 2 and pts > 1 and pts < 1.5) and not (file_id = 3 and pts > 1)").unionByName(spark.createDataFrame([(None, 0, 0.1)], "file_id long, track int, pts double"))
+    whole, cut = A.audio_gaps(packets), A.audio_gaps(packets, per_part=20)
+    assert sorted(whole.collect()) == sorted(cut.collect()) and whole.count() == 3
+    assert _joins(whole, capsys) == 0
+
+
+def test_medians_by_windows_and_by_sketch(spark):
+    """A group has one median whichever way it is found; rows that do not count, nulls and null keys keep their place."""
+    n = F.col("id")
+    rows = spark.range(300).select(F.when(n % 9 > 0, n % 9).alias("k"), F.when(n % 8 > 0, n * 37 % 101 / 4).alias("v"), (n % 5 > 0).alias("w"))
+    for where in (None, F.col("w") & (F.col("k") > 2)):
+        whole, cut = (sorted(C.with_rint_median(rows, ["k"], "v", "m", where, most).collect(), key=str) for most in (1000, 10))
+        assert whole == cut and any(r.m for r in whole) and not any(r.m for r in whole if r.k is None)
