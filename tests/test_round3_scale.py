@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfwright.operators import aggregates as A, common as C, ranking as W
+from shelfwright.operators import aggregates as A, common as C, predicates as P, ranking as W
 
 
 def test_uniform_shift_counts_pairs_without_making_them(spark):
@@ -31,6 +31,16 @@ def test_gaps_of_whole_tracks_need_no_joins(spark, capsys):
     assert _joins(whole, capsys) == 0
 
 
+def test_titles_of_whole_discs_need_no_joins(spark, capsys):
+    """Discs dealt out whole are scanned by windows alone; cut into parts they say the same, and discs without a number too."""
+    n = F.col("id")
+    titles = spark.range(400).select(F.when(n % 10 > 0, n % 10).alias("disc"), (n / 10).cast("int").alias("title"), (F.when(n % 7 == 0, 273.0).when(n % 31 == 0, 9000.0).otherwise(10.0 + n * 7919 % 3000)).alias("sec"), (n % 11 > 0).alias("has_video"), F.lit(2).alias("audio"), (n % 13 == 0).alias("phantom"))
+    whole, cut = P.classify_probed_titles(titles), P.classify_probed_titles(titles, per_part=20)
+    said = sorted(whole.collect(), key=str)
+    assert said == sorted(cut.collect(), key=str) and {r.label for r in said} == {"ARTIFACT", "BOILERPLATE", "PLAYALL?", "EPISODE?", "REVIEW"}
+    assert _joins(whole, capsys) == 0
+
+
 def test_medians_by_windows_and_by_sketch(spark):
     """A group has one median whichever way it is found; rows that do not count, nulls and null keys keep their place."""
     n = F.col("id")
