@@ -11,7 +11,7 @@ from shelfwright.jobs.check_queries import _FILES, _FUNCTION, _SPECIALS, _files,
 from shelfwright.jobs.queries import _CUES, _GUARD, ORACLE_SQL, _cues, query
 from shelfwright.jobs.source_queries import _SRC, _hms, _log, _numbered, _written
 from shelfwright.operators import aggregates as A, predicates as P
-from shelfwright.session import new_path
+from shelfwright.session import new_path, stored
 from shelfwright.sources import readers as S, writers as K
 from shelfwright.sources.state import StateTable
 
@@ -146,7 +146,7 @@ def _resync_args(px):
     f = F.col("file_id")
     words = px("px_cues").select("file_id", F.posexplode(F.split("text", " ", -1)).alias("cue", "text")).withColumns({"start_s": F.col("cue") * 4.0, "end_s": F.col("cue") * 4.0 + 2.5})
     cues = words.select(f.alias("rk"), F.when(f % 2 == 0, 1).otherwise(2).alias("ordinal"), "cue", (F.col("start_s") * 12).alias("start_s"), (F.col("end_s") * 12).alias("end_s"), "text")
-    counts = cues.groupBy("rk", "ordinal").agg(F.count("*").alias("cues"), (F.max("start_s") * 1.01).alias("dur"))
+    counts = stored(cues.groupBy("rk", "ordinal").agg(F.count("*").alias("cues"), (F.max("start_s") * 1.01).alias("dur")), "counts")  # the texts are split once for all that is read from it
     rk = F.col("rk")
     tracks = counts.select("rk", "ordinal", "cues", (rk % 7 == 0).alias("forced")).unionByName(counts.select("rk", (3 - F.col("ordinal")).alias("ordinal"), (F.col("cues") - 1).alias("cues"), (rk % 7 < 2).alias("forced")))
     alignments = counts.where("rk % 5 < 4").select("rk", F.when(rk % 5 == 0, 59.0).when(rk % 5 == 1, 2.0).when(rk % 5 == 2, 0.05).otherwise(-1.5).alias("offset"), F.lit(1.0).alias("scale"))

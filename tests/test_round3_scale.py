@@ -48,3 +48,11 @@ def test_medians_by_windows_and_by_sketch(spark):
     for where in (None, F.col("w") & (F.col("k") > 2)):
         whole, cut = (sorted(C.with_rint_median(rows, ["k"], "v", "m", where, most).collect(), key=str) for most in (1000, 10))
         assert whole == cut and any(r.m for r in whole) and not any(r.m for r in whole if r.k is None)
+
+
+def test_anchors_meet_the_cues_of_their_own_track(spark):
+    """Anchors that name a track meet its cues alone, in the one join that cues go through."""
+    cues = spark.range(400).select(F.lit(1).alias("file_id"), (F.col("id") % 2).cast("int").alias("ordinal"), (F.col("id") * 5.0).alias("start_s"))
+    anchors = spark.createDataFrame([(1, 0, 2000.0, 0.1, 0.2)], "file_id int, ordinal int, dur double, oa double, ob double")
+    got = A.anchor_fit(cues, anchors, ["file_id", "ordinal"]).collect()
+    assert got == A.anchor_fit(cues.where("ordinal = 0"), anchors.drop("ordinal")).collect() and got[0].reason == "ok"
