@@ -56,3 +56,18 @@ def test_anchors_meet_the_cues_of_their_own_track(spark):
     anchors = spark.createDataFrame([(1, 0, 2000.0, 0.1, 0.2)], "file_id int, ordinal int, dur double, oa double, ob double")
     got = A.anchor_fit(cues, anchors, ["file_id", "ordinal"]).collect()
     assert got == A.anchor_fit(cues.where("ordinal = 0"), anchors.drop("ordinal")).collect() and got[0].reason == "ok"
+
+
+def test_tokens_do_not_move_to_a_dictionary_that_fits(spark, capsys):
+    """Only rows of files are shuffled; verdicts are those that counted words find by a join."""
+    line = lambda k: " ".join(f"{'the' if j % 3 else 'word'}{'' if j % 3 else chr(97 + (k + j) % 26)} worda's it's" for j in range(8))
+    texts = spark.createDataFrame([(f"f{k}", "\n".join(f"{n}\n00:00:01,000 --> 00:00:02,000\n{line(k + n)}" for n in range(1, 3 + 4 * k))) for k in range(8)], "file_id string, text string")
+    probes = texts.select("file_id", F.lit(100.0).alias("sec"), F.lit(4).alias("max_packets"))
+    words = spark.createDataFrame([("The",), ("it",), ("worda",), ("wordb",), ("worda",), (None,)], "word string")
+    here = A.ocr_gates(texts, probes, words)
+    capsys.readouterr()
+    here.explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(file_id#" in plan and "hashpartitioning(w#" not in plan and ", w#" not in "".join(x for x in plan.splitlines() if "hashpartitioning(" in x)
+    rows = sorted(map(tuple, here.collect()))
+    assert rows == sorted(map(tuple, A.ocr_gates(texts, probes, words, whole_words=3).collect())) and len({r[7] for r in rows}) > 1
