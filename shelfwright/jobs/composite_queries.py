@@ -34,14 +34,17 @@ def _(px):
     return composite.subtitle_search(px("px_items"), px("px_media"), px("px_log").where("event_id % 7 = 0").select("rk"), *_search_args(px))
 
 
-def _search_args(px):
-    """Candidates, block list and spans."""
+def _search_args(px, wanted=None):
+    """Candidates, block list and spans; with wanted (rk), those of its items, stored for all that reads them."""
     candidates = px("px_candidates")
+    if wanted is not None:
+        candidates = stored(candidates.join(wanted, "rk", "left_semi"), "candidates")
     block = px("px_items").where("rk % 50 = 7").select(F.col("rk").cast("string").alias("key"), F.lit("bluray").alias("pattern"))
     of = A.cue_span(_cues(px)).select(F.col("file_id").alias("f"), (F.col("last_end") * 60).alias("last_end"), (F.col("cues") * 10).alias("cues"))
     docs = px("px_cues").agg((F.max("file_id") + 1).alias("docs"))  # one row
     ids = candidates.select("cand_id").distinct().crossJoin(docs).withColumn("f", F.col("cand_id") % F.col("docs")).drop("docs")
-    return candidates, block, ids.join(of, "f").drop("f")
+    spans = ids.join(of, "f").drop("f")
+    return candidates, block, spans if wanted is None else stored(spans, "spans")
 
 
 _NOW, _BEFORE = dt.datetime(2024, 5, 1), dt.datetime(2024, 4, 1)
@@ -62,9 +65,12 @@ def _(px):
     known = px("px_log").where("event_id % 7 = 0").select("rk").distinct()
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema.fields if f.name not in ("rk", "r", "ts")]
     state.commit(known.select("rk", F.lit("matched").alias("r"), *none, F.lit(_BEFORE).alias("ts")), "before")
-    args = [px("px_items"), px("px_media"), *_search_args(px), _NOW]
-    log = new_path(px.spark, "log")
-    half = P.needs_subtitles(args[0], args[1]).join(state.read(), "rk", "left_anti").count() // 2 + 1
+    items, log = px("px_items"), new_path(px.spark, "log")
+    # Stored, as each instalment reads them: the streams' windows run once, the candidates' over the items that are open.
+    media = stored(px("px_media").where("stream_type = 3").select("rk", "stream_type", "codec", "language_code", "language", "forced"), "media")
+    wanted = stored(P.needs_subtitles(items, media).join(state.read(), "rk", "left_anti").select("rk"), "wanted")
+    args = [items, media, *_search_args(px, wanted), _NOW]
+    half = wanted.count() // 2 + 1
     composite.subtitle_search_job(state, *args, log=log, limit=half)
     state.staged(known.select("rk", F.lit("lost").alias("r"), *none, F.lit(_NOW).alias("ts")))
     while composite.subtitle_search_job(state, *args, log=log, limit=half) > state.version():
