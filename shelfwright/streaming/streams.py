@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -32,6 +32,10 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+#: Files of a folder whose sizes lie in its one row of state.
+FEW_FILES = 64
+
+
 def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: str = "1 minute", keep_s: int = 86_400) -> DataFrame:
     """(folder, ts, verdict) for each change of a folder's verdict: SHORT, GROWING (complete, but not yet quiet), COMPLETE.
 
@@ -41,72 +45,83 @@ def staging_gate(obs: DataFrame, source: DataFrame, settle_s: int = 60, late: st
     passed. Then the sizes go, and later observations change nothing; a further timer removes what is left keep_s after the
     last of them.
 
-    State is a map from each file to its size and one row of totals for each folder: a batch reads the sizes of the files
-    that it names and writes those that have changed, however many files a folder has.
+    State is one row of totals for each folder, with the sizes of its files while they are few; beyond FEW_FILES the sizes are a map by
+    file, of which a batch reads the files that it names and writes those that have changed, however many files a folder has.
+    Each reading and writing of state is a message to the executor and back, so a small folder's batch takes one of each.
     """
-    met = obs.withWatermark("ts", late).withColumn("us", F.unix_micros("ts")).join(source, "folder", "left").select("folder", "us", F.col("file").cast("string").alias("file"), F.col("bytes").cast("long").alias("bytes"), F.col("files").cast("long").alias("files"), F.col("total").cast("long").alias("total"), "ts")
-    settle, keep = settle_s * 1_000_000, keep_s * 1_000_000
+    # What the gate reads of a row is one text, as Spark hands rows to Python value by value: time, bytes, files, total, file; empty for null.
+    said = [F.unix_micros("ts"), *(F.col(c).cast("long") for c in ("bytes", "files", "total")), F.concat(F.lit("="), F.col("file").cast("string"))]
+    met = obs.withWatermark("ts", late).join(source, "folder", "left").select("folder", "ts", F.concat_ws("\0", *(F.coalesce(c.cast("string"), F.lit("")) for c in said)).alias("row"))
+    settle, keep, few = settle_s * 1_000_000, keep_s * 1_000_000, FEW_FILES
 
     class Gate(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
             self.sizes = handle.getMapState("sizes", "file string", "bytes long")
-            self.totals = handle.getValueState("totals", "files long, bytes long, changed long, said string, done boolean, seen long, same boolean")
+            self.totals = handle.getValueState("totals", "files long, bytes long, changed long, said string, done boolean, seen long, same boolean, few boolean, names array<string>, sizes array<long>")
 
         def _timer(self, us: int) -> None:
             self.handle.registerTimer(-(-us // 1000))
 
-        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            batch = pd.concat(list(rows)).sort_values(["us", "file"])
-            files, total, changed, said, done, seen, same = self.totals.get() if self.totals.exists() else (0, 0, 0, "", False, 0, False)
-            held, new, out = {}, {}, []
-            for r in batch.itertuples():
-                seen = max(seen, r.us)
-                if not done and same and r.us >= changed + settle:
-                    out.append((key[0], changed + settle, "COMPLETE"))
+        def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            batch = sorted((int(us), name, int(size), want) for us, size, *want, name in (r[-1].split("\0", 4) for r in rows))
+            files, total, changed, said, done, seen, same, small, names, sizes = self.totals.get() or (0, 0, 0, "", False, 0, False, True, [], [])
+            held, new, out = dict(zip(names, sizes, strict=True)), {}, []
+            for us, name, size, want in batch:
+                seen = max(seen, us)
+                if not done and same and us >= changed + settle:
+                    out.append((changed + settle, "COMPLETE"))
                     done = True
                 if done:
                     continue
-                if r.file not in held:
-                    held[r.file] = self.sizes.getValue((r.file,))[0] if self.sizes.containsKey((r.file,)) else None
-                if held[r.file] != r.bytes:
-                    files, total = files + (held[r.file] is None), total + r.bytes - (held[r.file] or 0)
-                    held[r.file] = new[r.file] = int(r.bytes)
-                    changed = r.us
-                same = bool(files == r.files and total == r.total)
+                if name not in held:
+                    kept = None if small else self.sizes.getValue((name,))
+                    held[name] = kept[0] if kept else None
+                if held[name] != size:
+                    files, total = files + (held[name] is None), total + size - (held[name] or 0)
+                    held[name] = new[name] = size
+                    changed = us
+                same = want == [str(files), str(total)]
                 verdict = "GROWING" if same else "SHORT"
                 if verdict != said:
-                    out.append((key[0], r.us, verdict))
+                    out.append((us, verdict))
                     said = verdict
             if done:
-                self.sizes.clear()
+                if not small:
+                    self.sizes.clear()
+                small, held = True, {}
                 self._timer(seen + keep)
             else:
-                for name, size in new.items():
-                    self.sizes.updateValue((name,), (size,))
+                if small and files > few:
+                    small, new = False, held  # from now on in the map
+                if not small:
+                    for name, size in new.items():
+                        self.sizes.updateValue((name,), (size,))
+                    held = {}
                 if same:
                     self._timer(changed + settle)
-            self.totals.update((int(files), int(total), int(changed), said, done, int(seen), same))
-            yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
-
-        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            out, at = [], expiredTimerInfo.getExpiryTimeInMs() * 1000
-            if self.totals.exists():
-                files, total, changed, said, done, seen, same = self.totals.get()
+            self.totals.update((files, total, changed, said, done, seen, same, small, list(held), list(held.values())))
+            for us, verdict in out:
+                yield Row(folder=key[0], us=us, verdict=verdict)
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            at, kept = expiredTimerInfo.getExpiryTimeInMs() * 1000, self.totals.get()
+            if kept:
+                files, total, changed, said, done, seen, same, small, _, _ = kept
                 if done and at >= seen + keep:
                     self.totals.clear()
                 elif not done and same and at >= changed + settle:  # not one that a later change has outrun
-                    out.append((key[0], changed + settle, "COMPLETE"))
-                    self.sizes.clear()
-                    self.totals.update((files, total, changed, said, True, seen, same))
+                    if not small:
+                        self.sizes.clear()
+                    self.totals.update((files, total, changed, said, True, seen, same, True, [], []))
                     self._timer(seen + keep)
-            yield pd.DataFrame(out, columns=["folder", "us", "verdict"])
+                    yield Row(folder=key[0], us=changed + settle, verdict="COMPLETE")
 
         def close(self) -> None:
             pass
 
     kind = obs.schema["folder"].dataType.simpleString()
-    told = met.groupBy("folder").transformWithStateInPandas(Gate(), f"folder {kind}, us long, verdict string", "append", "eventtime")
+    told = met.groupBy("folder").transformWithState(Gate(), f"folder {kind}, us long, verdict string", "append", "eventtime")
     return told.select("folder", F.timestamp_micros("us").alias("ts"), "verdict")
 
 

@@ -43,3 +43,19 @@ def test_timers_that_a_later_change_outruns(spark, tmp_path):
     run(spark, tmp_path, [(at(400), "z", "x", 1)], source, keep_s=500)
     run(spark, tmp_path, [(at(401), "a", "x", 7)], source, keep_s=500)  # after it was complete: nothing changes
     assert got()[-1] == (at(115), "COMPLETE") and len(got()) == 4
+
+
+def test_a_small_folder_is_one_row_of_state(spark, tmp_path):
+    """Folders of few files put one row of state a batch; one that grows beyond that goes on in the map with the same verdicts."""
+    source = spark.createDataFrame([(f"s{k}", 5, 15) for k in range(20)] + [("big", 70, 70)], "folder string, files int, total long")
+    first = run(spark, tmp_path, [(at(k), f"s{j}", f"f{k}", 2) for j in range(20) for k in range(5)] + [(at(k % 7), "big", f"f{k}", 1) for k in range(60)], source)
+    assert first < 70  # one row for each of 21 folders, and the counters beside it
+    run(spark, tmp_path, [(at(20), f"s{j}", f"f{k}", 3) for j in range(20) for k in range(5)] + [(at(20), "big", f"f{k}", 1) for k in range(55, 70)], source)
+    run(spark, tmp_path, [(at(25), "big", "f3", 2), (at(26), "big", "f3", 1), (at(30), "big", None, 0)], source)
+    run(spark, tmp_path, [(at(500), "end", "x", 0)], source)
+    got = sorted((r.folder, r.ts, r.verdict) for r in spark.read.parquet(str(tmp_path / "out")).where("folder <> 'end'").collect())
+    want = [(f"s{j}", at(t), v) for j in range(20) for t, v in ((0, "SHORT"), (20, "GROWING"), (80, "COMPLETE"))]
+    # A file may lack a name: it is one more file.
+    assert [x for x in got if x[0] == "big"] == [("big", at(0), "SHORT"), ("big", at(20), "GROWING"), ("big", at(25), "SHORT"), ("big", at(26), "GROWING"), ("big", at(30), "SHORT")]
+    # While sizes of 2 become 3 one by one at 20 s, the last of them makes the folder whole.
+    assert [x for x in got if x[0] != "big"] == sorted(want)
