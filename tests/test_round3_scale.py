@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfwright.jobs import composite
 from shelfwright.operators import aggregates as A, common as C, predicates as P, ranking as W
 from shelfwright.session import tracked
+from shelfwright.sources import readers as S
 from shelfwright.sources.state import StateTable
 
 
@@ -87,3 +88,14 @@ def test_a_search_with_nothing_to_do_looks_at_no_candidate(spark, tmp_path):
     with tracked() as made:
         assert composite.subtitle_search_job(state, items, media, cands, block, spans, dt.datetime(2024, 5, 1)) == 0
     assert not any("verdicts-" in path for path in made)
+
+
+def test_a_log_is_parsed_once_for_titles_and_streams(spark, tmp_path):
+    (tmp_path / "d1.log").write_text('MSG:1,"x"\nTINFO:0,9,0,"0:01:40"\nTINFO:0,27,0,"a, b.mkv"\nSINFO:0,0,1,6201,"Video"\nSINFO:0,1,4,0,"eng"\nTINFO:1,3,0,"other"\nSINFO:x,0,1,0,"Video"\nTINFO:broken\n')
+    with tracked() as made:
+        titles, streams = S.read_robot_log(spark, str(tmp_path), once=True)
+    assert [p.rpartition("/")[2].partition("-")[0] for p in made] == ["log"]
+    assert sorted((r.disc, r.title, r.sec, r.out_name) for r in titles.collect()) == [("d1", 0, 100.0, "a, b.mkv"), ("d1", 1, None, None)]
+    assert sorted((r.title, r.n, r.type, r.lang) for r in streams.collect()) == [(0, 0, "Video", None), (0, 1, None, "eng")]
+    for a, b in zip((titles, streams), S.read_robot_log(spark, str(tmp_path)), strict=True):
+        assert a.schema == b.schema and sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
