@@ -99,3 +99,15 @@ def test_a_log_is_parsed_once_for_titles_and_streams(spark, tmp_path):
     assert sorted((r.title, r.n, r.type, r.lang) for r in streams.collect()) == [(0, 0, "Video", None), (0, 1, None, "eng")]
     for a, b in zip((titles, streams), S.read_robot_log(spark, str(tmp_path)), strict=True):
         assert a.schema == b.schema and sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
+
+
+def test_readings_are_decoded_once(spark, tmp_path, capsys):
+    """What is worked out of a text works on text that is there, not on the bytes of its file once more for each use."""
+    (tmp_path / "f1").mkdir()
+    (tmp_path / "f1" / "cue_0001.txt").write_bytes("caf\xe9 \n\n two".encode("cp1252"))
+    (tmp_path / "f1" / "cue_0002_res.json").write_text('{"rec_texts": ["low", "high"], "rec_boxes": [[0, 9, 1, 10], [0, 1, 1, 2]]}')
+    got = S.read_ocr_results(spark, str(tmp_path))
+    capsys.readouterr()
+    got.explain()
+    assert "binaryFile" not in capsys.readouterr().out
+    assert sorted(map(tuple, got.collect())) == [("f1", 1, "caf\xe9\ntwo"), ("f1", 2, "high\nlow")]
