@@ -3,10 +3,15 @@
 import uuid
 from pathlib import Path
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from shelfwright.session import tracked
-from shelfwright.sources import readers as S
+from shelfwright.jobs import composite_queries, registry, source_queries
+from shelfwright.session import in_slices, new_path, tracked
+from shelfwright.sources import readers as S, writers as K
+
+SF = "/root/testdata/sf0.001"
 
 
 def _catalogues(spark, discs: int, titles: int):
@@ -16,8 +21,6 @@ def _catalogues(spark, discs: int, titles: int):
 
 def test_a_stored_catalogue_has_a_title_a_row(spark, tmp_path):
     """A reader that takes some thousands of stored rows at a time holds as many titles, not all titles of as many discs."""
-    from shelfwright.sources import writers as K
-
     titles, streams = _catalogues(spark, 4, 50)
     K.write_catalogue(titles, streams, str(tmp_path / "lines"))
     with open(tmp_path / "lines" / "more.json", "w") as more:
@@ -33,9 +36,6 @@ def test_a_stored_catalogue_has_a_title_a_row(spark, tmp_path):
 
 def test_slices_are_whole_and_leave_nothing_but_their_rows(spark):
     """Each key is in one slice, all rows come back, and a slice's files are gone before the next one's are written."""
-    from shelfwright.session import in_slices, new_path
-    from shelfwright.sources import writers as K
-
     seen, key = [], "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     there = lambda p: Path(p.removeprefix("file:").replace("//", "/")).exists()
     rows = spark.range(1000).select((F.col("id") % 40).alias("disc"), F.col("id").cast("string").alias("content"))
@@ -45,20 +45,21 @@ def test_slices_are_whole_and_leave_nothing_but_their_rows(spark):
         path = new_path(spark, "files")
         files = part.groupBy(F.col("disc").cast("string").alias("name")).agg(F.concat_ws(",", F.sort_array(F.collect_list("content"))).alias("content"))
         seen.append((path, K.write_files(files, path).count()))
-        return spark.read.text(path, wholetext=True).select(F.explode(F.split("value", ",")).alias("content"))
+        content = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", ",")).alias("content"))
+        return content, content.groupBy().agg(F.count("*").alias("n"))
 
     before = spark.conf.get(key)
-    whole = in_slices(rows, "disc", make, "sliced", per_slice=300)
+    with tracked() as made:
+        whole, counts = in_slices(rows, "disc", make, "sliced", per_slice=300)
+    assert len(made) == 1 + 2 * 4 and all(there(p) for p in made) and counts.agg(F.sum("n")).first()[0] == 1000 and counts.count() == 4
     assert sorted(int(r.content) for r in whole.collect()) == list(range(1000))
     assert len(seen) == 4 and sum(n for _, n in seen) == 40 and not any(there(p) for p, _ in seen)
     assert spark.conf.get(key) == before
-    assert in_slices(rows, "disc", make, "sliced").count() == 1000 and len(seen) == 5 and there(seen[-1][0])
+    assert in_slices(rows, "disc", make, "sliced")[0].count() == 1000 and len(seen) == 5 and there(seen[-1][0])
 
 
 def test_a_catalogue_is_put_together_in_one_shuffle(spark, tmp_path, capsys):
     """Titles that are there twice, streams of no title and titles without a stream or number stay as a join leaves them."""
-    from shelfwright.sources import writers as K
-
     titles = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("a", None, "w"), ("b", 1, None)], "disc string, title int, duration string")
     streams = spark.createDataFrame([("a", 1, 1, "V"), ("a", 1, 0, "A"), ("a", 9, 0, "V"), ("a", None, 0, "V"), ("c", 1, 0, "V")], "disc string, title int, n int, type string")
     K.write_catalogue(titles, streams, str(tmp_path / "c"))
@@ -100,8 +101,6 @@ def test_the_driver_gets_no_list_of_files(spark, tmp_path):
 
 def test_trees_are_listed_as_spark_lists_them(spark, tmp_path):
     """Hidden files and files of no bytes are left out; a folder may be named by a path or an address, and names are those on disk."""
-    from pyspark.sql import DataFrame
-
     for rel in ("a b/c%20d/x+1.txt", "a b/ü.txt", "top.txt", "a b/.hidden/x.txt", "a b/_no/x.txt", "_k=1/x.txt", ".x", "_y", "z._COPYING_"):
         (tmp_path / "t" / rel).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "t" / rel).write_text(rel)
@@ -111,8 +110,25 @@ def test_trees_are_listed_as_spark_lists_them(spark, tmp_path):
     wanted = sorted((r.path, r.length, r.modificationTime, bytes(r.content)) for r in spark_says.collect())
     rels = {"a b/c%20d/x+1.txt", "a b/ü.txt", "top.txt", "_k=1/x.txt"}
     for root in (f"{tmp_path}/t", f"{tmp_path}/t/", f"file:{tmp_path}/t", f"file://{tmp_path}/t"):
-        tree: DataFrame = S._tree(spark, root)
+        tree = S._tree(spark, root)
         assert sorted((r.path, r.length, r.modificationTime, bytes(r.content)) for r in tree.collect()) == wanted
         assert {(r.rel, r.work, r.dir, r.name) for r in S.read_listing(spark, root).collect()} == {(x, x.partition("/")[0] if "/" in x else None, x.rpartition("/")[0], x.rpartition("/")[2]) for x in rels}
     assert {r.rel for r in S._tree(spark, f"{tmp_path}/t", r"\.txt$", contents=False).collect()} == rels
     assert S.read_listing(spark, str(tmp_path / "t" / "none")).count() == 0
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
+@pytest.mark.parametrize("name", ["c2_accounting_files", "s12_k1_catalogue", "s12_k1_catalogue_lines"])
+def test_queries_in_slices_equal_their_sql(spark, monkeypatch, name):
+    """A few discs at a time give what all at once give, and of their files only the job's own catalogues stay."""
+    at = composite_queries if name.startswith("c2") else source_queries
+    monkeypatch.setattr(at, "in_slices", lambda rows, key, make, tag: in_slices(rows, key, make, tag, per_slice=2000))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{SF}/lineitem.parquet'")
+    ran = c.execute(registry.ORACLE_SQL[name])
+    names = [d[0] for d in ran.description]
+    with tracked() as made:
+        got = registry.QUERIES[name](spark, SF)
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=str) == sorted(ran.fetchall(), key=str)
+    kinds = {p.rpartition("/")[2].partition("-")[0] for p in made}
+    assert kinds == ({"catalogue", "discs", "probed"} if name.startswith("c2") else {"catalogued"})
